@@ -1,4 +1,4 @@
-"""Sheets exported as CSV, laid out as ``<root>/<workbook>/<sheet>.csv``.
+"""Sheets exported as CSV, ``<root>/<workbook>/<sheet>.csv`` or partition folders.
 
 Files up to ``WHOLE_FILE_BYTES`` are read as one record each: the header is in the same record
 as its rows, so nothing is joined or shuffled. Larger files are read line by line in splits;
@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from ..functions.headers import header_labels, header_periods
 from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
@@ -59,15 +60,24 @@ def split_records(text: Column) -> Column:
     return F.when(text.contains('"'), quoted).otherwise(F.split(text, _LINE_END))
 
 
-def _located(df: DataFrame) -> DataFrame:
+def sheet_texts(
+    reader: DataFrameReader | DataStreamReader, root: str, partitioned: bool
+) -> DataFrame:
+    """Text records with ``archivo`` and ``hoja``, from a batch or a stream reader.
+
+    ``partitioned``: the sheets lie in folders ``archivo=<workbook>/hoja=<sheet>`` as Spark
+    writes them, and only folders a query asks for are listed.
+    """
+    if partitioned:
+        return reader.schema("value string, archivo string, hoja string").load(root)
+    files = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
     path = decoded_path(F.col("_metadata.file_path"))
-    return df.withColumns({"archivo": workbook_of(path), "hoja": sheet_of(path)})
+    return files.load(root).withColumns({"archivo": workbook_of(path), "hoja": sheet_of(path)})
 
 
-def _text(spark: SparkSession, root: str, wholetext: bool) -> DataFrame:
-    return spark.read.text(
-        root, wholetext=wholetext, recursiveFileLookup=True, pathGlobFilter="*.csv"
-    )
+def _text(spark: SparkSession, root: str, whole: bool, partitioned: bool) -> DataFrame:
+    reader = spark.read.format("text").option("wholetext", str(whole).lower())
+    return sheet_texts(reader, root, partitioned)
 
 
 def headed_from_text(
@@ -167,16 +177,17 @@ def read_csv_sheets(
     specs: Sequence[SheetSpec],
     grammar: PeriodGrammar = DEFAULT_GRAMMAR,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
+    partitioned: bool = False,
 ) -> SheetRead:
     """All listed sheets below ``root`` as headed rows, in one job."""
     manifest = manifest_frame(spark, specs)
     size = F.col("_metadata.file_size")
 
     # The size filter prunes whole files, so each branch opens only its own.
-    whole = _located(_text(spark, root, True).where(size <= whole_file_bytes))
+    whole = _text(spark, root, True, partitioned).where(size <= whole_file_bytes)
     small = headed_from_text(whole.select("archivo", "hoja", "value"), manifest, grammar)
 
-    lines = _located(_text(spark, root, False).where(size > whole_file_bytes)).select(
+    lines = _text(spark, root, False, partitioned).where(size > whole_file_bytes).select(
         "archivo", "hoja", "value",
         size.alias("_size"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -185,7 +196,7 @@ def read_csv_sheets(
     max_skip = max(spec.skip_rows for spec in specs)
     large = _headed_from_lines(lines, manifest, max_skip, grammar)
 
-    seen = sheet_catalog(spark, root)
+    seen = sheet_catalog(spark, root, partitioned)
     quarantine = (
         small.quarantine.unionByName(large.quarantine)
         .unionByName(missing_sheets(manifest, seen))
@@ -194,18 +205,22 @@ def read_csv_sheets(
     return SheetRead(small.rows.unionByName(large.rows), quarantine)
 
 
-def sheet_catalog(spark: SparkSession, root: str) -> DataFrame:
+def sheet_catalog(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
     """``archivo, numero, hoja`` of every sheet, numbered from 1 within its workbook.
 
     Lists files; their content is not read.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .load(root)
-        .select(decoded_path(F.col("_metadata.file_path")).alias("_path"))
-        .select(workbook_of(F.col("_path")).alias("archivo"), sheet_of(F.col("_path")).alias("hoja"))
-    )
+    reader = spark.read.format("binaryFile")
+    if partitioned:
+        files = reader.load(root)
+    else:
+        path = decoded_path(F.col("_metadata.file_path"))
+        files = (
+            reader.option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.csv")
+            .load(root)
+            .select(workbook_of(path).alias("archivo"), sheet_of(path).alias("hoja"))
+        )
+    names = files.select(F.col("archivo").cast("string"), F.col("hoja").cast("string"))
     within = Window.partitionBy("archivo").orderBy("hoja")
-    return files.select("archivo", F.row_number().over(within).alias("numero"), "hoja")
+    return names.select("archivo", F.row_number().over(within).alias("numero"), "hoja")

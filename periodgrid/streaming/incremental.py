@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
-from ..sources.csv_sheets import headed_from_text
-from ..sources.manifest import SheetSpec, decoded_path, manifest_frame, sheet_of, workbook_of
+from ..sources.csv_sheets import headed_from_text, sheet_texts
+from ..sources.manifest import SheetSpec, manifest_frame
 from ..sources.tables import bronze_rows
 
 SLICE = ("tabla", "_archivo", "_hoja")
@@ -22,35 +22,25 @@ def ingest_new_sheets(
     target: str,
     checkpoint: str,
     grammar: PeriodGrammar = DEFAULT_GRAMMAR,
+    partitioned: bool = False,
 ) -> StreamingQuery:
     """Load all sheets that are new since the last call, then stop.
 
     Each batch replaces the slices (table, workbook, sheet) it touches, so a repeated batch
-    leaves the same rows. Sheets are read whole; those above the split size belong to the
-    batch reader.
+    leaves the same rows; what it could not read goes to ``<target>_errores``, one slice per
+    batch. Sheets are read whole; those above the split size belong to the batch reader.
     """
-    path = decoded_path(F.col("_metadata.file_path"))
-    files = (
-        spark.readStream.format("text")
-        .option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .load(root)
-        .select(workbook_of(path).alias("archivo"), sheet_of(path).alias("hoja"), "value")
-    )
+    stream = spark.readStream.format("text").option("wholetext", "true")
+    files = sheet_texts(stream, root, partitioned).select("archivo", "hoja", "value")
 
-    def replace_slices(batch: DataFrame, _batch_id: int) -> None:
+    def replace_slices(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         read = headed_from_text(batch, manifest_frame(session, specs), grammar)
+        _replace(read.quarantine.withColumn("lote", F.lit(batch_id)), f"{target}_errores", "lote")
         rows = bronze_rows(read).withColumns(
             {"_archivo": F.col("_archivo_origen"), "_hoja": F.col("_hoja_origen")}
         )
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*SLICE)
-            .parquet(target)
-        )
+        _replace(rows, target, *SLICE)
 
     return (
         files.writeStream.option("checkpointLocation", checkpoint)
@@ -60,5 +50,10 @@ def ingest_new_sheets(
     )
 
 
+def _replace(rows: DataFrame, target: str, *slices: str) -> None:
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*slices).parquet(target)
+
+
 def stored_bronze(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).drop("_archivo", "_hoja")
