@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from ..functions.periods import (
     DEFAULT_GRAMMAR,
@@ -18,9 +18,12 @@ from ..functions.periods import (
     period_is_valid,
 )
 from ..functions.text import na_to_null, nan_to_null, once, tolerant_number
-from ..session import local_rows
+from ..session import local_rows, sql_literal
 
-LONG_COLUMNS = ("anio", "mes", "mes_num", "fecha", "periodo", "valor")
+PERIOD_TYPES = {
+    "anio": "int", "mes": "string", "mes_num": "int", "fecha": "date", "periodo": "string",
+}
+LONG_COLUMNS = (*PERIOD_TYPES, "valor")
 
 
 def label_frame(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
@@ -30,12 +33,17 @@ def label_frame(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
     return local_rows(spark, ("posicion", "etiqueta"), list(enumerate(labels)))
 
 
-def period_positions(
+def read_labels(
     spark: SparkSession, labels: Sequence[str], grammar: PeriodGrammar = DEFAULT_GRAMMAR
-) -> list[int]:
-    """Which labels are periods. Evaluated on a local relation: no job, no data read."""
-    frame = label_frame(spark, labels).where(period_is_valid(F.col("etiqueta"), grammar))
-    return sorted(row.posicion for row in frame.select("posicion").collect())
+) -> list[Row]:
+    """``posicion`` and period of each label that is one.
+
+    Evaluated on a local relation of column names: no job, no data read.
+    """
+    label = F.col("etiqueta")
+    parts = [col.alias(name) for name, col in period_columns(label, grammar).items()]
+    frame = label_frame(spark, labels).where(period_is_valid(label, grammar))
+    return sorted(frame.select("posicion", *parts).collect(), key=lambda row: row.posicion)
 
 
 def column_accounting(
@@ -51,6 +59,10 @@ def column_accounting(
     )
 
 
+def _typed_literal(value, kind: str) -> str:
+    return f"CAST(NULL AS {kind})" if value is None else sql_literal(value)
+
+
 def _with_number(rows: DataFrame, column: str, kind: T.DataType) -> DataFrame:
     """``column`` as DOUBLE ``valor`` in last place; rows without a number dropped."""
     others = [name for name in rows.columns if name != column]
@@ -74,28 +86,27 @@ def to_long(
     column, so the only work per cell is the numeric parse.
     """
     names = wide.columns
-    chosen = [i + 1 for i in period_positions(wide.sparkSession, names[1:], grammar)]
+    periods = {row.posicion + 1: row for row in read_labels(wide.sparkSession, names[1:], grammar)}
+    chosen = list(periods)
     slots = [f"_c{i}" for i in range(len(names))]
     kinds = [field.dataType for field in wide.schema.fields]
-    uniform = {kinds[i].simpleString() for i in chosen}
-    kind = kinds[chosen[0]] if len(uniform) == 1 else T.StringType()
+    uniform = len({kinds[i].simpleString() for i in chosen}) == 1
+    kind = kinds[chosen[0]] if uniform else T.StringType()
 
-    carried = [F.col(slots[names.index(name)]).alias(name) for name in keep]
+    carried = [f"{slots[names.index(name)]} AS `{name}`" for name in keep]
+    identity = f"CAST(_c0 AS STRING) AS `{concept}`"
     base = wide.toDF(*slots)
     if not chosen:
-        empty = [F.lit(None).cast(t) for t in ("int", "string", "int", "date", "string", "double")]
-        columns = [col.alias(name) for name, col in zip(LONG_COLUMNS, empty)]
-        return base.where(F.lit(False)).select(F.col(slots[0]).alias(concept), *carried, *columns)
+        types = {**PERIOD_TYPES, "valor": "double"}
+        columns = [f"CAST(NULL AS {t}) AS {name}" for name, t in types.items()]
+        return base.where(F.lit(False)).selectExpr(identity, *carried, *columns)
 
-    arguments: list[Column] = []
+    arguments: list[str] = []
     for i in chosen:
-        arguments += period_columns(F.lit(names[i]), grammar).values()
-        arguments.append(F.col(slots[i]).cast(kind))
-    long = base.select(
-        F.col(slots[0]).cast("string").alias(concept),
-        *carried,
-        F.stack(F.lit(len(chosen)), *arguments).alias(*LONG_COLUMNS),
-    )
+        arguments += [_typed_literal(periods[i][name], t) for name, t in PERIOD_TYPES.items()]
+        arguments.append(slots[i] if uniform else f"CAST({slots[i]} AS STRING)")
+    stacked = f"stack({len(chosen)}, {', '.join(arguments)}) AS ({', '.join(LONG_COLUMNS)})"
+    long = base.selectExpr(identity, *carried, stacked)
     return _with_number(long.where(F.col("valor").isNotNull()), "valor", kind)
 
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import local_rows
+
 # Labels of the severity classes and of the recommended instruments.
 HIGH, MEDIUM, LOW = "ALTA", "MEDIA", "BAJA"
 MIXED = "INTERVENCIÓN MIXTA (Formación + Subsidio)"
@@ -88,7 +90,8 @@ def first_match(
 
 def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     rows = [(i, r.severity, r.min_index, r.label) for i, r in enumerate(rules, 1)]
-    return spark.createDataFrame(rows, "regla int, severidad string, minimo double, etiqueta string")
+    named = local_rows(spark, ("regla", "severidad", "minimo", "etiqueta"), rows)
+    return named.withColumn("minimo", F.col("minimo").cast("double"))
 
 
 def first_match_by_table(

@@ -202,7 +202,7 @@ UNION ALL SELECT {pick}'total_ciudades_analizadas', CAST(count(*) AS DOUBLE) FRO
 UNION ALL SELECT {pick}'ciudades_prioridad_alta',
   CAST(sum(CASE WHEN prioridad = '{HIGH}' THEN 1 ELSE 0 END) AS DOUBLE) FROM {source} {tail}
 UNION ALL SELECT {pick}'promedio_informalidad_miles', {mean_sql(VALUE)} FROM {source} {tail}
-UNION ALL SELECT {pick}'cobertura_poblacion_pct', 100.0 FROM {source} {tail}"""
+UNION ALL SELECT {pick}'cobertura_poblacion_pct', CAST(max(100) AS DOUBLE) FROM {source} {tail}"""
 
 
 @query(FEATURES_SQL + metrics_sql("rec"))

@@ -70,8 +70,9 @@ def monthly_cells(
 def wide_sheet(rows: DataFrame, concept: str, date: str, value: str) -> DataFrame:
     """One row per concept, one text column per month. The labels are known beforehand."""
     cells = monthly_cells(rows, concept, date, value)
-    total = F.sum("importe").cast("string")
-    return cells.groupBy("concepto").pivot("etiqueta", MONTH_LABELS).agg(total)
+    # Summed as numbers and turned into text afterwards: Spark pivots numbers in one pass.
+    sums = cells.groupBy("concepto").pivot("etiqueta", MONTH_LABELS).agg(F.sum("importe"))
+    return sums.selectExpr("concepto", *[f"CAST(`{m}` AS STRING) AS `{m}`" for m in MONTH_LABELS])
 
 
 def orders_sheet(spark: SparkSession, sf_dir: str, concept: str = "o_orderpriority") -> DataFrame:
@@ -148,7 +149,7 @@ def long_quarter_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         monthly.select(
             "concepto",
             F.concat(F.element_at(names, F.col("m")), tail).alias("etiqueta"),
-            F.sum("v").over(ahead).cast("string").alias("v"),
+            F.sum("v").over(ahead).alias("v"),
         )
         .groupBy("concepto")
         .pivot("etiqueta", QUARTER_LABELS)

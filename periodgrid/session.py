@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,14 +52,22 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), "periodgrid", f"{label}-{uuid.uuid4().hex}")
 
 
+def sql_literal(value: str | int | float | date | None) -> str:
+    """A Python value as SQL text: one parsed expression instead of many driver calls."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    if isinstance(value, date):
+        return f"DATE'{value.isoformat()}'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
 def local_rows(spark: SparkSession, columns: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
     """A few literal rows as a local relation, whose expressions Spark folds without a job."""
-    # Named markers: positional ones lose their order inside VALUES.
-    args = {f"v{i}_{j}": v for i, row in enumerate(rows) for j, v in enumerate(row)}
-    lines = ", ".join(
-        "(" + ", ".join(f":v{i}_{j}" for j in range(len(columns))) + ")" for i in range(len(rows))
-    )
-    return spark.sql(f"SELECT * FROM VALUES {lines} AS t({', '.join(columns)})", args=args)
+    lines = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {lines} AS t({', '.join(columns)})")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.reshape import headed_rows_to_long
-from .manifest import SheetRead, SheetSpec
+from .manifest import SheetRead, SheetSpec, manifest_frame
 
 
 def with_lineage(rows: DataFrame, archive: Column, sheet: Column) -> DataFrame:
@@ -34,10 +34,7 @@ def table_rows(bronze: DataFrame, spec: SheetSpec) -> DataFrame:
 
 def load_report(read: SheetRead, bronze: DataFrame, specs: Sequence[SheetSpec]) -> DataFrame:
     """``tabla, filas, cargada, error`` per manifest line."""
-    spark = bronze.sparkSession
-    listed = spark.createDataFrame(
-        [(s.table, s.workbook, s.sheet) for s in specs], "tabla string, archivo string, hoja string"
-    )
+    listed = manifest_frame(bronze.sparkSession, specs).select("tabla", "archivo", "hoja")
     counts = bronze.groupBy("tabla").agg(F.count(F.lit(1)).alias("filas"))
     errors = read.quarantine.groupBy("archivo", "hoja").agg(F.min("error").alias("error"))
     filled = F.coalesce("filas", F.lit(0))
