@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .periods import DEFAULT_GRAMMAR, PeriodGrammar, period_struct
-from .text import strip_ws
+from .text import once, strip_ws
 
 
 def fill_blank_labels(header: Column) -> Column:
@@ -43,13 +43,23 @@ def number_repeats(header: Column) -> Column:
     return F.transform(header, rename)
 
 
-def header_labels(header: Column) -> Column:
-    """Raw header cells to final column labels: fill, number, then trim, in this order."""
-    return F.transform(number_repeats(fill_blank_labels(header)), strip_ws)
-
-
 def header_periods(labels: Column, grammar: PeriodGrammar = DEFAULT_GRAMMAR) -> Column:
     """Per column the period it holds, NULL for the concept column and for other columns."""
     return F.transform(
         labels, lambda label, i: F.when(i > 0, period_struct(label, grammar))
     )
+
+
+def promote_header(
+    rows: DataFrame, header: Column, grammar: PeriodGrammar = DEFAULT_GRAMMAR
+) -> DataFrame:
+    """Add ``etiquetas`` and ``periodos`` from a raw header: fill, number, then trim.
+
+    The filled header is pinned to a column of its own: numbering looks at all labels for each
+    label, and must not work the header out anew every time.
+    """
+    filled = rows.select("*", once(fill_blank_labels(header)).alias("_filled"))
+    labelled = filled.withColumn(
+        "etiquetas", F.transform(number_repeats(F.col("_filled")), strip_ws)
+    ).drop("_filled")
+    return labelled.withColumn("periodos", header_periods(F.col("etiquetas"), grammar))

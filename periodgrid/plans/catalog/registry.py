@@ -17,13 +17,14 @@ FIRST_YEAR, LAST_YEAR = 1995, 2001
 GRAMMAR = PeriodGrammar(base_year=FIRST_YEAR, max_suffix=LAST_YEAR - FIRST_YEAR)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name, with the SQL that gives the same rows."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, by default under its function name, with the SQL for the same rows."""
 
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        key = name or run.__name__
+        QUERIES[key] = run
         if sql is not None:
-            SQL[run.__name__] = sql
+            SQL[key] = sql
         return run
 
     return register

@@ -7,12 +7,14 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ...functions.headers import header_labels, header_periods
+from ...functions.headers import promote_header
 from ...functions.numeric import fixed
 from ...functions.periods import MONTHS_ES, first_of_month, month_number
 from ...functions.text import once, tolerant_number
 from ...operators import gold, reshape
+from ...operators.joins import cross_one_row
 from ...operators.silver import SilverSpec, clean
+from ...session import local_rows
 from ...sources.tables import with_lineage
 from .registry import (
     FIRST_YEAR,
@@ -161,14 +163,12 @@ def long_quarter_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_header(spark: SparkSession, sf_dir: str, concept: str) -> DataFrame:
     """Headed rows of a sheet that repeats ``Ene .. Dic`` without any suffix."""
     sheet = orders_sheet(spark, sf_dir, concept)
-    header = F.array(F.lit(""), *[F.lit(month) for _ in YEARS for month in MONTHS_ES])
-    labels = header_labels(header)
-    cells = [F.col(f"`{name}`") for name in sheet.columns]
-    return sheet.select(
-        labels.alias("etiquetas"),
-        header_periods(labels, GRAMMAR).alias("periodos"),
-        F.array(*cells).alias("celdas"),
-    )
+    names = ["", *(month for _ in YEARS for month in MONTHS_ES)]
+    cells = F.array(*[F.col(f"`{name}`") for name in sheet.columns])
+    # The header is worked out once, as a relation of one row, not once per line.
+    line = local_rows(spark, ("linea",), [(",".join(names),)])
+    header = promote_header(line, F.split("linea", ","), GRAMMAR)
+    return cross_one_row(sheet.select(cells.alias("celdas")), header)
 
 
 @query(long_sql("o_custkey"))
@@ -183,8 +183,8 @@ def grid_header_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT event_id, CAST(CAST(value AS DECIMAL(18,2))
          * CASE event_id % 10 WHEN 3 THEN 1000 ELSE 1 END AS DOUBLE) AS valor
-FROM events WHERE event_id % 10 IN (0, 1, 2, 3)""")
-def tolerant_number_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+FROM events WHERE event_id % 10 IN (0, 1, 2, 3)""", name="tolerant_number")
+def parse_spoilt_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event carries its value as text, most of them spoilt in some way."""
     text = fixed(F.col("value"), 2).cast("string")
     form = F.col("event_id") % 10

@@ -53,11 +53,10 @@ def sheet_files(
         rows.withColumn("hoja", F.col(sheet)), concept, date, value, quarter, keep=("hoja",)
     )
     wide = cells.groupBy("hoja", "concepto").pivot("etiqueta", labels).agg(F.sum("importe"))
-    texts = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in labels]
-    padding = [F.lit("9") for _ in extra]
-    lines = wide.select(
-        "hoja", "concepto", F.concat_ws(",", "concepto", *texts, *padding).alias("linea")
-    )
+    texts = [f"coalesce(CAST(`{name}` AS STRING), '')" for name in labels]
+    padding = ["'9'" for _ in extra]
+    line = f"concat_ws(',', {', '.join(['concepto', *texts, *padding])}) AS linea"
+    lines = wide.selectExpr("hoja", "concepto", line)
     names = [quarter_name(m) for m in range(1, 13)] if quarter else list(MONTHS_ES)
     header = ",".join(["", *(name for _ in YEARS for name in names), *extra])
     body = F.concat_ws(
@@ -201,7 +200,7 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT 'pedidos' AS archivo, o_orderstatus AS hoja, CAST(87 AS BIGINT) AS columnas,
        CAST(60 AS BIGINT) AS validas, CAST(27 AS BIGINT) AS filtradas FROM orders GROUP BY 2
-UNION ALL SELECT 'envios', l_returnflag, 87, 60, 27 FROM lineitem GROUP BY 2""")
+UNION ALL SELECT 'envios', l_returnflag, 87, 60, 27 FROM lineitem GROUP BY 2""", name="column_accounting")
 def column_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns per sheet: three that are no period and two years beyond the suffix bound go."""
     grammar = replace(GRAMMAR, max_suffix=4)

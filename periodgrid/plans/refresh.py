@@ -25,8 +25,8 @@ INFORMALITY = ("informalidad_total_nacional", "informalidad_sexo", "informalidad
 
 def load_bronze(store: TableStore, read: SheetRead, survey: Survey) -> DataFrame:
     """All sheets in one pass, then one table per manifest line. Returns the load report."""
-    # Workbooks are unpacked once; the tables are cut out of the stored result.
-    bronze = cut_lineage(bronze_rows(read))
+    # Sheets are read once; each table is then a folder of the stored result.
+    bronze = cut_lineage(bronze_rows(read), partition_by=("tabla",))
     for spec in survey.sheets():
         store.write(table_rows(bronze, spec), f"bronze_{spec.table}")
     return load_report(read, bronze, survey.sheets())

@@ -70,9 +70,9 @@ def local_rows(spark: SparkSession, columns: Sequence[str], rows: Sequence[tuple
     return spark.sql(f"SELECT * FROM VALUES {lines} AS t({', '.join(columns)})")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Materialise ``df`` in the shared folder, so that later stages survive lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, "stage")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
-from ..functions.headers import header_labels, header_periods
+from ..functions.headers import promote_header
 from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
 from ..functions.text import once
 from .manifest import (
@@ -103,11 +103,10 @@ def headed_from_text(
         F.col("saltar") + 2,
         F.greatest(F.size("_records") - F.col("saltar") - 1, F.lit(0)),
     )
-    sheets = (
-        checked.where(F.col("_error").isNull())
-        .select("archivo", "hoja", "tabla", header_labels(header).alias("etiquetas"), body.alias("_body"))
-        .withColumn("periodos", header_periods(F.col("etiquetas"), grammar))
+    readable = checked.where(F.col("_error").isNull()).select(
+        "archivo", "hoja", "tabla", header.alias("_header"), body.alias("_body")
     )
+    sheets = promote_header(readable, F.col("_header"), grammar)
     rows = sheets.select(
         "archivo", "hoja", "tabla", "etiquetas", "periodos",
         F.posexplode("_body").alias("_pos", "_line"),
@@ -128,7 +127,8 @@ def _headed_from_lines(
     """Headed rows of sheets too large for one record.
 
     Only the first split of a file is searched for the header; a header further down is
-    reported, not lost.
+    reported, not lost. Header and lines come from two scans of the same files; their positions
+    agree because no filter can move below the row id, so both scans are cut alike.
     """
     placed = lines.join(F.broadcast(manifest), ["archivo", "hoja"]).withColumn(
         "_stretch", F.floor(F.col("_block") / STRETCH_BYTES).cast("int")
@@ -142,17 +142,11 @@ def _headed_from_lines(
         .where(F.col("_n") <= max_skip + 1)
         .where(F.col("_n") == F.col("saltar") + 1)
     )
-    headers = (
-        heads.select(
-            "archivo", "hoja", "tabla", "_size", F.col("_pos").alias("_head"),
-            header_labels(split_fields(F.col("value"))).alias("etiquetas"),
-        )
-        .withColumn("periodos", header_periods(F.col("etiquetas"), grammar))
-        .withColumn(
-            "_stretch",
-            F.explode(F.sequence(F.lit(0), F.floor(F.col("_size") / STRETCH_BYTES).cast("int"))),
-        )
-        .drop("_size")
+    promoted = promote_header(heads, split_fields(F.col("value")), grammar)
+    stretches = F.sequence(F.lit(0), F.floor(F.col("_size") / STRETCH_BYTES).cast("int"))
+    headers = promoted.select(
+        "archivo", "hoja", "tabla", F.col("_pos").alias("_head"), "etiquetas", "periodos",
+        F.explode(stretches).alias("_stretch"),
     )
     torn = quote_count(F.col("value")) % 2 == 1
     joined = placed.where(~torn).join(headers, ["archivo", "hoja", "tabla", "_stretch"])

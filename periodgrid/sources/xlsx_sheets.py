@@ -17,7 +17,7 @@ from xml.etree import ElementTree
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.headers import header_labels, header_periods
+from ..functions.headers import promote_header
 from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
 from .manifest import (
     HEADED_COLUMNS,
@@ -207,15 +207,10 @@ def read_xlsx_sheets(
     manifest = manifest_frame(spark, specs)
     listed = _files(spark, root).where(F.col("archivo").isin(*wanted))
     chunks = listed.mapInArrow(unpack, _CHUNK_DDL)
-    sheets = (
-        chunks.where(F.col("error").isNull())
-        .join(F.broadcast(manifest.select("archivo", "hoja", "tabla")), ["archivo", "hoja"])
-        .select(
-            "archivo", "hoja", "tabla", "primera", "filas",
-            header_labels(F.col("encabezado")).alias("etiquetas"),
-        )
-        .withColumn("periodos", header_periods(F.col("etiquetas"), grammar))
+    readable = chunks.where(F.col("error").isNull()).join(
+        F.broadcast(manifest.select("archivo", "hoja", "tabla")), ["archivo", "hoja"]
     )
+    sheets = promote_header(readable, F.col("encabezado"), grammar)
     rows = sheets.select(
         *HEADED_COLUMNS[:5], "primera", F.posexplode("filas").alias("_i", "celdas")
     ).select(
