@@ -69,7 +69,7 @@ REASON_SQL = f"""'{T[0]}' || lower(severidad_informalidad) || '{T[1]}' || CAST(r
   || CAST(round(({INDEX} - 1) * 100, 0) AS VARCHAR) || '{T[4]}'"""
 
 FEATURES_SQL = f"""
-WITH prof AS ({profile_sql('CAST(o_custkey AS VARCHAR)', 'o_totalprice', 'orders')}),
+WITH prof AS ({profile_sql('o_custkey', 'o_totalprice', 'orders')}),
 ve AS ({INDEX_SQL}),
 feat AS (SELECT *, {band_sql(VALUE)} AS severidad_informalidad FROM prof CROSS JOIN ve),
 rec AS (SELECT *, {label_sql()} AS instrumento_recomendado,
@@ -79,7 +79,7 @@ rec AS (SELECT *, {label_sql()} AS instrumento_recomendado,
 
 def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").cast("string").alias("ciudad"), F.col("o_totalprice").alias("valor")
+        F.col("o_custkey").alias("ciudad"), F.col("o_totalprice").alias("valor")
     )
     return gold.entity_profile(orders, exact=2)
 
@@ -130,7 +130,7 @@ def severity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Each customer with an index of its own, so that every rule and the default are reached.
 OWN_INDEX_SQL = f"""
-WITH prof AS ({profile_sql('CAST(o_custkey AS VARCHAR)', 'o_totalprice', 'orders')}),
+WITH prof AS ({profile_sql('o_custkey', 'o_totalprice', 'orders')}),
 own AS (SELECT ciudad, {band_sql(VALUE)} AS severidad_informalidad,
           {round_sql('tasa_informalidad_min / nullif(tasa_informalidad_max, 0) * 3')} AS {INDEX}
         FROM prof)
@@ -220,7 +220,7 @@ COMPARED = ("total_ciudades_analizadas", "ciudades_prioridad_alta", "ciudades_MO
 
 
 @query(f"""
-WITH prof AS ({profile_sql('CAST(o_custkey AS VARCHAR)', 'o_totalprice', 'orders')}),
+WITH prof AS ({profile_sql('o_custkey', 'o_totalprice', 'orders')}),
 trial AS ({TRIALS_SQL}),
 feat AS (SELECT *, CASE WHEN {VALUE} > alta THEN '{HIGH}' WHEN {VALUE} > media THEN '{MEDIUM}' ELSE '{LOW}' END
            AS severidad_informalidad,
@@ -309,7 +309,7 @@ def like_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(FEATURES_SQL + "SELECT * FROM rec WHERE ciudad = '7'")
+@query(FEATURES_SQL + "SELECT * FROM rec WHERE ciudad = 7")
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One entity; the filter reaches the scan below the aggregation."""
-    return customer_recommendations(spark, sf_dir).where(F.col("ciudad") == "7")
+    """One entity; the filter reaches the file scan below the aggregation."""
+    return customer_recommendations(spark, sf_dir).where(F.col("ciudad") == 7)

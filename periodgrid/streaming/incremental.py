@@ -26,16 +26,23 @@ def ingest_new_sheets(
 ) -> StreamingQuery:
     """Load all sheets that are new since the last call, then stop.
 
-    Each batch replaces the slices (table, workbook, sheet) it touches, so a repeated batch
+    A file is read once, so a new version of a sheet comes as a new file: in another delivery
+    folder above its workbook, or as another file of its partition folder. Each batch replaces
+    the slices (table, workbook, sheet) it touches, so a repeated batch
     leaves the same rows; what it could not read goes to ``<target>_errores``, one slice per
     batch. Sheets are read whole; those above the split size belong to the batch reader.
     """
     stream = spark.readStream.format("text").option("wholetext", "true")
-    files = sheet_texts(stream, root, partitioned).select("archivo", "hoja", "value")
+    files = sheet_texts(stream, root, partitioned).select(
+        "archivo", "hoja", "value",
+        F.col("_metadata.file_modification_time").alias("_llegada"),
+        F.col("_metadata.file_path").alias("_ruta"),
+    )
 
     def replace_slices(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        read = headed_from_text(batch, manifest_frame(session, specs), grammar)
+        manifest = manifest_frame(session, specs)
+        read = headed_from_text(newest_versions(batch), manifest, grammar)
         _replace(read.quarantine.withColumn("lote", F.lit(batch_id)), f"{target}_errores", "lote")
         rows = bronze_rows(read).withColumns(
             {"_archivo": F.col("_archivo_origen"), "_hoja": F.col("_hoja_origen")}
@@ -50,6 +57,15 @@ def ingest_new_sheets(
     )
 
 
+def newest_versions(files: DataFrame) -> DataFrame:
+    """Of several files with the same sheet in one batch, the one that came last."""
+    version = F.struct("_llegada", "_ruta")
+    last = files.groupBy("archivo", "hoja").agg(F.max(version).alias("_version"))
+    wanted = last.select("archivo", "hoja", "_version._llegada", "_version._ruta")
+    kept = files.join(wanted, ["archivo", "hoja", "_llegada", "_ruta"], "left_semi")
+    return kept.select("archivo", "hoja", "value")
+
+
 def _replace(rows: DataFrame, target: str, *slices: str) -> None:
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*slices).parquet(target)
