@@ -63,14 +63,19 @@ def _typed_literal(value, kind: str) -> str:
     return f"CAST(NULL AS {kind})" if value is None else sql_literal(value)
 
 
-def _with_number(rows: DataFrame, column: str, kind: T.DataType) -> DataFrame:
-    """``column`` as DOUBLE ``valor`` in last place; rows without a number dropped."""
+def _with_number(
+    rows: DataFrame, column: str, kind: T.DataType, error: str | None = None
+) -> DataFrame:
+    """``column`` as DOUBLE ``valor`` in last place; rows without a number or error dropped."""
     others = [name for name in rows.columns if name != column]
     if isinstance(kind, T.StringType):
         number = once(tolerant_number(F.col(column)))
     else:
         number = nan_to_null(F.col(column).cast("double"))
-    return rows.select(*others, number.alias("valor")).where(F.col("valor").isNotNull())
+    kept = F.col("valor").isNotNull()
+    if error is not None:
+        kept = kept | F.col(error).isNotNull()
+    return rows.select(*others, number.alias("valor")).where(kept)
 
 
 def to_long(
@@ -111,26 +116,31 @@ def to_long(
 
 
 def headed_rows_to_long(
-    rows: DataFrame, keep: Sequence[str] = (), *, periods: str = "periodos", cells: str = "celdas"
+    rows: DataFrame, keep: Sequence[str] = (), error: str | None = None
 ) -> DataFrame:
     """``concepto`` plus the long columns from rows that carry the periods of their header.
 
-    ``periodos`` is the array of ``header_periods``; it is paired with the cells before the
-    explode, so that the header itself is not copied into the long rows.
+    ``periodos`` (see ``promote_header``) is paired with ``celdas`` before the explode, so that
+    the header itself is not copied into the long rows. Rows with something in the ``error``
+    column pass through without a value.
     """
-    paired = F.explode(F.arrays_zip(F.col(periods).alias("p"), F.col(cells).alias("c")))
+    pairs = F.arrays_zip(F.col("periodos").alias("p"), F.col("celdas").alias("c"))
+    kept = F.col("_pair.p").isNotNull() & F.col("_pair.c").isNotNull()
+    if error is not None:
+        pairs = F.when(F.col(error).isNull(), pairs).otherwise(F.array(F.lit(None)))
+        kept = kept | F.col(error).isNotNull()
     long = rows.select(
         *keep,
-        na_to_null(F.get(F.col(cells), F.lit(0))).alias("concepto"),
-        paired.alias("_pair"),
-    ).where(F.col("_pair.p").isNotNull() & F.col("_pair.c").isNotNull())
+        na_to_null(F.get(F.col("celdas"), F.lit(0))).alias("concepto"),
+        F.explode(pairs).alias("_pair"),
+    ).where(kept)
     flat = long.select(
         *keep,
         "concepto",
         *[F.col(f"_pair.p.{name}").alias(name) for name in LONG_COLUMNS[:-1]],
         F.col("_pair.c").alias("_cell"),
     )
-    return _with_number(flat, "_cell", T.StringType())
+    return _with_number(flat, "_cell", T.StringType(), error)
 
 
 def explode_cells(rows: DataFrame, cells: str = "celdas") -> DataFrame:

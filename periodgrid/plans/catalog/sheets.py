@@ -12,8 +12,8 @@ from ...operators.rules import Thresholds
 from ...session import fresh_path
 from ...sources.csv_sheets import headed_from_text, read_csv_sheets, sheet_catalog as list_sheets
 from ...sources.manifest import SheetRead, SheetSpec, manifest_frame
-from ...sources.tables import TableStore, bronze_rows, load_report
-from ...streaming.incremental import ingest_new_sheets, stored_bronze
+from ...sources.tables import TableStore, ingest, load_report
+from ...streaming.incremental import ingest_new_sheets, no_sheets, stored_bronze
 from ..layers import (
     CITY_AGGREGATE,
     LAYERS,
@@ -87,10 +87,14 @@ def write_sheets(sheets: DataFrame, root: str) -> None:
     sheets.write.mode("append").partitionBy("archivo", "hoja").text(root)
 
 
-def read_from_text(spark: SparkSession, sheets: DataFrame, **options) -> SheetRead:
+def rows_from_text(spark: SparkSession, sheets: DataFrame, **options) -> DataFrame:
     return headed_from_text(sheets, manifest_frame(spark, MANIFEST), **options)
 
 
+def loaded(read: SheetRead) -> DataFrame:
+    return ingest(read).bronze.drop("_fecha_carga")
+
+
 def cells_sql(prefix: str, sheet: str, concept: str, date: str, value: str, source: str) -> str:
     gap = f"year({date}) - {FIRST_YEAR}"
     month = month_sql(f"month({date})")
@@ -114,8 +118,8 @@ CELLS_SQL = f"{ORDER_CELLS} UNION ALL {LINE_CELLS}"
 @query(CELLS_SQL)
 def grid_skip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with 12 or 13 title rows, read without touching a file."""
-    read = read_from_text(spark, derived_sheets(spark, sf_dir), grammar=GRAMMAR)
-    return bronze_rows(read).drop("_fecha_carga")
+    rows = rows_from_text(spark, derived_sheets(spark, sf_dir), grammar=GRAMMAR)
+    return loaded(SheetRead(rows, no_sheets(spark)))
 
 
 @query(CELLS_SQL)
@@ -124,7 +128,7 @@ def grid_ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "sheets")
     write_sheets(derived_sheets(spark, sf_dir), root)
     read = read_csv_sheets(spark, root, MANIFEST, GRAMMAR, partitioned=True)
-    return bronze_rows(read).drop("_fecha_carga")
+    return loaded(read)
 
 
 @query(CELLS_SQL)
@@ -133,7 +137,7 @@ def grid_ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "sheets")
     write_sheets(derived_sheets(spark, sf_dir), root)
     read = read_csv_sheets(spark, root, MANIFEST, GRAMMAR, whole_file_bytes=0, partitioned=True)
-    return bronze_rows(read).drop("_fecha_carga")
+    return loaded(read)
 
 
 @query(CELLS_SQL)
@@ -181,7 +185,8 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "sheets")
     write_sheets(spoilt, root)
     listed = (*MANIFEST, SheetSpec(ORDERS_BOOK, "Z", "pedidos_Z", "prioridad"))
-    return read_csv_sheets(spark, root, listed, GRAMMAR, partitioned=True).quarantine
+    read = read_csv_sheets(spark, root, listed, GRAMMAR, partitioned=True)
+    return ingest(read).quarantine.drop("tabla")
 
 
 @query("""
@@ -194,7 +199,7 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "sheets")
     write_sheets(derived_sheets(spark, sf_dir), root)
     read = read_csv_sheets(spark, root, MANIFEST, GRAMMAR, partitioned=True)
-    return load_report(read, bronze_rows(read), MANIFEST).drop("error")
+    return load_report(ingest(read, store=True), MANIFEST).drop("error")
 
 
 @query("""
@@ -205,7 +210,7 @@ def column_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns per sheet: three that are no period and two years beyond the suffix bound go."""
     grammar = replace(GRAMMAR, max_suffix=4)
     sheets = derived_sheets(spark, sf_dir, extra=("Total", "", "Mayo"))
-    rows = read_from_text(spark, sheets, grammar=grammar).rows
+    rows = rows_from_text(spark, sheets, grammar=grammar)
     headers = rows.groupBy("archivo", "hoja").agg(F.first("etiquetas").alias("etiquetas"))
     return column_accounting(headers, "etiquetas", grammar, by=("archivo", "hoja"))
 
@@ -216,8 +221,8 @@ SELECT tabla, concepto, CAST(row_number() OVER (PARTITION BY tabla, concepto ORD
 FROM ({ORDER_CELLS}) c""")
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cell grid: every non-empty cell with its column, here numbered within its row."""
-    read = read_from_text(spark, derived_sheets(spark, sf_dir), grammar=GRAMMAR)
-    rows = read.rows.where(F.col("archivo") == ORDERS_BOOK).select(
+    read = rows_from_text(spark, derived_sheets(spark, sf_dir), grammar=GRAMMAR)
+    rows = read.where(F.col("archivo") == ORDERS_BOOK).select(
         "tabla", F.get("celdas", F.lit(0)).alias("concepto"), "celdas"
     )
     cells = explode_cells(rows).where(F.col("col_idx") > 0)

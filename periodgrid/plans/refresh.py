@@ -7,9 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators import gold, quality
 from ..operators.rules import default_rules, recommend, severity_band
 from ..operators.silver import clean
-from ..session import cut_lineage
 from ..sources.manifest import SheetRead
-from ..sources.tables import TableStore, bronze_rows, load_report, table_rows
+from ..sources.tables import TableStore, ingest, load_report, table_rows
 from .layers import (
     CITY_AGGREGATE,
     CITY_PLACEHOLDERS,
@@ -25,16 +24,16 @@ INFORMALITY = ("informalidad_total_nacional", "informalidad_sexo", "informalidad
 
 def load_bronze(store: TableStore, read: SheetRead, survey: Survey) -> DataFrame:
     """All sheets in one pass, then one table per manifest line. Returns the load report."""
-    # Sheets are read once; each table is then a folder of the stored result.
-    bronze = cut_lineage(bronze_rows(read), partition_by=("tabla",))
-    for spec in survey.sheets():
-        store.write(table_rows(bronze, spec), f"bronze_{spec.table}")
-    return load_report(read, bronze, survey.sheets())
+    done = ingest(read, store=True)
+    specs = survey.sheets()
+    store.write_all({f"bronze_{spec.table}": table_rows(done.bronze, spec) for spec in specs})
+    return load_report(done, specs)
 
 
 def build_silver(store: TableStore, survey: Survey) -> None:
-    for name, (source, spec) in survey.silver().items():
-        store.write(clean(store.read(source), spec), name)
+    store.write_all({
+        name: clean(store.read(source), spec) for name, (source, spec) in survey.silver().items()
+    })
 
 
 def gold_tables(store: TableStore, survey: Survey) -> dict[str, DataFrame]:
@@ -93,9 +92,8 @@ def refresh(store: TableStore, read: SheetRead, survey: Survey, run_id: str) ->
     """Rebuild every table and record the run. Returns the load report."""
     report = load_bronze(store, read, survey)
     build_silver(store, survey)
-    for name, rows in gold_tables(store, survey).items():
-        store.write(rows, name)
-    store.write(city_features(store, survey), "gold_perfil_ciudades_ml")
+    features = {"gold_perfil_ciudades_ml": city_features(store, survey)}
+    store.write_all({**gold_tables(store, survey), **features})
 
     output = "gold_recomendaciones_focalizacion"
     rules = default_rules(survey.thresholds)

@@ -18,7 +18,6 @@ from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
 from ..functions.text import once
 from .manifest import (
     HEADED_COLUMNS,
-    QUARANTINE_COLUMNS,
     SheetRead,
     SheetSpec,
     decoded_path,
@@ -82,48 +81,41 @@ def _text(spark: SparkSession, root: str, whole: bool, partitioned: bool) -> Dat
 
 def headed_from_text(
     files: DataFrame, manifest: DataFrame, grammar: PeriodGrammar = DEFAULT_GRAMMAR
-) -> SheetRead:
+) -> DataFrame:
     """Headed rows from records ``(archivo, hoja, value)`` that each hold a whole sheet."""
     listed = files.join(F.broadcast(manifest), ["archivo", "hoja"])
     torn = quote_count(F.col("value")) % 2 == 1
-    records = listed.select(
-        *[name for name in listed.columns if name != "value"],
+    records = F.col("_records")
+    checked = listed.select(
+        "archivo", "hoja", "tabla", "saltar",
         once(F.when(~torn, split_records(F.col("value")))).alias("_records"),
-    )
-    headless = F.col("_records").isNotNull() & (F.size("_records") <= F.col("saltar"))
-    checked = records.withColumn(
-        "_error",
-        F.when(F.col("_records").isNull(), "unbalanced quotes").when(
-            headless, "no header row below the skipped rows"
+    ).withColumn(
+        "error",
+        F.when(records.isNull(), "unbalanced quotes").when(
+            F.size(records) <= F.col("saltar"), "no header row below the skipped rows"
         ),
     )
-    header = split_fields(F.get(F.col("_records"), F.col("saltar")))
-    body = F.slice(
-        F.col("_records"),
-        F.col("saltar") + 2,
-        F.greatest(F.size("_records") - F.col("saltar") - 1, F.lit(0)),
+    below = F.slice(records, F.col("saltar") + 2, F.greatest(F.size(records), F.lit(1)))
+    sheets = checked.select(
+        "archivo", "hoja", "tabla", "error",
+        F.when(F.col("error").isNull(), split_fields(F.get(records, F.col("saltar")))).alias("_header"),
+        F.when(F.col("error").isNull(), below).otherwise(F.array(F.lit(""))).alias("_body"),
     )
-    readable = checked.where(F.col("_error").isNull()).select(
-        "archivo", "hoja", "tabla", header.alias("_header"), body.alias("_body")
-    )
-    sheets = promote_header(readable, F.col("_header"), grammar)
-    rows = sheets.select(
-        "archivo", "hoja", "tabla", "etiquetas", "periodos",
+    rows = promote_header(sheets, F.col("_header"), grammar).select(
+        "archivo", "hoja", "tabla", "etiquetas", "periodos", "error",
         F.posexplode("_body").alias("_pos", "_line"),
-    ).select(
+    )
+    return rows.select(
         *HEADED_COLUMNS[:5],
         row_order(F.lit(0), F.col("_pos")),
         split_fields(F.col("_line")).alias("celdas"),
+        "error",
     )
-    bad = checked.where(F.col("_error").isNotNull()).select(
-        "archivo", "hoja", F.col("_error").alias("error")
-    )
-    return SheetRead(rows, bad)
 
 
 def _headed_from_lines(
     lines: DataFrame, manifest: DataFrame, max_skip: int, grammar: PeriodGrammar
-) -> SheetRead:
+) -> DataFrame:
     """Headed rows of sheets too large for one record.
 
     Only the first split of a file is searched for the header; a header further down is
@@ -133,36 +125,39 @@ def _headed_from_lines(
     placed = lines.join(F.broadcast(manifest), ["archivo", "hoja"]).withColumn(
         "_stretch", F.floor(F.col("_block") / STRETCH_BYTES).cast("int")
     )
-    file = ("archivo", "hoja", "tabla", "saltar", "_size")
-    top = Window.partitionBy("archivo", "hoja", "tabla").orderBy("_pos")
+    sheet = ("archivo", "hoja", "tabla")
+    top = Window.partitionBy(*sheet).orderBy("_pos")
     # The limit on the row number is applied before the shuffle: a few lines per file move.
-    heads = (
+    first = (
         placed.where(F.col("_block") == 0)
-        .select(*file, "_pos", "value", F.row_number().over(top).alias("_n"))
+        .select(*sheet, "saltar", "_size", "_pos", "value", F.row_number().over(top).alias("_n"))
         .where(F.col("_n") <= max_skip + 1)
-        .where(F.col("_n") == F.col("saltar") + 1)
     )
-    promoted = promote_header(heads, split_fields(F.col("value")), grammar)
+    header_line = F.when(F.col("_n") == F.col("saltar") + 1, F.struct("_pos", "value"))
+    heads = first.groupBy(*sheet, "_size").agg(F.max(header_line).alias("_head"))
+
+    found = heads.where(F.col("_head").isNotNull())
+    promoted = promote_header(found, split_fields(F.col("_head.value")), grammar)
     stretches = F.sequence(F.lit(0), F.floor(F.col("_size") / STRETCH_BYTES).cast("int"))
     headers = promoted.select(
-        "archivo", "hoja", "tabla", F.col("_pos").alias("_head"), "etiquetas", "periodos",
+        *sheet, F.col("_head._pos").alias("_head"), "etiquetas", "periodos",
         F.explode(stretches).alias("_stretch"),
     )
     torn = quote_count(F.col("value")) % 2 == 1
-    joined = placed.where(~torn).join(headers, ["archivo", "hoja", "tabla", "_stretch"])
-    rows = joined.where((F.col("_block") > 0) | (F.col("_pos") > F.col("_head"))).select(
-        *HEADED_COLUMNS[:5],
-        row_order(F.col("_block"), F.col("_pos")),
-        split_fields(F.col("value")).alias("celdas"),
+    rows = (
+        placed.join(headers, [*sheet, "_stretch"])
+        .where((F.col("_block") > 0) | (F.col("_pos") > F.col("_head")))
+        .select(
+            *HEADED_COLUMNS[:5],
+            row_order(F.col("_block"), F.col("_pos")),
+            F.when(~torn, split_fields(F.col("value"))).alias("celdas"),
+            F.when(torn, "line break inside a quoted cell").alias("error"),
+        )
     )
-    cut = placed.where(torn).select(
-        "archivo", "hoja", F.lit("line break inside a quoted cell").alias("error")
+    headless = heads.where(F.col("_head").isNull()).select(
+        *sheet, F.lit("no header row in the first split").alias("error")
     )
-    sheets = placed.where(F.col("_block") == 0).select("archivo", "hoja", "tabla").distinct()
-    headless = sheets.join(
-        headers.select("archivo", "hoja", "tabla").distinct(), ["archivo", "hoja", "tabla"], "left_anti"
-    ).select("archivo", "hoja", F.lit("no header row in the first split").alias("error"))
-    return SheetRead(rows, cut.unionByName(headless))
+    return rows.unionByName(headless, allowMissingColumns=True)
 
 
 def read_csv_sheets(
@@ -191,12 +186,8 @@ def read_csv_sheets(
     large = _headed_from_lines(lines, manifest, max_skip, grammar)
 
     seen = sheet_catalog(spark, root, partitioned)
-    quarantine = (
-        small.quarantine.unionByName(large.quarantine)
-        .unionByName(missing_sheets(manifest, seen))
-        .select(*QUARANTINE_COLUMNS)
-    )
-    return SheetRead(small.rows.unionByName(large.rows), quarantine)
+    missing = missing_sheets(manifest, seen, ("archivo", "hoja"))
+    return SheetRead(small.unionByName(large), missing)
 
 
 def sheet_catalog(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:

@@ -21,17 +21,20 @@ class SheetSpec:
     skip_rows: int = 12
 
 
-# A header row with its periods, the rows below it, and where they came from.
-HEADED_COLUMNS = ("archivo", "hoja", "tabla", "etiquetas", "periodos", "orden", "celdas")
-QUARANTINE_COLUMNS = ("archivo", "hoja", "error")
+# A row below a header, with the header's labels and periods, where it came from, and what
+# was wrong with it: ``error`` is set on rows that stand for something unreadable.
+HEADED_COLUMNS = ("archivo", "hoja", "tabla", "etiquetas", "periodos", "orden", "celdas", "error")
 
 
 @dataclass(frozen=True)
 class SheetRead:
-    """Result of a read: usable rows, and what could not be read and why."""
+    """Rows of the sheets that were found, and the manifest lines for which none was.
+
+    Unreadable sheets travel with the rows, so that one pass over the files yields both.
+    """
 
     rows: DataFrame
-    quarantine: DataFrame
+    missing: DataFrame
 
 
 def manifest_frame(spark: SparkSession, specs: Sequence[SheetSpec]) -> DataFrame:
@@ -60,9 +63,8 @@ def row_order(block: Column, line: Column) -> Column:
     ).alias("orden")
 
 
-def missing_sheets(manifest: DataFrame, seen: DataFrame) -> DataFrame:
-    """Manifest lines for which no sheet was found."""
-    return (
-        manifest.join(seen.select("archivo", "hoja").distinct(), ["archivo", "hoja"], "left_anti")
-        .select("archivo", "hoja", F.lit("sheet not found").alias("error"))
+def missing_sheets(manifest: DataFrame, seen: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``tabla, archivo, hoja, error`` of manifest lines that nothing in ``seen`` matches."""
+    return manifest.join(seen.select(*on).distinct(), list(on), "left_anti").select(
+        "tabla", "archivo", "hoja", F.lit("sheet not found").alias("error")
     )

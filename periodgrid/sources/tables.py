@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.reshape import headed_rows_to_long
+from ..session import cut_lineage
 from .manifest import SheetRead, SheetSpec, manifest_frame
 
 
@@ -19,10 +23,28 @@ def with_lineage(rows: DataFrame, archive: Column, sheet: Column) -> DataFrame:
     })
 
 
-def bronze_rows(read: SheetRead) -> DataFrame:
-    """Long rows of all sheets with lineage: ``tabla, concepto, anio, ..., _fecha_carga``."""
-    long = headed_rows_to_long(read.rows, keep=("tabla", "archivo", "hoja"))
-    return with_lineage(long, F.col("archivo"), F.col("hoja")).drop("archivo", "hoja")
+@dataclass(frozen=True)
+class Ingest:
+    """Long rows of all sheets with lineage, and what could not be read.
+
+    ``bronze`` is ``tabla, concepto, anio, ..., valor`` and the lineage columns; ``quarantine``
+    is ``tabla, archivo, hoja, error``.
+    """
+
+    bronze: DataFrame
+    quarantine: DataFrame
+
+
+def ingest(read: SheetRead, store: bool = False) -> Ingest:
+    """Sheets to long rows. ``store`` writes the outcome once, so that the files are read once
+    however often rows and errors are used; each table is then a folder of the stored result."""
+    long = headed_rows_to_long(read.rows, ("tabla", "archivo", "hoja", "error"), "error")
+    if store:
+        long = cut_lineage(long, partition_by=("tabla",))
+    good = long.where(F.col("error").isNull())
+    bronze = with_lineage(good, F.col("archivo"), F.col("hoja")).drop("archivo", "hoja", "error")
+    errors = long.where(F.col("error").isNotNull()).select("tabla", "archivo", "hoja", "error")
+    return Ingest(bronze, errors.distinct().unionByName(read.missing))
 
 
 def table_rows(bronze: DataFrame, spec: SheetSpec) -> DataFrame:
@@ -32,15 +54,15 @@ def table_rows(bronze: DataFrame, spec: SheetSpec) -> DataFrame:
     )
 
 
-def load_report(read: SheetRead, bronze: DataFrame, specs: Sequence[SheetSpec]) -> DataFrame:
+def load_report(done: Ingest, specs: Sequence[SheetSpec]) -> DataFrame:
     """``tabla, filas, cargada, error`` per manifest line."""
-    listed = manifest_frame(bronze.sparkSession, specs).select("tabla", "archivo", "hoja")
-    counts = bronze.groupBy("tabla").agg(F.count(F.lit(1)).alias("filas"))
-    errors = read.quarantine.groupBy("archivo", "hoja").agg(F.min("error").alias("error"))
+    listed = manifest_frame(done.bronze.sparkSession, specs).select("tabla")
+    counts = done.bronze.groupBy("tabla").agg(F.count(F.lit(1)).alias("filas"))
+    errors = done.quarantine.groupBy("tabla").agg(F.min("error").alias("error"))
     filled = F.coalesce("filas", F.lit(0))
     return (
         listed.join(counts, "tabla", "left")
-        .join(errors, ["archivo", "hoja"], "left")
+        .join(errors, "tabla", "left")
         .select("tabla", filled.alias("filas"), (filled > 0).alias("cargada"), "error")
     )
 
@@ -65,6 +87,16 @@ class TableStore:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(self.full_name(name))
 
+    def write_all(self, tables: Mapping[str, DataFrame], at_once: int = 4) -> None:
+        """Replace several tables that do not read each other, a few at a time."""
+
+        @inheritable_thread_target(self.spark)
+        def one(item: tuple[str, DataFrame]) -> None:
+            self.write(item[1], item[0])
+
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(one, tables.items()))
+
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.full_name(name))
 

@@ -21,7 +21,6 @@ from ..functions.headers import promote_header
 from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
 from .manifest import (
     HEADED_COLUMNS,
-    QUARANTINE_COLUMNS,
     SheetRead,
     SheetSpec,
     decoded_path,
@@ -141,14 +140,16 @@ def _sheet_rows(stream, shared: list[str], dates: set[int]) -> Iterator[tuple[in
 
 
 def _sheet_chunks(archive: str, book: zipfile.ZipFile, wanted: dict[str, int]) -> Iterator[dict]:
+    parts = dict(_parts(book))
     shared, dates = _shared_texts(book), _date_styles(book)
-    for sheet, part in _parts(book):
-        if sheet not in wanted:
-            continue
+    for sheet in wanted:
         record = {"archivo": archive, "hoja": sheet}
+        if sheet not in parts:
+            yield {**record, "error": "sheet not found"}
+            continue
         header, first, rows = None, 0, []
         try:
-            with book.open(part) as stream:
+            with book.open(parts[sheet]) as stream:
                 for row, cells in _sheet_rows(stream, shared, dates):
                     if row == wanted[sheet]:
                         header = cells
@@ -201,25 +202,29 @@ def read_xlsx_sheets(
                     for chunk in _sheet_chunks(archive, book, wanted[archive]):
                         yield pa.RecordBatch.from_pylist([chunk], schema=_CHUNKS)
             except Exception as problem:
-                bad = {"archivo": archive, "error": f"{type(problem).__name__}: {problem}"}
-                yield pa.RecordBatch.from_pylist([bad], schema=_CHUNKS)
+                reason = f"{type(problem).__name__}: {problem}"
+                bad = [{"archivo": archive, "hoja": h, "error": reason} for h in wanted[archive]]
+                yield pa.RecordBatch.from_pylist(bad, schema=_CHUNKS)
 
     manifest = manifest_frame(spark, specs)
     listed = _files(spark, root).where(F.col("archivo").isin(*wanted))
-    chunks = listed.mapInArrow(unpack, _CHUNK_DDL)
-    readable = chunks.where(F.col("error").isNull()).join(
+    chunks = listed.mapInArrow(unpack, _CHUNK_DDL).join(
         F.broadcast(manifest.select("archivo", "hoja", "tabla")), ["archivo", "hoja"]
     )
-    sheets = promote_header(readable, F.col("encabezado"), grammar)
-    rows = sheets.select(
-        *HEADED_COLUMNS[:5], "primera", F.posexplode("filas").alias("_i", "celdas")
-    ).select(
-        *HEADED_COLUMNS[:5], row_order(F.lit(0), F.col("primera") + F.col("_i")), "celdas"
+    # A sheet that could not be read keeps one empty row, which carries the reason.
+    filled = chunks.withColumn(
+        "filas", F.coalesce("filas", F.array(F.array().cast("array<string>")))
+    )
+    rows = promote_header(filled, F.col("encabezado"), grammar).select(
+        *HEADED_COLUMNS[:5], "error", "primera", F.posexplode("filas").alias("_i", "celdas")
+    )
+    placed = rows.select(
+        *HEADED_COLUMNS[:5],
+        row_order(F.lit(0), F.col("primera") + F.col("_i")),
+        "celdas",
+        "error",
     )
-    bad = chunks.where(F.col("error").isNotNull()).select(*QUARANTINE_COLUMNS)
-    # Unpacking for the catalog reads sheet names only.
-    absent = missing_sheets(manifest, sheet_catalog(spark, root))
-    return SheetRead(rows, bad.unionByName(absent))
+    return SheetRead(placed, missing_sheets(manifest, _files(spark, root), ("archivo",)))
 
 
 def sheet_catalog(spark: SparkSession, root: str) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
 from ..sources.csv_sheets import headed_from_text, sheet_texts
-from ..sources.manifest import SheetSpec, manifest_frame
-from ..sources.tables import bronze_rows
+from ..sources.manifest import SheetRead, SheetSpec, manifest_frame
+from ..sources.tables import ingest
 
 SLICE = ("tabla", "_archivo", "_hoja")
 
@@ -41,13 +41,12 @@ def ingest_new_sheets(
 
     def replace_slices(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        manifest = manifest_frame(session, specs)
-        read = headed_from_text(newest_versions(batch), manifest, grammar)
-        _replace(read.quarantine.withColumn("lote", F.lit(batch_id)), f"{target}_errores", "lote")
-        rows = bronze_rows(read).withColumns(
-            {"_archivo": F.col("_archivo_origen"), "_hoja": F.col("_hoja_origen")}
-        )
-        _replace(rows, target, *SLICE)
+        rows = headed_from_text(newest_versions(batch), manifest_frame(session, specs), grammar)
+        done = ingest(SheetRead(rows, no_sheets(session)), store=True)
+        errors = done.quarantine.withColumn("lote", F.lit(batch_id))
+        _replace(errors, f"{target}_errores", "lote")
+        sliced = {"_archivo": F.col("_archivo_origen"), "_hoja": F.col("_hoja_origen")}
+        _replace(done.bronze.withColumns(sliced), target, *SLICE)
 
     return (
         files.writeStream.option("checkpointLocation", checkpoint)
@@ -57,6 +56,13 @@ def ingest_new_sheets(
     )
 
 
+def no_sheets(spark: SparkSession) -> DataFrame:
+    """No missing sheets: a batch need not hold all of them."""
+    return spark.range(0).selectExpr(*[
+        f"CAST(NULL AS STRING) AS {name}" for name in ("tabla", "archivo", "hoja", "error")
+    ])
+
+
 def newest_versions(files: DataFrame) -> DataFrame:
     """Of several files with the same sheet in one batch, the one that came last."""
     version = F.struct("_llegada", "_ruta")

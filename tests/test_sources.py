@@ -12,7 +12,7 @@ from periodgrid.plans.layers import LAYERS, Survey
 from periodgrid.plans.refresh import inventory, ordered_inventory, refresh
 from periodgrid.sources import csv_sheets, xlsx_sheets
 from periodgrid.sources.manifest import SheetSpec
-from periodgrid.sources.tables import TableStore, bronze_rows, load_report, table_rows
+from periodgrid.sources.tables import TableStore, ingest, load_report, table_rows
 from periodgrid.streaming.incremental import ingest_new_sheets, stored_bronze
 from xlsx_fixture import write_workbook
 
@@ -44,7 +44,7 @@ def write_csv(root, book, sheet, rows, end="\n"):
 
 
 def series(read, rows_of):
-    return rows_of(bronze_rows(read), "tabla", "concepto", "anio", "periodo", "valor")
+    return rows_of(ingest(read).bronze, "tabla", "concepto", "anio", "periodo", "valor")
 
 
 @pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
@@ -54,7 +54,7 @@ def test_csv_sheets(spark, tmp_path, rows_of, end):
     write_csv(tmp_path, BOOK, "Otra", SEXO, end)
     read = csv_sheets.read_csv_sheets(spark, str(tmp_path), SPECS)
     assert series(read, rows_of) == EXPECTED
-    assert read.quarantine.count() == 0
+    assert ingest(read).quarantine.count() == 0
     assert rows_of(csv_sheets.sheet_catalog(spark, str(tmp_path))) == [
         (BOOK, 1, "Educación "), (BOOK, 2, "Otra"), (BOOK, 3, "Sexo")]
 
@@ -65,11 +65,11 @@ def test_csv_quarantine(spark, tmp_path, rows_of):
     (tmp_path / BOOK / "Corta.csv").write_text("t\nt")
     specs = (*SPECS, SheetSpec(BOOK, "Corta", "corta", "k"), SheetSpec("otro", "Nada", "nada", "k"))
     read = csv_sheets.read_csv_sheets(spark, str(tmp_path), specs)
-    assert rows_of(read.quarantine) == [
+    assert rows_of(ingest(read).quarantine, "archivo", "hoja", "error") == [
         ("libro+uno.xlsx", "Corta", "no header row below the skipped rows"),
         ("libro+uno.xlsx", "Sexo", "unbalanced quotes"), ("otro", "Nada", "sheet not found")]
     assert {r[0] for r in series(read, rows_of)} == {"edu"}
-    report = load_report(read, bronze_rows(read), specs)
+    report = load_report(ingest(read, store=True), specs)
     assert rows_of(report, "tabla", "filas", "cargada") == [
         ("corta", 0, False), ("edu", 6, True), ("nada", 0, False), ("sexo", 0, False)]
 
@@ -91,7 +91,7 @@ def test_large_sheet_is_read_in_splits(spark, tmp_path, rows_of):
         got = series(lines, rows_of)
         assert splits > 10 and len(got) == 12000
         assert got == series(whole, rows_of)
-        assert lines.quarantine.count() == 0
+        assert ingest(lines).quarantine.count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
@@ -99,7 +99,7 @@ def test_large_sheet_is_read_in_splits(spark, tmp_path, rows_of):
 def test_line_breaks_in_large_sheets_are_reported(spark, tmp_path, rows_of):
     write_csv(tmp_path, BOOK, "Educación ", EDU)
     read = csv_sheets.read_csv_sheets(spark, str(tmp_path), SPECS[:1], whole_file_bytes=0)
-    assert rows_of(read.quarantine, "hoja", "error") == [("Educación ", "line break inside a quoted cell")] * 2
+    assert rows_of(ingest(read).quarantine, "hoja", "error") == [("Educación ", "line break inside a quoted cell")]
     assert len(series(read, rows_of)) == 5
 
 
@@ -129,7 +129,7 @@ def test_xlsx_sheets(spark, tmp_path, rows_of, inline):
     write_workbook(path, {"Índice": [["x"]], "Educación ": as_cells(EDU), "Sexo": as_cells(SEXO)}, inline)
     read = xlsx_sheets.read_xlsx_sheets(spark, str(tmp_path), SPECS)
     assert series(read, rows_of) == EXPECTED
-    assert read.quarantine.count() == 0
+    assert ingest(read).quarantine.count() == 0
     assert rows_of(xlsx_sheets.sheet_catalog(spark, str(tmp_path))) == [
         (BOOK, 1, "Índice"), (BOOK, 2, "Educación "), (BOOK, 3, "Sexo")]
 
@@ -150,9 +150,14 @@ def test_xlsx_quarantine(spark, tmp_path, rows_of):
     (tmp_path / "roto.xlsx").write_bytes(b"not a zip")
     write_workbook(tmp_path / BOOK, {"Sexo": as_cells(SEXO[:2])})
     specs = (*SPECS, SheetSpec("roto.xlsx", "A", "a", "k"))
-    found = rows_of(xlsx_sheets.read_xlsx_sheets(spark, str(tmp_path), specs).quarantine)
-    assert {(a, h) for a, h, _ in found} == {
-        (BOOK, "Educación "), (BOOK, "Sexo"), ("roto.xlsx", None), ("roto.xlsx", "A")}
+    specs += (SheetSpec("nunca.xlsx", "B", "b", "k"),)
+    read = xlsx_sheets.read_xlsx_sheets(spark, str(tmp_path), specs)
+    assert rows_of(ingest(read).quarantine, "tabla", "archivo", "hoja", "error") == [
+        ("a", "roto.xlsx", "A", "BadZipFile: File is not a zip file"),
+        ("b", "nunca.xlsx", "B", "sheet not found"),
+        ("edu", BOOK, "Educación ", "sheet not found"),
+        ("sexo", BOOK, "Sexo", "no header row below the skipped rows")]
+    assert ingest(read).bronze.count() == 0
 
 
 def test_table_store(spark, tmp_path, rows_of):
