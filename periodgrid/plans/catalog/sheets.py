@@ -27,7 +27,19 @@ from ..layers import (
     Survey,
 )
 from ..refresh import inventory, ordered_inventory, refresh
-from .registry import FIRST_YEAR, GRAMMAR, money_sql, month_sql, query, table, year_sql
+from .features import INDEX, VALUE, band_sql, label_sql
+from .registry import (
+    FIRST_YEAR,
+    GRAMMAR,
+    mean_sql,
+    money_sql,
+    month_sql,
+    query,
+    round_sql,
+    sum_sql,
+    table,
+    year_sql,
+)
 from .series import MONTH_LABELS, QUARTER_LABELS, YEARS, monthly_cells, quarter_name
 
 ORDERS_BOOK, LINES_BOOK = "pedidos", "envios"
@@ -190,9 +202,9 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 'pedidos_' || o_orderstatus AS tabla, count(*) AS filas, true AS cargada
+SELECT 'pedidos_' || o_orderstatus AS tabla, count(*) AS filas, CAST(10 AS INTEGER) AS columnas, true AS cargada
 FROM (SELECT DISTINCT o_orderstatus, o_orderpriority, date_trunc('month', o_orderdate) FROM orders) o GROUP BY 1
-UNION ALL SELECT 'envios_' || l_returnflag, count(*), true
+UNION ALL SELECT 'envios_' || l_returnflag, count(*), 10, true
 FROM (SELECT DISTINCT l_returnflag, l_linestatus, date_trunc('month', l_shipdate) FROM lineitem) l GROUP BY 1""")
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows loaded per table of the manifest."""
@@ -247,12 +259,14 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("pedidos").crossJoin(F.broadcast(store.names()))
 
 
+BANDS = Thresholds(2.0e6, 1.7e6)
 SURVEY = Survey(
     "encuesta", "libro_empleo", "libro_informalidad", "tablas de prueba",
-    grammar=GRAMMAR, thresholds=Thresholds(2.0e6, 1.0e6),
+    grammar=GRAMMAR, thresholds=BANDS, exact=2,
 )
 
 
+
 def survey_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six sheets of a survey, each aggregated from the tables."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
@@ -342,6 +356,17 @@ def _inventory_sql() -> str:
     ])
 
 
+_STORES: dict[tuple[str, str], TableStore] = {}
+
+
+def shared_store(spark: SparkSession, sf_dir: str) -> TableStore:
+    """One refresh per application and input, for queries that look at different tables of it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORES:
+        _STORES[key] = refreshed_store(spark, sf_dir)
+    return _STORES[key]
+
+
 def refreshed_store(spark: SparkSession, sf_dir: str) -> TableStore:
     """A full refresh of the survey derived from the tables."""
     root, location = fresh_path(spark, "sheets"), fresh_path(spark, "tables")
@@ -356,3 +381,80 @@ def refreshed_store(spark: SparkSession, sf_dir: str) -> TableStore:
 def refresh_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of all seventeen tables after a full refresh."""
     return ordered_inventory(inventory(refreshed_store(spark, sf_dir), SURVEY))
+
+
+def monthly_sql(concept: str, date: str, value: str, source: str, where: str = "") -> str:
+    """Cells of one sheet: the sum per concept and month."""
+    return f"""SELECT {concept} AS c, year({date}) AS y, month({date}) AS m, sum({money_sql(value)}) AS v
+    FROM {source} {where} GROUP BY ALL"""
+
+
+def of_orders_sql(concept: str) -> str:
+    return monthly_sql(concept, "o_orderdate", "o_totalprice", "orders")
+
+
+LEVEL_SQL = f"""CASE l_returnflag WHEN 'A' THEN '{LEVELS.primary}' WHEN 'N' THEN '{LEVELS.secondary}'
+  ELSE '{LEVELS.high}' END"""
+LEVELS_SQL = monthly_sql(LEVEL_SQL, "l_shipdate", "l_extendedprice", "lineitem")
+RATE = "tasa_informalidad_promedio"
+
+
+@query(f"""
+WITH s AS ({of_orders_sql('o_orderpriority')})
+SELECT CAST(y AS INTEGER) AS anio, c AS indicador, {mean_sql('v')} AS promedio_anual,
+       {round_sql('min(v)')} AS valor_minimo, {round_sql('max(v)')} AS valor_maximo,
+       {round_sql('stddev_samp(CAST(v AS DOUBLE))')} AS desviacion_estandar, count(*) AS num_observaciones
+FROM s GROUP BY y, c""")
+def refresh_annual_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly metrics as the full refresh stores them."""
+    return shared_store(spark, sf_dir).read("gold_metricas_empleo_anual")
+
+
+@query(f"""
+WITH s AS ({monthly_sql('l_returnflag || l_linestatus', 'l_shipdate', 'l_extendedprice', 'lineitem',
+                        "WHERE NOT (l_returnflag = 'R' AND l_linestatus = 'F')")})
+SELECT CAST(y AS INTEGER) AS anio, c AS rama_actividad, {mean_sql('v')} AS promedio_ocupados_miles,
+       {sum_sql('v')} AS total_ocupados_miles, count(*) AS num_observaciones FROM s GROUP BY y, c""")
+def refresh_top_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top sectors as the full refresh stores them; there are fewer than ten here."""
+    return shared_store(spark, sf_dir).read("gold_empleo_top_ramas")
+
+
+@query(f"""
+WITH n AS ({of_orders_sql('o_orderpriority')}), s AS ({of_orders_sql('o_orderstatus')}), e AS ({LEVELS_SQL})
+SELECT CAST(y AS INTEGER) AS anio, 'Total Nacional' AS dimension, 'General' AS categoria, {mean_sql('v')} AS {RATE}
+FROM n GROUP BY y
+UNION ALL SELECT CAST(y AS INTEGER), 'Sexo', c, {mean_sql('v')} FROM s GROUP BY y, c
+UNION ALL SELECT CAST(y AS INTEGER), 'Nivel Educativo', c, {mean_sql('v')} FROM e GROUP BY y, c""")
+def refresh_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard as the full refresh stores it."""
+    return shared_store(spark, sf_dir).read("gold_dashboard_informalidad")
+
+
+CITY_SOURCE = "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"
+
+
+@query(f"""
+WITH c AS ({monthly_sql('n_name', 'o_orderdate', 'o_totalprice', CITY_SOURCE, 'WHERE n_nationkey <> 3')}),
+e AS (SELECT c, {mean_sql('v')} AS v FROM ({LEVELS_SQL}) l GROUP BY c),
+i AS (SELECT {round_sql(f"""max(CASE WHEN c = '{LEVELS.primary}' THEN v END)
+        + max(CASE WHEN c = '{LEVELS.secondary}' THEN v END)""", 0)} / 2 AS low,
+        max(CASE WHEN c = '{LEVELS.high}' THEN v END) AS high FROM e),
+p AS (SELECT c AS ciudad, {mean_sql('v')} AS {VALUE}, {round_sql('min(v)')} AS tasa_informalidad_min,
+        {round_sql('max(v)')} AS tasa_informalidad_max, count(*) AS num_observaciones FROM c GROUP BY c),
+f AS (SELECT p.*, {round_sql('low / nullif(high, 0)')} AS {INDEX}, low AS tasa_informalidad_baja_educacion,
+        high AS tasa_informalidad_alta_educacion, {band_sql(VALUE, BANDS)} AS severidad_informalidad
+      FROM p CROSS JOIN i)
+SELECT *, {label_sql()} AS instrumento_recomendado, severidad_informalidad AS prioridad FROM f""")
+def refresh_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recommendations as the full refresh stores them, but for the written reason."""
+    return shared_store(spark, sf_dir).read("gold_recomendaciones_focalizacion").drop("justificacion")
+
+
+@query(f"""
+WITH c AS ({monthly_sql('n_name', 'o_orderdate', 'o_totalprice', CITY_SOURCE, 'WHERE n_nationkey <> 3')})
+SELECT c AS ciudad, {mean_sql('v')} AS {VALUE} FROM c GROUP BY c ORDER BY 2 DESC, 1 LIMIT 10""")
+def sql_text_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table queried by its name in SQL text."""
+    name = shared_store(spark, sf_dir).full_name("gold_recomendaciones_focalizacion")
+    return spark.sql(f"SELECT ciudad, {VALUE} FROM {name} ORDER BY {VALUE} DESC, ciudad LIMIT 10")

@@ -33,7 +33,8 @@ class Survey:
     """Names and parameters of one survey.
 
     ``code`` is the part of the employment table names that identifies the survey;
-    ``source`` is recorded with each run.
+    ``source`` is recorded with each run. ``exact`` is the number of decimals of the values, if
+    they have a fixed one: sums are then exact instead of depending on the order of addition.
     """
 
     code: str
@@ -43,6 +44,7 @@ class Survey:
     grammar: PeriodGrammar = DEFAULT_GRAMMAR
     thresholds: Thresholds = field(default_factory=Thresholds)
     top_sectors: int = 10
+    exact: int | None = None
 
     def sheets(self) -> tuple[SheetSpec, ...]:
         first, second = self.employment_book, self.informality_book
@@ -59,6 +61,7 @@ class Survey:
 
     def silver(self) -> dict[str, tuple[str, SilverSpec]]:
         """Silver table -> (Bronze table, cleaning)."""
+        exact = self.exact
         lineage = ("_archivo_origen", "_fecha_carga")
         rate = "tasa_informalidad"
         return {
@@ -69,6 +72,7 @@ class Survey:
                     columns=("anio", "mes", "mes_num", "fecha", "periodo"),
                     lineage=("_archivo_origen", "_hoja_origen", "_fecha_carga"),
                     named_months=True,
+                    exact=exact,
                 ),
             ),
             f"silver_{self.code}_ocupados_rama": (
@@ -79,19 +83,23 @@ class Survey:
                     columns=("anio", "periodo"),
                     lineage=lineage,
                     drop_values=(SECTOR_UNKNOWN,),
+                    exact=exact,
                 ),
             ),
             "silver_informalidad_total_nacional": (
-                "bronze_informalidad_total_nacional", SilverSpec("indicador", lineage=lineage),
+                "bronze_informalidad_total_nacional",
+                SilverSpec("indicador", lineage=lineage, exact=exact),
             ),
             "silver_informalidad_ciudades": (
-                "bronze_informalidad_ciudades", SilverSpec("ciudad", rate, lineage=lineage),
+                "bronze_informalidad_ciudades",
+                SilverSpec("ciudad", rate, lineage=lineage, exact=exact),
             ),
             "silver_informalidad_sexo": (
-                "bronze_informalidad_sexo", SilverSpec("sexo", rate, lineage=lineage),
+                "bronze_informalidad_sexo",
+                SilverSpec("sexo", rate, lineage=lineage, exact=exact),
             ),
             "silver_informalidad_educacion": (
                 "bronze_informalidad_educacion",
-                SilverSpec("nivel_educativo", rate, lineage=lineage),
+                SilverSpec("nivel_educativo", rate, lineage=lineage, exact=exact),
             ),
         }

@@ -38,20 +38,21 @@ def build_silver(store: TableStore, survey: Survey) -> None:
 
 def gold_tables(store: TableStore, survey: Survey) -> dict[str, DataFrame]:
     """The descriptive Gold tables. Row order is left to the reader; it is no table property."""
-    totals = gold.yearly_totals(
-        store.read(f"silver_{survey.code}_ocupados_rama"), "rama_actividad", "ocupados_miles"
-    )
+    sectors, exact = store.read(f"silver_{survey.code}_ocupados_rama"), survey.exact
+    totals = gold.yearly_totals(sectors, "rama_actividad", "ocupados_miles", exact)
     national, by_sex, by_level = (store.read(f"bronze_{name}") for name in INFORMALITY)
     return {
         "gold_metricas_empleo_anual": gold.annual_metrics(
-            store.read(f"silver_{survey.code}_total_nacional")
+            store.read(f"silver_{survey.code}_total_nacional"), exact=exact
+        ),
+        "gold_empleo_top_ramas": gold.top_k_evolution(
+            totals, "rama_actividad", survey.top_sectors, exact=exact
         ),
-        "gold_empleo_top_ramas": gold.top_k_evolution(totals, "rama_actividad", survey.top_sectors),
         "gold_dashboard_informalidad": gold.dimension_dashboard([
             gold.Dimension(national.where(F.col("indicador") != HEADER_WORD), "Total Nacional"),
             gold.Dimension(by_sex, "Sexo", "sexo"),
             gold.Dimension(by_level, "Nivel Educativo", "nivel_educativo"),
-        ]),
+        ], exact=exact),
     }
 
 
@@ -60,8 +61,11 @@ def city_features(store: TableStore, survey: Survey) -> DataFrame:
         store.read("bronze_informalidad_ciudades"),
         exclude_like=CITY_PLACEHOLDERS,
         exclude_values=(CITY_AGGREGATE,),
+        exact=survey.exact,
+    )
+    index = gold.vulnerability_index(
+        store.read("silver_informalidad_educacion"), LEVELS, exact=survey.exact
     )
-    index = gold.vulnerability_index(store.read("silver_informalidad_educacion"), LEVELS)
     severity: Column = severity_band(
         F.col("tasa_informalidad_promedio_miles"), survey.thresholds
     )
@@ -106,5 +110,5 @@ def refresh(store: TableStore, read: SheetRead, survey: Survey, run_id: str) ->
         "fuente_datos": survey.source,
         "tabla_output": store.full_name(output),
     })
-    log_metrics(store, run_id, recommendation_metrics(store.read(output)))
+    log_metrics(store, run_id, recommendation_metrics(store.read(output), exact=survey.exact))
     return report

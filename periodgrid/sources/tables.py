@@ -55,7 +55,8 @@ def table_rows(bronze: DataFrame, spec: SheetSpec) -> DataFrame:
 
 
 def load_report(done: Ingest, specs: Sequence[SheetSpec]) -> DataFrame:
-    """``tabla, filas, cargada, error`` per manifest line."""
+    """``tabla, filas, columnas, cargada, error`` per manifest line."""
+    width = len(done.bronze.columns) - 1
     listed = manifest_frame(done.bronze.sparkSession, specs).select("tabla")
     counts = done.bronze.groupBy("tabla").agg(F.count(F.lit(1)).alias("filas"))
     errors = done.quarantine.groupBy("tabla").agg(F.min("error").alias("error"))
@@ -63,7 +64,10 @@ def load_report(done: Ingest, specs: Sequence[SheetSpec]) -> DataFrame:
     return (
         listed.join(counts, "tabla", "left")
         .join(errors, "tabla", "left")
-        .select("tabla", filled.alias("filas"), (filled > 0).alias("cargada"), "error")
+        .select(
+            "tabla", filled.alias("filas"), F.lit(width).alias("columnas"),
+            (filled > 0).alias("cargada"), "error",
+        )
     )
 
 

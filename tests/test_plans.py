@@ -32,7 +32,8 @@ def adaptive_plan(spark, sf_dir, name):
 def test_no_python_in_any_plan(plan_of):
     for name in queries():
         if name not in {"refresh_inventory", "incremental_bronze"}:
-            assert "Python" not in plan_of(name) and "ArrowEval" not in plan_of(name), name
+            plan = plan_of(name)
+            assert "Python" not in plan and "ArrowEval" not in plan, name
 
 
 @pytest.mark.parametrize("name,table", [
