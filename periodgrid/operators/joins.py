@@ -5,32 +5,48 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-SALTS = 32
+from ..session import cut_lineage
+
+SALTS = 64
+# Keys with a handful of measures: a few megabytes at most.
+BROADCAST_ROWS = 100_000
 
 
 def join_hot_keys(
-    facts: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS
+    facts: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join of facts with a side that has one row per key, hot keys spread over ``salts``.
+    """Inner join of facts with a side that has one row per key; NULL keys match NULL keys.
 
-    NULL keys match NULL keys. The salt is a hash of the row, so a recomputed task deals its
-    rows the same way. When the small side proves small at run time it is broadcast and the
-    salt costs nothing; when it does not, no task gets more than about 1/salts of a key.
+    The small side is stored and counted first. If it is small indeed, it is broadcast and the
+    facts do not move. If not, both sides meet on the key and a salt, so that no task gets more
+    than about 1/salts of a key. The salt is a hash of the row: a task that is run again deals
+    its rows the same way.
     """
-    salted = facts.withColumn(
-        "_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    )
-    copies = small.withColumnsRenamed({name: f"_on_{name}" for name in on}).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    side = cut_lineage(small.withColumnsRenamed({name: f"_on_{name}" for name in on}))
     matches = [F.col(name).eqNullSafe(F.col(f"_on_{name}")) for name in on]
-    condition = reduce(lambda a, b: a & b, matches, F.col("_salt") == F.col("_copy"))
-    joined = salted.join(copies, condition, how)
+    if side.count() <= broadcast_rows:
+        joined = facts.join(F.broadcast(side), _all(matches), "inner")
+    else:
+        dealt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        joined = facts.withColumn("_salt", dealt).join(
+            side.withColumn("_copy", copies),
+            _all([*matches, F.col("_salt") == F.col("_copy")]),
+            "inner",
+        )
     return joined.drop("_salt", "_copy", *[f"_on_{name}" for name in on])
 
 
+def _all(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
+
+
 def cross_one_row(rows: DataFrame, single: DataFrame) -> DataFrame:
     """Attach a relation that is one row by construction (a global aggregate)."""
     return rows.crossJoin(F.broadcast(single))

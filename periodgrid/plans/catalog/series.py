@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ...functions.headers import promote_header
 from ...functions.numeric import fixed
 from ...functions.periods import MONTHS_ES, first_of_month, month_number
-from ...functions.text import once, tolerant_number
+from ...functions.text import tolerant_number
 from ...operators import gold, reshape
 from ...operators.joins import cross_one_row
 from ...operators.silver import SilverSpec, clean
@@ -181,11 +181,14 @@ def grid_header_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- cells and labels ---------------------------------------------------------------------
 
 @query("""
-SELECT event_id, CAST(CAST(value AS DECIMAL(18,2))
-         * CASE event_id % 10 WHEN 3 THEN 1000 ELSE 1 END AS DOUBLE) AS valor
-FROM events WHERE event_id % 10 IN (0, 1, 2, 3)""", name="tolerant_number")
+SELECT event_id, CASE event_id % 10
+         WHEN 0 THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE)
+         WHEN 1 THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE)
+         WHEN 2 THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE)
+         WHEN 3 THEN CAST(CAST(value AS DECIMAL(18,2)) * 1000 AS DOUBLE) END AS valor
+FROM events""", name="tolerant_number")
 def parse_spoilt_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event carries its value as text, most of them spoilt in some way."""
+    """Every event carries its value as text, in ten spellings; six of them are no number."""
     text = fixed(F.col("value"), 2).cast("string")
     form = F.col("event_id") % 10
     dirty = (
@@ -200,8 +203,7 @@ def parse_spoilt_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(form == 8, F.lit(""))
         .otherwise(F.lit("NaN"))
     )
-    events = table(spark, sf_dir, "events").select("event_id", once(tolerant_number(dirty)).alias("valor"))
-    return events.where(F.col("valor").isNotNull())
+    return table(spark, sf_dir, "events").select("event_id", tolerant_number(dirty).alias("valor"))
 
 
 @query(f"""

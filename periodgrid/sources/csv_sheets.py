@@ -1,9 +1,9 @@
 """Sheets exported as CSV, ``<root>/<workbook>/<sheet>.csv`` or partition folders.
 
 Files up to ``WHOLE_FILE_BYTES`` are read as one record each: the header is in the same record
-as its rows, so nothing is joined or shuffled. Larger files are read line by line in splits;
-their header is then joined to the lines per 128 MiB stretch of the file, so that one giant
-sheet is spread over many tasks.
+as its rows, so nothing is joined or shuffled. Larger files are read line by line in splits, so
+that one giant sheet is spread over many tasks; their lines are stored with their place in the
+file before the header is looked up among them.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamReader
 from ..functions.headers import promote_header
 from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
 from ..functions.text import once
+from ..session import cut_lineage
 from .manifest import (
     HEADED_COLUMNS,
     SheetRead,
@@ -30,6 +31,8 @@ from .manifest import (
 
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 STRETCH_BYTES = 128 * 1024 * 1024
+# Headers of some hundred labels each: tens of megabytes at most.
+BROADCAST_HEADERS = 1000
 
 _FIELD = r',("[^"]*+(?:""[^"]*+)*+"(?=,|$)|[^,]*+)'
 _RECORD = r'([^"\r\n]*+(?:"[^"]*+"[^"\r\n]*+)*+)(?:\r\n|\r|\n)'
@@ -119,42 +122,47 @@ def _headed_from_lines(
     """Headed rows of sheets too large for one record.
 
     Only the first split of a file is searched for the header; a header further down is
-    reported, not lost. Header and lines come from two scans of the same files; their positions
-    agree because no filter can move below the row id, so both scans are cut alike.
+    reported, not lost. The place of a line depends on how the files were split, which a second
+    scan may do differently, so the lines are stored once and everything follows from that.
     """
-    placed = lines.join(F.broadcast(manifest), ["archivo", "hoja"]).withColumn(
-        "_stretch", F.floor(F.col("_block") / STRETCH_BYTES).cast("int")
-    )
     sheet = ("archivo", "hoja", "tabla")
+    stored = cut_lineage(
+        lines.join(F.broadcast(manifest), ["archivo", "hoja"]).select(
+            *sheet, "saltar", "_stretch", "_size", "_block", "_pos", "value"
+        )
+    )
     top = Window.partitionBy(*sheet).orderBy("_pos")
     # The limit on the row number is applied before the shuffle: a few lines per file move.
     first = (
-        placed.where(F.col("_block") == 0)
+        stored.where(F.col("_block") == 0)
         .select(*sheet, "saltar", "_size", "_pos", "value", F.row_number().over(top).alias("_n"))
         .where(F.col("_n") <= max_skip + 1)
     )
     header_line = F.when(F.col("_n") == F.col("saltar") + 1, F.struct("_pos", "value"))
     heads = first.groupBy(*sheet, "_size").agg(F.max(header_line).alias("_head"))
 
-    found = heads.where(F.col("_head").isNotNull())
-    promoted = promote_header(found, split_fields(F.col("_head.value")), grammar)
-    stretches = F.sequence(F.lit(0), F.floor(F.col("_size") / STRETCH_BYTES).cast("int"))
-    headers = promoted.select(
-        *sheet, F.col("_head._pos").alias("_head"), "etiquetas", "periodos",
-        F.explode(stretches).alias("_stretch"),
+    promoted = promote_header(heads, split_fields(F.col("_head.value")), grammar)
+    headers = cut_lineage(
+        promoted.select(*sheet, "_size", F.col("_head._pos").alias("_head"), "etiquetas", "periodos")
     )
-    torn = quote_count(F.col("value")) % 2 == 1
-    rows = (
-        placed.join(headers, [*sheet, "_stretch"])
-        .where((F.col("_block") > 0) | (F.col("_pos") > F.col("_head")))
-        .select(
-            *HEADED_COLUMNS[:5],
-            row_order(F.col("_block"), F.col("_pos")),
-            F.when(~torn, split_fields(F.col("value"))).alias("celdas"),
-            F.when(torn, "line break inside a quoted cell").alias("error"),
+    found = headers.where(F.col("_head").isNotNull()).drop("_size")
+    if headers.count() <= BROADCAST_HEADERS:
+        joined = stored.join(F.broadcast(found), list(sheet))
+    else:
+        stretches = F.sequence(F.lit(0), F.floor(F.col("_size") / STRETCH_BYTES).cast("int"))
+        spread = headers.where(F.col("_head").isNotNull()).select(
+            *sheet, "_head", "etiquetas", "periodos", F.explode(stretches).alias("_stretch")
         )
+        joined = stored.join(spread, [*sheet, "_stretch"])
+
+    torn = quote_count(F.col("value")) % 2 == 1
+    rows = joined.where((F.col("_block") > 0) | (F.col("_pos") > F.col("_head"))).select(
+        *HEADED_COLUMNS[:5],
+        row_order(F.col("_block"), F.col("_pos")),
+        F.when(~torn, split_fields(F.col("value"))).alias("celdas"),
+        F.when(torn, "line break inside a quoted cell").alias("error"),
     )
-    headless = heads.where(F.col("_head").isNull()).select(
+    headless = headers.where(F.col("_head").isNull()).select(
         *sheet, F.lit("no header row in the first split").alias("error")
     )
     return rows.unionByName(headless, allowMissingColumns=True)
@@ -174,27 +182,25 @@ def read_csv_sheets(
 
     # The size filter prunes whole files, so each branch opens only its own.
     whole = _text(spark, root, True, partitioned).where(size <= whole_file_bytes)
-    small = headed_from_text(whole.select("archivo", "hoja", "value"), manifest, grammar)
-
-    lines = _text(spark, root, False, partitioned).where(size > whole_file_bytes).select(
-        "archivo", "hoja", "value",
-        size.alias("_size"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_pos"),
-    )
-    max_skip = max(spec.skip_rows for spec in specs)
-    large = _headed_from_lines(lines, manifest, max_skip, grammar)
-
-    seen = sheet_catalog(spark, root, partitioned)
-    missing = missing_sheets(manifest, seen, ("archivo", "hoja"))
-    return SheetRead(small.unionByName(large), missing)
-
+    rows = headed_from_text(whole.select("archivo", "hoja", "value"), manifest, grammar)
+
+    listed = _listing(spark, root, partitioned)
+    if not listed.where(F.col("length") > whole_file_bytes).isEmpty():
+        block = F.col("_metadata.file_block_start")
+        lines = _text(spark, root, False, partitioned).where(size > whole_file_bytes).select(
+            "archivo", "hoja", "value",
+            size.alias("_size"),
+            block.alias("_block"),
+            F.floor(block / STRETCH_BYTES).cast("int").alias("_stretch"),
+            F.monotonically_increasing_id().alias("_pos"),
+        )
+        max_skip = max(spec.skip_rows for spec in specs)
+        rows = rows.unionByName(_headed_from_lines(lines, manifest, max_skip, grammar))
+    return SheetRead(rows, missing_sheets(manifest, listed, ("archivo", "hoja")))
 
-def sheet_catalog(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
-    """``archivo, numero, hoja`` of every sheet, numbered from 1 within its workbook.
 
-    Lists files; their content is not read.
-    """
+def _listing(spark: SparkSession, root: str, partitioned: bool) -> DataFrame:
+    """``archivo, hoja, length`` of every file; contents are not read."""
     reader = spark.read.format("binaryFile")
     if partitioned:
         files = reader.load(root)
@@ -204,8 +210,13 @@ def sheet_catalog(spark: SparkSession, root: str, partitioned: bool = False) ->
             reader.option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.csv")
             .load(root)
-            .select(workbook_of(path).alias("archivo"), sheet_of(path).alias("hoja"))
+            .withColumns({"archivo": workbook_of(path), "hoja": sheet_of(path)})
         )
-    names = files.select(F.col("archivo").cast("string"), F.col("hoja").cast("string"))
+    return files.select(*[F.col(name).cast("string") for name in ("archivo", "hoja")], "length")
+
+
+def sheet_catalog(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
+    """``archivo, numero, hoja`` of every sheet, numbered from 1 within its workbook."""
     within = Window.partitionBy("archivo").orderBy("hoja")
+    names = _listing(spark, root, partitioned)
     return names.select("archivo", F.row_number().over(within).alias("numero"), "hoja")

@@ -65,6 +65,8 @@ def row_order(block: Column, line: Column) -> Column:
 
 def missing_sheets(manifest: DataFrame, seen: DataFrame, on: Sequence[str]) -> DataFrame:
     """``tabla, archivo, hoja, error`` of manifest lines that nothing in ``seen`` matches."""
-    return manifest.join(seen.select(*on).distinct(), list(on), "left_anti").select(
+    # Only what the manifest names is kept of all that was seen, so neither side grows.
+    found = seen.select(*on).join(F.broadcast(manifest), list(on), "left_semi").distinct()
+    return manifest.join(found, list(on), "left_anti").select(
         "tabla", "archivo", "hoja", F.lit("sheet not found").alias("error")
     )

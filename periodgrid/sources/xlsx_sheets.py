@@ -122,9 +122,11 @@ def _column(reference: str | None, following: int) -> int:
 
 def _sheet_rows(stream, shared: list[str], dates: set[int]) -> Iterator[tuple[int, list]]:
     """(physical row from 0, cells) in file order, one row in memory at a time."""
-    expected = 0
-    for _, element in ElementTree.iterparse(stream):
-        if _tag(element) != "row":
+    expected, parent = 0, None
+    for event, element in ElementTree.iterparse(stream, ("start", "end")):
+        if event == "start" and _tag(element) == "sheetData":
+            parent = element
+        if event == "start" or _tag(element) != "row":
             continue
         row = int(element.get("r", expected + 1)) - 1
         cells: list[str | None] = []
@@ -136,7 +138,7 @@ def _sheet_rows(stream, shared: list[str], dates: set[int]) -> Iterator[tuple[in
             cells.append(_cell_text(cell, shared, dates))
         yield row, cells
         expected = row + 1
-        element.clear()
+        parent.clear()
 
 
 def _sheet_chunks(archive: str, book: zipfile.ZipFile, wanted: dict[str, int]) -> Iterator[dict]:

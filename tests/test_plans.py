@@ -51,6 +51,12 @@ def test_row_wise_queries_do_not_shuffle(plan_of, name):
     assert "Exchange" not in plan_of(name)
 
 
+def test_group_statistics_are_joined_without_moving_the_facts(plan_of):
+    plan = plan_of("outlier_zscore")
+    assert "BroadcastNestedLoopJoin" not in plan and "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
 @pytest.mark.parametrize("name", ["top_k_groups", "top10_entities", "most_frequent_label", "first_values"])
 def test_limits_do_not_sort_everything(plan_of, name):
     assert "TakeOrderedAndProject" in plan_of(name)

@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from periodgrid.operators import profile, quality
@@ -24,10 +25,11 @@ def test_rank_of_nothing(spark):
     assert rank_descending(spark.createDataFrame([], "v double"), "v").count() == 0
 
 
-def test_hot_key_join_keeps_every_row(spark):
+@pytest.mark.parametrize("broadcast_rows", [100, 0])
+def test_hot_key_join_keeps_every_row(spark, broadcast_rows):
     facts = spark.createDataFrame([(i, "hot" if i % 3 else None) for i in range(300)], "i int, k string")
     small = spark.createDataFrame([("hot", 1), (None, 2), ("cold", 3)], "k string, n int")
-    joined = join_hot_keys(facts, small, ["k"])
+    joined = join_hot_keys(facts, small, ["k"], broadcast_rows, salts=8)
     assert joined.columns == ["i", "k", "n"]
     assert sorted((r.i, r.n) for r in joined.collect()) == [(i, 1 if i % 3 else 2) for i in range(300)]
 

@@ -74,7 +74,7 @@ def test_csv_quarantine(spark, tmp_path, rows_of):
         ("corta", 0, False), ("edu", 6, True), ("nada", 0, False), ("sexo", 0, False)]
 
 
-def test_large_sheet_is_read_in_splits(spark, tmp_path, rows_of):
+def test_large_sheet_is_read_in_splits(spark, tmp_path, rows_of, monkeypatch):
     """Both readers agree on a file cut into many splits, with quoted cells in it."""
     rng = random.Random(7)
     labels = ["Ene", "Feb", "Ene", "Feb", "Total"]
@@ -91,6 +91,10 @@ def test_large_sheet_is_read_in_splits(spark, tmp_path, rows_of):
         got = series(lines, rows_of)
         assert splits > 10 and len(got) == 12000
         assert got == series(whole, rows_of)
+        monkeypatch.setattr(csv_sheets, "BROADCAST_HEADERS", 0)
+        monkeypatch.setattr(csv_sheets, "STRETCH_BYTES", 30000)
+        spread = csv_sheets.read_csv_sheets(spark, str(tmp_path), SPECS[:1], whole_file_bytes=0)
+        assert series(spread, rows_of) == got
         assert ingest(lines).quarantine.count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -103,6 +107,12 @@ def test_line_breaks_in_large_sheets_are_reported(spark, tmp_path, rows_of):
     assert len(series(read, rows_of)) == 5
 
 
+def test_header_below_a_large_sheets_first_split(spark, tmp_path, rows_of):
+    write_csv(tmp_path, BOOK, "Sexo", [["t"], ["t"]])
+    read = csv_sheets.read_csv_sheets(spark, str(tmp_path), SPECS[1:], whole_file_bytes=0)
+    assert rows_of(ingest(read).quarantine, "hoja", "error") == [("Sexo", "no header row in the first split")]
+
+
 def test_many_quoted_cells(spark):
     """Long quoted texts do not exhaust the regular expression."""
     cell = '"' + 'a""b,\n' * 3000 + '"'
