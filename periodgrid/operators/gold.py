@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numeric import (
     mean_of,
     partial_sum,
-    round_half_up,
+    round_result,
     rounded_mean,
     rounded_std,
 )
@@ -28,8 +28,8 @@ def annual_metrics(
         .groupBy("anio", concept)
         .agg(
             rounded_mean(v, 2, exact).alias("promedio_anual"),
-            round_half_up(F.min(v), 2, exact).alias("valor_minimo"),
-            round_half_up(F.max(v), 2, exact).alias("valor_maximo"),
+            round_result(F.min(v), 2, exact).alias("valor_minimo"),
+            round_result(F.max(v), 2, exact).alias("valor_maximo"),
             rounded_std(v, 2, exact).alias("desviacion_estandar"),
             F.count(F.lit(1)).alias("num_observaciones"),
         )
@@ -163,8 +163,8 @@ def entity_profile(
         kept = kept.where(e != literal)
     return kept.groupBy(entity).agg(
         rounded_mean(v, 2, exact).alias("tasa_informalidad_promedio_miles"),
-        round_half_up(F.min(v), 2, exact).alias("tasa_informalidad_min"),
-        round_half_up(F.max(v), 2, exact).alias("tasa_informalidad_max"),
+        round_result(F.min(v), 2, exact).alias("tasa_informalidad_min"),
+        round_result(F.max(v), 2, exact).alias("tasa_informalidad_max"),
         F.count(F.lit(1)).alias("num_observaciones"),
     )
 
@@ -201,12 +201,12 @@ def vulnerability_index(
         return F.max(F.when(F.col(level) == name, F.col("_rate")))
 
     both = rates.agg(
-        (round_half_up(rate(levels.primary) + rate(levels.secondary), 0, exact) / 2).alias("low"),
+        (round_result(rate(levels.primary) + rate(levels.secondary), 0, exact) / 2).alias("low"),
         rate(levels.high).alias("high"),
     )
     ratio = F.try_divide(F.col("low"), F.nullif(F.col("high"), F.lit(0.0)))
     return both.select(
-        round_half_up(ratio, 2, exact).alias("indice_vulnerabilidad_educativa"),
+        round_result(ratio, 2, exact).alias("indice_vulnerabilidad_educativa"),
         F.col("low").alias("tasa_informalidad_baja_educacion"),
         F.col("high").alias("tasa_informalidad_alta_educacion"),
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numeric import rounded_mean, round_half_up, rounded_sum
+from ..functions.numeric import round_result, rounded_mean, rounded_sum
 
 
 def rate_by_year(rows: DataFrame, value: str, name: str = "tasa", exact: int | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def group_gap(
         rounded_mean(F.when(g == first, v), 2, exact).alias("_a"),
         rounded_mean(F.when(g == second, v), 2, exact).alias("_b"),
     )
-    return means.select(*by, round_half_up(F.col("_a") - F.col("_b"), 2, exact).alias(name))
+    return means.select(*by, round_result(F.col("_a") - F.col("_b"), 2, exact).alias(name))
 
 
 def most_frequent(rows: DataFrame, label: str, name: str = "veces") -> DataFrame:

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numeric import round_half_up
+from ..functions.numeric import round_value
 from ..functions.periods import first_of_month
 
 
@@ -47,6 +47,6 @@ def clean(bronze: DataFrame, spec: SilverSpec) -> DataFrame:
     return rows.select(
         F.trim(concept).alias(spec.concept),
         *picked,
-        round_half_up(F.col("valor"), 2, spec.exact).alias(spec.value),
+        round_value(F.col("valor"), 2, spec.exact).alias(spec.value),
         *spec.lineage,
     )

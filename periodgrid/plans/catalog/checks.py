@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ...functions.numeric import fixed
+from ...functions.numeric import units
 from ...operators import profile, quality
 from .registry import query, round_sql, table
 
@@ -44,7 +44,7 @@ FROM lineitem GROUP BY 1""")
 def retention_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows before and after a cleaning step, per flag."""
     lines = table(spark, sf_dir, "lineitem")
-    kept = lines.where(fixed(F.col("l_discount"), 2).between(0.02, 0.08))
+    kept = lines.where(units(F.col("l_discount"), 2).between(2, 8))
 
     def counted(rows: DataFrame) -> DataFrame:
         return rows.groupBy(F.col("l_returnflag").alias("tabla")).agg(

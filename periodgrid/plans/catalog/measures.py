@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ...functions.numeric import fixed, partial_sum, round_half_up, rounded_mean
+from ...functions.numeric import partial_sum, round_result, rounded_mean, units, units_sum
 from ...operators import gold, kpis, ranking
 from .registry import mean_sql, money_sql, query, round_sql, sum_sql, table, year_of, year_sql
 
@@ -145,12 +145,18 @@ def pp_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         rounded_mean(F.col("o_totalprice"), 2, 2).alias("valor")
     )
     changed = ranking.lag_change(yearly, "valor", "anio", ["o_custkey"])
-    return changed.withColumn("variacion_pp", round_half_up(F.col("variacion_pp"), 2, 2))
+    return changed.withColumn("variacion_pp", round_result(F.col("variacion_pp"), 2, 2))
 
 
 NET_SQL = f"{money_sql('l_extendedprice')} * (1 - {money_sql('l_discount')})"
 
 
+def net_sum() -> Column:
+    """Discounted price, added up in units of 10^-4."""
+    price, discount = units(F.col("l_extendedprice"), 2), units(F.col("l_discount"), 2)
+    return units_sum(price * (100 - discount), 4)
+
+
 @query(f"""
 WITH t AS (SELECT {year_sql('l_shipdate')} AS anio, p_type, sum({NET_SQL}) AS v
            FROM {BRAND_LINES_SQL} GROUP BY 1, 2)
@@ -158,10 +164,9 @@ SELECT anio, p_type, CAST(v AS DOUBLE) AS ingreso,
        {round_sql('CAST(v AS DOUBLE) * 100 / CAST(sum(v) OVER (PARTITION BY anio) AS DOUBLE)', 4)} AS participacion_pct
 FROM t""")
 def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    net = fixed(F.col("l_extendedprice"), 2) * (1 - fixed(F.col("l_discount"), 2))
     by_part = table(spark, sf_dir, "lineitem").groupBy(
         "l_partkey", year_of("l_shipdate").alias("anio")
-    ).agg(F.sum(net).alias("v"))
+    ).agg(net_sum().alias("v"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     by_type = by_part.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy("anio", "p_type").agg(
         F.sum("v").alias("ingreso")
@@ -169,7 +174,7 @@ def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = ranking.share_of_total(by_type, "ingreso", ["anio"])
     return shares.select(
         "anio", "p_type", F.col("ingreso").cast("double").alias("ingreso"),
-        round_half_up(F.col("participacion_pct"), 4, 2).alias("participacion_pct"),
+        round_result(F.col("participacion_pct"), 4, 2).alias("participacion_pct"),
     )
 
 
@@ -178,9 +183,8 @@ SELECT l_suppkey, ingreso, rank() OVER (ORDER BY ingreso DESC) AS puesto
 FROM (SELECT l_suppkey, CAST(round(sum({NET_SQL}), 0) AS DOUBLE) AS ingreso FROM lineitem GROUP BY 1) t""")
 def rank_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rank of every supplier by revenue, computed in value buckets."""
-    net = fixed(F.col("l_extendedprice"), 2) * (1 - fixed(F.col("l_discount"), 2))
     revenue = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
-        F.round(F.sum(net), 0).cast("double").alias("ingreso")
+        F.round(net_sum(), 0).cast("double").alias("ingreso")
     )
     return ranking.rank_descending(revenue, "ingreso")
 

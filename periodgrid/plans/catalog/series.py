@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ...functions.headers import promote_header
-from ...functions.numeric import fixed
+from ...functions.numeric import fixed_sum, from_units, units
 from ...functions.periods import MONTHS_ES, first_of_month, month_number
 from ...functions.text import tolerant_number
 from ...operators import gold, reshape
@@ -65,7 +65,7 @@ def monthly_cells(
         *keep,
         F.col(concept).cast("string").alias("concepto"),
         period_label(date, quarter).alias("etiqueta"),
-        fixed(F.col(value), 2).alias("importe"),
+        F.col(value).alias("importe"),
     )
 
 
@@ -73,7 +73,8 @@ def wide_sheet(rows: DataFrame, concept: str, date: str, value: str) -> DataFram
     """One row per concept, one text column per month. The labels are known beforehand."""
     cells = monthly_cells(rows, concept, date, value)
     # Summed as numbers and turned into text afterwards: Spark pivots numbers in one pass.
-    sums = cells.groupBy("concepto").pivot("etiqueta", MONTH_LABELS).agg(F.sum("importe"))
+    total = fixed_sum(F.col("importe"), 2)
+    sums = cells.groupBy("concepto").pivot("etiqueta", MONTH_LABELS).agg(total)
     return sums.selectExpr("concepto", *[f"CAST(`{m}` AS STRING) AS `{m}`" for m in MONTH_LABELS])
 
 
@@ -139,7 +140,7 @@ def long_quarter_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.year(date).alias("y"),
             F.month(date).alias("m"),
         )
-        .agg(F.sum(fixed(F.col("o_totalprice"), 2)).alias("v"))
+        .agg(fixed_sum(F.col("o_totalprice"), 2).alias("v"))
         .withColumn("ym", F.col("y") * 12 + F.col("m"))
     )
     # Months of one concept: as many as the calendar has.
@@ -189,7 +190,7 @@ SELECT event_id, CASE event_id % 10
 FROM events""", name="tolerant_number")
 def parse_spoilt_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event carries its value as text, in ten spellings; six of them are no number."""
-    text = fixed(F.col("value"), 2).cast("string")
+    text = F.col("value").cast("decimal(18,2)").cast("string")
     form = F.col("event_id") % 10
     dirty = (
         F.when(form == 0, text)
@@ -235,16 +236,17 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Padded concepts, values with four decimals, starred and missing months."""
     date = F.col("l_shipdate")
     month = month_name(F.month(date))
-    price, discount = fixed(F.col("l_extendedprice"), 2), fixed(F.col("l_discount"), 2)
+    price, discount = units(F.col("l_extendedprice"), 2), units(F.col("l_discount"), 2)
+    net = from_units(price * (100 - discount), 4)
     bronze = table(spark, sf_dir, "lineitem").select(
         *LINE_KEYS,
         F.concat(F.lit("  "), F.col("l_returnflag"), F.lit(" ")).alias("indicador"),
         year_of("l_shipdate").alias("anio"),
         F.when(F.month(date) == 2, F.concat(month, F.lit("*"))).otherwise(month).alias("mes"),
         F.month(date).alias("mes_num"),
-        F.when(F.col("l_linestatus") != "F", price * (1 - discount)).cast("double").alias("valor"),
+        F.when(F.col("l_linestatus") != "F", net).alias("valor"),
     )
-    spec = SilverSpec("indicador", lineage=LINE_KEYS, named_months=True, exact=2)
+    spec = SilverSpec("indicador", lineage=LINE_KEYS, named_months=True, exact=4)
     return clean(bronze, spec)
 
 

@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ...functions.numeric import fixed_sum
 from ...functions.periods import MONTHS_ES
 from ...operators.reshape import column_accounting, explode_cells
 from ...operators.rules import Thresholds
@@ -64,7 +65,9 @@ def sheet_files(
     cells = monthly_cells(
         rows.withColumn("hoja", F.col(sheet)), concept, date, value, quarter, keep=("hoja",)
     )
-    wide = cells.groupBy("hoja", "concepto").pivot("etiqueta", labels).agg(F.sum("importe"))
+    wide = cells.groupBy("hoja", "concepto").pivot("etiqueta", labels).agg(
+        fixed_sum(F.col("importe"), 2)
+    )
     texts = [f"coalesce(CAST(`{name}` AS STRING), '')" for name in labels]
     padding = ["'9'" for _ in extra]
     line = f"concat_ws(',', {', '.join(['concepto', *texts, *padding])}) AS linea"
@@ -286,7 +289,7 @@ def survey_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a third of all orders is a few rows when joined.
     month = F.trunc(F.col("o_orderdate").cast("date"), "month")
     by_customer = orders.groupBy("o_custkey", month.alias("_month")).agg(
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("_value")
+        fixed_sum(F.col("o_totalprice"), 2).alias("_value")
     )
     cities = (
         by_customer.join(customer, F.col("o_custkey") == F.col("c_custkey"))
