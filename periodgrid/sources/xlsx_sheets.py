@@ -32,11 +32,12 @@ from .manifest import (
 CHUNK_ROWS = 2000
 
 _CHUNKS = pa.schema([
-    ("archivo", pa.string()), ("hoja", pa.string()), ("encabezado", pa.list_(pa.string())),
+    ("archivo", pa.string()), ("hoja", pa.string()), ("saltar", pa.int32()),
+    ("encabezado", pa.list_(pa.string())),
     ("primera", pa.int64()), ("filas", pa.list_(pa.list_(pa.string()))), ("error", pa.string()),
 ])
 _CHUNK_DDL = (
-    "archivo string, hoja string, encabezado array<string>, primera bigint, "
+    "archivo string, hoja string, saltar int, encabezado array<string>, primera bigint, "
     "filas array<array<string>>, error string"
 )
 _NAMES = pa.schema([("archivo", pa.string()), ("numero", pa.int32()), ("hoja", pa.string())])
@@ -141,11 +142,13 @@ def _sheet_rows(stream, shared: list[str], dates: set[int]) -> Iterator[tuple[in
         parent.clear()
 
 
-def _sheet_chunks(archive: str, book: zipfile.ZipFile, wanted: dict[str, int]) -> Iterator[dict]:
+def _sheet_chunks(
+    archive: str, book: zipfile.ZipFile, wanted: set[tuple[str, int]]
+) -> Iterator[dict]:
     parts = dict(_parts(book))
     shared, dates = _shared_texts(book), _date_styles(book)
-    for sheet in wanted:
-        record = {"archivo": archive, "hoja": sheet}
+    for sheet, skip in sorted(wanted):
+        record = {"archivo": archive, "hoja": sheet, "saltar": skip}
         if sheet not in parts:
             yield {**record, "error": "sheet not found"}
             continue
@@ -153,9 +156,9 @@ def _sheet_chunks(archive: str, book: zipfile.ZipFile, wanted: dict[str, int]) -
         try:
             with book.open(parts[sheet]) as stream:
                 for row, cells in _sheet_rows(stream, shared, dates):
-                    if row == wanted[sheet]:
+                    if row == skip:
                         header = cells
-                    elif row > wanted[sheet] and header is not None:
+                    elif row > skip and header is not None:
                         first = first if rows else row
                         rows.append(cells)
                         if len(rows) == CHUNK_ROWS:
@@ -193,9 +196,9 @@ def read_xlsx_sheets(
     grammar: PeriodGrammar = DEFAULT_GRAMMAR,
 ) -> SheetRead:
     """All listed sheets of the workbooks below ``root`` as headed rows, in one job."""
-    wanted: dict[str, dict[str, int]] = {}
+    wanted: dict[str, set[tuple[str, int]]] = {}
     for spec in specs:
-        wanted.setdefault(spec.workbook, {})[spec.sheet] = spec.skip_rows
+        wanted.setdefault(spec.workbook, set()).add((spec.sheet, spec.skip_rows))
 
     def unpack(batches):
         for archive, content in _books(batches):
@@ -205,13 +208,17 @@ def read_xlsx_sheets(
                         yield pa.RecordBatch.from_pylist([chunk], schema=_CHUNKS)
             except Exception as problem:
                 reason = f"{type(problem).__name__}: {problem}"
-                bad = [{"archivo": archive, "hoja": h, "error": reason} for h in wanted[archive]]
+                bad = [
+                    {"archivo": archive, "hoja": sheet, "saltar": skip, "error": reason}
+                    for sheet, skip in wanted[archive]
+                ]
                 yield pa.RecordBatch.from_pylist(bad, schema=_CHUNKS)
 
     manifest = manifest_frame(spark, specs)
     listed = _files(spark, root).where(F.col("archivo").isin(*wanted))
     chunks = listed.mapInArrow(unpack, _CHUNK_DDL).join(
-        F.broadcast(manifest.select("archivo", "hoja", "tabla")), ["archivo", "hoja"]
+        F.broadcast(manifest.select("archivo", "hoja", "saltar", "tabla")),
+        ["archivo", "hoja", "saltar"],
     )
     # A sheet that could not be read keeps one empty row, which carries the reason.
     filled = chunks.withColumn(

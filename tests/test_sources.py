@@ -144,6 +144,14 @@ def test_xlsx_sheets(spark, tmp_path, rows_of, inline):
         (BOOK, 1, "Índice"), (BOOK, 2, "Educación "), (BOOK, 3, "Sexo")]
 
 
+def test_one_xlsx_sheet_with_two_headers(spark, tmp_path, rows_of):
+    write_workbook(tmp_path / BOOK, {"Sexo": [["k", "Ene"], ["a", 1.0], ["k", "Feb"], ["b", 2.0]]})
+    specs = (SheetSpec(BOOK, "Sexo", "uno", "k", 0), SheetSpec(BOOK, "Sexo", "dos", "k", 2))
+    read = xlsx_sheets.read_xlsx_sheets(spark, str(tmp_path), specs)
+    assert series(read, rows_of) == [
+        ("dos", "b", 2021, "Feb", 2.0), ("uno", "a", 2021, "Ene", 1.0), ("uno", "b", 2021, "Ene", 2.0)]
+
+
 def test_xlsx_dates_booleans_and_chunks(spark, tmp_path, rows_of):
     rows = [["t"], ["t"], ["k", "Ene", "Feb"], ["d", ("date", 44562), True]]
     rows += [[f"c{i}", i, None] for i in range(4500)]
