@@ -106,13 +106,16 @@ def to_long(
         columns = [f"CAST(NULL AS {t}) AS {name}" for name, t in types.items()]
         return base.where(F.lit(False)).selectExpr(identity, *carried, *columns)
 
-    arguments: list[str] = []
-    for i in chosen:
-        arguments += [_typed_literal(periods[i][name], t) for name, t in PERIOD_TYPES.items()]
-        arguments.append(slots[i] if uniform else f"CAST({slots[i]} AS STRING)")
-    stacked = f"stack({len(chosen)}, {', '.join(arguments)}) AS ({', '.join(LONG_COLUMNS)})"
-    long = base.selectExpr(identity, *carried, stacked)
-    return _with_number(long.where(F.col("valor").isNotNull()), "valor", kind)
+    cells = [slots[i] if uniform else f"CAST({slots[i]} AS STRING)" for i in chosen]
+    exploded = f"posexplode(array({', '.join(cells)})) AS (_at, _cell)"
+    rows = base.selectExpr(identity, *carried, exploded).where(F.col("_cell").isNotNull())
+    parsed = _with_number(rows, "_cell", kind)
+    # The period of a cell is looked up by position, and only for cells that hold a number.
+    known = [
+        f"array({', '.join(_typed_literal(periods[i][name], t) for i in chosen)})[_at] AS {name}"
+        for name, t in PERIOD_TYPES.items()
+    ]
+    return parsed.selectExpr(f"`{concept}`", *[f"`{name}`" for name in keep], *known, "valor")
 
 
 def headed_rows_to_long(
