@@ -10,27 +10,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import cut_lineage
 
 SALTS = 64
-# Keys with a handful of measures: a few megabytes at most.
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def fits_broadcast(side: DataFrame, limit: int) -> bool:
+    """Measure a stored side before it is broadcast: the size of its rows as text."""
+    size = F.sum(F.length(F.to_json(F.struct("*")))).alias("size")
+    return (side.agg(size).first().size or 0) <= limit
 
 
 def join_hot_keys(
     facts: DataFrame,
     small: DataFrame,
     on: Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Inner join of facts with a side that has one row per key; NULL keys match NULL keys.
 
-    The small side is stored and counted first. If it is small indeed, it is broadcast and the
+    The small side is stored and measured first. If it is small indeed, it is broadcast and the
     facts do not move. If not, both sides meet on the key and a salt, so that no task gets more
     than about 1/salts of a key. The salt is a hash of the row: a task that is run again deals
     its rows the same way.
     """
     side = cut_lineage(small.withColumnsRenamed({name: f"_on_{name}" for name in on}))
     matches = [F.col(name).eqNullSafe(F.col(f"_on_{name}")) for name in on]
-    if side.count() <= broadcast_rows:
+    if fits_broadcast(side, broadcast_bytes):
         joined = facts.join(F.broadcast(side), _all(matches), "inner")
     else:
         dealt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")

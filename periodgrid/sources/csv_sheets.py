@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamReader
 from ..functions.headers import promote_header
 from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
 from ..functions.text import once
+from ..operators.joins import BROADCAST_BYTES, fits_broadcast
 from ..session import cut_lineage
 from .manifest import (
     HEADED_COLUMNS,
@@ -31,8 +32,6 @@ from .manifest import (
 
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 STRETCH_BYTES = 128 * 1024 * 1024
-# Headers of some hundred labels each: tens of megabytes at most.
-BROADCAST_HEADERS = 1000
 
 _FIELD = r',("[^"]*+(?:""[^"]*+)*+"(?=,|$)|[^,]*+)'
 _RECORD = r'([^"\r\n]*+(?:"[^"]*+"[^"\r\n]*+)*+)(?:\r\n|\r|\n)'
@@ -146,7 +145,7 @@ def _headed_from_lines(
         promoted.select(*sheet, "_size", F.col("_head._pos").alias("_head"), "etiquetas", "periodos")
     )
     found = headers.where(F.col("_head").isNotNull()).drop("_size")
-    if headers.count() <= BROADCAST_HEADERS:
+    if fits_broadcast(found, BROADCAST_BYTES):
         joined = stored.join(F.broadcast(found), list(sheet))
     else:
         stretches = F.sequence(F.lit(0), F.floor(F.col("_size") / STRETCH_BYTES).cast("int"))

@@ -91,7 +91,7 @@ def test_large_sheet_is_read_in_splits(spark, tmp_path, rows_of, monkeypatch):
         got = series(lines, rows_of)
         assert splits > 10 and len(got) == 12000
         assert got == series(whole, rows_of)
-        monkeypatch.setattr(csv_sheets, "BROADCAST_HEADERS", 0)
+        monkeypatch.setattr(csv_sheets, "BROADCAST_BYTES", 0)
         monkeypatch.setattr(csv_sheets, "STRETCH_BYTES", 30000)
         spread = csv_sheets.read_csv_sheets(spark, str(tmp_path), SPECS[:1], whole_file_bytes=0)
         assert series(spread, rows_of) == got
