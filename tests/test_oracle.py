@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from periodgrid.plans.catalog import QUERIES, SQL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -19,7 +20,7 @@ def duck(sf_dir):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
     df = queries()[name](spark, sf_dir)
     relation = duck.sql(oracle_sql()[name])
@@ -33,7 +34,9 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries())
+    assert set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
