@@ -39,6 +39,8 @@ RARE = 64
 FREQUENT = 1 << 20
 #: Rows a task holds before it hands them on.
 CHUNK = 1 << 20
+#: Ids of documents that are sent to every task rather than shuffled with the texts (8 bytes each).
+BROADCAST_IDS = 1 << 20
 #: Parts of a document's set in the counting pass.
 CUTS = 4
 #: Rounds of pivots for frequent n-grams, and pivots of an n-gram in each.
@@ -91,7 +93,9 @@ def frequent_ngrams(texts: DataFrame) -> np.ndarray:
     ranges, shift = 4 * parts_of(texts.sparkSession), np.uint64(64 - COUNT_BITS)
 
     def flush(kept: list[np.ndarray]) -> pa.RecordBatch:
-        buckets, counts = np.unique(np.concatenate(kept), return_counts=True)
+        buckets = np.sort(np.concatenate(kept))
+        start = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1]))
+        buckets, counts = buckets[start].astype(np.int64), np.diff(np.append(start, len(buckets)))
         cut = np.searchsorted(buckets, [(k << COUNT_BITS) // ranges for k in range(ranges + 1)])
         rows = [(k, _planes(buckets[a:b]), counts[a:b].astype("<u4")) for k, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
         packed = [np.ascontiguousarray(c.view(np.uint8).reshape(-1, 4).T).tobytes() for _, _, c in rows]
@@ -102,7 +106,7 @@ def frequent_ngrams(texts: DataFrame) -> np.ndarray:
         held = 0
         for batch in batches:
             for grams in shingle_sets(batch.column(0)):
-                kept.append((grams >> shift).astype(np.int64))
+                kept.append((grams >> shift).astype(np.uint32))
                 held += len(grams)
             if held >= 4 * CHUNK:
                 yield flush(kept)
@@ -171,33 +175,34 @@ def _sizes_and_hot(docs: DataFrame, frequent) -> DataFrame:
 
 
 def _fragments(docs: DataFrame, frequent, fragments: int) -> DataFrame:
-    """The rare part of the prefixes, packed per fragment of the order: n-gram, class, place."""
+    """The rare part of the prefixes, packed per fragment of the order: n-gram, document, place.
+
+    A document is told by the first half of its class key, its size, the length of the rare part
+    and the upper bits of the n-gram at which its prefix ends (all ones: no rare n-gram follows).
+    """
     # Prefixes stand at the low end of the order, so most cuts lie in its first quarter.
     low = max(1, fragments * 7 // 8)
     cuts = [(k << 62) // low for k in range(low)] + [(1 << 62) + (k * (3 << 62)) // max(1, fragments - low) for k in range(fragments - low)]
     cuts = np.array(cuts, np.uint64)
 
-    def flush(grams: list, owners: list, places: list, keys: list, sizes: list) -> pa.RecordBatch:
+    def flush(grams: list, owners: list) -> pa.RecordBatch:
         gram = np.concatenate(grams)
         order = np.argsort(gram)
         gram = gram[order]
-        owner = np.repeat(np.arange(len(owners)), owners)[order]
-        place = np.concatenate(places)[order]
-        size = np.array(sizes, np.int64)
-        key = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 16)
+        told = np.array(owners, OWNER)
+        owner = np.repeat(np.arange(len(told)), told["rare"])[order]
+        place = np.concatenate([np.arange(n) for n in told["rare"]])[order]
         cut = np.append(np.searchsorted(gram, cuts), len(gram))
         rows = []
         for k, (a, b) in enumerate(zip(cut, cut[1:])):
             if b > a:
                 own, local = np.unique(owner[a:b], return_inverse=True)
-                rows.append((k, gram[a:b].tobytes(), local.astype("<u4").tobytes(), place[a:b].astype("<u4").tobytes(), key[own].tobytes(), size[own].astype("<u4").tobytes()))
-        names = ["part", "grams", "owners", "places", "keys", "sizes"]
-        kinds = [pa.int32()] + [pa.binary()] * 5
-        return pa.record_batch([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names)
+                rows.append((k, gram[a:b].tobytes(), local.astype("<u4").tobytes(), place[a:b].astype("<u4").tobytes(), told[own].tobytes()))
+        kinds = [pa.int32()] + [pa.binary()] * 4
+        return pa.record_batch([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], ["part", "grams", "owners", "places", "told"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = ([], [], [], [], []), set()
-        rows = 0
+        kept, owners, seen, rows = [], [], set(), 0
         for batch in batches:
             for grams in shingle_sets(batch.column("text")):
                 if not len(grams) or (key := set_key(grams)) in seen:
@@ -206,36 +211,42 @@ def _fragments(docs: DataFrame, frequent, fragments: int) -> DataFrame:
                 ordered, rare = in_order(grams, frequent.value)
                 n = min(rare, prefix_length(len(grams)))
                 if n:
-                    for kept, value in zip(held, (ordered[:n], n, np.arange(n), key, len(grams))):
-                        kept.append(value)
+                    ends = int(ordered[n - 1] >> np.uint64(48)) if n < rare else 0xFFFF
+                    kept.append(ordered[:n])
+                    owners.append((key[:8], len(grams), n, ends))
                     rows += n
                 if rows >= CHUNK:
-                    yield flush(*held)
-                    held, rows, seen = ([], [], [], [], []), 0, set()
+                    yield flush(kept, owners)
+                    kept, owners, seen, rows = [], [], set(), 0
         if rows:
-            yield flush(*held)
+            yield flush(kept, owners)
+
+    return docs.select("text").mapInArrow(run, "part int, grams binary, owners binary, places binary, told binary")
 
-    return docs.select("text").mapInArrow(run, "part int, grams binary, owners binary, places binary, keys binary, sizes binary")
 
+#: What a fragment knows of a document.
+OWNER = np.dtype([("key", "V8"), ("n", "<u4"), ("rare", "<u4"), ("ends", "<u2")])
 
-PAIRS = "a binary, b binary, n_a long, n_b long, shared long, first_a long, first_b long, last_a long, last_b long"
+PAIRS = "a binary, b binary, n_a long, n_b long, rest long, shared long, first_a long, first_b long"
 
 
 def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One fragment: how many n-grams each pair of classes shares in it, and the last places."""
-    grams, owners, places, keys, sizes, base = [], [], [], [], [], 0
+    grams, owners, places, told, base = [], [], [], [], 0
     for batch in batches:
-        for g, o, p, k, n in zip(*(batch.column(c).to_pylist() for c in ("grams", "owners", "places", "keys", "sizes"))):
+        for g, o, p, t in zip(*(batch.column(c).to_pylist() for c in ("grams", "owners", "places", "told"))):
             grams.append(np.frombuffer(g, np.uint64))
             owners.append(np.frombuffer(o, "<u4").astype(np.int64) + base)
-            places.append(np.frombuffer(p, "<u4").astype(np.int64))
-            keys.append(np.frombuffer(k, "V16"))
-            sizes.append(np.frombuffer(n, "<u4").astype(np.int64))
-            base += len(keys[-1])
-    known, first, same = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    size = np.concatenate(sizes)[first]
-    gram, owner, place = np.concatenate(grams), same.ravel()[np.concatenate(owners)], np.concatenate(places)
-    del grams, owners, places, keys, sizes
+            places.append(np.frombuffer(p, "<u4"))
+            told.append(np.frombuffer(t, OWNER))
+            base += len(told[-1])
+    told = np.concatenate(told)
+    # One document as it is told: equal sets are told alike.
+    known, first, same = np.unique(told.view(f"V{OWNER.itemsize}"), return_index=True, return_inverse=True)
+    told = told[first]
+    key, size, rare, cut = told["key"], told["n"].astype(np.int64), told["rare"].astype(np.int64), told["ends"]
+    gram, owner, place = np.concatenate(grams), same.ravel()[np.concatenate(owners)], np.concatenate(places).astype(np.int64)
+    del grams, owners, places
     order = np.lexsort((owner, gram))
     gram, owner, place = gram[order], owner[order], place[order]
     once = np.ones(len(gram), bool)  # a class read by several tasks came several times
@@ -254,9 +265,13 @@ def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         start = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
         a, b = code[start] >> 32, code[start] & 0xFFFFFFFF
         counts = np.diff(np.append(start, len(code)))
-        numbers = (size[a], size[b], counts, np.minimum.reduceat(pa_, start), np.minimum.reduceat(pb_, start), np.maximum.reduceat(pa_, start), np.maximum.reduceat(pb_, start))
-        cells = [pa.array([k.tobytes() for k in known[x]], pa.binary()) for x in (a, b)]
-        return pa.record_batch(cells + [pa.array(x.astype(np.int64)) for x in numbers], ["a", "b", "n_a", "n_b", "shared", "first_a", "first_b", "last_a", "last_b"])
+        # Up to where the shorter reaching prefix ends all shared n-grams are counted; of what
+        # that document holds beyond, all may be shared.
+        beyond = size - rare
+        rest = np.where(cut[a] == cut[b], np.maximum(beyond[a], beyond[b]), np.where(cut[a] < cut[b], beyond[a], beyond[b]))
+        numbers = (size[a], size[b], rest, counts, np.minimum.reduceat(pa_, start), np.minimum.reduceat(pb_, start))
+        cells = [pa.array([k.tobytes() for k in key[x]], pa.binary()) for x in (a, b)]
+        return pa.record_batch(cells + [pa.array(x.astype(np.int64)) for x in numbers], ["a", "b", "n_a", "n_b", "rest", "shared", "first_a", "first_b"])
 
     # Whole runs of one n-gram in stretches, so that memory stays bounded for any list lengths.
     starts = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.zeros(0, np.int64)
@@ -283,17 +298,22 @@ def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield flush(found)
 
 
-def _rare_candidates(docs: DataFrame, frequent, fragments: int) -> DataFrame:
+def _rare_candidates(docs: DataFrame, classes: DataFrame, frequent, fragments: int) -> DataFrame:
     """Pairs that may reach the threshold by what they share in the rare part of their prefixes."""
     dealt = _fragments(docs, frequent, fragments)
     partial = dealt.groupBy("part").applyInArrow(_partial_overlaps, PAIRS)
     summed = partial.groupBy("a", "b").agg(
-        F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.sum("shared").alias("shared"),
-        *[f(c).alias(c) for f, side in ((F.min, "first"), (F.max, "last")) for c in (f"{side}_a", f"{side}_b")],
-    )
-    # A pair that also shares frequent n-grams in the prefix shares them after all rare ones.
-    most = F.col("shared") + F.least(F.col("n_a") - 1 - F.col("last_a"), F.col("n_b") - 1 - F.col("last_b"))
-    return summed.where(enough(most, F.col("n_a"), F.col("n_b")) & early("a", "b")).select("a", "b", "n_a", "n_b")
+        *[F.first(c).alias(c) for c in ("n_a", "n_b", "rest")], F.sum("shared").alias("shared"),
+        F.min("first_a").alias("first_a"), F.min("first_b").alias("first_b"))
+    near = stored(summed.where(enough(F.col("shared") + F.col("rest"), F.col("n_a"), F.col("n_b")) & early("a", "b")).select("a", "b"))
+    # Should two classes share half a key, both are candidates; the count decides.
+    short = [classes.select(F.substring("cls", 1, 8).alias(side), F.col("cls").alias(f"cls_{side}"), F.col("n").alias(f"n_{side}")) for side in "ab"]
+    full = near.join(short[0], "a").join(short[1], "b").where("cls_a <> cls_b")
+    rising = F.col("cls_a") < F.col("cls_b")
+    return full.select(
+        F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"),
+        F.when(rising, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
+        F.when(rising, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"))
 
 
 # -- counting pass ------------------------------------------------------------------------
@@ -313,7 +333,10 @@ def _cut_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 pieces += [x.tobytes() for x in np.split(grams, np.searchsorted(grams, cuts))]
             yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(parts, pa.int32()), pa.array(pieces, pa.binary())], ["cls", "part", "grams"])
 
-    chosen = docs.join(classes.select("doc_id"), "doc_id", "left_semi").select("text")
+    ids = stored(classes.select("doc_id"))
+    # 8 bytes an id: a side of at most BROADCAST_IDS is sent to the texts, else both are dealt out.
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    chosen = docs.join(side, "doc_id", "left_semi").select("text")
     return chosen.mapInArrow(run, "cls binary, part int, grams binary").dropDuplicates(["cls", "part"])
 
 
@@ -409,7 +432,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     each = stored(_sizes_and_hot(docs, frequent))
     linkable = each.where("cls is not null and doc_id is not null")
     classes = stored(linkable.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
-    pairs = stored(_rare_candidates(docs, frequent, 4 * parts_of(spark)))
+    pairs = stored(_rare_candidates(docs, classes, frequent, max(4, parts_of(spark) // 4)))
     links = _links(docs, classes, pairs)
     prefixes = stored(linkable.where(F.size("hot") > 0).select("cls", "n", "rare", "hot").distinct())
     links = _dense_links(docs, classes, prefixes, links, pairs.select("a", "b"))
