@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
@@ -24,15 +26,16 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def in_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``step`` to each Arrow batch; rows stay in their partition."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
-
-    return df.mapInArrow(run, schema)
+def slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[pa.Array]:
+    """Stretches of a text column of about ``limit`` bytes, at least one whole text each."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield texts.slice(at, to - at)
+        at = to
 
 
 def parts_of(spark: SparkSession) -> int:

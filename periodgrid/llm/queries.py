@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
+from .decontaminate import contamination
+from .licences import scan_licences
+from .packing import packed_documents
+from .secrets import find_secrets
+from .toxicity import PREDICT_AT, fold, score_toxicity
 from .vertical_join import jaccard_components
 
 QUERIES: dict = {}
@@ -16,6 +21,35 @@ def query(run):
     return run
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (fold() == 1).alias("held_out"), "score",
+        (F.col("score") >= PREDICT_AT).cast("int").alias("predicted"), "threshold", "rejected")
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents")).drop("detections")
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from .common import slices
+
 WIDTH = 5
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
@@ -61,24 +65,23 @@ def _mix(words: np.ndarray, width: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """Per text the sorted distinct hashes of its shingles; fewer words than ``WIDTH`` form one."""
-    words, sizes = word_hashes(texts)
-    ends = np.cumsum(sizes)
-    runs = _mix(words, WIDTH) if len(words) >= WIDTH else np.zeros(0, np.uint64)
-    out = []
-    for start, end in zip((ends - sizes).tolist(), ends.tolist()):
-        n = end - start
-        if n >= WIDTH:
-            grams = np.sort(runs[start:end - WIDTH + 1])
-            fresh = np.ones(len(grams), bool)
-            np.not_equal(grams[1:], grams[:-1], out=fresh[1:])
-            out.append(grams[fresh])
-        elif n:
-            out.append(_mix(words[start:end], n))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+    for part in slices(texts):
+        words, sizes = word_hashes(part)
+        ends = np.cumsum(sizes)
+        runs = _mix(words, WIDTH) if len(words) >= WIDTH else np.zeros(0, np.uint64)
+        for start, end in zip((ends - sizes).tolist(), ends.tolist()):
+            n = end - start
+            if n >= WIDTH:
+                grams = np.sort(runs[start:end - WIDTH + 1])
+                fresh = np.ones(len(grams), bool)
+                np.not_equal(grams[1:], grams[:-1], out=fresh[1:])
+                yield grams[fresh]
+            elif n:
+                yield _mix(words[start:end], n)
+            else:
+                yield np.zeros(0, np.uint64)
 
 
 def set_key(grams: np.ndarray) -> bytes:

@@ -17,13 +17,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from .common import slices
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 16, 8, (1, 2, 3)
 #: Bounds of the samples: labelled rows per class to train on, rows to calibrate on, and words
 #: of one text that the training reads at a time.
 TRAIN_PER_CLASS, CALIBRATE_ROWS = 2000, 3000
-STEPS, BATCH, RATE = 700, 32, 0.01
+STEPS, BATCH, RATE = 450, 32, 0.01
 PREDICT_AT = 0.7
 #: Words convolved at a time.
 STRETCH = 1 << 18
@@ -126,15 +128,16 @@ def train(table: np.ndarray, texts: list[np.ndarray], labels: np.ndarray, base_r
     """Adam over balanced batches; the output is shifted to ``base_rate`` afterwards."""
     net, rng = TextCnn.fresh(seed), np.random.default_rng(seed)
     pools = [np.flatnonzero(labels == k) for k in (0, 1)]
-    held = np.maximum((table < BUCKETS).sum(1), 1)
     params = [net.embed, *net.filters, *net.bias, net.out]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     for step in range(1, STEPS + 1):
         chosen = np.concatenate([rng.choice(p, BATCH // 2) for p in pools])
         sizes = np.array([len(texts[i]) for i in chosen])
-        codes = np.concatenate([texts[i] for i in chosen])
-        padded, starts = _padded(codes, sizes, len(table) - 1)
-        words = net.words(table)
+        used, codes = np.unique(np.concatenate([texts[i] for i in chosen]), return_inverse=True)
+        pieces = table[np.append(used, len(table) - 1)]
+        held = np.maximum((pieces < BUCKETS).sum(1), 1)
+        padded, starts = _padded(codes, sizes, len(used))
+        words = net.words(pieces)
         owner = np.flatnonzero(sizes)
         grads = [np.zeros_like(p) for p in params]
         tops, best = [], []
@@ -158,8 +161,8 @@ def train(table: np.ndarray, texts: list[np.ndarray], labels: np.ndarray, base_r
                 word = padded[best[k] + j]
                 grads[1 + k][j] += np.einsum("tf,tfd->df", d, words[word])
                 pull = (d[:, :, None] * f[j].T[None]) / held[word][:, :, None]
-                for piece in range(table.shape[1]):
-                    np.add.at(grads[0], table[word, piece].ravel(), pull.reshape(-1, DIM))
+                for piece in range(pieces.shape[1]):
+                    np.add.at(grads[0], pieces[word, piece].ravel(), pull.reshape(-1, DIM))
         grads[0][BUCKETS] = 0
         net.shift -= RATE * float(error.sum())
         for p, g, (m, v) in zip(params, grads, moments):
@@ -257,11 +260,9 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
             if shared.value is None:
                 scores = np.full(batch.num_rows, rate)
             else:
-                scores = _sigmoid(shared.value.logits(*_coded(batch.column("text"))))
+                scores = np.concatenate([_sigmoid(shared.value.logits(*_coded(part))) for part in slices(batch.column("text"))])
             yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
-    from pyspark.sql import types as T
-
     scored = kept.mapInArrow(run, T.StructType([*bare.fields, T.StructField("score", T.DoubleType())]))
     limit = F.lit(limits[None])
     for lang, value in limits.items():

@@ -155,18 +155,19 @@ def _sizes_and_hot(docs: DataFrame, frequent) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(batch.column("text"))
-            hot, places = [], []
-            for grams in sets:
+            hot, places, sizes, keys = [], [], [], []
+            for grams in shingle_sets(batch.column("text")):
+                sizes.append(len(grams))
+                keys.append(set_key(grams) if len(grams) else None)
                 ordered, rare = in_order(grams, frequent.value)
-                hot.append(ordered[rare:prefix_length(len(grams))].view(np.int64))
+                hot.append(ordered[rare:prefix_length(len(grams))].view(np.int64).copy())
                 places.append(rare)
             ends = np.cumsum([0, *map(len, hot)])
             flat = np.concatenate(hot) if hot else np.zeros(0, np.int64)
             yield pa.record_batch([
                 batch.column("doc_id"),
-                pa.array([len(g) for g in sets], pa.int64()),
-                pa.array([set_key(g) if len(g) else None for g in sets], pa.binary()),
+                pa.array(sizes, pa.int64()),
+                pa.array(keys, pa.binary()),
                 pa.array(places, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())),
             ], ["doc_id", "n", "cls", "rare", "hot"])
@@ -212,7 +213,7 @@ def _fragments(docs: DataFrame, frequent, fragments: int) -> DataFrame:
                 n = min(rare, prefix_length(len(grams)))
                 if n:
                     ends = int(ordered[n - 1] >> np.uint64(48)) if n < rare else 0xFFFF
-                    kept.append(ordered[:n])
+                    kept.append(ordered[:n].copy())
                     owners.append((key[:8], len(grams), n, ends))
                     rows += n
                 if rows >= CHUNK:
