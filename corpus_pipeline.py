@@ -2,22 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from periodgrid.llm.common import stored, table
+from periodgrid.llm.decontaminate import decontaminated
+from periodgrid.llm.packing import packed_documents
+from periodgrid.llm.secrets import without_secrets
+from periodgrid.llm.toxicity import score_toxicity
 from periodgrid.llm.vertical_join import jaccard_components
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents whose toxicity reaches the threshold of their language go."""
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"))
+    return scored.where("not rejected").select(*COLUMNS)
+
+
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest doc_id."""
+    """Operator 10: one document of each near-duplicate group stays, the one with the smallest doc_id."""
     groups = jaccard_components(docs)
     extra = groups.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(extra, "doc_id", "left_anti").select(*COLUMNS)
 
 
-STAGES = [("near_duplicates", without_copies)]
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: documents that hold a region of a benchmark item go."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: secrets are replaced in the text; n_chars follows the text. No document goes."""
+    return without_secrets(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: what is left as token pieces in sequences."""
+    return packed_documents(docs)
+
+
+STAGES = [
+    ("toxicity", civil),
+    ("near_duplicates", without_copies),
+    ("decontamination", without_benchmark),
+    ("secrets", masked_secrets),
+    ("packing", packed),
+]
+#: A trained classifier, an edit distance and a tokenizer are beyond SQL: tests compare with brute force.
 ORACLE_SQL = None
 
 
