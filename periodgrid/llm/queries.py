@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import table
 from .decontaminate import contamination
 from .licences import scan_licences
+from .lm_difference import score_documents
 from .packing import packed_documents
 from .secrets import find_secrets
+from .subspace import near_duplicates
 from .toxicity import PREDICT_AT, fold, score_toxicity
 from .vertical_join import jaccard_components
 
@@ -30,6 +32,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= PREDICT_AT).cast("int").alias("predicted"), "threshold", "rejected")
 
 
+@query
+def op3_loss_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"))
@@ -45,6 +52,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op8_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
