@@ -9,6 +9,7 @@ from .decontaminate import contamination
 from .licences import scan_licences
 from .lm_difference import score_documents
 from .packing import packed_documents
+from .sanitise import find_personal_data
 from .secrets import find_secrets
 from .subspace import near_duplicates
 from .toxicity import PREDICT_AT, fold, score_toxicity
@@ -37,6 +38,11 @@ def op3_loss_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"))
