@@ -9,6 +9,7 @@ from .decontaminate import contamination
 from .licences import scan_licences
 from .lm_difference import score_documents
 from .packing import packed_documents
+from .quotes import link_quotes
 from .sanitise import find_personal_data
 from .secrets import find_secrets
 from .subspace import near_duplicates
@@ -24,6 +25,11 @@ def query(run):
     return run
 
 
+@query
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotes(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
