@@ -42,9 +42,9 @@ CHUNK = 1 << 20
 #: Ids of documents that are sent to every task rather than shuffled with the texts (8 bytes each).
 BROADCAST_IDS = 1 << 20
 #: Parts of a document's set in the counting pass.
-CUTS = 4
-#: Rounds of pivots for frequent n-grams, and pivots of an n-gram in each.
-TURNS, PIVOTS = 2, 6
+CUTS = 2
+#: Pivots of a frequent n-gram in each round: few for the many that link to any, more for the rest.
+PIVOTS = (4, 24, 48)
 
 #: Overlap that a pair needs, and whether its first shared n-gram comes early enough for it: each
 #: set must still hold that many n-grams from there on.
@@ -372,6 +372,7 @@ def _merged(links: DataFrame) -> DataFrame:
 
 #: Columns of a frequent n-gram's document, and their names in a pair.
 SIDE = (("cls", "cls"), ("n", "n"), ("place", "first"))
+PIVOT = "struct<draw: bigint, comp: binary, cls: binary, n: bigint, place: bigint>"
 
 
 def _dense_links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, links: DataFrame, tried: DataFrame) -> DataFrame:
@@ -382,14 +383,15 @@ def _dense_links(docs: DataFrame, classes: DataFrame, prefixes: DataFrame, links
     """
     hot = prefixes.select("cls", "n", "rare", F.posexplode("hot").alias("place", "gram"))
     hot = stored(hot.withColumn("place", F.col("rare") + F.col("place")))
-    for turn in range(TURNS + 1):
+    for turn in range(len(PIVOTS) + 1):
         merged = _merged(links)
         owned = stored(hot.join(merged, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).select("gram", "cls", "n", "place", "comp"))
-        drawn = [F.min(F.struct(F.xxhash64("cls", F.lit(PIVOTS * turn + k)), "comp", "cls", "n", "place")) for k in range(PIVOTS)]
+        seeds = range(sum(PIVOTS[:turn]), sum(PIVOTS[:turn + 1]) or 1)
+        drawn = [F.min(F.struct(F.xxhash64("cls", F.lit(k)).alias("draw"), "comp", "cls", "n", "place")) for k in seeds] or [F.lit(None).cast(PIVOT)]
         spread = stored(owned.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.array_distinct(F.array(*drawn)).alias("pivots")).where("low <> high"))
         if spread.isEmpty():
             return links
-        if turn == TURNS:
+        if turn == len(PIVOTS):
             break
         star = owned.join(spread.select("gram", F.explode("pivots").alias("pivot")), "gram").where("comp <> pivot.comp")
         star = star.select(
