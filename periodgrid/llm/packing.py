@@ -78,8 +78,8 @@ def best_filling(counts: np.ndarray, room: int) -> list[int]:
 
     Depth first, longest first: the first filling found is the greedy one and serves as the
     incumbent. A branch ends when what it may still hold cannot beat the incumbent's waste. Of
-    two lengths that fit only the longer one need be tried where it leaves no room for more (the
-    shorter filling is dominated); a filling without waste ends the search.
+    the lengths that leave no room for more only the longest is tried (the others' fillings are
+    dominated); a filling without waste ends the search.
     """
     left = counts.copy()
     below = np.arange(len(counts))  # the longest length with a piece, at most i
@@ -101,15 +101,16 @@ def best_filling(counts: np.ndarray, room: int) -> list[int]:
         while size > 0 and best[0]:
             if room - min(room, int(total[size])) >= best[0] or nodes > NODES:
                 break
+            lower = size - 1
             if left[size] > 0:
                 left[size] -= 1
                 chosen.append(size)
                 walk(room - size, size)
                 chosen.pop()
                 left[size] += 1
-                if room - size < shortest:  # any shorter filling is dominated
-                    break
-            size = int(below[size - 1])
+                if room - size < shortest:  # shorter lengths that leave no room either are dominated
+                    lower = min(lower, room - shortest)
+            size = int(below[max(lower, 0)])
 
     walk(room, room)
     return best[1]
