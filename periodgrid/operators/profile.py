@@ -42,8 +42,8 @@ def type_histogram(rows: DataFrame) -> DataFrame:
 
 
 def null_counts(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``columna, nulos`` for the given columns, by default the first 20, in one pass."""
-    return _per_column(rows, columns or first_columns(rows), "nulos", lambda c: F.count_if(c.isNull()))
+    """``columna, nulos`` for the given columns, by default all, in one pass."""
+    return _per_column(rows, columns or rows.columns, "nulos", lambda c: F.count_if(c.isNull()))
 
 
 def distinct_counts(
@@ -61,8 +61,12 @@ def _per_column(rows: DataFrame, columns: Sequence[str], name: str, measure) ->
     return one.select(F.inline(F.array(*lines)))
 
 
-def value_range(rows: DataFrame, column: str, low: str = "minimo", high: str = "maximo") -> DataFrame:
-    return rows.agg(F.min(column).alias(low), F.max(column).alias(high))
+def value_range(
+    frame: DataFrame, column: str, low: str = "minimo", high: str = "maximo", rows: str | None = None
+) -> DataFrame:
+    """Least and largest value, and with ``rows`` the number of rows under that name, in one pass."""
+    counted = [F.count(F.lit(1)).alias(rows)] if rows else []
+    return frame.agg(F.min(column).alias(low), F.max(column).alias(high), *counted)
 
 
 def first_values(rows: DataFrame, column: str, position: Sequence[str], n: int = 10) -> DataFrame:

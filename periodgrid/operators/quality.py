@@ -33,8 +33,8 @@ def layer_order(layer: Column, layers: Sequence[str]) -> Column:
 def retention(before: DataFrame, after: DataFrame, key: str = "tabla", count: str = "num_filas") -> DataFrame:
     """Rows before and after, rows lost, share kept, per inventory line."""
     b = before.select(key, F.col(count).alias("filas_antes"))
-    a = after.select(key, F.col(count).alias("filas_despues"))
-    joined = b.join(a, key, "left").withColumn(
+    a = after.select(F.col(key).alias("_key"), F.col(count).alias("filas_despues"))
+    joined = b.join(a, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn(
         "filas_despues", F.coalesce("filas_despues", F.lit(0))
     )
     kept = F.try_divide(F.col("filas_despues").cast("double") * 100, F.col("filas_antes"))

@@ -71,5 +71,8 @@ def share_of_total(
     """100 * value / total of its group; the totals are joined back, not windowed."""
     totals = rows.groupBy(*by).agg(F.sum(value).alias("_total"))
     share = F.try_divide(F.col(value).cast("double") * 100, F.col("_total").cast("double"))
-    joined = rows.join(totals, list(by))
+    # NULL is a group like any other.
+    keyed = totals.withColumnsRenamed({key: f"_of_{key}" for key in by})
+    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in by]
+    joined = rows.join(keyed, same) if by else rows.crossJoin(F.broadcast(totals))  # one row
     return joined.select(*rows.columns, share.alias(name))

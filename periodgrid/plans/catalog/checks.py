@@ -134,9 +134,7 @@ SELECT CAST(min(l_shipdate) AS DATE) AS minimo, CAST(max(l_shipdate) AS DATE) AS
        count(*) AS filas FROM lineitem""")
 def range_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("fecha"))
-    span = profile.value_range(lines, "fecha")
-    rows = lines.agg(F.count(F.lit(1)).alias("filas"))
-    return span.crossJoin(F.broadcast(rows))
+    return profile.value_range(lines, "fecha", rows="filas")
 
 
 @query("""

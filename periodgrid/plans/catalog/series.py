@@ -51,9 +51,18 @@ QUARTER_LABELS = [f"{quarter_name(m)}{suffix(year)}" for year in YEARS for m in
 def period_label(date: str, quarter: bool = False) -> Column:
     """The label a sheet gives to the month (or the quarter starting in the month) of a date."""
     names = [quarter_name(m) if quarter else MONTHS_ES[m - 1] for m in range(1, 13)]
-    gap = F.year(date) - FIRST_YEAR
-    tail = F.when(gap == 0, "").otherwise(F.concat(F.lit("."), gap.cast("string")))
-    return F.concat(F.element_at(F.array(*[F.lit(n) for n in names]), F.month(date)), tail)
+    return F.concat(F.element_at(F.array(*[F.lit(n) for n in names]), F.month(date)), year_suffix(F.year(date)))
+
+
+def year_suffix(year: Column) -> Column:
+    """``.<years since FIRST_YEAR>``, nothing for FIRST_YEAR, NULL for NULL.
+
+    The sheets have columns for FIRST_YEAR to LAST_YEAR; a date outside stops the query, so that
+    no fact is left out without a word.
+    """
+    gap = year - FIRST_YEAR
+    outside = F.raise_error(F.concat(F.lit(f"no column for a date outside {FIRST_YEAR}-{LAST_YEAR}: "), year.cast("string")))
+    return F.when(gap == 0, "").when(year.between(FIRST_YEAR, LAST_YEAR), F.concat(F.lit("."), gap.cast("string"))).when(year.isNotNull(), outside)
 
 
 def monthly_cells(
@@ -146,8 +155,7 @@ def long_quarter_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Months of one concept: as many as the calendar has.
     ahead = Window.partitionBy("concepto").orderBy("ym").rangeBetween(0, 2)
     names = F.array(*[F.lit(quarter_name(m)) for m in range(1, 13)])
-    gap = F.col("y") - FIRST_YEAR
-    tail = F.when(gap == 0, "").otherwise(F.concat(F.lit("."), gap.cast("string")))
+    tail = year_suffix(F.col("y"))
     sheet = (
         monthly.select(
             "concepto",

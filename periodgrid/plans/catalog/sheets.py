@@ -28,7 +28,7 @@ from ..layers import (
     Survey,
 )
 from ..refresh import inventory, ordered_inventory, refresh
-from .features import INDEX, VALUE, band_sql, label_sql
+from .features import INDEX, REASON_SQL, VALUE, band_sql, label_sql
 from .registry import (
     FIRST_YEAR,
     GRAMMAR,
@@ -85,11 +85,15 @@ def sheet_files(
     ).select(F.lit(book).alias("archivo"), F.col("hoja").cast("string").alias("hoja"), "value")
 
 
-def derived_sheets(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    orders = sheet_files(
+def orders_sheets(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    return sheet_files(
         table(spark, sf_dir, "orders"), ORDERS_BOOK, "o_orderstatus", "o_orderpriority",
         "o_orderdate", "o_totalprice", 12, extra=extra,
     )
+
+
+def derived_sheets(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    orders = orders_sheets(spark, sf_dir, extra)
     lines = sheet_files(
         table(spark, sf_dir, "lineitem"), LINES_BOOK, "l_returnflag", "l_linestatus",
         "l_shipdate", "l_extendedprice", 13, extra=extra,
@@ -236,8 +240,8 @@ SELECT tabla, concepto, CAST(row_number() OVER (PARTITION BY tabla, concepto ORD
 FROM ({ORDER_CELLS}) c""")
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cell grid: every non-empty cell with its column, here numbered within its row."""
-    read = rows_from_text(spark, derived_sheets(spark, sf_dir), grammar=GRAMMAR)
-    rows = read.where(F.col("archivo") == ORDERS_BOOK).select(
+    read = rows_from_text(spark, orders_sheets(spark, sf_dir), grammar=GRAMMAR)
+    rows = read.select(
         "tabla", F.get("celdas", F.lit(0)).alias("concepto"), "celdas"
     )
     cells = explode_cells(rows).where(F.col("col_idx") > 0)
@@ -359,17 +363,6 @@ def _inventory_sql() -> str:
     ])
 
 
-_STORES: dict[tuple[str, str], TableStore] = {}
-
-
-def shared_store(spark: SparkSession, sf_dir: str) -> TableStore:
-    """One refresh per application and input, for queries that look at different tables of it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORES:
-        _STORES[key] = refreshed_store(spark, sf_dir)
-    return _STORES[key]
-
-
 def refreshed_store(spark: SparkSession, sf_dir: str) -> TableStore:
     """A full refresh of the survey derived from the tables."""
     root, location = fresh_path(spark, "sheets"), fresh_path(spark, "tables")
@@ -410,7 +403,7 @@ SELECT CAST(y AS INTEGER) AS anio, c AS indicador, {mean_sql('v')} AS promedio_a
 FROM s GROUP BY y, c""")
 def refresh_annual_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly metrics as the full refresh stores them."""
-    return shared_store(spark, sf_dir).read("gold_metricas_empleo_anual")
+    return refreshed_store(spark, sf_dir).read("gold_metricas_empleo_anual")
 
 
 @query(f"""
@@ -420,7 +413,7 @@ SELECT CAST(y AS INTEGER) AS anio, c AS rama_actividad, {mean_sql('v')} AS prome
        {sum_sql('v')} AS total_ocupados_miles, count(*) AS num_observaciones FROM s GROUP BY y, c""")
 def refresh_top_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top sectors as the full refresh stores them; there are fewer than ten here."""
-    return shared_store(spark, sf_dir).read("gold_empleo_top_ramas")
+    return refreshed_store(spark, sf_dir).read("gold_empleo_top_ramas")
 
 
 @query(f"""
@@ -431,7 +424,7 @@ UNION ALL SELECT CAST(y AS INTEGER), 'Sexo', c, {mean_sql('v')} FROM s GROUP BY
 UNION ALL SELECT CAST(y AS INTEGER), 'Nivel Educativo', c, {mean_sql('v')} FROM e GROUP BY y, c""")
 def refresh_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dashboard as the full refresh stores it."""
-    return shared_store(spark, sf_dir).read("gold_dashboard_informalidad")
+    return refreshed_store(spark, sf_dir).read("gold_dashboard_informalidad")
 
 
 CITY_SOURCE = "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"
@@ -448,10 +441,11 @@ p AS (SELECT c AS ciudad, {mean_sql('v')} AS {VALUE}, {round_sql('min(v)')} AS t
 f AS (SELECT p.*, {round_sql('low / nullif(high, 0)')} AS {INDEX}, low AS tasa_informalidad_baja_educacion,
         high AS tasa_informalidad_alta_educacion, {band_sql(VALUE, BANDS)} AS severidad_informalidad
       FROM p CROSS JOIN i)
-SELECT *, {label_sql()} AS instrumento_recomendado, severidad_informalidad AS prioridad FROM f""")
+SELECT *, {label_sql()} AS instrumento_recomendado, severidad_informalidad AS prioridad,
+       {REASON_SQL} AS justificacion FROM f""")
 def refresh_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recommendations as the full refresh stores them, but for the written reason."""
-    return shared_store(spark, sf_dir).read("gold_recomendaciones_focalizacion").drop("justificacion")
+    """Recommendations as the full refresh stores them."""
+    return refreshed_store(spark, sf_dir).read("gold_recomendaciones_focalizacion")
 
 
 @query(f"""
@@ -459,5 +453,5 @@ WITH c AS ({monthly_sql('n_name', 'o_orderdate', 'o_totalprice', CITY_SOURCE, 'W
 SELECT c AS ciudad, {mean_sql('v')} AS {VALUE} FROM c GROUP BY c ORDER BY 2 DESC, 1 LIMIT 10""")
 def sql_text_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table queried by its name in SQL text."""
-    name = shared_store(spark, sf_dir).full_name("gold_recomendaciones_focalizacion")
+    name = refreshed_store(spark, sf_dir).full_name("gold_recomendaciones_focalizacion")
     return spark.sql(f"SELECT ciudad, {VALUE} FROM {name} ORDER BY {VALUE} DESC, ciudad LIMIT 10")

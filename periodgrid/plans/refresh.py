@@ -23,10 +23,17 @@ INFORMALITY = ("informalidad_total_nacional", "informalidad_sexo", "informalidad
 
 
 def load_bronze(store: TableStore, read: SheetRead, survey: Survey) -> DataFrame:
-    """All sheets in one pass, then one table per manifest line. Returns the load report."""
+    """All sheets in one pass, then one table per manifest line. Returns the load report.
+
+    A table keeps its last good state if one of its sheets is missing or cannot be read. Only a
+    table that was never loaded is made from what there is, so that later layers find it.
+    """
     done = ingest(read, store=True)
     specs = survey.sheets()
-    store.write_all({f"bronze_{spec.table}": table_rows(done.bronze, spec) for spec in specs})
+    # At most one row per manifest line.
+    failed = {row.tabla for row in done.quarantine.select("tabla").distinct().collect()}
+    fresh = [spec for spec in specs if spec.table not in failed or not store.exists(f"bronze_{spec.table}")]
+    store.write_all({f"bronze_{spec.table}": table_rows(done.bronze, spec) for spec in fresh})
     return load_report(done, specs)
 
 

@@ -46,8 +46,8 @@ def recommendation_metrics(
         mean_of(F.sum("_total"), F.sum("_n"), 2, exact).alias("_mean"),
     )
     overall = F.array(
-        metric("total_ciudades_analizadas", F.col("_rows")),
-        metric("ciudades_prioridad_alta", F.col("_high")),
+        metric("total_ciudades_analizadas", F.coalesce("_rows", F.lit(0))),
+        metric("ciudades_prioridad_alta", F.coalesce("_high", F.lit(0))),
         metric("promedio_informalidad_miles", F.col("_mean")),
         metric("cobertura_poblacion_pct", F.lit(COVERAGE_PCT)),
     )
@@ -76,5 +76,9 @@ def _record(rows: DataFrame, run_id: str) -> DataFrame:
 
 
 def compare_runs(records: DataFrame, keys: Sequence[str], run: str = "run_id") -> DataFrame:
-    """One row per run, one column per key; the keys are given, so no pass looks for them."""
-    return records.groupBy(run).pivot("clave", list(keys)).agg(F.first("valor", ignorenulls=True))
+    """One row per run, one column per key; the keys are given, so no pass looks for them.
+
+    Of a key that a run recorded more than once, the newest record (``ts``) counts.
+    """
+    newest = F.max_by("valor", "ts") if "ts" in records.columns else F.first("valor", ignorenulls=True)
+    return records.groupBy(run).pivot("clave", list(keys)).agg(newest)

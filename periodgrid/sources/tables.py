@@ -23,6 +23,10 @@ def with_lineage(rows: DataFrame, archive: Column, sheet: Column) -> DataFrame:
     })
 
 
+#: What tells one sheet of a load: its table, its file and its name.
+SHEET_KEY = ("tabla", "archivo", "hoja")
+
+
 @dataclass(frozen=True)
 class Ingest:
     """Long rows of all sheets with lineage, and what could not be read.
@@ -41,10 +45,12 @@ def ingest(read: SheetRead, store: bool = False) -> Ingest:
     long = headed_rows_to_long(read.rows, ("tabla", "archivo", "hoja", "error"), "error")
     if store:
         long = cut_lineage(long, partition_by=("tabla",))
-    good = long.where(F.col("error").isNull())
+    errors = long.where(F.col("error").isNotNull()).select("tabla", "archivo", "hoja", "error").distinct()
+    # A sheet with an error counts as unread: the rows before the error are no table.
+    unread = errors.select(*SHEET_KEY).distinct()
+    good = long.where(F.col("error").isNull()).join(unread, list(SHEET_KEY), "left_anti").select(*long.columns)
     bronze = with_lineage(good, F.col("archivo"), F.col("hoja")).drop("archivo", "hoja", "error")
-    errors = long.where(F.col("error").isNotNull()).select("tabla", "archivo", "hoja", "error")
-    return Ingest(bronze, errors.distinct().unionByName(read.missing))
+    return Ingest(bronze, errors.unionByName(read.missing))
 
 
 def table_rows(bronze: DataFrame, spec: SheetSpec) -> DataFrame:
@@ -55,18 +61,21 @@ def table_rows(bronze: DataFrame, spec: SheetSpec) -> DataFrame:
 
 
 def load_report(done: Ingest, specs: Sequence[SheetSpec]) -> DataFrame:
-    """``tabla, filas, columnas, cargada, error`` per manifest line."""
+    """``tabla, filas, columnas, cargada, error`` per manifest line: the rows and the error of its
+    own sheet. A sheet is loaded if it gave rows and no error."""
     width = len(done.bronze.columns) - 1
-    listed = manifest_frame(done.bronze.sparkSession, specs).select("tabla")
-    counts = done.bronze.groupBy("tabla").agg(F.count(F.lit(1)).alias("filas"))
-    errors = done.quarantine.groupBy("tabla").agg(F.min("error").alias("error"))
+    key = list(SHEET_KEY)
+    listed = manifest_frame(done.bronze.sparkSession, specs).select(*key)
+    of_sheet = done.bronze.withColumnsRenamed({"_archivo_origen": "archivo", "_hoja_origen": "hoja"})
+    counts = of_sheet.groupBy(*key).agg(F.count(F.lit(1)).alias("filas"))
+    errors = done.quarantine.groupBy(*key).agg(F.min("error").alias("error"))
     filled = F.coalesce("filas", F.lit(0))
     return (
-        listed.join(counts, "tabla", "left")
-        .join(errors, "tabla", "left")
+        listed.join(counts, key, "left")
+        .join(errors, key, "left")
         .select(
             "tabla", filled.alias("filas"), F.lit(width).alias("columnas"),
-            (filled > 0).alias("cargada"), "error",
+            ((filled > 0) & F.col("error").isNull()).alias("cargada"), "error",
         )
     )
 
@@ -101,6 +110,9 @@ class TableStore:
         with ThreadPoolExecutor(at_once) as pool:
             list(pool.map(one, tables.items()))
 
+    def exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(self.full_name(name))
+
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.full_name(name))
 

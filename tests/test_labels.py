@@ -2,7 +2,6 @@
 
 import io
 import math
-import re
 from datetime import date
 
 import pandas as pd
@@ -67,35 +66,30 @@ def test_null_label_is_no_period(spark):
     assert row.ok is False
 
 
-def model(label, bound):
-    """The grammar written once more, on plain Python strings."""
-    clean = label.replace("*", "")
-    month = next((m for m in MONTHS_ES if clean.startswith(m)), None)
-    tail = re.search(r"\.([0-9]+)$", label)
-    suffix = int(tail.group(1)) if tail else 0
-    if month is None:
-        return False, None, suffix
-    rest = clean[len(month):]
-    number = re.fullmatch(r"\.([0-9]+)", rest)
-    valid = rest == "" or bool(number and int(number.group(1)) <= bound)
-    return valid or bool(re.match(r" - [a-zA-Z]+", rest)), MONTHS_ES.index(month) + 1, suffix
-
-
-LABELS = st.lists(
-    st.tuples(
-        st.sampled_from([*MONTHS_ES, "Mayo", "ene", "Total", ""]),
-        st.sampled_from(["", "*", " - mar", " -mar", " - ", "."]),
-        st.sampled_from(["", ".0", ".3", ".4", ".5", ".12", ".007", "*", ".1*"]),
-    ).map("".join),
-    min_size=1, max_size=30,
-)
+# What stands after a month: text, what makes it a period (ALWAYS, NEVER or the number that the
+# bound is held against), and the suffix that the whole label carries.
+ALWAYS, NEVER = "always", "never"
+TAILS = [
+    ("", ALWAYS, 0), ("*", ALWAYS, 0), (" - mar", ALWAYS, 0), (" - mar*", ALWAYS, 0),
+    (" - mar.3", ALWAYS, 3), (" - mar.12", ALWAYS, 12), (" - mar.1*", ALWAYS, 0),
+    (".0", 0, 0), (".3", 3, 3), (".4", 4, 4), (".5", 5, 5), (".12", 12, 12), (".007", 7, 7),
+    ("*.3", 3, 3), (".1*", 1, 0), (" -mar", NEVER, 0), (" -mar.4", NEVER, 4), (" - ", NEVER, 0),
+    (".", NEVER, 0), ("..5", NEVER, 5), (" - .3", NEVER, 3),
+]
+# What stands before it: text, month number, whether a tail can make it a period.
+HEADS = [(month, number, True) for number, month in enumerate(MONTHS_ES, 1)] + [
+    ("Mayo", 5, False), ("Enero", 1, False), ("ene", None, False), ("Total", None, False), ("", None, False),
+]
+PARTS = st.lists(st.tuples(st.sampled_from(HEADS), st.sampled_from(TAILS)), min_size=1, max_size=30)
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(labels=LABELS, bound=st.integers(0, 6))
-def test_grammar_equals_its_model(spark, labels, bound):
-    rows = parsed(spark, labels, PeriodGrammar(max_suffix=bound))
-    assert [(r.ok, r.month, r.suffix) for r in rows] == [model(label, bound) for label in labels]
+@given(parts=PARTS, bound=st.integers(0, 6))
+def test_labels_by_their_parts(spark, parts, bound):
+    rows = parsed(spark, [head[0] + tail[0] for head, tail in parts], PeriodGrammar(max_suffix=bound))
+    for row, ((_, month, sound), (_, period, suffix)) in zip(rows, parts, strict=True):
+        counts = period == ALWAYS or (period != NEVER and period <= bound)
+        assert (row.ok, row.month, row.suffix) == (sound and counts, month, suffix)
 
 
 def test_reading_labels_runs_no_job(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from periodgrid.operators import profile, quality
 from periodgrid.operators.joins import join_hot_keys
 from periodgrid.operators.ranking import lag_change, rank_descending, share_of_total, top_k
+from periodgrid.plans.runs import compare_runs, recommendation_metrics
 
 
 def test_rank_with_ties_nulls_and_a_hot_value(spark):
@@ -81,3 +82,22 @@ def test_profile(spark, rows_of):
     assert rows_of(profile.value_range(a, "n")) == [(1, 2)]
     assert [r.s for r in profile.first_values(a, "s", ["pos"], 2).collect()] == [None, "x"]
     assert profile.first_columns(a, 2) == ["pos", "s"]
+
+
+def test_null_groups_and_keys_count(spark, rows_of):
+    rows = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 4.0)], "g string, v double")
+    assert rows_of(share_of_total(rows, "v", ["g"]), "g", "participacion_pct") == [("a", 25.0), ("a", 75.0), (None, 100.0)]
+    assert rows_of(share_of_total(rows, "v", []), "participacion_pct") == [(12.5,), (37.5,), (50.0,)]
+    counts = spark.createDataFrame([(None, 5), ("t", 2)], "tabla string, num_filas long")
+    assert rows_of(quality.retention(counts, counts), "tabla", "filas_perdidas") == [("t", 0), (None, 0)]
+
+
+def test_no_recommendations_count_as_zero(spark, rows_of):
+    empty = spark.createDataFrame([], "instrumento_recomendado string, prioridad string, tasa_informalidad_promedio_miles double")
+    got = dict(rows_of(recommendation_metrics(empty), "metrica", "valor"))
+    assert got["total_ciudades_analizadas"] == 0 and got["ciudades_prioridad_alta"] == 0
+
+
+def test_newest_record_of_a_run_counts(spark, rows_of):
+    rows = spark.createDataFrame([("r", "k", 1.0, 1), ("r", "k", 2.0, 2), ("s", "k", 5.0, 1)], "run_id string, clave string, valor double, ts long")
+    assert rows_of(compare_runs(rows, ["k"])) == [("r", 2.0), ("s", 5.0)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from periodgrid.functions.periods import PeriodGrammar
 from periodgrid.plans.layers import LAYERS, Survey
-from periodgrid.plans.refresh import inventory, ordered_inventory, refresh
+from periodgrid.plans.refresh import inventory, load_bronze, ordered_inventory, refresh
 from periodgrid.sources import csv_sheets, xlsx_sheets
 from periodgrid.sources.manifest import SheetSpec
 from periodgrid.sources.tables import TableStore, ingest, load_report, table_rows
@@ -74,6 +74,35 @@ def test_csv_quarantine(spark, tmp_path, rows_of):
         ("corta", 0, False), ("edu", 6, True), ("nada", 0, False), ("sexo", 0, False)]
 
 
+def test_failed_sheets_keep_the_last_good_table(spark, tmp_path, rows_of):
+    """A missing sheet and a damaged one leave their tables as they were; the report says so."""
+    class Two:
+        sheets = staticmethod(lambda: SPECS)
+
+    first, second = tmp_path / "first", tmp_path / "second"
+    first.mkdir()
+    second.mkdir()
+    write_csv(first, BOOK, "Educación ", EDU)
+    write_csv(first, BOOK, "Sexo", SEXO)
+    (second / BOOK).mkdir()
+    (second / BOOK / "Sexo.csv").write_text('t\nt\nt\nk,Ene\nMujeres,7\n"x,1\n')
+    store = TableStore(spark, "ultima_buena", str(tmp_path / "store"))
+    load_bronze(store, csv_sheets.read_csv_sheets(spark, str(first), SPECS), Two)
+    before = [rows_of(store.read(f"bronze_{t}")) for t in ("edu", "sexo")]
+    report = load_bronze(store, csv_sheets.read_csv_sheets(spark, str(second), SPECS), Two)
+    assert [rows_of(store.read(f"bronze_{t}")) for t in ("edu", "sexo")] == before
+    assert rows_of(report, "tabla", "filas", "cargada") == [("edu", 0, False), ("sexo", 0, False)]
+
+
+def test_report_per_sheet(spark, tmp_path, rows_of):
+    """Two manifest lines feed one table; only one of their sheets is there."""
+    write_csv(tmp_path, BOOK, "Sexo", SEXO)
+    specs = (SheetSpec(BOOK, "Sexo", "t", "k", 3), SheetSpec(BOOK, "Falta", "t", "k", 3))
+    done = ingest(csv_sheets.read_csv_sheets(spark, str(tmp_path), specs), store=True)
+    assert rows_of(load_report(done, specs), "tabla", "filas", "cargada", "error") == [
+        ("t", 0, False, "sheet not found"), ("t", 2, True, None)]
+
+
 def test_large_sheet_is_read_in_splits(spark, tmp_path, rows_of, monkeypatch):
     """Both readers agree on a file cut into many splits, with quoted cells in it."""
     rng = random.Random(7)
@@ -104,7 +133,7 @@ def test_line_breaks_in_large_sheets_are_reported(spark, tmp_path, rows_of):
     write_csv(tmp_path, BOOK, "Educación ", EDU)
     read = csv_sheets.read_csv_sheets(spark, str(tmp_path), SPECS[:1], whole_file_bytes=0)
     assert rows_of(ingest(read).quarantine, "hoja", "error") == [("Educación ", "line break inside a quoted cell")]
-    assert len(series(read, rows_of)) == 5
+    assert series(read, rows_of) == []  # as with any other error, the whole sheet is unread
 
 
 def test_header_below_a_large_sheets_first_split(spark, tmp_path, rows_of):
