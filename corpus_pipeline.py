@@ -23,7 +23,7 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: one document of each near-duplicate group stays, the one with the smallest doc_id."""
     groups = jaccard_components(docs)
-    extra = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    extra = stored(groups.where("component_id <> doc_id").select("doc_id").distinct())
     return docs.join(extra, "doc_id", "left_anti").select(*COLUMNS)
 
 
