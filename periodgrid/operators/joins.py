@@ -9,43 +9,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 
-SALTS = 64
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def fits_broadcast(side: DataFrame, limit: int) -> bool:
-    """Measure a stored side before it is broadcast: the size of its rows as text."""
-    size = F.sum(F.length(F.to_json(F.struct("*")))).alias("size")
-    return (side.agg(size).first().size or 0) <= limit
+    """Is a stored side small enough to be broadcast? By the size of its files, without a job."""
+    size = side._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
 
 
 def join_hot_keys(
-    facts: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    facts: DataFrame, small: DataFrame, on: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Inner join of facts with a side that has one row per key; NULL keys match NULL keys.
 
-    The small side is stored and measured first. If it is small indeed, it is broadcast and the
-    facts do not move. If not, both sides meet on the key and a salt, so that no task gets more
-    than about 1/salts of a key. The salt is a hash of the row: a task that is run again deals
-    its rows the same way.
+    The small side is stored, so its size is known: if it is small indeed, it is broadcast and
+    the facts do not move. If not, both sides meet on the key; partitions that a hot key makes
+    large are split at run time (adaptive skew join), with a copy of the one matching row each.
     """
     side = cut_lineage(small.withColumnsRenamed({name: f"_on_{name}" for name in on}))
     matches = [F.col(name).eqNullSafe(F.col(f"_on_{name}")) for name in on]
     if fits_broadcast(side, broadcast_bytes):
-        joined = facts.join(F.broadcast(side), _all(matches), "inner")
-    else:
-        dealt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        joined = facts.withColumn("_salt", dealt).join(
-            side.withColumn("_copy", copies),
-            _all([*matches, F.col("_salt") == F.col("_copy")]),
-            "inner",
-        )
-    return joined.drop("_salt", "_copy", *[f"_on_{name}" for name in on])
+        side = F.broadcast(side)
+    return facts.join(side, _all(matches), "inner").drop(*[f"_on_{name}" for name in on])
 
 
 def _all(conditions: Sequence[Column]) -> Column:

@@ -71,8 +71,8 @@ def range_check(rows: DataFrame, limits: dict[str, tuple[float, float]]) -> Data
 def outliers(rows: DataFrame, by: Sequence[str], value: str, limit: float = 3.0) -> DataFrame:
     """Rows further than ``limit`` sample deviations from the mean of their group, with ``z``.
 
-    Group statistics are aggregated (map side first) and joined back with salted keys, so a
-    group of any size is spread over many tasks.
+    Group statistics are aggregated (map side first) and joined back; a group of any size is
+    spread over many tasks (see ``join_hot_keys``).
     """
     stats = rows.groupBy(*by).agg(
         F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")

@@ -26,10 +26,10 @@ def rank_descending(
     rank is then (rows in higher buckets) + (rows above within the bucket) + 1. The cut points
     only balance the work: any cut points give the same ranks.
     """
-    fixed_rows = cut_lineage(rows)
     missing, filled = F.col(value).isNull().alias("_missing"), F.coalesce(F.col(value), F.lit(0))
-    keyed = fixed_rows.select("*", missing, filled.alias("_key"))
-    counts = keyed.groupBy("_missing", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    keyed = rows.select("*", missing, filled.alias("_key"))
+    # The counted values are stored, not the rows: cut points and ranks both read them.
+    counts = cut_lineage(keyed.groupBy("_missing", "_key").agg(F.count(F.lit(1)).alias("_n")))
 
     steps = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(counts.approxQuantile("_key", steps, 0.25 / buckets)))

@@ -4,7 +4,9 @@ import re
 
 import pytest
 
+from periodgrid.operators import joins
 from __spark_entry__ import queries
+from periodgrid.plans.catalog import QUERIES
 
 
 def static_plan(df):
@@ -30,7 +32,7 @@ def adaptive_plan(spark, sf_dir, name):
 
 
 def test_no_python_in_any_plan(plan_of):
-    for name in queries():
+    for name in QUERIES:
         if name not in {"refresh_inventory", "incremental_bronze"}:
             plan = plan_of(name)
             assert "Python" not in plan and "ArrowEval" not in plan, name
@@ -62,6 +64,19 @@ def test_limits_do_not_sort_everything(plan_of, name):
     assert "TakeOrderedAndProject" in plan_of(name)
 
 
+def test_large_statistics_are_not_copied(spark, sf_dir, monkeypatch):
+    """Beyond the broadcast limit the small side moves once, and hot keys are left to Spark."""
+    monkeypatch.setattr(joins.join_hot_keys, "__defaults__", (0,))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("rank_hot_values", "outlier_zscore"):
+            plan = static_plan(queries()[name](spark, sf_dir))
+            assert "Generate" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_columns_are_pruned(plan_of):
     plan = plan_of("vulnerability_index")
     assert "ReadSchema: struct<l_quantity:double,l_returnflag:string>" in plan

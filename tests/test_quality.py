@@ -30,7 +30,7 @@ def test_rank_of_nothing(spark):
 def test_hot_key_join_keeps_every_row(spark, limit):
     facts = spark.createDataFrame([(i, "hot" if i % 3 else None) for i in range(300)], "i int, k string")
     small = spark.createDataFrame([("hot", 1), (None, 2), ("cold", 3)], "k string, n int")
-    joined = join_hot_keys(facts, small, ["k"], limit, salts=8)
+    joined = join_hot_keys(facts, small, ["k"], limit)
     assert joined.columns == ["i", "k", "n"]
     assert sorted((r.i, r.n) for r in joined.collect()) == [(i, 1 if i % 3 else 2) for i in range(300)]
 
