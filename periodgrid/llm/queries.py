@@ -106,3 +106,25 @@ WITH RECURSIVE {SHINGLES_SQL}
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN groups c USING (doc_id)
 """
+
+SQL["op8_subspace_join"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+  SELECT a.vec_id AS s, b.vec_id AS t FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE a.n > 0 AND b.n > 0 AND list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.93
+), reach AS (
+  SELECT vec_id, vec_id AS root FROM embeddings
+  UNION
+  SELECT l.t, r.root FROM reach r JOIN links l ON l.s = r.vec_id
+), groups AS (
+  SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id
+), degrees AS (
+  SELECT s AS vec_id, count(*) AS n_links FROM links GROUP BY s
+)
+SELECT e.vec_id, coalesce(d.n_links, 0) AS n_links, g.component_id, e.vec_id = g.component_id AS kept
+FROM embeddings e LEFT JOIN degrees d USING (vec_id) JOIN groups g USING (vec_id)
+"""

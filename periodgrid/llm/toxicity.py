@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from .common import slices
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 16, 8, (1, 2, 3)
+#: Pieces of a word: itself and its first three to six letters.
+PIECES = 5
 #: Bounds of the samples: labelled rows per class to train on, rows to calibrate on, and words
 #: of one text that the training reads at a time.
 TRAIN_PER_CLASS, CALIBRATE_ROWS = 2000, 3000
@@ -47,7 +49,7 @@ def _coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = words.flatten().dictionary_encode()
     known = coded.dictionary.to_pylist()
-    table = np.full((len(known) + 1, 5), BUCKETS, np.int32)
+    table = np.full((len(known) + 1, PIECES), BUCKETS, np.uint16)
     for row, word in zip(table, known):
         buckets = _pieces(word)
         row[:len(buckets)] = buckets
@@ -89,8 +91,10 @@ class TextCnn:
 
     def words(self, table: np.ndarray) -> np.ndarray:
         """Embeddings of words: the mean of their pieces; the last row (blank) is zero."""
-        held = np.maximum((table < BUCKETS).sum(1, keepdims=True), 1)
-        return self.embed[table].sum(1) / held
+        total = np.zeros((len(table), DIM), np.float32)
+        for piece in table.T:  # one at a time keeps the memory small
+            total += self.embed[piece]
+        return total / np.maximum((table < BUCKETS).sum(1, keepdims=True), 1).astype(np.float32)
 
     def logits(self, table: np.ndarray, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         words = self.words(table)
@@ -124,8 +128,8 @@ def _pooled(places: list, codes: np.ndarray, sizes: np.ndarray, blank: int) -> t
     return tops, owner
 
 
-def train(table: np.ndarray, texts: list[np.ndarray], labels: np.ndarray, base_rate: float, seed: int = 7) -> TextCnn:
-    """Adam over balanced batches; the output is shifted to ``base_rate`` afterwards."""
+def train(texts: list[np.ndarray], labels: np.ndarray, base_rate: float, seed: int = 7) -> TextCnn:
+    """Adam over balanced batches of texts (pieces per word); the output is shifted to ``base_rate`` afterwards."""
     net, rng = TextCnn.fresh(seed), np.random.default_rng(seed)
     pools = [np.flatnonzero(labels == k) for k in (0, 1)]
     params = [net.embed, *net.filters, *net.bias, net.out]
@@ -133,10 +137,9 @@ def train(table: np.ndarray, texts: list[np.ndarray], labels: np.ndarray, base_r
     for step in range(1, STEPS + 1):
         chosen = np.concatenate([rng.choice(p, BATCH // 2) for p in pools])
         sizes = np.array([len(texts[i]) for i in chosen])
-        used, codes = np.unique(np.concatenate([texts[i] for i in chosen]), return_inverse=True)
-        pieces = table[np.append(used, len(table) - 1)]
-        held = np.maximum((pieces < BUCKETS).sum(1), 1)
-        padded, starts = _padded(codes, sizes, len(used))
+        pieces = np.concatenate([*(texts[i] for i in chosen), BLANK])
+        held = np.maximum((pieces < BUCKETS).sum(1), 1).astype(np.float32)
+        padded, starts = _padded(np.arange(len(pieces) - 1), sizes, len(pieces) - 1)
         words = net.words(pieces)
         owner = np.flatnonzero(sizes)
         grads = [np.zeros_like(p) for p in params]
@@ -180,12 +183,27 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3, F.lit(0))
 
 
-def _texts(rows: DataFrame) -> tuple[np.ndarray, list[np.ndarray], list]:
-    """A bounded sample on the driver: word table, codes per text, and the rows' other columns."""
+BLANK = np.full((1, PIECES), BUCKETS, np.uint16)
+
+
+def _texts(rows: DataFrame) -> tuple[list[np.ndarray], list]:
+    """A bounded sample on the driver: per text the pieces of its words, and the rows' other columns."""
     got = rows.toArrow()
-    table, codes, sizes = _coded(got.column("text"))
-    ends = np.cumsum(sizes)
-    return table, [codes[e - s:e] for s, e in zip(sizes, ends)], got.drop_columns("text").to_pylist()
+    texts = []
+    for part in slices(got.column("text")):
+        table, codes, sizes = _coded(part)
+        texts += np.split(table[codes], np.cumsum(sizes)[:-1])
+    return texts, got.drop_columns("text").to_pylist()
+
+
+def _scores(net: TextCnn, texts: list[np.ndarray]) -> np.ndarray:
+    """Scores of texts of the sample, a few at a time."""
+    out = [np.zeros(0)]
+    for at in range(0, len(texts), BATCH):
+        some = texts[at:at + BATCH]
+        pieces = np.concatenate([*some, BLANK])
+        out.append(_sigmoid(net.logits(pieces, np.arange(len(pieces) - 1), np.array([len(t) for t in some], np.int64))))
+    return np.concatenate(out)
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> tuple[TextCnn | None, dict[str | None, float], float]:
@@ -203,16 +221,14 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[TextCnn | None, dict[s
     sample = parts[0].unionByName(parts[1]).unionByName(parts[2])
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
     # At most 2 * TRAIN_PER_CLASS + CALIBRATE_ROWS ids: a bounded side.
-    table, codes, rows = _texts(texts.join(F.broadcast(sample), "doc_id").orderBy("draw", "doc_id", F.xxhash64("text")))
+    pieces, rows = _texts(texts.join(F.broadcast(sample), "doc_id").orderBy("draw", "doc_id", F.xxhash64("text")))
     label = np.array([r["toxic"] for r in rows], np.float32)
     trains = np.array([r["train"] for r in rows], bool)
     if len(set(label[trains])) < 2:
         return None, {None: PREDICT_AT}, float(rated["rate"])
-    net = train(table, [c for c, t in zip(codes, trains) if t], label[trains], min(max(float(rated["rate"]), 0.01), 0.99))
+    net = train([p for p, t in zip(pieces, trains) if t], label[trains], min(max(float(rated["rate"]), 0.01), 0.99))
     rest = np.flatnonzero(~trains)
-    sizes = np.array([len(codes[i]) for i in rest], np.int64)
-    flat = np.concatenate([codes[i] for i in rest]) if len(rest) else np.zeros(0, np.int64)
-    score = _sigmoid(net.logits(table, flat, sizes))
+    score = _scores(net, [pieces[i] for i in rest])
     return net, thresholds([rows[i]["lang"] for i in rest], score, label[rest]), float(rated["rate"])
 
 
