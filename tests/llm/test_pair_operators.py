@@ -90,10 +90,11 @@ def test_jaccard_odd_rows(spark):
     assert vertical_join.jaccard_components(frame.limit(0)).count() == 0
 
 
-def test_registered_sql(spark, sf_dir):
-    name = next(n for n in queries() if n.startswith("op10_"))
+@pytest.mark.parametrize("name", [n for n in oracle_sql() if n.startswith("op")])
+def test_registered_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     df = queries()[name](spark, sf_dir)
     want = con.sql(f"SELECT {', '.join(df.columns)} FROM ({oracle_sql()[name]})").fetchall()
     assert sorted(map(tuple, df.collect())) == sorted(want)
