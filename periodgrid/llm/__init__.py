@@ -1,8 +1 @@
 """Operators of a training-data pipeline. Nothing else in the library imports this package."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Tasks get the helpers of this package with the job: executors need no copy of it installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -99,6 +99,13 @@ class WindowIndex:
         self.span = int((self.m + self.k).min(initial=1 << 30))
         self.dense = int((-(-self.bound // -(-(self.m + self.k) // self.span))).min()) if len(self.m) else 1
 
+    @classmethod
+    def of(cls, state: dict) -> WindowIndex:
+        """An index from its broadcast state: plain data, which tasks read without this class."""
+        index = cls.__new__(cls)
+        index.__dict__.update(state)
+        return index
+
     def regions(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
         """(window, lowest, highest diagonal) of the bands of joined texts that reach the bound."""
         if not len(self.grams) or len(codes) < Q:
@@ -174,6 +181,7 @@ def banded(pattern: np.ndarray, codes: np.ndarray, low: int, high: int, k: int)
 
 def _search(index, documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = WindowIndex.of(index.value)
         for batch in batches:
             ids = batch.column("doc_id")
             found: list[tuple] = []
@@ -184,7 +192,7 @@ def _search(index, documents: DataFrame) -> DataFrame:
                 owners.append(k)
                 size += len(codes)
                 if size >= STRETCH or k == batch.num_rows - 1:
-                    found += _found(index.value, held, owners)
+                    found += _found(windows, held, owners)
                     held, owners, size = [], [], 0
             if found:
                 rows = list(zip(*found))
@@ -226,7 +234,7 @@ def contaminated_regions(documents: DataFrame, benchmark: DataFrame) -> DataFram
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text")
         index = WindowIndex([tuple(r) for r in mine.collect()])
-        one = _search(spark.sparkContext.broadcast(index), docs)
+        one = _search(spark.sparkContext.broadcast(vars(index)), docs)
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -13,7 +13,6 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -109,7 +108,6 @@ def _pattern(words: str) -> re.Pattern:
     return re.compile(rf"(?<!{WORD})(?:{words.replace(' ', GAP)})(?!{WORD})", re.DOTALL)
 
 
-@lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
     """All rules in their order: forms by priority, each for every family and version, then sentences."""
     made = []
@@ -134,23 +132,6 @@ def rules() -> tuple[Rule, ...]:
     return tuple(made)
 
 
-@lru_cache(maxsize=1)
-def _base_patterns() -> tuple:
-    return tuple((label, _pattern(phrase)) for phrase, label in BASE.items())
-
-
-@lru_cache(maxsize=1)
-def _keywords() -> tuple[ahocorasick.Automaton, dict[str, list[Rule]]]:
-    by_word: dict[str, list[Rule]] = {}
-    for rule in rules():
-        by_word.setdefault(rule.keyword, []).append(rule)
-    automaton = ahocorasick.Automaton()
-    for word in by_word:
-        automaton.add_word(word, word)
-    automaton.make_automaton()
-    return automaton, by_word
-
-
 def suppress(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
     """Detections that lie in no better one: better is a lower priority number, then longer, then earlier."""
     kept: list[tuple[int, int, Rule]] = []
@@ -170,13 +151,25 @@ def suppress(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
     return sorted(kept, key=lambda x: (x[0], -x[1], x[2].label))
 
 
-def scan(lowered: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, Rule]]]:
-    """Base places and kept detections of one lower-cased text, as character intervals."""
-    base = [(m.start(), m.end(), label) for label, pattern in _base_patterns() for m in pattern.finditer(lowered)]
-    automaton, by_word = _keywords()
-    present = {word for _, word in automaton.iter(lowered)}
-    found = [(m.start(), m.end(), rule) for word in present for rule in by_word[word] for m in rule.pattern.finditer(lowered)]
-    return base, suppress(found)
+class Scanner:
+    """All rules made ready, and the automaton of their keywords."""
+
+    def __init__(self) -> None:
+        self.base = [(label, _pattern(phrase)) for phrase, label in BASE.items()]
+        self.by_word: dict[str, list[Rule]] = {}
+        for rule in rules():
+            self.by_word.setdefault(rule.keyword, []).append(rule)
+        self.automaton = ahocorasick.Automaton()
+        for word in self.by_word:
+            self.automaton.add_word(word, word)
+        self.automaton.make_automaton()
+
+    def scan(self, lowered: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, Rule]]]:
+        """Base places and kept detections of one lower-cased text, as character intervals."""
+        base = [(m.start(), m.end(), label) for label, pattern in self.base for m in pattern.finditer(lowered)]
+        present = {word for _, word in self.automaton.iter(lowered)}
+        found = [(m.start(), m.end(), rule) for word in present for rule in self.by_word[word] for m in rule.pattern.finditer(lowered)]
+        return base, suppress(found)
 
 
 #: A text with none of these holds no base phrase and no keyword of a rule. Keywords of one word that
@@ -210,12 +203,13 @@ def scan_licences(documents: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner()
         for batch in batches:
             lowered = pc.ascii_lower(batch.column("text"))
             rows = [(0, None, None, "", "", 0.0, [])] * batch.num_rows
             for k in np.flatnonzero(pc.match_substring_regex(lowered, _GATE).to_numpy(zero_copy_only=False)):
                 text = lowered[int(k)].as_py()
-                base, kept = scan(text)
+                base, kept = scanner.scan(text)
                 if not base and not kept:
                     continue
                 first = last = None

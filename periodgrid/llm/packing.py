@@ -13,7 +13,6 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +30,7 @@ NODES = 2000
 SPECIAL = {"<|endoftext|>": 50256}
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str):
+def encoder(path: str) -> tiktoken.Encoding:
     """The byte-level BPE of ``path`` (a ranks file): the ids of the tokenizers file of that name."""
     import public_tokenizers
 
@@ -41,8 +39,7 @@ def _encoder(path: str):
     return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
-def token_ids(text: str, path: str) -> np.ndarray:
-    coder = _encoder(path)
+def token_ids(text: str, coder: tiktoken.Encoding) -> np.ndarray:
     if any(token in text for token in SPECIAL):
         return np.array(coder.encode(text, allowed_special="all"), np.uint32)
     return coder.encode_to_numpy(text, disallowed_special=())
@@ -59,10 +56,11 @@ def pieces(documents: DataFrame, tokenizer: str | None = None, capacity: int = C
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(token_ids(text.as_py(), path), np.uint32(END_ID)).astype("<u4")
+                ids = np.append(token_ids(text.as_py(), coder), np.uint32(END_ID)).astype("<u4")
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)]
                 rows += [(doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]

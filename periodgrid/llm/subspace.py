@@ -154,8 +154,9 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     linked directly), component_id (smallest vec_id reachable, itself included), kept (vec_id =
     component_id). Vectors with a null label, null or empty embedding, a null or non-finite
     component or no length link with nothing, nor do rows without a vec_id (null component, not
-    kept). Vectors of different lengths never link. Repeated rows each count as a vector. Extra
-    columns are not read. No rows give no rows.
+    kept). Vectors of different lengths never link. Repeated rows each count as a vector; rows that
+    repeat a vec_id with another vector are one node, whose links add up. Extra columns are not
+    read. No rows give no rows.
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

@@ -266,17 +266,18 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """
     spark = documents.sparkSession
     net, limits, rate = fit(documents, labels)
-    shared = spark.sparkContext.broadcast(net)
+    shared = spark.sparkContext.broadcast(vars(net) if net else None)  # plain data
 
     kept = documents.drop("score", "threshold", "rejected")
     bare = kept.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = TextCnn(**shared.value) if shared.value else None
         for batch in batches:
-            if shared.value is None:
+            if model is None:
                 scores = np.full(batch.num_rows, rate)
             else:
-                scores = np.concatenate([_sigmoid(shared.value.logits(*_coded(part))) for part in slices(batch.column("text"))])
+                scores = np.concatenate([_sigmoid(model.logits(*_coded(part))) for part in slices(batch.column("text"))])
             yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
     scored = kept.mapInArrow(run, T.StructType([*bare.fields, T.StructField("score", T.DoubleType())]))
