@@ -133,7 +133,7 @@ def test_licence_base_equals_plain_search(spark, sf_dir, table_texts):
 
 def test_licence_rules():
     assert len(licences.rules()) > 200
-    kept = lambda text: [(r.label, r.form) for _, _, r in licences.scan(text.lower())[1]]
+    kept = lambda text: [(r.label, r.form) for _, _, r in licences.Scanner().scan(text.lower())[1]]
     assert kept("Licensed under the Apache License, Version 2.0.") == [("apache-2.0", "grant")]
     assert kept("SPDX-License-Identifier: MPL") == []
     assert kept("SPDX-License-Identifier: GPL-3.0-only") == [("gpl-3", "identifier")]
@@ -151,20 +151,20 @@ def test_tokens_equal_the_tokenizers_library(table_texts):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    path = packing.default_tokenizer()
+    own = packing.encoder(packing.default_tokenizer())
     texts = [t for t in table_texts.values() if len(t) < 3000][:40] + ["", " ", "a<|endoftext|>b", "  \n\t x", "\U0001F600é\x00", "1" * 500, "don't I'll"]
     for text in texts:
-        assert packing.token_ids(text, path).tolist() == coder.encode(text, add_special_tokens=False).ids
+        assert packing.token_ids(text, own).tolist() == coder.encode(text, add_special_tokens=False).ids
 
 
 def test_packing_holds_every_token_once(spark, sf_dir, table_texts):
     rows = packing.packed_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
-    path, whole = packing.default_tokenizer(), {}
+    own, whole = packing.encoder(packing.default_tokenizer()), {}
     for r in rows:
         whole.setdefault(r.doc_id, []).append(r)
     assert set(whole) == set(table_texts)
     for doc_id, mine in whole.items():
-        ids = np.append(packing.token_ids(table_texts[doc_id], path), 2).astype("<u4")
+        ids = np.append(packing.token_ids(table_texts[doc_id], own), 2).astype("<u4")
         at = 0
         for k, r in enumerate(sorted(mine, key=lambda r: r.piece)):
             assert (r.piece, r.start, r.ids_crc32) == (k, at, zlib.crc32(ids[at:at + r.length].tobytes()))
