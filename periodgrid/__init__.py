@@ -1 +1,8 @@
-"""periodgrid: wide period sheets -> typed long series -> layered analytics, on Spark SQL."""
+"""Analytics over wide period sheets on PySpark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors with the job, which need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
