@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from periodgrid.llm.common import stored, table
+from periodgrid.llm.common import counted_side, stored, table
 from periodgrid.llm.decontaminate import decontaminated
 from periodgrid.llm.packing import packed_documents
 from periodgrid.llm.secrets import without_secrets
@@ -23,7 +23,7 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: one document of each near-duplicate group stays, the one with the smallest doc_id."""
     groups = jaccard_components(docs)
-    extra = stored(groups.where("component_id <> doc_id").select("doc_id").distinct())
+    extra = counted_side(groups.where("component_id <> doc_id").select("doc_id").distinct())
     return docs.join(extra, "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -26,6 +26,18 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+#: Keys that are sent to every task rather than shuffled with the texts: 8 to 16 bytes each.
+BROADCAST_KEYS = 1 << 20
+
+
+def counted_side(keys: DataFrame) -> DataFrame:
+    """A side of a join that has nothing but keys, stored and counted: a side of at most
+    ``BROADCAST_KEYS`` is broadcast, so that the texts stay where they are; for a larger one both
+    sides are shuffled."""
+    keys = stored(keys)
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[pa.Array]:
     """Stretches of a text column of about ``limit`` bytes, at least one whole text each."""
     if isinstance(texts, pa.ChunkedArray):

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import counted_side
 
 Q = 8
 #: Edits allowed per character of a window, and the length and stride of windows.
@@ -249,6 +249,5 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those that hold a region of the benchmark; all columns stay."""
-    # Stored, so that Spark knows its size and moves the documents only if it must.
-    dirty = stored(contaminated_regions(documents, benchmark).select(F.col("doc_id").alias("_dirty")).distinct())
+    dirty = counted_side(contaminated_regions(documents, benchmark).select(F.col("doc_id").alias("_dirty")).distinct())
     return documents.join(dirty, F.col("doc_id").cast("long") == F.col("_dirty"), "left_anti")

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices
+from .common import counted_side, slices
 from .shingles import word_hashes
 
 VOCABULARY = 2048
@@ -118,7 +118,7 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     words = top.column("word").to_numpy().view(np.uint64)
     order = np.argsort(words)
     vocabulary = spark.sparkContext.broadcast((words[order], (order + SPECIAL).astype(np.int64)))
-    marked = docs.join(good, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    marked = docs.join(counted_side(good), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     counted = _pair_counts(marked, vocabulary).toArrow()  # at most VOCABULARY^2 rows
     pairs = counted.column("pair").to_numpy()
     tables = spark.sparkContext.broadcast([losses(pairs, counted.column(c).to_numpy()).ravel() for c in ("n_target", "n_all")])

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import components, parts_of, stored
+from .common import components, counted_side, parts_of, stored
 from .shingles import set_key, shingle_sets
 
 #: Share of the intersection in the union from which two documents link, in percent.
@@ -39,8 +39,6 @@ RARE = 64
 FREQUENT = 1 << 20
 #: Rows a task holds before it hands them on.
 CHUNK = 1 << 20
-#: Ids of documents that are sent to every task rather than shuffled with the texts (8 bytes each).
-BROADCAST_IDS = 1 << 20
 #: Parts of a document's set in the counting pass.
 CUTS = 2
 #: Pivots of a frequent n-gram in each round: few for the many that link to any, more for the rest.
@@ -334,10 +332,7 @@ def _cut_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 pieces += [x.tobytes() for x in np.split(grams, np.searchsorted(grams, cuts))]
             yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(parts, pa.int32()), pa.array(pieces, pa.binary())], ["cls", "part", "grams"])
 
-    ids = stored(classes.select("doc_id"))
-    # 8 bytes an id: a side of at most BROADCAST_IDS is sent to the texts, else both are dealt out.
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    chosen = docs.join(side, "doc_id", "left_semi").select("text")
+    chosen = docs.join(counted_side(classes.select("doc_id")), "doc_id", "left_semi").select("text")
     return chosen.mapInArrow(run, "cls binary, part int, grams binary").dropDuplicates(["cls", "part"])
 
 
