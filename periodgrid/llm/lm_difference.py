@@ -4,9 +4,11 @@ A target model (of the documents labelled good) and a background model (of all d
 one vocabulary, the order two and the smoothing, so that their losses can be subtracted token by
 token. A document's score is the mean difference: below zero it reads more like the target.
 
-All documents are counted. Words are 64-bit hashes; the vocabulary is the ``VOCABULARY`` most
-frequent ones, all others are one unknown word. With that the table of word pairs is bounded,
-and so is what tasks get to score with: two dense tables of VOCABULARY^2 4-byte losses.
+All documents are counted, and every word is a word of the vocabulary: words are 64-bit hashes,
+word pairs a 64-bit hash of both. Counts and losses are tables, one row per distinct pair, which
+grow with the input. Tasks get the losses of the most frequent pairs (at most ``HOT_PAIRS``) and
+score these in place; every other pair of a document meets its losses in a join, so that no hot
+pair is shuffled. Where a pair is scored changes nothing in the result.
 """
 
 from __future__ import annotations
@@ -15,83 +17,100 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import counted_side, slices
+from .common import counted_side, slices, stored
 from .shingles import word_hashes
 
+#: Size of the dense table of ``losses``, the plain form of the model; documents are not scored with it.
 VOCABULARY = 2048
-#: The first entries of the vocabulary: the place before a text, and any word outside.
-START, UNKNOWN, SPECIAL = 0, 1, 2
+#: Pairs whose losses are sent to every task, 24 bytes each.
+HOT_PAIRS = 1 << 20
+#: The word before a text.
+START = 0
 #: Weight of the pair's own frequency against the word's, and what is added to each word count.
 OWN, ADDED = 0.7, 0.5
 CHUNK = 1 << 22
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _pairs(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each word (``START`` for the first of a text), and a hash of both."""
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+    h = (before ^ (before >> np.uint64(29))) * _ODD + words
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return before, h ^ (h >> np.uint64(32))
+
+
+def _pair_counts(marked: DataFrame) -> DataFrame:
+    """pair, before, word and how often it stands in all documents and in the target ones."""
 
-def _word_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            words, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.record_batch([pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"])
+            pair, before, word, inside = map(np.concatenate, zip(*held))
+            keys, first, place = np.unique(pair, return_index=True, return_inverse=True)
+            n_all = np.bincount(place, minlength=len(keys))
+            n_target = np.bincount(place[inside], minlength=len(keys))
+            columns = [keys, before[first], word[first], n_all, n_target]
+            return pa.record_batch([pa.array(c.view(np.int64)) for c in columns], ["pair", "before", "word", "n_all", "n_target"])
 
         for batch in batches:
-            for part in slices(batch.column(0)):
-                held.append(word_hashes(part)[0])
-                size += len(held[-1])
+            target = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
+            at = 0
+            for part in slices(batch.column("text")):
+                words, sizes = word_hashes(part)
+                before, pair = _pairs(words, sizes)
+                held.append((pair, before, words, np.repeat(target[at:at + len(part)], sizes)))
+                at += len(part)
+                size += len(words)
                 if size >= CHUNK:
                     yield flush()
                     held, size = [], 0
         if size:
             yield flush()
 
-    return texts.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = marked.mapInArrow(run, "pair long, before long, word long, n_all long, n_target long")
+    return counts.groupBy("pair").agg(F.min("before").alias("before"), F.min("word").alias("word"), F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
 
 
-def _codes(words: np.ndarray, vocabulary: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Numbers of words in the vocabulary (sorted hashes and their numbers)."""
-    if not len(vocabulary):
-        return np.full(len(words), UNKNOWN, np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, places[at], UNKNOWN)
-
-
-def _pairs(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """before * VOCABULARY + word for every word; the first of a text follows START."""
-    before = np.empty_like(codes)
-    before[1:] = codes[:-1]
-    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
-    return before * VOCABULARY + codes
+def _loss_table(counts: DataFrame) -> DataFrame:
+    """pair, n_all and its losses under the target and the background model."""
+    sums = lambda key, name: counts.groupBy(key).agg(F.sum("n_all").alias(f"{name}_all"), F.sum("n_target").alias(f"{name}_target"))
+    words = stored(sums("word", "w"))
+    total = words.agg(F.count("*").alias("v"), F.coalesce(F.sum("w_all"), F.lit(0)).alias("all"), F.coalesce(F.sum("w_target"), F.lit(0)).alias("target")).first()
+    met = counts.join(words, "word").join(sums("before", "b"), "before")
 
+    def loss(model: str) -> Column:
+        word = (F.col(f"w_{model}") + ADDED) / (total[model] + ADDED * total["v"])
+        own = F.col(f"n_{model}") / F.col(f"b_{model}")
+        return -F.log(F.when(F.col(f"b_{model}") > 0, OWN * own + (1 - OWN) * word).otherwise(word))
 
-def _pair_counts(docs: DataFrame, shared) -> DataFrame:
-    """Counts per pair in all documents and in the target ones; each task adds up what it reads."""
+    return met.select("pair", "n_all", loss("target").alias("target"), loss("all").alias("background"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, VOCABULARY * VOCABULARY), np.int32)
-        for batch in batches:
-            target = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
-            at = 0
-            for part in slices(batch.column("text")):
-                words, sizes = word_hashes(part)
-                pairs = _pairs(_codes(words, *shared.value), sizes)
-                inside = np.repeat(target[at:at + len(part)], sizes)
-                for row, chosen in zip(total, (pairs, pairs[inside])):
-                    seen, counts = np.unique(chosen, return_counts=True)
-                    row[seen] += counts.astype(np.int32)
-                at += len(part)
-        seen = np.flatnonzero(total[0])
-        for k in range(0, len(seen), CHUNK):
-            some = seen[k:k + CHUNK]
-            yield pa.record_batch([pa.array(some.astype(np.int32)), *(pa.array(row[some].astype(np.int64)) for row in total)], ["pair", "n_all", "n_target"])
 
-    counts = docs.mapInArrow(run, "pair int, n_all long, n_target long")
-    return counts.groupBy("pair").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
+def _hot(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent pairs, at most ``most``, sorted, and their losses."""
+    step = F.floor(F.log2("n_all") * 16)
+    steps = sorted(((r["step"], r["count"]) for r in table.groupBy(step.alias("step")).count().collect()), reverse=True)
+    least, held = None, 0
+    for at, n in steps:
+        if held + n > most:
+            break
+        least, held = at, held + n
+    got = (table.where("false") if least is None else table.where(step >= least)).select("pair", "target", "background").toArrow()
+    pair, *both = (got.column(c).to_numpy() for c in ("pair", "target", "background"))
+    pair = pair.view(np.uint64)
+    order = np.argsort(pair)
+    return pair[order], *(x[order] for x in both)
 
 
 def losses(pairs: np.ndarray, counts: np.ndarray, size: int = VOCABULARY) -> np.ndarray:
-    """-ln p(word | before) of all pairs: OWN * pair frequency + (1 - OWN) * smoothed word frequency."""
+    """-ln p(word | before) of a small vocabulary, dense: OWN * pair frequency + (1 - OWN) * smoothed word frequency."""
     joint = np.zeros(size * size)
     joint[pairs] = counts
     joint = joint.reshape(size, size)
@@ -114,29 +133,47 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("target")).distinct()
-    top = _word_counts(docs.select("text")).orderBy(F.desc("n"), "word").limit(VOCABULARY - SPECIAL).toArrow()
-    words = top.column("word").to_numpy().view(np.uint64)
-    order = np.argsort(words)
-    vocabulary = spark.sparkContext.broadcast((words[order], (order + SPECIAL).astype(np.int64)))
     marked = docs.join(counted_side(good), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counted = _pair_counts(marked, vocabulary).toArrow()  # at most VOCABULARY^2 rows
-    pairs = counted.column("pair").to_numpy()
-    tables = spark.sparkContext.broadcast([losses(pairs, counted.column(c).to_numpy()).ravel() for c in ("n_target", "n_all")])
+    table = stored(_loss_table(stored(_pair_counts(marked))))
+    hot = spark.sparkContext.broadcast(_hot(table, HOT_PAIRS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, *tables = hot.value
         for batch in batches:
-            sizes, sums = [], [[], []]
+            at = 0
             for part in slices(batch.column("text")):
-                hashed, size = word_hashes(part)
-                at = _pairs(_codes(hashed, *vocabulary.value), size)
-                ends = np.cumsum(size)
-                sizes.append(size)
-                for out, table in zip(sums, tables.value):
-                    total = np.append(0.0, np.cumsum(table[at], dtype=np.float64))
-                    out.append(total[ends] - total[ends - size])
-            n = np.concatenate(sizes)
-            target, background = (np.concatenate(s) / np.maximum(n, 1) for s in sums)
-            cells = [pa.array(x, pa.float64(), mask=n == 0) for x in (target, background, target - background)]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n), *cells], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+                words, sizes = word_hashes(part)
+                pair = _pairs(words, sizes)[1]
+                place = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
+                known = keys[place] == pair if len(keys) else np.zeros(len(pair), bool)
+                ends = np.cumsum(sizes)
+                sums = []
+                for values in (known, *(np.where(known, t[place], 0.0) if len(keys) else np.zeros(len(pair)) for t in tables)):
+                    run_up = np.append(0, np.cumsum(values, dtype=np.float64))
+                    sums.append(run_up[ends] - run_up[ends - sizes])
+                own = batch.slice(at, len(part))
+                row = own.column("row")
+                # One row per text with what was scored here, its words as a number below zero.
+                none = pa.nulls(len(part), pa.int64())
+                key = row.to_numpy().view(np.uint64) * _ODD
+                yield pa.record_batch([row, own.column("doc_id"), pa.array(key.view(np.int64)), pa.array(-sums[0].astype(np.int64)), *map(pa.array, sums[1:])], NAMES)
+                owner, rest = np.repeat(np.arange(len(part)), sizes)[~known], pair[~known]
+                if len(rest):
+                    order = np.lexsort((rest, owner))
+                    owner, rest = owner[order], rest[order]
+                    first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (rest[1:] != rest[:-1])))
+                    n = np.diff(np.append(first, len(rest)))
+                    zero = pa.array(np.zeros(len(n)))
+                    yield pa.record_batch([row.take(pa.array(owner[first])), none.take(pa.array(owner[first])), pa.array(rest[first].view(np.int64)), pa.array(n), zero, zero], NAMES)
+                at += len(part)
+
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    met = numbered.mapInArrow(run, "row long, doc_id long, pair long, n long, held_target double, held_background double")
+    met = met.join(table.select("pair", "target", "background"), "pair", "left")
+    added = lambda c: F.sum(F.when(F.col("n") > 0, F.col("n") * F.col(c)).otherwise(F.col(f"held_{c}")))
+    summed = met.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum(F.abs("n")).alias("n_tokens"), added("target").alias("t"), added("background").alias("b"))
+    mean = lambda c: F.when(F.col("n_tokens") > 0, F.col(c) / F.col("n_tokens"))
+    return summed.select("doc_id", "n_tokens", mean("t").alias("target_loss"), mean("b").alias("background_loss"), (mean("t") - mean("b")).alias("score"))
+
+
+NAMES = ["row", "doc_id", "pair", "n", "held_target", "held_background"]

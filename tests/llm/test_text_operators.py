@@ -288,3 +288,36 @@ def test_losses_equal_plain_counting(spark, monkeypatch):
     p_word = (np.array([0, 0, 3, 1]) + 0.5) / 6
     assert loss[0, 2] == pytest.approx(-math.log(0.7 + 0.3 * p_word[2]), rel=1e-5)
     assert loss[1, 3] == pytest.approx(-math.log(p_word[3]), rel=1e-5)
+
+
+@pytest.mark.parametrize("hot", [0, 1500, 1 << 20])
+def test_every_word_has_counts_of_its_own(spark, monkeypatch, hot):
+    monkeypatch.setattr(lm_difference, "HOT_PAIRS", hot)
+    rng = random.Random(9)
+    texts = [(i, " ".join(f"w{int(rng.paretovariate(0.2)) % 10**6}" for _ in range(60))) for i in range(120)] + [(3, "w1 w2"), (None, "w1 w1 w1"), (200, None)]
+    good = set(range(0, 120, 3))
+    table = spark.createDataFrame([(i, 1, 0) for i in good], "doc_id long, quality int, toxic int")
+    rows = lm_difference.score_documents(docs_of(spark, texts), table).collect()
+    words = [(t or "").split() for _, t in texts]
+    assert len({w for ws in words for w in ws}) > 2048
+    models = []
+    for chosen in ([i in good for i, _ in texts], [True] * len(texts)):
+        pairs, word, before = {}, {}, {}
+        for ws in (ws for ws, c in zip(words, chosen) if c):
+            for b, w in zip(["", *ws], ws):
+                pairs[b, w] = pairs.get((b, w), 0) + 1
+                word[w], before[b] = word.get(w, 0) + 1, before.get(b, 0) + 1
+        models.append((pairs, word, before))
+    size = len(models[1][1])
+
+    def loss(model, b, w):
+        pairs, word, before = model
+        p = (word.get(w, 0) + 0.5) / (sum(word.values()) + 0.5 * size)
+        return -math.log(0.7 * pairs.get((b, w), 0) / before[b] + 0.3 * p if b in before else p)
+
+    want = [(i, len(ws), *(sum(loss(m, b, w) for b, w in zip(["", *ws], ws)) / len(ws) if ws else None for m in models)) for (i, _), ws in zip(texts, words)]
+    plain = lambda r: sorted(([x if x is not None else -1 for x in t] for t in r), key=lambda t: [round(x, 6) for x in t])
+    got = [(r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in rows]
+    assert len(got) == len(want)
+    for mine, right in zip(plain(got), plain(want)):
+        assert mine == pytest.approx(right, abs=1e-9)
