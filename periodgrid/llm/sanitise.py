@@ -2,10 +2,11 @@
 
 Protected entities are e-mail addresses, IP addresses, payment cards and phone numbers, found by
 pattern. What stands around an entity may still reveal it. Over all lines of the corpus it is
-counted how often a term shares a line with an entity; the pointwise mutual information
-log2(N n(t, e) / (n(t) n(e))), measured against the information of the entity itself,
-log2(N / n(e)), is the share of the entity that the term discloses. In documents that hold the
-entity, terms above the upper threshold are removed and terms above the lower one generalised to
+counted how often a term shares a line with an entity, repeated lines and rows included. The
+pointwise mutual information log2(p(e | t) / p(e)), measured against the information of the entity
+itself, log2(1 / p(e)), is the share of the entity that the term discloses. p(e | t) is smoothed
+towards p(e), (n(t, e) + PRIOR p(e)) / (n(t) + PRIOR), so that it holds for entities and terms seen
+once as well: no count is too small to be rated. In documents that hold the entity, terms above the upper threshold are removed and terms above the lower one generalised to
 their shape.
 """
 
@@ -28,9 +29,9 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 CARD_GATE = r"(?:[0-9][\x20-]?){13}"
 KINDS = ("email", "ip", "card", "phone")
 
-#: Distinct lines in which a term must meet an entity, and the disclosed shares from which a term
-#: is generalised and removed.
-SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
+#: Lines that the smoothing counts as, and the disclosed shares from which a term is generalised
+#: and removed.
+PRIOR, GENERALISE, REMOVE = 1.0, 0.8, 0.95
 TERM = r"[\p{L}\p{N}_]{3,}+"
 _BETWEEN = r"[^\p{L}\p{N}_]+"
 
@@ -92,41 +93,46 @@ def disclosing_terms(documents: DataFrame, protected: DataFrame | None = None) -
     if protected is None:
         protected = _protected(_with_entities(documents))
     # Lines that hold an entity; no pattern reaches over a line end.
-    lines = protected.select(F.explode(F.split("text", "\n")).alias("line"))
+    lines = protected.select("rows", F.explode(F.split("text", "\n")).alias("line"))
     lines = lines.withColumn("names", _names(entities(F.col("line")))).where(F.size("names") > 0)
     bare = reduce(lambda t, p: F.regexp_replace(t, p, " "), (EMAIL, IP, PHONE, CARD), F.col("line"))
-    lines = stored(lines.select(F.xxhash64("line").alias("place"), "names", _terms(bare).alias("terms")))
-    held = lines.select("place", F.explode("names").alias("entity"), "terms")
-    by_entity = held.groupBy("entity", "place").count().groupBy("entity").agg(F.sum("count").alias("n_e"), F.count("*").alias("places"))
-    by_entity = stored(by_entity.where(F.col("places") >= SUPPORT))
-    met = held.join(by_entity.select("entity"), "entity", "left_semi").select("entity", "place", F.explode("terms").alias("term"))
-    joint = met.groupBy("entity", "term", "place").count().groupBy("entity", "term").agg(F.sum("count").alias("n_te"), F.count("*").alias("places"))
-    joint = stored(joint.where(F.col("places") >= SUPPORT).select("entity", "term", "n_te"))
+    held = stored(lines.select("rows", F.explode("names").alias("entity"), _terms(bare).alias("terms")))
+    by_entity = held.groupBy("entity").agg(F.sum("rows").alias("n_e"))
+    joint = stored(held.select("rows", "entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.sum("rows").alias("n_te")))
     # Every line counts once for each of its terms, and once for the empty term: that is N.
     seen = docs.select(F.explode(F.flatten(F.transform(F.split("text", "\n"), lambda line: F.concat(F.array(F.lit("")), _terms(line))))).alias("term"))
     counts = seen.groupBy("term").agg(F.count("*").alias("n_t"))
     wanted = joint.select("term").distinct().unionByName(joint.sparkSession.range(1).select(F.lit("").alias("term")))
     counts = stored(counts.join(wanted, "term", "left_semi"))
     total = counts.where("term = ''").select(F.col("n_t").alias("n"))
-    rated = joint.join(by_entity.select("entity", "n_e"), "entity").join(counts, "term").crossJoin(F.broadcast(total))  # one row
-    share = F.log2(F.col("n") * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log2(F.col("n") / F.col("n_e"))
+    rated = joint.join(by_entity, "entity").join(counts, "term").crossJoin(F.broadcast(total))  # one row
+    base = F.col("n_e") / F.col("n")
+    share = F.log2((F.col("n_te") + PRIOR * base) / (F.col("n_t") + PRIOR) / base) / -F.log2(base)
     return rated.where("n > n_e").select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
 def _protected(found: DataFrame) -> DataFrame:
-    """The documents that hold an entity, under a key of the row."""
+    """The documents that hold an entity, under a key of the row, and how many rows are alike."""
     names = _names({k: F.col(f"_{k}") for k in KINDS})
     held = found.where(" or ".join(f"size(_{k}) > 0" for k in KINDS))
-    return held.select(_row_key().alias("key"), "text", names.alias("names")).dropDuplicates(["key"])
+    alike = held.select(_row_key().alias("key"), "text", names.alias("names")).groupBy("key")
+    return alike.agg(F.first("text").alias("text"), F.first("names").alias("names"), F.count("*").alias("rows"))
 
 
 def _term_spans(protected: DataFrame, terms: DataFrame) -> DataFrame:
     """Per row key the places of its disclosing terms: removed or generalised."""
-    wanted = protected.select("key", F.explode("names").alias("entity")).join(terms, "entity")
+    # By the terms a document holds: an entity of many documents may have terms in each of them.
+    holds = protected.select("key", F.explode(_terms(F.col("text"))).alias("term")).join(terms, "term")
+    wanted = holds.join(protected.select("key", F.explode("names").alias("entity")), ["key", "entity"], "left_semi")
     by_row = wanted.groupBy("key", "term").agg(F.max("share").alias("share")).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares"))
     placed = protected.select("key", "text").join(by_row, "key")
     # Words in the line order, with what their term discloses; those within an entity are covered already.
-    words = F.transform(matches(F.col("text"), TERM), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.try_element_at("shares", F.lower(s["value"])).alias("share")))
+    # Only the spellings that stand for a term are looked for: time grows with the text, not its square.
+    spelt = F.filter(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))), lambda w: F.try_element_at("shares", F.lower(w)).isNotNull())
+    placed = placed.withColumn("_spelt", F.array_join(spelt, "|"))
+    edge = r"[\p{L}\p{N}_]"
+    pattern = F.when(F.col("_spelt") == "", "(?!)").otherwise(F.concat(F.lit(f"(?<!{edge})(?:"), "_spelt", F.lit(f")(?!{edge})")))
+    words = F.transform(matches(F.col("text"), pattern), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.try_element_at("shares", F.lower(s["value"])).alias("share")))
     kinds = {"remove": lambda w: w["share"] >= REMOVE, "generalise": lambda w: w["share"] < REMOVE}
     both = [of_kind(F.filter("_words", holds), kind, len(KINDS) + k) for k, (kind, holds) in enumerate(kinds.items())]
     return placed.withColumn("_words", F.filter(words, lambda w: w["share"].isNotNull())).select("key", F.concat(*both).alias("_terms"))

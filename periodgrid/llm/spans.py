@@ -11,15 +11,16 @@ MARK, FIELD, PLAIN = "\u0001", "\u0003", "\u0002"
 SPAN = "struct<start: bigint, end: bigint, value: string, part: string>"
 
 
-def matches(text: Column, pattern: str, part: int | None = None) -> Column:
+def matches(text: Column, pattern: str | Column, part: int | None = None) -> Column:
     """Leftmost matches that do not overlap: array of (start, end, value, part), in characters.
 
     ``part`` is a group whose text is kept as well. Matches must not be empty. The text is cut
     at its matches, and the lengths of the pieces add up to the places.
     """
+    pattern = pattern if isinstance(pattern, Column) else F.lit(pattern)
     clean = F.translate(text, MARK + FIELD, PLAIN * 2)
     group = f"{FIELD}${part}" if part else ""
-    pieces = F.split(F.regexp_replace(clean, F.lit(pattern), F.lit(f"{MARK}$0{group}{MARK}")), MARK, -1)
+    pieces = F.split(F.regexp_replace(clean, pattern, F.lit(f"{MARK}$0{group}{MARK}")), MARK, -1)
 
     def step(state: Column, piece: Column) -> Column:
         value = F.element_at(F.split(piece, FIELD, -1), 1) if part else piece
@@ -35,7 +36,7 @@ def matches(text: Column, pattern: str, part: int | None = None) -> Column:
     none = F.array().cast(f"array<{SPAN}>")
     start = start.withField("found", none)
     found = F.aggregate(pieces, start, step, lambda state: state["found"])
-    return F.when(F.rlike(text, F.lit(pattern)), found).otherwise(none)
+    return F.when(F.rlike(text, pattern), found).otherwise(none)
 
 
 def listed(spans: Column) -> Column:

@@ -321,3 +321,21 @@ def test_every_word_has_counts_of_its_own(spark, monkeypatch, hot):
     assert len(got) == len(want)
     for mine, right in zip(plain(got), plain(want)):
         assert mine == pytest.approx(right, abs=1e-9)
+
+
+def test_terms_of_rare_entities_and_of_copies(spark):
+    rng = random.Random(8)
+    common = [f"word{chr(97 + i)}" for i in range(20)]
+    noise = [" ".join(rng.choice(common) for _ in range(10)) for _ in range(2000)]
+    once, twice, copied = "Oncelerov worda once@host.org", "Twicelerov wordb twice@host.org", "Copyrov wordc copy@host.org"
+    texts = [*noise, once, f"{twice} wordd", f"worde {twice}", *[copied] * 500]
+    ids = [*range(len(noise) + 3), *[7777] * 250, *range(8000, 8250)]  # half of the copies repeat the doc_id too
+    docs = docs_of(spark, list(zip(ids, texts)))
+    share = {(r.entity, r.term): r.share for r in sanitise.disclosing_terms(docs).collect()}
+    want = {}
+    for entity, term, n_e in (("once", "oncelerov", 1), ("twice", "twicelerov", 2), ("copy", "copyrov", 500)):
+        p = n_e / len(texts)
+        want[f"email={entity}@host.org", term] = math.log2((n_e + p) / (n_e + 1) / p) / -math.log2(p)
+    assert {k: round(v, 9) for k, v in share.items()} == {k: round(v, 9) for k, v in want.items()}
+    clean = sanitise.sanitised(docs).select("text").collect()
+    assert len(clean) == len(texts) and not any("rov " in r.text for r in clean)
