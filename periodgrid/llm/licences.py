@@ -1,8 +1,9 @@
 """Licence scan by ordered signature rules (operator 6).
 
 Rules are regexes over lower-cased text, several hundred of them, written as families of licences
-times the forms in which texts name a licence. A rule runs only on texts that hold its keyword;
-all keywords are looked for in one pass. Detections are then ordered by priority and length, and
+times the forms in which texts name a licence, and their SPDX short names. A rule runs only on texts
+that hold its keyword, the longest run of words that its pattern cannot do without; all keywords
+are looked for in one pass, over the text with one blank for whatever stands between its words. Detections are then ordered by priority and length, and
 one that lies within the interval of a better one is suppressed. The phrases of the base find all
 their places and are never suppressed.
 """
@@ -23,48 +24,72 @@ from pyspark.sql import DataFrame, functions as F
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORDS = re.compile(f"{WORD}+")
+_GAPS = re.compile(GAP)
 
 # Base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Families as label, keyword, pattern of the name, versions (none: the name says all).
+# Families as label, pattern of the name, versions (none: the name says all).
 FAMILIES = [
-    ("mit", "mit", "mit(?: expat)?", ""),
-    ("apache", "apache", "apache(?: software)?", "1.0 1.1 2.0"),
-    ("gpl", "general public", "(?:gnu )?general public", "1 2 3"),
-    ("gpl", "gpl", "(?:gnu )?gpl", "1 2 3"),
-    ("lgpl", "lesser general", "(?:gnu )?(?:lesser|library) general public", "2 2.1 3"),
-    ("lgpl", "lgpl", "(?:gnu )?lgpl", "2 2.1 3"),
-    ("agpl", "affero", "(?:gnu )?affero general public", "1 3"),
-    ("agpl", "agpl", "(?:gnu )?agpl", "1 3"),
-    ("bsd", "bsd", "bsd(?: (?:2|3|4|two|three|four) clause)?", ""),
-    ("mpl", "mozilla", "mozilla public", "1.0 1.1 2.0"),
-    ("epl", "eclipse", "eclipse public", "1.0 2.0"),
-    ("cddl", "cddl", "cddl", "1.0 1.1"),
-    ("cddl", "common development", "common development and distribution", "1.0 1.1"),
-    ("cc-by", "creative commons", "creative commons(?: attribution)?(?: (?:noncommercial|non commercial|sharealike|share alike|noderivatives))*", "1.0 2.0 2.5 3.0 4.0"),
-    ("cc0", "cc0", "cc0", "1.0"),
-    ("isc", "isc", "isc", ""),
-    ("zlib", "zlib", "zlib", ""),
-    ("boost", "boost", "boost software", "1.0"),
-    ("artistic", "artistic", "artistic", "1.0 2.0"),
-    ("unlicense", "unlicense", "unlicense", ""),
-    ("wtfpl", "wtfpl", "wtfpl", "1 2"),
-    ("osl", "open software", "open software", "1.0 2.0 2.1 3.0"),
-    ("afl", "academic free", "academic free", "1.2 2.0 2.1 3.0"),
-    ("eupl", "european union", "european union public", "1.0 1.1 1.2"),
-    ("ofl", "open font", "(?:sil )?open font", "1.0 1.1"),
-    ("psf", "python software", "python software foundation", "2"),
-    ("postgresql", "postgresql", "postgresql", ""),
-    ("openssl", "openssl", "openssl", ""),
-    ("ms-pl", "microsoft public", "microsoft public", ""),
-    ("ms-rl", "microsoft reciprocal", "microsoft reciprocal", ""),
-    ("odbl", "open database", "open database", "1.0"),
-    ("upl", "universal permissive", "universal permissive", "1.0"),
-    ("fdl", "free documentation", "(?:gnu )?free documentation", "1.1 1.2 1.3"),
-    ("w3c", "w3c", "w3c(?: software)?", ""),
-    ("ncsa", "ncsa", "(?:university of illinois )?ncsa", ""),
-    ("blueoak", "blue oak", "blue oak model", "1.0.0"),
+    ("mit", "mit(?: expat)?", ""),
+    ("apache", "apache(?: software)?", "1.0 1.1 2.0"),
+    ("gpl", "(?:gnu )?general public", "1 2 3"),
+    ("gpl", "(?:gnu )?gpl", "1 2 3"),
+    ("lgpl", "(?:gnu )?(?:lesser|library) general public", "2 2.1 3"),
+    ("lgpl", "(?:gnu )?lgpl", "2 2.1 3"),
+    ("agpl", "(?:gnu )?affero general public", "1 3"),
+    ("agpl", "(?:gnu )?agpl", "1 3"),
+    ("bsd", "bsd(?: (?:2|3|4|two|three|four) clause)?", ""),
+    ("mpl", "mozilla public", "1.0 1.1 2.0"),
+    ("epl", "eclipse public", "1.0 2.0"),
+    ("cddl", "cddl", "1.0 1.1"),
+    ("cddl", "common development and distribution", "1.0 1.1"),
+    ("cc-by", "creative commons(?: attribution)?(?: (?:noncommercial|non commercial|sharealike|share alike|noderivatives))*", "1.0 2.0 2.5 3.0 4.0"),
+    ("cc0", "cc0", "1.0"),
+    ("isc", "isc", ""),
+    ("zlib", "zlib", ""),
+    ("boost", "boost software", "1.0"),
+    ("artistic", "artistic", "1.0 2.0"),
+    ("unlicense", "unlicense", ""),
+    ("wtfpl", "wtfpl", "1 2"),
+    ("osl", "open software", "1.0 2.0 2.1 3.0"),
+    ("afl", "academic free", "1.2 2.0 2.1 3.0"),
+    ("eupl", "european union public", "1.0 1.1 1.2"),
+    ("ofl", "(?:sil )?open font", "1.0 1.1"),
+    ("psf", "python software foundation", "2"),
+    ("postgresql", "postgresql", ""),
+    ("openssl", "openssl", ""),
+    ("ms-pl", "microsoft public", ""),
+    ("ms-rl", "microsoft reciprocal", ""),
+    ("odbl", "open database", "1.0"),
+    ("upl", "universal permissive", "1.0"),
+    ("fdl", "(?:gnu )?free documentation", "1.1 1.2 1.3"),
+    ("w3c", "w3c(?: software)?", ""),
+    ("ncsa", "(?:university of illinois )?ncsa", ""),
+    ("blueoak", "blue oak model", "1.0.0"),
+]
+
+# SPDX short names that differ from the name of the family, as label, short name,
+# versions (a short name with versions is an identifier only with one of them).
+SPDX = [
+    ("bsd", "0bsd", ""),
+    ("bsd", "bsd [1-4] clause", ""),
+    ("mpl", "mpl", "1.0 1.1 2.0"),
+    ("epl", "epl", "1.0 2.0"),
+    ("cc-by", "cc by(?: (?:nc|sa|nd))*", "1.0 2.0 2.5 3.0 4.0"),
+    ("boost", "bsl", "1.0"),
+    ("osl", "osl", "1.0 1.1 2.0 2.1 3.0"),
+    ("afl", "afl", "1.1 1.2 2.0 2.1 3.0"),
+    ("eupl", "eupl", "1.0 1.1 1.2"),
+    ("ofl", "ofl", "1.0 1.1"),
+    ("psf", "psf", "2.0"),
+    ("psf", "python", "2.0"),
+    ("ms-pl", "ms pl", ""),
+    ("ms-rl", "ms rl", ""),
+    ("odbl", "odbl", "1.0"),
+    ("upl", "upl", "1.0"),
+    ("fdl", "gfdl", "1.1 1.2 1.3"),
+    ("blueoak", "blueoak", "1.0.0"),
 ]
 
 # Forms as name, priority (lower goes first), weight, pattern around NAME and VERSION.
@@ -77,19 +102,19 @@ FORMS = [
     ("file", 5, 0.5, "(?:see|read) (?:the )?(?:accompanying )?(?:file )?(?:copying|licen[sc]e)(?: file)? for (?:the )?NAME"),
 ]
 
-# Sentences of licence texts, as label, keyword, weight, pattern.
+# Sentences of licence texts, as label, weight, pattern.
 SENTENCES = [
-    ("mit", "deal in the software", 0.95, "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("mit", "permission is hereby granted", 0.9, "permission is hereby granted free of charge"),
-    ("bsd", "redistribution and use", 0.9, "redistribution and use in source and binary forms with or without modification"),
-    ("bsd", "neither the name", 0.8, "neither the name of .{1,80}? nor the names of its contributors"),
-    ("gpl", "free software", 0.8, "this program is free software you can redistribute it and or modify it"),
-    ("apache", "apache.org/licenses", 0.9, "www apache org licenses license 2 0"),
-    ("gpl", "gnu.org/licenses", 0.8, "www gnu org licenses"),
-    ("cc-by", "creativecommons.org", 0.9, "creativecommons org licenses [a-z]+(?: [a-z]+)*"),
-    ("public-domain", "public domain", 0.6, "(?:placed|dedicated|released) (?:in|to|into) the public domain"),
-    ("proprietary", "all rights reserved", 0.3, "all rights reserved"),
-    ("no-warranty", "without warranty", 0.2, "without warranty of any kind"),
+    ("mit", 0.95, "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mit", 0.9, "permission is hereby granted free of charge"),
+    ("bsd", 0.9, "redistribution and use in source and binary forms with or without modification"),
+    ("bsd", 0.8, "neither the name of .{1,80}? nor the names of its contributors"),
+    ("gpl", 0.8, "this program is free software you can redistribute it and or modify it"),
+    ("apache", 0.9, "www apache org licenses license 2 0"),
+    ("gpl", 0.8, "www gnu org licenses"),
+    ("cc-by", 0.9, "creativecommons org licenses [a-z]+(?: [a-z]+)*"),
+    ("public-domain", 0.6, "(?:placed|dedicated|released) (?:in|to|into) the public domain"),
+    ("proprietary", 0.3, "all rights reserved"),
+    ("no-warranty", 0.2, "without warranty of any kind"),
 ]
 
 
@@ -108,11 +133,27 @@ def _pattern(words: str) -> re.Pattern:
     return re.compile(rf"(?<!{WORD})(?:{words.replace(' ', GAP)})(?!{WORD})", re.DOTALL)
 
 
+def _number(version: str) -> str:
+    return " ".join(re.escape(part) for part in version.removesuffix(".0").split(".")) + "(?: 0)*"
+
+
+def _keyword(words: str) -> str:
+    """The longest run of characters, blanks between words, that every match of ``words`` holds."""
+    while True:  # from the inside out: what may be missing goes, of alternatives none is sure
+        less = re.sub(r"\(\?:[^()]*\)[?*]?", "\n", words)
+        if less == words:
+            break
+        words = less
+    words = re.sub(r"\.\{\d+,\d+\}\??|\[[^\]]*\][+*?]?", "\n", words)
+    words = re.sub(r"\\?.[?*]", "\n", words.replace("\\.", "."))
+    return max((part.strip() for part in words.split("\n")), key=len)
+
+
 def rules() -> tuple[Rule, ...]:
     """All rules in their order: forms by priority, each for every family and version, then sentences."""
     made = []
     for form, priority, weight, shape in FORMS:
-        for label, keyword, name, versions in FAMILIES:
+        for label, name, versions in FAMILIES:
             for version in [None, *versions.split()]:
                 if version is None and form == "version":
                     continue
@@ -123,12 +164,17 @@ def rules() -> tuple[Rule, ...]:
                     text = text.replace("(?: VERSION)?", " VERSION").replace("(?: (?:version )?VERSION)?", " (?:version )?VERSION")
                     if text == shape and "VERSION" not in shape:
                         continue  # this form names no version
-                    number = " ".join(re.escape(part) for part in version.removesuffix(".0").split("."))
-                    text = text.replace("VERSION", f"v?{number}(?: 0)*")
+                    text = text.replace("VERSION", f"v?{_number(version)}")
                 own = label if version is None else f"{label}-{version}"
-                made.append(Rule(own, form, 2 * priority + (version is None), weight, keyword, _pattern(text.replace("NAME", f"(?:{name})"))))
-    for label, keyword, weight, words in SENTENCES:
-        made.append(Rule(label, "sentence", 2 * len(FORMS), weight, keyword, _pattern(words)))
+                made.append(Rule(own, form, 2 * priority + (version is None), weight, _keyword(name), _pattern(text.replace("NAME", f"(?:{name})"))))
+    form, priority, weight, shape = FORMS[0]
+    for label, name, versions in SPDX:
+        for version in versions.split() or [None]:
+            text = shape.replace("(?: VERSION)?", "" if version is None else f" {_number(version)}")
+            own = label if version is None else f"{label}-{version}"
+            made.append(Rule(own, form, 2 * priority + (version is None), weight, _keyword(shape.split("NAME")[0]), _pattern(text.replace("NAME", f"(?:{name})"))))
+    for label, weight, words in SENTENCES:
+        made.append(Rule(label, "sentence", 2 * len(FORMS), weight, _keyword(words), _pattern(words)))
     return tuple(made)
 
 
@@ -167,14 +213,13 @@ class Scanner:
     def scan(self, lowered: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, Rule]]]:
         """Base places and kept detections of one lower-cased text, as character intervals."""
         base = [(m.start(), m.end(), label) for label, pattern in self.base for m in pattern.finditer(lowered)]
-        present = {word for _, word in self.automaton.iter(lowered)}
+        present = {word for _, word in self.automaton.iter(_GAPS.sub(" ", lowered))}
         found = [(m.start(), m.end(), rule) for word in present for rule in self.by_word[word] for m in rule.pattern.finditer(lowered)]
         return base, suppress(found)
 
 
-#: A text with none of these holds no base phrase and no keyword of a rule. Keywords of one word that
-#: are no sure sign of a licence are left to the second look.
-_GATE = "|".join(re.escape(g) for g in sorted({"licen", *(r for _, r, _, _ in FAMILIES), *(k for _, k, _, _ in SENTENCES)}))
+#: A text with none of these holds no base phrase and no keyword of a rule.
+_GATE = "|".join(re.escape(g).replace("\\ ", GAP) for g in sorted({"licen", *(rule.keyword for rule in rules())}))
 
 
 def _word_counts(lowered: pa.Array) -> np.ndarray:
