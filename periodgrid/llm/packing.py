@@ -5,7 +5,9 @@ first piece that takes the remainder. Full pieces fill sequences of their own. T
 dealt to groups of bounded size by a hash, and each group is packed by bin completion: the
 largest length left opens a bin, the undominated fillings of its room are enumerated by branch
 and bound on the waste, and the best one becomes the bin, as often as the counts allow. Lengths
-repeat a lot, so a group is a count per length, not a list of pieces.
+repeat a lot, so a group is a count per length, not a list of pieces. Where that takes more bins
+than the sum of the lengths asks for, the group is packed best-fit-decreasing as well, and the
+packing with fewer bins stays. There is no branching over the bins of a group.
 """
 
 from __future__ import annotations
@@ -75,11 +77,11 @@ def best_filling(counts: np.ndarray, room: int) -> list[int]:
     """Lengths (with repeats) that fill ``room`` best, by branch and bound from the longest down.
 
     Depth first, longest first: the first filling found is the greedy one and serves as the
-    incumbent. A branch ends when what it may still hold cannot beat the incumbent's waste. Of
+    incumbent. A length is taken by count, so the depth is the number of different lengths that fit
+    together, some 45 of them. A branch ends when what it may still hold cannot beat the incumbent's waste. Of
     the lengths that leave no room for more only the longest is tried (the others' fillings are
     dominated); a filling without waste ends the search.
     """
-    left = counts.copy()
     below = np.arange(len(counts))  # the longest length with a piece, at most i
     below[counts <= 0] = 0
     below = np.maximum.accumulate(below)
@@ -87,35 +89,68 @@ def best_filling(counts: np.ndarray, room: int) -> list[int]:
     shortest = int(held[0]) if len(held) else 0
     total = np.cumsum(np.arange(len(counts)) * counts)
     best: tuple[int, list[int]] = (room + 1, [])
-    chosen: list[int] = []
+    chosen: list[tuple[int, int]] = []
     nodes = 0
 
     def walk(room: int, top: int) -> None:
         nonlocal best, nodes
         nodes += 1
         if room < best[0]:
-            best = (room, chosen.copy())
+            best = (room, [size for size, times in chosen for _ in range(times)])
         size = int(below[min(top, room)])
         while size > 0 and best[0]:
             if room - min(room, int(total[size])) >= best[0] or nodes > NODES:
                 break
             lower = size - 1
-            if left[size] > 0:
-                left[size] -= 1
-                chosen.append(size)
-                walk(room - size, size)
+            for times in range(min(int(counts[size]), room // size), 0, -1):
+                if room - min(room, times * size + int(total[lower])) >= best[0] or nodes > NODES:
+                    break
+                chosen.append((size, times))
+                walk(room - times * size, lower)
                 chosen.pop()
-                left[size] += 1
-                if room - size < shortest:  # shorter lengths that leave no room either are dominated
-                    lower = min(lower, room - shortest)
+            if room - size < shortest:  # shorter lengths that leave no room either are dominated
+                lower = min(lower, room - shortest)
             size = int(below[max(lower, 0)])
 
     walk(room, room)
     return best[1]
 
 
+def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and place in it for each length: longest first, each to the bin with the least room that holds it."""
+    bins = np.zeros(len(lengths), np.int64)
+    places = np.zeros(len(lengths), np.int64)
+    by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
+    rooms = 0  # bit r: some bin has room r
+    used = 0
+    for at in np.argsort(-lengths, kind="stable").tolist():
+        size = int(lengths[at])
+        fits = rooms >> size
+        if fits:
+            room = size + (fits & -fits).bit_length() - 1
+            chosen = by_room[room].pop()
+            if not by_room[room]:
+                rooms ^= 1 << room
+        else:
+            room, chosen = capacity, used
+            used += 1
+        bins[at], places[at] = chosen, capacity - room
+        by_room[room - size].append(chosen)
+        rooms |= 1 << (room - size)
+    return bins, places
+
+
 def complete_bins(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and place in it for each length; the largest piece left always opens the next bin."""
+    """Bin and place in it for each length: bin completion, or best fit where that takes fewer bins."""
+    packed = _completed(lengths, capacity)
+    count = lambda found: int(found[0].max(initial=-1)) + 1
+    if count(packed) > -(-int(lengths.sum()) // capacity):
+        packed = min(packed, best_fit(lengths, capacity), key=count)
+    return packed
+
+
+def _completed(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bin completion; the largest piece left always opens the next bin."""
     order = np.argsort(lengths, kind="stable")
     counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     ends = np.cumsum(counts)  # pieces of one length stand together in ``order``; taken from the end
