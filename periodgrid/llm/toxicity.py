@@ -4,7 +4,8 @@ A word is the mean of hashed embeddings of itself and of its first three to six
 inflected and compound forms share what they begin with. Filters of one, two and three words run
 over the whole text; each filter keeps its largest answer; a logistic layer reads these. The net
 is trained in numpy on a bounded sample of labelled texts and applied to every text in Arrow
-batches. Decision thresholds are calibrated by language on labelled texts kept out of training.
+batches. Decision thresholds are calibrated by language on all labelled texts kept out of training:
+these are scored on Spark and counted per language, score step and label.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +21,15 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import slices
+from .common import counted_side, slices, stored
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 16, 8, (1, 2, 3)
 #: Pieces of a word: itself and its first three to six letters.
 PIECES = 5
-#: Bounds of the samples: labelled rows per class to train on, rows to calibrate on, and words
-#: of one text that the training reads at a time.
-TRAIN_PER_CLASS, CALIBRATE_ROWS = 2000, 3000
+#: Bound of the sample: labelled rows per class to train on.
+TRAIN_PER_CLASS = 2000
+#: Steps between scores 0 and 1 in which labelled rows are counted for the thresholds.
+SCORE_STEPS = 1 << 14
 STEPS, BATCH, RATE = 450, 32, 0.01
 PREDICT_AT = 0.7
 #: Words convolved at a time.
@@ -196,14 +199,20 @@ def _texts(rows: DataFrame) -> tuple[list[np.ndarray], list]:
     return texts, got.drop_columns("text").to_pylist()
 
 
-def _scores(net: TextCnn, texts: list[np.ndarray]) -> np.ndarray:
-    """Scores of texts of the sample, a few at a time."""
-    out = [np.zeros(0)]
-    for at in range(0, len(texts), BATCH):
-        some = texts[at:at + BATCH]
-        pieces = np.concatenate([*some, BLANK])
-        out.append(_sigmoid(net.logits(pieces, np.arange(len(pieces) - 1), np.array([len(t) for t in some], np.int64))))
-    return np.concatenate(out)
+def _scored(net: TextCnn | None, rate: float, frame: DataFrame) -> DataFrame:
+    """Rows of ``frame`` with their score; without a net every score is the base rate."""
+    shared = frame.sparkSession.sparkContext.broadcast(vars(net) if net else None)  # plain data
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = TextCnn(**shared.value) if shared.value else None
+        for batch in batches:
+            if model is None:
+                scores = np.full(batch.num_rows, rate)
+            else:
+                scores = np.concatenate([_sigmoid(model.logits(*_coded(part))) for part in slices(batch.column("text"))])
+            yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
+
+    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> tuple[TextCnn | None, dict[str | None, float], float]:
@@ -214,36 +223,43 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[TextCnn | None, dict[s
         return None, {None: PREDICT_AT}, float(rated["rate"] or 0.0)
     drawn = F.xxhash64(F.lit(11), "doc_id")
     picked = known.withColumn("draw", drawn).withColumn("train", F.pmod("draw", F.lit(5)) < 4)
-    parts = [
-        *(picked.where(f"train and toxic = {k}").orderBy("draw", "doc_id").limit(TRAIN_PER_CLASS) for k in (0, 1)),
-        picked.where("not train").orderBy("draw", "doc_id").limit(CALIBRATE_ROWS),
-    ]
-    sample = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    sample = reduce(DataFrame.unionByName, (picked.where(f"train and toxic = {k}").orderBy("draw", "doc_id").limit(TRAIN_PER_CLASS) for k in (0, 1)))
+    sample = stored(sample.select("doc_id", "toxic", "draw"))
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
-    # At most 2 * TRAIN_PER_CLASS + CALIBRATE_ROWS ids: a bounded side.
+    # At most 2 * TRAIN_PER_CLASS ids: a bounded side.
     pieces, rows = _texts(texts.join(F.broadcast(sample), "doc_id").orderBy("draw", "doc_id", F.xxhash64("text")))
     label = np.array([r["toxic"] for r in rows], np.float32)
-    trains = np.array([r["train"] for r in rows], bool)
-    if len(set(label[trains])) < 2:
+    if len(set(label)) < 2:
         return None, {None: PREDICT_AT}, float(rated["rate"])
-    net = train([p for p, t in zip(pieces, trains) if t], label[trains], min(max(float(rated["rate"]), 0.01), 0.99))
-    rest = np.flatnonzero(~trains)
-    score = _scores(net, [pieces[i] for i in rest])
-    return net, thresholds([rows[i]["lang"] for i in rest], score, label[rest]), float(rated["rate"])
-
-
-def thresholds(langs: list, score: np.ndarray, label: np.ndarray, least: int = 10) -> dict[str | None, float]:
-    """Per language the threshold of the best F1, half-way to the next score below; ``least``: rows per class."""
+    net = train(pieces, label, min(max(float(rated["rate"]), 0.01), 0.99))
+    # Every labelled row that was not trained on counts, as one of its language, score step and label.
+    others = counted_side(known.join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_anti"))
+    step = F.floor(F.col("score") * SCORE_STEPS).alias("step")
+    counts = _scored(net, 0.0, texts.join(others, "doc_id")).groupBy("lang", step, "toxic").count().collect()
+    score = np.array([(c["step"] + 0.5) / SCORE_STEPS for c in counts])
+    found = thresholds([c["lang"] for c in counts], score, np.array([c["toxic"] for c in counts]), weight=np.array([c["count"] for c in counts]))
+    return net, found, float(rated["rate"])
+
+
+def thresholds(langs: list, score: np.ndarray, label: np.ndarray, least: int = 10, weight: np.ndarray | None = None) -> dict[str | None, float]:
+    """Per language the threshold of the best F1, half-way to the next score below.
+
+    ``weight``: rows that an entry stands for. A language needs ``least`` rows of each class, else the
+    common threshold holds; that one comes from whatever rows there are and is ``PREDICT_AT``
+    only where a class has none.
+    """
     found: dict[str | None, float] = {None: PREDICT_AT}
     langs = np.array(langs, object)
+    weight = np.ones(len(score)) if weight is None else weight
     for lang in [None, *sorted({x for x in langs if x is not None})]:
         mine = np.ones(len(score), bool) if lang is None else langs == lang
-        s, y = score[mine], label[mine]
-        if min((y == 0).sum(), (y == 1).sum()) < least:
+        s, y, w = score[mine], label[mine], weight[mine]
+        if min(w[y == 0].sum(), w[y == 1].sum()) < (1 if lang is None else least):
             continue
         order = np.argsort(-s, kind="stable")
-        s, hits = s[order], np.cumsum(y[order])
-        f1 = 2 * hits / (np.arange(1, len(s) + 1) + y.sum())
+        s, y, w = s[order], y[order], w[order]
+        hits, total = np.cumsum(y * w), (y * w).sum()
+        f1 = 2 * hits / (np.cumsum(w) + total)
         f1[:-1][s[:-1] == s[1:]] = -1
         best = int(f1.argmax())
         below = s[best + 1] if best + 1 < len(s) else 0.0
@@ -264,23 +280,8 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     or 1 are not learned from; without both classes there is no net and every score is the base
     rate. Repeated rows score alike. No rows give no rows.
     """
-    spark = documents.sparkSession
     net, limits, rate = fit(documents, labels)
-    shared = spark.sparkContext.broadcast(vars(net) if net else None)  # plain data
-
-    kept = documents.drop("score", "threshold", "rejected")
-    bare = kept.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = TextCnn(**shared.value) if shared.value else None
-        for batch in batches:
-            if model is None:
-                scores = np.full(batch.num_rows, rate)
-            else:
-                scores = np.concatenate([_sigmoid(model.logits(*_coded(part))) for part in slices(batch.column("text"))])
-            yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
-
-    scored = kept.mapInArrow(run, T.StructType([*bare.fields, T.StructField("score", T.DoubleType())]))
+    scored = _scored(net, rate, documents.drop("score", "threshold", "rejected"))
     limit = F.lit(limits[None])
     for lang, value in limits.items():
         if lang is not None:
