@@ -6,6 +6,11 @@ least m - q + 1 - k q of its q-grams with it, all on diagonals that lie within k
 So shared q-grams are counted per window in overlapping bands of diagonals, bands that reach the
 bound are regions, and a region counts once a banded alignment finds at most k edits.
 
+Windows have the length of the shortest passage that counts, and the next one starts no further
+on than the budget of edits: a passage of that length anywhere in an item lacks fewer characters
+of some window than the budget allows. The index holds the q-grams of an item once; the windows
+that cover a place follow from it.
+
 The benchmark is a stated query set. It travels in blocks of bounded size; the documents stay
 where they are and are read once per block, whole.
 """
@@ -21,12 +26,12 @@ from pyspark.sql import DataFrame, functions as F
 from .common import counted_side
 
 Q = 8
-#: Edits allowed per character of a window, and the length and stride of windows.
-EDIT_RATE, WINDOW, STRIDE = 0.08, 160, 80
+#: Edits allowed per character of a window, and the length of windows: the shortest passage that counts.
+EDIT_RATE, WINDOW = 0.08, 80
 #: Characters of the benchmark that tasks get at a time.
 BLOCK_CHARS = 4 << 20
 #: Characters of documents that are hashed at a time.
-STRETCH = 1 << 21
+STRETCH = 1 << 18
 FILTER_BITS = 22
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -70,31 +75,44 @@ def bound(m: int) -> int:
     return m - Q + 1 - budget(m) * Q
 
 
+#: From one window to the next: a passage of ``WINDOW`` characters lacks at most half of it.
+STRIDE = budget(WINDOW)
+
+
 class WindowIndex:
     """q-grams of the windows of some benchmark items."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.windows: list[tuple[int, int, np.ndarray]] = []  # item, place in it, characters
+        self.items: list[tuple[int, np.ndarray]] = []  # item_id, characters
+        grams, place, low, high, begins = [], [], [], [], []
+        first = 0
         for item, text in items:
             codes = code_points(text)
             if len(codes) < Q:
                 continue
             last = max(0, len(codes) - WINDOW)
-            for at in sorted({*range(0, last, STRIDE), last}):
-                self.windows.append((item, at, codes[at:at + WINDOW]))
-        grams = [_qgrams(w) for _, _, w in self.windows]
-        flat = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else owner
+            starts = np.array(sorted({*range(0, last, STRIDE), last}))
+            self.items.append((item, codes))
+            begins.append(starts)
+            at = np.arange(len(codes) - Q + 1)
+            grams.append(_qgrams(codes))
+            place.append(at)
+            low.append(first + np.searchsorted(starts, at - (min(WINDOW, len(codes)) - Q)))
+            high.append(first + np.searchsorted(starts, at, "right"))
+            first += len(starts)
+        flat, place, low, high = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((grams, np.uint64), (place, np.int64), (low, np.int64), (high, np.int64)))
+        # Per window its item and its place and length there.
+        self.owner = np.repeat(np.arange(len(begins)), [len(x) for x in begins])
+        self.start = np.concatenate([*begins, np.zeros(0, np.int64)])
         order = np.argsort(flat, kind="stable")
         self.grams, first = np.unique(flat[order], return_index=True)
         self.first = np.append(first, len(flat))
-        self.owner, self.place = owner[order], place[order]
+        self.place, self.low, self.high = place[order], low[order], high[order]  # windows low to high - 1 hold the q-gram
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        self.m = np.array([len(w) for _, _, w in self.windows], np.int64)
-        self.k = np.array([budget(m) for m in self.m], np.int64)
-        self.bound = np.array([bound(m) for m in self.m], np.int64)
+        self.m = np.minimum(np.array([len(c) for _, c in self.items], np.int64), WINDOW)[self.owner]
+        self.k = np.array([budget(m) for m in range(WINDOW + 1)], np.int64)[self.m]
+        self.bound = self.m - Q + 1 - self.k * Q
         # Any region holds a stretch of the shortest region's length with so many shared q-grams.
         self.span = int((self.m + self.k).min(initial=1 << 30))
         self.dense = int((-(-self.bound // -(-(self.m + self.k) // self.span))).min()) if len(self.m) else 1
@@ -125,8 +143,9 @@ class WindowIndex:
         hit, at = hit[near], at[near]
         n = self.first[at + 1] - self.first[at]
         entry = np.repeat(self.first[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        window = self.owner[entry]
-        diagonal = np.repeat(hit, n) - self.place[entry]
+        held = self.high[entry] - self.low[entry]
+        window = np.repeat(self.low[entry] - np.cumsum(held) + held, held) + np.arange(int(held.sum()))
+        diagonal = np.repeat(np.repeat(hit, n) - self.place[entry], held) + self.start[window]
         # Band b covers 2 (k + 1) diagonals from b (k + 1) on, so any k + 1 in a row lie in one.
         width = self.k[window] + 1
         band = np.floor_divide(diagonal, width)
@@ -141,9 +160,15 @@ class WindowIndex:
         good = shared >= self.bound[window[start]]
         return list(zip(window[start][good].tolist(), low[good].tolist(), high[good].tolist()))
 
+    def window(self, window: int) -> tuple[int, int, np.ndarray]:
+        """Item, place in it and characters of a window."""
+        item, codes = self.items[self.owner[window]]
+        at = int(self.start[window])
+        return item, at, codes[at:at + WINDOW]
+
     def verify(self, codes: np.ndarray, window: int, low: int, high: int) -> tuple[int, int, int] | None:
         """(start, end, edits) in ``codes`` of the best alignment of a window near its diagonals, if within budget."""
-        _, _, pattern = self.windows[window]
+        _, _, pattern = self.window(window)
         k, m = int(self.k[window]), len(pattern)
         for diagonal in dict.fromkeys((low, high)):
             if diagonal >= 0 and np.array_equal(codes[diagonal:diagonal + m], pattern):
@@ -212,7 +237,7 @@ def _found(index: WindowIndex, held: list[np.ndarray], owners: list[int]) -> lis
         k = max(0, int(np.searchsorted(starts, (low + high) // 2 + int(index.m[window]) // 2, "right")) - 1)
         got = index.verify(held[k], window, int(low - starts[k]), int(high - starts[k]))
         if got:
-            item, place, pattern = index.windows[window]
+            item, place, pattern = index.window(window)
             out.add((owners[k], item, got[0], got[1], place, place + len(pattern), got[2]))
     return sorted(out)
 
