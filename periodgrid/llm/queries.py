@@ -9,6 +9,7 @@ from .decontaminate import contamination
 from .licences import scan_licences
 from .lm_difference import score_documents
 from .packing import packed_documents
+from .polarisation import op11_embedding_whitening
 from .quotes import link_quotes
 from .sanitise import find_personal_data
 from .secrets import find_secrets
@@ -79,6 +80,9 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+query(op11_embedding_whitening)
+
+
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SHINGLES_SQL = f"""
