@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 from .decontaminate import contamination
+from .divergence import DIVERGENCE_SQL, op12_source_divergence
 from .licences import scan_licences
 from .lm_difference import score_documents
 from .packing import packed_documents
@@ -81,6 +82,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op11_embedding_whitening)
+query(op12_source_divergence)
 
 
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -132,3 +134,5 @@ WITH RECURSIVE v AS (
 SELECT e.vec_id, coalesce(d.n_links, 0) AS n_links, g.component_id, e.vec_id = g.component_id AS kept
 FROM embeddings e LEFT JOIN degrees d USING (vec_id) JOIN groups g USING (vec_id)
 """
+
+SQL["op12_source_divergence"] = DIVERGENCE_SQL
