@@ -15,6 +15,7 @@ from .quotes import link_quotes
 from .sanitise import find_personal_data
 from .secrets import find_secrets
 from .subspace import near_duplicates
+from .suffixes import op13_suffix_dedup
 from .toxicity import PREDICT_AT, fold, score_toxicity
 from .vertical_join import jaccard_components
 
@@ -83,6 +84,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 query(op11_embedding_whitening)
 query(op12_source_divergence)
+query(op13_suffix_dedup)
 
 
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
