@@ -54,7 +54,7 @@ TITLE = '"Anexo, con título",\n'
 
 def sheet_files(
     rows: DataFrame, book: str, sheet: str, concept: str, date: str, value: str, skip: int,
-    quarter: bool = False, extra: tuple[str, ...] = (),
+    quarter: bool = False, extra: tuple[str, ...] = (), title: str = TITLE, corner: str = "",
 ) -> DataFrame:
     """``archivo, hoja, value``: each sheet as one text with title rows and a repeated header.
 
@@ -73,7 +73,7 @@ def sheet_files(
     line = f"concat_ws(',', {', '.join(['concepto', *texts, *padding])}) AS linea"
     lines = wide.selectExpr("hoja", "concepto", line)
     names = [quarter_name(m) for m in range(1, 13)] if quarter else list(MONTHS_ES)
-    header = ",".join(["", *(name for _ in YEARS for name in names), *extra])
+    header = ",".join([corner, *(name for _ in YEARS for name in names), *extra])
     body = F.concat_ws(
         "\n",
         F.transform(
@@ -81,7 +81,7 @@ def sheet_files(
         ),
     )
     return lines.groupBy("hoja").agg(
-        F.concat(F.lit(TITLE * skip), F.lit(header + "\n"), body).alias("value")
+        F.concat(F.lit(title * skip), F.lit(header + "\n"), body).alias("value")
     ).select(F.lit(book).alias("archivo"), F.col("hoja").cast("string").alias("hoja"), "value")
 
 
@@ -159,6 +159,36 @@ def grid_ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(read)
 
 
+def broken_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets whose titles, first header cell and concepts hold quotes, commas and line breaks."""
+    concept = F.concat(F.lit('"'), F.replace("o_orderpriority", F.lit("-"), F.lit('-\n,""')), F.lit('"'))
+    return sheet_files(
+        table(spark, sf_dir, "orders").withColumn("_concept", concept), ORDERS_BOOK, "o_orderstatus", "_concept",
+        "o_orderdate", "o_totalprice", 12, title='"Anexo,\n""con"" título\n",\n', corner='"prio\n\nridad"')
+
+
+BROKEN_SQL = cells_sql(
+    "pedidos", "o_orderstatus", "replace(o_orderpriority, '-', '-' || chr(10) || ',\"')", "o_orderdate", "o_totalprice", "orders")
+
+
+def _ingested(spark: SparkSession, sheets: DataFrame, **options) -> DataFrame:
+    root = fresh_path(spark, "sheets")
+    write_sheets(sheets, root)
+    return loaded(read_csv_sheets(spark, root, MANIFEST, GRAMMAR, partitioned=True, **options))
+
+
+@query(BROKEN_SQL)
+def grid_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line breaks in titles, header and cells, each sheet read as one text."""
+    return _ingested(spark, broken_sheets(spark, sf_dir))
+
+
+@query(BROKEN_SQL)
+def grid_line_breaks_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files by the reader of lines, which puts the records together again."""
+    return _ingested(spark, broken_sheets(spark, sf_dir), whole_file_bytes=0)
+
+
 @query(CELLS_SQL)
 def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets that arrive in two waves, loaded by two runs of one stream."""
@@ -186,14 +216,15 @@ def sheet_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_sheets(spark, root, partitioned=True)
 
 
-@query("""
+QUARANTINE_SQL = """
 SELECT 'pedidos' AS archivo, o_orderstatus AS hoja, 'unbalanced quotes' AS error
 FROM orders WHERE o_orderstatus = 'P' GROUP BY 2
 UNION ALL SELECT 'envios', l_returnflag, 'no header row below the skipped rows'
 FROM lineitem WHERE l_returnflag = 'R' GROUP BY 2
-UNION ALL SELECT 'pedidos', 'Z', 'sheet not found'""")
-def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A torn sheet, a sheet shorter than its title and a missing one are reported."""
+UNION ALL SELECT 'pedidos', 'Z', 'sheet not found'"""
+
+
+def _quarantine(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     text = F.col("value")
     spoilt = derived_sheets(spark, sf_dir).withColumn(
         "value",
@@ -204,8 +235,19 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "sheets")
     write_sheets(spoilt, root)
     listed = (*MANIFEST, SheetSpec(ORDERS_BOOK, "Z", "pedidos_Z", "prioridad"))
-    read = read_csv_sheets(spark, root, listed, GRAMMAR, partitioned=True)
-    return ingest(read).quarantine.drop("tabla")
+    return ingest(read_csv_sheets(spark, root, listed, GRAMMAR, partitioned=True, **options)).quarantine.drop("tabla")
+
+
+@query(QUARANTINE_SQL)
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A torn sheet, a sheet shorter than its title and a missing one are reported."""
+    return _quarantine(spark, sf_dir)
+
+
+@query(QUARANTINE_SQL)
+def ingest_quarantine_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from the reader of lines."""
+    return _quarantine(spark, sf_dir, whole_file_bytes=0)
 
 
 @query("""

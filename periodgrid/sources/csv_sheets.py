@@ -1,9 +1,14 @@
 """Sheets exported as CSV, ``<root>/<workbook>/<sheet>.csv`` or partition folders.
 
-Files up to ``WHOLE_FILE_BYTES`` are read as one record each: the header is in the same record
-as its rows, so nothing is joined or shuffled. Larger files are read line by line in splits, so
-that one giant sheet is spread over many tasks; their lines are stored with their place in the
-file before the header is looked up among them.
+Files up to ``WHOLE_FILE_BYTES`` are read as one text each: the header is in the same row as its
+lines, so nothing is joined or shuffled. Larger files are read line by line in splits, so that one
+giant sheet is spread over many tasks; which lines belong together is told by the parity of quotes,
+counted per split and carried over the split borders. Both readers follow the same rules:
+
+- a line break in a quoted cell ends no record, in titles and headers as well as in the body, and
+  reads as one ``\n`` however the file spells it; a line end at the end of a file opens no record;
+- the rows to skip are records; the record after them is the header;
+- a sheet with an odd number of quotes, or with no record left for a header, is unread.
 """
 
 from __future__ import annotations
@@ -33,9 +38,13 @@ from .manifest import (
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 STRETCH_BYTES = 128 * 1024 * 1024
 
+TORN = "unbalanced quotes"
+HEADLESS = "no header row below the skipped rows"
+
 _FIELD = r',("[^"]*+(?:""[^"]*+)*+"(?=,|$)|[^,]*+)'
-_RECORD = r'([^"\r\n]*+(?:"[^"]*+"[^"\r\n]*+)*+)(?:\r\n|\r|\n)'
-_LINE_END = r"\r\n|\r|\n"
+_RECORD = r'([^"\n]*+(?:"[^"]*+"[^"\n]*+)*+)\n'
+_LINE_END = r"\r\n|\r"
+_BYTE_ORDER_MARK = "\ufeff"
 
 
 def split_fields(line: Column) -> Column:
@@ -55,10 +64,22 @@ def quote_count(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
 
 
+def plain_line_ends(text: Column) -> Column:
+    """A whole file as the line reader sees it: no byte order mark and one kind of line end."""
+    plain = F.when(text.contains("\r"), F.regexp_replace(text, _LINE_END, "\n")).otherwise(text)
+    return F.regexp_replace(plain, f"^{_BYTE_ORDER_MARK}", "")
+
+
 def split_records(text: Column) -> Column:
-    """A whole file to its records; a line break inside a quoted cell does not end one."""
+    """A text with plain line ends to its records; a line break inside a quoted cell does not end
+    one. Behind a last line end stands an empty record, as in ``record_count``."""
     quoted = F.regexp_extract_all(F.concat(text, F.lit("\n")), F.lit(_RECORD), F.lit(1))
-    return F.when(text.contains('"'), quoted).otherwise(F.split(text, _LINE_END))
+    return F.when(text.contains('"'), quoted).otherwise(F.split(text, "\n"))
+
+
+def record_count(records: Column) -> Column:
+    """How many records there are; a line end at the end of a file opens none."""
+    return F.size(records) - F.when(F.element_at(records, -1) == "", 1).otherwise(0)
 
 
 def sheet_texts(
@@ -86,6 +107,7 @@ def headed_from_text(
 ) -> DataFrame:
     """Headed rows from records ``(archivo, hoja, value)`` that each hold a whole sheet."""
     listed = files.join(F.broadcast(manifest), ["archivo", "hoja"])
+    listed = listed.select("archivo", "hoja", "tabla", "saltar", once(plain_line_ends(F.col("value"))).alias("value"))
     torn = quote_count(F.col("value")) % 2 == 1
     records = F.col("_records")
     checked = listed.select(
@@ -93,11 +115,9 @@ def headed_from_text(
         once(F.when(~torn, split_records(F.col("value")))).alias("_records"),
     ).withColumn(
         "error",
-        F.when(records.isNull(), "unbalanced quotes").when(
-            F.size(records) <= F.col("saltar"), "no header row below the skipped rows"
-        ),
+        F.when(records.isNull(), TORN).when(record_count(records) <= F.col("saltar"), HEADLESS),
     )
-    below = F.slice(records, F.col("saltar") + 2, F.greatest(F.size(records), F.lit(1)))
+    below = F.slice(records, F.col("saltar") + 2, F.greatest(record_count(records) - F.col("saltar") - 1, F.lit(0)))
     sheets = checked.select(
         "archivo", "hoja", "tabla", "error",
         F.when(F.col("error").isNull(), split_fields(F.get(records, F.col("saltar")))).alias("_header"),
@@ -115,56 +135,100 @@ def headed_from_text(
     )
 
 
-def _headed_from_lines(
-    lines: DataFrame, manifest: DataFrame, max_skip: int, grammar: PeriodGrammar
-) -> DataFrame:
-    """Headed rows of sheets too large for one record.
+def _split_states(lines: DataFrame) -> DataFrame:
+    """One row per split of a file: is its first byte inside quotes, and the records before it.
 
-    Only the first split of a file is searched for the header; a header further down is
-    reported, not lost. The place of a line depends on how the files were split, which a second
-    scan may do differently, so the lines are stored once and everything follows from that.
+    Only lines with an odd number of quotes switch between inside and outside. Their alternating
+    sum of positions is the number of lines that begin inside quotes, so a split is told by its
+    own odd lines, and a running sum over the splits of a file tells the rest. Stored.
     """
-    sheet = ("archivo", "hoja", "tabla")
-    stored = cut_lineage(
-        lines.join(F.broadcast(manifest), ["archivo", "hoja"]).select(
-            *sheet, "saltar", "_stretch", "_size", "_block", "_pos", "value"
-        )
-    )
-    top = Window.partitionBy(*sheet).orderBy("_pos")
-    # The limit on the row number is applied before the shuffle: a few lines per file move.
-    first = (
-        stored.where(F.col("_block") == 0)
-        .select(*sheet, "saltar", "_size", "_pos", "value", F.row_number().over(top).alias("_n"))
-        .where(F.col("_n") <= max_skip + 1)
-    )
-    header_line = F.when(F.col("_n") == F.col("saltar") + 1, F.struct("_pos", "value"))
-    heads = first.groupBy(*sheet, "_size").agg(F.max(header_line).alias("_head"))
-
-    promoted = promote_header(heads, split_fields(F.col("_head.value")), grammar)
-    headers = cut_lineage(
-        promoted.select(*sheet, "_size", F.col("_head._pos").alias("_head"), "etiquetas", "periodos")
+    split, last = ["_ruta", "_block"], F.col("_first") + F.col("_lines") - 1
+    nth = F.row_number().over(Window.partitionBy(*split).orderBy("_pos"))
+    signed = F.when(F.col("_nth") % 2 == 0, F.col("_pos")).otherwise(-F.col("_pos"))
+    odd = lines.where(F.col("_odd") == 1).select(*split, "_pos", nth.alias("_nth"))
+    inside = odd.groupBy(*split).agg(F.sum(signed).alias("_inside"))
+    sizes = lines.groupBy(*split).agg(
+        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_lines"), F.sum("_odd").alias("_odds"))
+    in_file = Window.partitionBy("_ruta").orderBy("_block")
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    filled = sizes.join(inside, split, "left").withColumns({
+        "_inside": F.coalesce("_inside", F.lit(0)) + F.when(F.col("_odds") % 2 == 1, last).otherwise(0),
+        "_state": F.coalesce(F.sum("_odds").over(before), F.lit(0)) % 2,
+    })
+    opened = F.when(F.col("_state") == 0, F.col("_lines") - F.col("_inside")).otherwise(F.col("_inside"))
+    counted = filled.withColumn("_opened", opened)
+    return cut_lineage(counted.withColumn("_base", F.coalesce(F.sum("_opened").over(before), F.lit(0))))
+
+
+def _beside(side: DataFrame) -> DataFrame:
+    """A stored side of a join, broadcast if it is small."""
+    return F.broadcast(side) if fits_broadcast(side, BROADCAST_BYTES) else side
+
+
+def records_of_lines(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """``_ruta, _record, _block, value``: the records of each file, numbered from 0.
+
+    Lines of a split without odd lines are told by the split alone and do not move; other splits
+    are put in order one by one. Only the lines of records with line breaks are brought together.
+    """
+    known = splits.select("_ruta", "_block", "_first", "_odds", "_state", "_base")
+    placed = lines.join(_beside(known), ["_ruta", "_block"])
+    at_rest = placed.where(F.col("_odds") == 0).withColumns({
+        "_before": F.col("_state"),
+        "_record": F.col("_base") + F.when(F.col("_state") == 0, F.col("_pos") - F.col("_first")).otherwise(-1),
+    })
+    so_far = Window.partitionBy("_ruta", "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    switched = placed.where(F.col("_odds") > 0).withColumn(
+        "_before", (F.col("_state") + F.sum("_odd").over(so_far) - F.col("_odd")) % 2)
+    moving = switched.withColumn("_record", F.col("_base") + F.sum(1 - F.col("_before")).over(so_far) - 1)
+    every = at_rest.unionByName(moving).select("_ruta", "_record", "_block", "_pos", "value", (
+        (F.col("_before") == 0) & (F.col("_odd") == 0)).alias("_whole"))
+    pieces = F.array_sort(F.collect_list(F.struct("_block", "_pos", "value")))
+    joined = every.where(~F.col("_whole")).groupBy("_ruta", "_record").agg(pieces.alias("_pieces")).select(
+        "_ruta", "_record", F.col("_pieces")[0]["_block"].alias("_block"),
+        F.concat_ws("\n", F.transform("_pieces", lambda piece: piece["value"])).alias("value"))
+    return every.where("_whole").select("_ruta", "_record", "_block", "value").unionByName(joined)
+
+
+def _headed_from_lines(lines: DataFrame, manifest: DataFrame, grammar: PeriodGrammar) -> DataFrame:
+    """Headed rows of sheets too large for one text.
+
+    The place of a line depends on how the files were split, which a second scan may do
+    differently, so the lines are stored once and everything follows from that.
+    """
+    sheet, wanted = ("archivo", "hoja"), manifest.select("archivo", "hoja").distinct()
+    stored = cut_lineage(lines.join(F.broadcast(wanted), list(sheet), "left_semi"))
+    splits = _split_states(stored)
+    sizes = stored.groupBy("_ruta", *sheet).agg(F.first("_size").alias("_size"))
+    totals = splits.groupBy("_ruta").agg((F.sum("_odds") % 2).alias("_open"), F.sum("_opened").alias("_records"))
+    files = cut_lineage(
+        sizes.join(totals, "_ruta").join(F.broadcast(manifest), list(sheet)).select(
+            "_ruta", *sheet, "tabla", "saltar", "_size",
+            F.when(F.col("_open") == 1, TORN).when(F.col("_records") <= F.col("saltar"), HEADLESS).alias("error"))
     )
-    found = headers.where(F.col("_head").isNotNull()).drop("_size")
-    if fits_broadcast(found, BROADCAST_BYTES):
-        joined = stored.join(F.broadcast(found), list(sheet))
+    readable = files.where(F.col("error").isNull())
+    # A torn file has no records to speak of; its lines are not put together.
+    sound = stored.join(_beside(files.where("error IS NULL").select("_ruta").distinct()), "_ruta", "left_semi")
+    records = records_of_lines(sound, splits)
+
+    top = records.join(_beside(readable), "_ruta").where(F.col("_record") == F.col("saltar"))
+    promoted = promote_header(top, split_fields(F.col("value")), grammar)
+    headers = cut_lineage(promoted.select("_ruta", *sheet, "tabla", "saltar", "_size", "etiquetas", "periodos"))
+    if fits_broadcast(headers, BROADCAST_BYTES):
+        joined = records.join(F.broadcast(headers.drop("_size")), "_ruta")
     else:
         stretches = F.sequence(F.lit(0), F.floor(F.col("_size") / STRETCH_BYTES).cast("int"))
-        spread = headers.where(F.col("_head").isNotNull()).select(
-            *sheet, "_head", "etiquetas", "periodos", F.explode(stretches).alias("_stretch")
-        )
-        joined = stored.join(spread, [*sheet, "_stretch"])
-
-    torn = quote_count(F.col("value")) % 2 == 1
-    rows = joined.where((F.col("_block") > 0) | (F.col("_pos") > F.col("_head"))).select(
+        spread = headers.withColumn("_stretch", F.explode(stretches)).drop("_size")
+        stretch = F.floor(F.col("_block") / STRETCH_BYTES).cast("int")
+        joined = records.withColumn("_stretch", stretch).join(spread, ["_ruta", "_stretch"])
+    rows = joined.where(F.col("_record") > F.col("saltar")).select(
         *HEADED_COLUMNS[:5],
-        row_order(F.col("_block"), F.col("_pos")),
-        F.when(~torn, split_fields(F.col("value"))).alias("celdas"),
-        F.when(torn, "line break inside a quoted cell").alias("error"),
-    )
-    headless = headers.where(F.col("_head").isNull()).select(
-        *sheet, F.lit("no header row in the first split").alias("error")
+        row_order(F.col("_block"), F.col("_record")),
+        split_fields(F.col("value")).alias("celdas"),
+        F.lit(None).cast("string").alias("error"),
     )
-    return rows.unionByName(headless, allowMissingColumns=True)
+    unread = files.where(F.col("error").isNotNull()).select(*sheet, "tabla", "error")
+    return rows.unionByName(unread, allowMissingColumns=True)
 
 
 def read_csv_sheets(
@@ -185,16 +249,15 @@ def read_csv_sheets(
 
     listed = _listing(spark, root, partitioned)
     if not listed.where(F.col("length") > whole_file_bytes).isEmpty():
-        block = F.col("_metadata.file_block_start")
         lines = _text(spark, root, False, partitioned).where(size > whole_file_bytes).select(
             "archivo", "hoja", "value",
             size.alias("_size"),
-            block.alias("_block"),
-            F.floor(block / STRETCH_BYTES).cast("int").alias("_stretch"),
+            F.col("_metadata.file_path").alias("_ruta"),
+            F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_pos"),
+            (quote_count(F.col("value")) % 2).alias("_odd"),
         )
-        max_skip = max(spec.skip_rows for spec in specs)
-        rows = rows.unionByName(_headed_from_lines(lines, manifest, max_skip, grammar))
+        rows = rows.unionByName(_headed_from_lines(lines, manifest, grammar))
     return SheetRead(rows, missing_sheets(manifest, listed, ("archivo", "hoja")))
 
 

@@ -129,17 +129,74 @@ def test_large_sheet_is_read_in_splits(spark, tmp_path, rows_of, monkeypatch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
-def test_line_breaks_in_large_sheets_are_reported(spark, tmp_path, rows_of):
-    write_csv(tmp_path, BOOK, "Educación ", EDU)
-    read = csv_sheets.read_csv_sheets(spark, str(tmp_path), SPECS[:1], whole_file_bytes=0)
-    assert rows_of(ingest(read).quarantine, "hoja", "error") == [("Educación ", "line break inside a quoted cell")]
-    assert series(read, rows_of) == []  # as with any other error, the whole sheet is unread
+def both_readers(spark, root, specs, rows_of):
+    """Rows and quarantine of the reader of whole files and of the reader of lines."""
+    found = []
+    for limit in (csv_sheets.WHOLE_FILE_BYTES, 0):
+        done = ingest(csv_sheets.read_csv_sheets(spark, str(root), specs, whole_file_bytes=limit))
+        found.append((rows_of(done.bronze, "tabla", "concepto", "anio", "periodo", "valor"), rows_of(done.quarantine)))
+    return found
 
 
-def test_header_below_a_large_sheets_first_split(spark, tmp_path, rows_of):
-    write_csv(tmp_path, BOOK, "Sexo", [["t"], ["t"]])
-    read = csv_sheets.read_csv_sheets(spark, str(tmp_path), SPECS[1:], whole_file_bytes=0)
-    assert rows_of(ingest(read).quarantine, "hoja", "error") == [("Sexo", "no header row in the first split")]
+def test_line_breaks_in_titles_headers_and_cells(spark, tmp_path, rows_of):
+    rows = [["Título\nen dos líneas"], ["t"], ["ramas\ny más", "Ene", "Feb\n", "Ene"], ["a\n\nb", "1", "2", "3"], ["c", "4", "5", "6"]]
+    write_csv(tmp_path, BOOK, "Educación ", rows)
+    whole, lines = both_readers(spark, tmp_path, SPECS[:1], rows_of)
+    assert whole == lines and whole[1] == []
+    assert whole[0] == sorted([
+        ("edu", "a\n\nb", 2021, "Ene", 1.0), ("edu", "a\n\nb", 2021, "Feb", 2.0), ("edu", "a\n\nb", 2022, "Ene.1", 3.0),
+        ("edu", "c", 2021, "Ene", 4.0), ("edu", "c", 2021, "Feb", 5.0), ("edu", "c", 2022, "Ene.1", 6.0)])
+
+
+@pytest.mark.parametrize("text", [
+    "", "\n", "t\nt", "t\nt\n", "t\nt\n\n", "t\nt\nk,Ene", 't\nt\nk,Ene\n"a,1\n', 't\n"t\nk,Ene\na,1\n', "t\rt\rk,Ene\ra,1\r",
+    "\ufefft\r\nt\r\nk,Ene\r\n\"a\r\nb\",1", 't\nt\nk,Ene\n"a""\n""b",1\n"",2\n\n"c\n",3'])
+def test_both_readers_agree_on_odd_files(spark, tmp_path, rows_of, text):
+    (tmp_path / BOOK).mkdir()
+    (tmp_path / BOOK / "Educación .csv").write_bytes(text.encode())
+    whole, lines = both_readers(spark, tmp_path, SPECS[:1], rows_of)
+    assert whole == lines
+    if text.startswith("t\nt\nk,Ene\n\"a\"\""):
+        assert whole[0] == [("edu", 'a"\n"b', 2021, "Ene", 1.0), ("edu", "c\n", 2021, "Ene", 3.0), ("edu", None, 2021, "Ene", 2.0)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_both_readers_agree_on_files_in_many_splits(spark, tmp_path, rows_of, seed):
+    """Cells with line breaks that cross split borders, several kinds of line ends, torn files."""
+    rng = random.Random(seed)
+
+    def cell():
+        return "".join(rng.choice(['a', 'é', ',', '""', ' ', '\n', '\r\n', 'x' * 40]) for _ in range(rng.randint(0, 12 if rng.random() < 0.9 else 300)))
+
+    specs, end = [], rng.choice(["\n", "\r\n", "\r"])
+    (tmp_path / BOOK).mkdir()
+    for k in range(4):
+        titles = rng.randint(0, 5)
+        lines = [f'"{cell()}"' for _ in range(titles)] + [f'"{cell()}",Ene,"Feb",Ene']
+        lines += [f'"{cell()}",{rng.randint(0, 99)},"{rng.randint(0, 99)}",{rng.choice(["", "7"])}' if rng.random() < 0.8 else f"c,{i},,"
+                  for i in range(rng.randint(20, 150))]
+        text = end.join(lines) + (end if rng.random() < 0.5 else "") + ('"' if k == 3 else "")
+        (tmp_path / BOOK / f"h{k}.csv").write_bytes(text.encode())
+        specs += [SheetSpec(BOOK, f"h{k}", f"t{k}", "c", skip) for skip in {titles, titles if k else 4}]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        whole, lines = both_readers(spark, tmp_path, specs, rows_of)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert whole == lines and len(whole[0]) > 50 and ("t3", BOOK, "h3", "unbalanced quotes") in whole[1]
+
+
+def test_two_files_of_one_sheet_keep_their_own_headers(spark, tmp_path, rows_of):
+    """A partition folder with two large files: each has its own header and its own numbering."""
+    folder = tmp_path / "archivo=libro" / "hoja=h"
+    folder.mkdir(parents=True)
+    (folder / "a.txt").write_text('"t\nt"\nk,Ene\na,1\n')
+    (folder / "b.txt").write_text('t\nk,Feb\n"b\nb",2\n')
+    specs = [SheetSpec("libro", "h", "t", "c", 1)]
+    for limit in (0, 1 << 20):
+        read = csv_sheets.read_csv_sheets(spark, str(tmp_path), specs, whole_file_bytes=limit, partitioned=True)
+        assert series(read, rows_of) == [("t", "a", 2021, "Ene", 1.0), ("t", "b\nb", 2021, "Feb", 2.0)]
 
 
 def test_many_quoted_cells(spark):
