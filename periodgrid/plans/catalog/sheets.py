@@ -11,9 +11,13 @@ from ...functions.periods import MONTHS_ES
 from ...operators.reshape import column_accounting, explode_cells
 from ...operators.rules import Thresholds
 from ...session import fresh_path
-from ...sources.csv_sheets import headed_from_text, read_csv_sheets, sheet_catalog as list_sheets
+from ...sources.csv_sheets import (
+    headed_from_text, read_csv_sheets, sheet_catalog as list_sheets, split_fields, split_records,
+)
 from ...sources.manifest import SheetRead, SheetSpec, manifest_frame
 from ...sources.tables import TableStore, ingest, load_report
+from ...sources.xlsx_sheets import read_xlsx_sheets, sheet_catalog as list_workbook_sheets
+from ...sources.xlsx_write import write_workbooks
 from ...streaming.incremental import ingest_new_sheets, no_sheets, stored_bronze
 from ..layers import (
     CITY_AGGREGATE,
@@ -202,6 +206,24 @@ def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_bronze(spark, target).drop("_fecha_carga")
 
 
+BOOK_MANIFEST = tuple(replace(spec, workbook=f"{spec.workbook}.xlsx") for spec in MANIFEST)
+
+
+def derived_books(spark: SparkSession, sf_dir: str) -> str:
+    """The derived sheets as two xlsx workbooks in the shared folder, made by the executors."""
+    root = fresh_path(spark, "books")
+    cells = F.transform(split_records(F.col("value")), split_fields)
+    sheets = derived_sheets(spark, sf_dir).select(F.concat("archivo", F.lit(".xlsx")).alias("archivo"), "hoja", cells.alias("filas"))
+    write_workbooks(sheets, root)
+    return root
+
+
+@query(f"SELECT * REPLACE (_archivo_origen || '.xlsx' AS _archivo_origen) FROM ({CELLS_SQL}) c")
+def xlsx_ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six sheets of two workbooks, a task per sheet."""
+    return loaded(read_xlsx_sheets(spark, derived_books(spark, sf_dir), BOOK_MANIFEST, GRAMMAR))
+
+
 CATALOG_SQL = """
 SELECT 'pedidos' AS archivo, CAST(row_number() OVER (ORDER BY o_orderstatus) AS INTEGER) AS numero,
        o_orderstatus AS hoja FROM (SELECT DISTINCT o_orderstatus FROM orders) o
@@ -238,6 +260,11 @@ def _quarantine(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return ingest(read_csv_sheets(spark, root, listed, GRAMMAR, partitioned=True, **options)).quarantine.drop("tabla")
 
 
+@query(f"SELECT * REPLACE (archivo || '.xlsx' AS archivo) FROM ({CATALOG_SQL}) c")
+def xlsx_sheet_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return list_workbook_sheets(spark, derived_books(spark, sf_dir))
+
+
 @query(QUARANTINE_SQL)
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A torn sheet, a sheet shorter than its title and a missing one are reported."""

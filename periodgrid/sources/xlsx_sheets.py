@@ -1,13 +1,15 @@
 """Sheets of xlsx workbooks.
 
-A workbook is one zip stream and cannot be split, so one task unpacks it; only the cell texts
-are taken out there. Headers, periods, numbers and everything after are Spark expressions. Rows
-leave the task in chunks that carry their header once, so nothing has to be joined back.
+A sheet is one compressed stream and cannot be split, so one task unpacks it (``xlsx_source``);
+only the cell texts are taken out there. Headers, periods, numbers and everything after are Spark
+expressions. Rows leave the task in chunks that carry their header once, so nothing has to be
+joined back. In a store that only Spark's own readers can open, a task unpacks a whole workbook.
 """
 
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -31,16 +33,18 @@ from .manifest import (
 
 CHUNK_ROWS = 2000
 
-_CHUNKS = pa.schema([
+CHUNKS = pa.schema([
     ("archivo", pa.string()), ("hoja", pa.string()), ("saltar", pa.int32()),
     ("encabezado", pa.list_(pa.string())),
     ("primera", pa.int64()), ("filas", pa.list_(pa.list_(pa.string()))), ("error", pa.string()),
 ])
-_CHUNK_DDL = (
+CHUNK_DDL = (
     "archivo string, hoja string, saltar int, encabezado array<string>, primera bigint, "
     "filas array<array<string>>, error string"
 )
-_NAMES = pa.schema([("archivo", pa.string()), ("numero", pa.int32()), ("hoja", pa.string())])
+NAMES = pa.schema([("archivo", pa.string()), ("numero", pa.int32()), ("hoja", pa.string())])
+
+NAMES_DDL = "archivo string, numero int, hoja string"
 
 # Number formats that the file format defines as dates or times.
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
@@ -51,7 +55,7 @@ def _tag(element) -> str:
     return element.tag.rsplit("}", 1)[-1]
 
 
-def _parts(book: zipfile.ZipFile) -> list[tuple[str, str]]:
+def sheet_parts(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     """(sheet name, part inside the zip) in workbook order."""
     links = {
         link.get("Id"): link.get("Target")
@@ -142,10 +146,10 @@ def _sheet_rows(stream, shared: list[str], dates: set[int]) -> Iterator[tuple[in
         parent.clear()
 
 
-def _sheet_chunks(
+def sheet_chunks(
     archive: str, book: zipfile.ZipFile, wanted: set[tuple[str, int]]
 ) -> Iterator[dict]:
-    parts = dict(_parts(book))
+    parts = dict(sheet_parts(book))
     shared, dates = _shared_texts(book), _date_styles(book)
     for sheet, skip in sorted(wanted):
         record = {"archivo": archive, "hoja": sheet, "saltar": skip}
@@ -189,34 +193,55 @@ def _files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def read_xlsx_sheets(
-    spark: SparkSession,
-    root: str,
-    specs: Sequence[SheetSpec],
-    grammar: PeriodGrammar = DEFAULT_GRAMMAR,
-) -> SheetRead:
-    """All listed sheets of the workbooks below ``root`` as headed rows, in one job."""
-    wanted: dict[str, set[tuple[str, int]]] = {}
-    for spec in specs:
-        wanted.setdefault(spec.workbook, set()).add((spec.sheet, spec.skip_rows))
+def _unpacked_books(spark: SparkSession, root: str, wanted: dict[str, set[tuple[str, int]]]) -> DataFrame:
+    """Chunks of the wanted sheets, by Spark's reader of whole files: one task per workbook."""
 
     def unpack(batches):
         for archive, content in _books(batches):
             try:
                 with zipfile.ZipFile(io.BytesIO(content)) as book:
-                    for chunk in _sheet_chunks(archive, book, wanted[archive]):
-                        yield pa.RecordBatch.from_pylist([chunk], schema=_CHUNKS)
+                    for chunk in sheet_chunks(archive, book, wanted[archive]):
+                        yield pa.RecordBatch.from_pylist([chunk], schema=CHUNKS)
             except Exception as problem:
                 reason = f"{type(problem).__name__}: {problem}"
                 bad = [
                     {"archivo": archive, "hoja": sheet, "saltar": skip, "error": reason}
                     for sheet, skip in wanted[archive]
                 ]
-                yield pa.RecordBatch.from_pylist(bad, schema=_CHUNKS)
+                yield pa.RecordBatch.from_pylist(bad, schema=CHUNKS)
+
+    return _files(spark, root).where(F.col("archivo").isin(*wanted)).mapInArrow(unpack, CHUNK_DDL)
+
+
+def sheet_rows(
+    spark: SparkSession, root: str, specs: Sequence[SheetSpec], by_sheet: bool | None = None
+) -> DataFrame:
+    """Chunks of the sheets in ``specs`` below ``root``, a task per sheet where files can be opened
+    by the tasks (``by_sheet``: None finds out)."""
+    from . import xlsx_source
 
+    wanted: dict[str, set[tuple[str, int]]] = {}
+    for spec in specs:
+        wanted.setdefault(spec.workbook, set()).add((spec.sheet, spec.skip_rows))
+    if by_sheet is None:
+        by_sheet = xlsx_source.reachable(root)
+    if not by_sheet:
+        return _unpacked_books(spark, root, wanted)
+    xlsx_source.register(spark)
+    listed = json.dumps({name: sorted(sheets) for name, sheets in wanted.items()})
+    return spark.read.format(xlsx_source.FORMAT).option("wanted", listed).load(root)
+
+
+def read_xlsx_sheets(
+    spark: SparkSession,
+    root: str,
+    specs: Sequence[SheetSpec],
+    grammar: PeriodGrammar = DEFAULT_GRAMMAR,
+    by_sheet: bool | None = None,
+) -> SheetRead:
+    """All listed sheets of the workbooks below ``root`` as headed rows, in one job."""
     manifest = manifest_frame(spark, specs)
-    listed = _files(spark, root).where(F.col("archivo").isin(*wanted))
-    chunks = listed.mapInArrow(unpack, _CHUNK_DDL).join(
+    chunks = sheet_rows(spark, root, specs, by_sheet).join(
         F.broadcast(manifest.select("archivo", "hoja", "saltar", "tabla")),
         ["archivo", "hoja", "saltar"],
     )
@@ -236,20 +261,25 @@ def read_xlsx_sheets(
     return SheetRead(placed, missing_sheets(manifest, _files(spark, root), ("archivo",)))
 
 
-def sheet_catalog(spark: SparkSession, root: str) -> DataFrame:
+def sheet_catalog(spark: SparkSession, root: str, by_sheet: bool | None = None) -> DataFrame:
     """``archivo, numero, hoja`` of every sheet, in workbook order; unreadable books have none."""
+    from . import xlsx_source
+
+    if xlsx_source.reachable(root) if by_sheet is None else by_sheet:
+        xlsx_source.register(spark)
+        return spark.read.format(xlsx_source.FORMAT).option("catalog", "true").load(root)
 
     def names(batches):
         for archive, content in _books(batches):
             try:
                 with zipfile.ZipFile(io.BytesIO(content)) as book:
-                    found = [name for name, _ in _parts(book)]
+                    found = [name for name, _ in sheet_parts(book)]
             except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
                 continue
             rows = [
                 {"archivo": archive, "numero": i, "hoja": name} for i, name in enumerate(found, 1)
             ]
             if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=_NAMES)
+                yield pa.RecordBatch.from_pylist(rows, schema=NAMES)
 
-    return _files(spark, root).mapInArrow(names, "archivo string, numero int, hoja string")
+    return _files(spark, root).mapInArrow(names, NAMES_DDL)

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from periodgrid.functions.periods import PeriodGrammar
 from periodgrid.plans.layers import LAYERS, Survey
 from periodgrid.plans.refresh import inventory, load_bronze, ordered_inventory, refresh
-from periodgrid.sources import csv_sheets, xlsx_sheets
+from periodgrid.sources import csv_sheets, xlsx_sheets, xlsx_source
 from periodgrid.sources.manifest import SheetSpec
 from periodgrid.sources.tables import TableStore, ingest, load_report, table_rows
+from periodgrid.sources.xlsx_write import write_workbooks
 from periodgrid.streaming.incremental import ingest_new_sheets, stored_bronze
 from xlsx_fixture import write_workbook
 
@@ -219,14 +220,18 @@ def as_cells(rows):
     return [[cell(text) for text in row] for row in rows]
 
 
+BY_SHEET = pytest.mark.parametrize("by_sheet", [True, False])
+
+
+@BY_SHEET
 @pytest.mark.parametrize("inline", [False, True])
-def test_xlsx_sheets(spark, tmp_path, rows_of, inline):
+def test_xlsx_sheets(spark, tmp_path, rows_of, inline, by_sheet):
     path = tmp_path / BOOK
     write_workbook(path, {"Índice": [["x"]], "Educación ": as_cells(EDU), "Sexo": as_cells(SEXO)}, inline)
-    read = xlsx_sheets.read_xlsx_sheets(spark, str(tmp_path), SPECS)
+    read = xlsx_sheets.read_xlsx_sheets(spark, str(tmp_path), SPECS, by_sheet=by_sheet)
     assert series(read, rows_of) == EXPECTED
     assert ingest(read).quarantine.count() == 0
-    assert rows_of(xlsx_sheets.sheet_catalog(spark, str(tmp_path))) == [
+    assert rows_of(xlsx_sheets.sheet_catalog(spark, str(tmp_path), by_sheet)) == [
         (BOOK, 1, "Índice"), (BOOK, 2, "Educación "), (BOOK, 3, "Sexo")]
 
 
@@ -250,12 +255,13 @@ def test_xlsx_dates_booleans_and_chunks(spark, tmp_path, rows_of):
     assert sorted(places) == list(range(3, 4504))
 
 
-def test_xlsx_quarantine(spark, tmp_path, rows_of):
+@BY_SHEET
+def test_xlsx_quarantine(spark, tmp_path, rows_of, by_sheet):
     (tmp_path / "roto.xlsx").write_bytes(b"not a zip")
     write_workbook(tmp_path / BOOK, {"Sexo": as_cells(SEXO[:2])})
     specs = (*SPECS, SheetSpec("roto.xlsx", "A", "a", "k"))
     specs += (SheetSpec("nunca.xlsx", "B", "b", "k"),)
-    read = xlsx_sheets.read_xlsx_sheets(spark, str(tmp_path), specs)
+    read = xlsx_sheets.read_xlsx_sheets(spark, str(tmp_path), specs, by_sheet=by_sheet)
     assert rows_of(ingest(read).quarantine, "tabla", "archivo", "hoja", "error") == [
         ("a", "roto.xlsx", "A", "BadZipFile: File is not a zip file"),
         ("b", "nunca.xlsx", "B", "sheet not found"),
@@ -264,6 +270,32 @@ def test_xlsx_quarantine(spark, tmp_path, rows_of):
     assert ingest(read).bronze.count() == 0
 
 
+def test_xlsx_tasks(spark, tmp_path):
+    """Two sheets of one book are two tasks, and a task opens its own sheet only."""
+    write_workbook(tmp_path / BOOK, {"Sexo": as_cells(SEXO), "Educación ": as_cells(EDU)})
+    rows = xlsx_sheets.sheet_rows(spark, str(tmp_path), SPECS)
+    places = {r.hoja: r.p for r in rows.select("hoja", F.spark_partition_id().alias("p")).collect()}
+    assert rows.rdd.getNumPartitions() == 2 and len(set(places.values())) == 2
+    assert xlsx_sheets.sheet_rows(spark, str(tmp_path), ()).collect() == []
+
+
+def test_paths_that_only_spark_reads(tmp_path):
+    assert xlsx_source.reachable(str(tmp_path)) and xlsx_source.reachable(f"file:{tmp_path}") and xlsx_source.reachable(f"file://{tmp_path}")
+    assert not xlsx_source.reachable("viewfs://cluster/books") and not xlsx_source.reachable(str(tmp_path / "none"))
+
+
+def test_written_workbooks_read_back(spark, tmp_path, rows_of):
+    rows = [("b 1.xlsx", "h & <1>", [["t"], ["k", "Ene", "Feb"], ["ä <&>", "1.5", ""], [" p\nq ", "-2e3", "x\x01"]]),
+            ("b 1.xlsx", "Z", [["k", "Ene"], [None, "7"]]), ("c.xlsx", "Z", [["k"] + ["x"] * 30 + ["Feb"], ["a"] + [""] * 30 + ["3"]])]
+    sheets = spark.createDataFrame(rows, "archivo string, hoja string, filas array<array<string>>")
+    assert rows_of(write_workbooks(sheets, str(tmp_path / "new"))) == [("b 1.xlsx", 2), ("c.xlsx", 1)]
+    specs = [SheetSpec("b 1.xlsx", "h & <1>", "t", "k", 1), SheetSpec("b 1.xlsx", "Z", "z", "k", 0), SheetSpec("c.xlsx", "Z", "c", "k", 0)]
+    read = xlsx_sheets.read_xlsx_sheets(spark, str(tmp_path / "new"), specs)
+    assert series(read, rows_of) == sorted([("t", "ä <&>", 2021, "Ene", 1.5), ("t", " p\nq ", 2021, "Ene", -2000.0),
+                                            ("z", None, 2021, "Ene", 7.0), ("c", "a", 2021, "Feb", 3.0)], key=repr)
+    assert rows_of(xlsx_sheets.sheet_catalog(spark, str(tmp_path / "new"))) == [("b 1.xlsx", 1, "Z"), ("b 1.xlsx", 2, "h & <1>"), ("c.xlsx", 1, "Z")]
+
+
 def test_table_store(spark, tmp_path, rows_of):
     store = TableStore(spark, "almacen", str(tmp_path / "db"))
     store.write(spark.range(3), "t")
