@@ -33,9 +33,9 @@ UNIT = 10 ** 9
 #: What a term is not made of: ASCII but for letters.
 _GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes of text whose chunks meet in one part, and counted rows or bytes a task holds at most.
-PART_BYTES = 16 << 20
-HELD_ROWS = 1 << 21
-HELD_BYTES = 192 << 20
+PART_BYTES = 8 << 20
+HELD_ROWS = 1 << 18
+HELD_BYTES = 32 << 20
 _PACKED = "part int, counts binary, ids binary"
 _KEPT = "lang string, term string, sources array<string>, counts array<long>"
 
@@ -99,6 +99,7 @@ def _dealt(counts: pa.Table, ids: pa.Table, word: str, parts: int) -> Iterator[p
     for k in np.flatnonzero(np.diff(at)).tolist():
         packed = [_pack(counts.slice(at[k], at[k + 1] - at[k])), _pack(ids.slice(id_at[k], id_at[k + 1] - id_at[k]))]
         yield pa.record_batch([pa.array([k], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], ["part", "counts", "ids"])
+    pa.default_memory_pool().release_unused()
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], word: str) -> tuple[pa.Table, pa.Table]:
@@ -243,7 +244,7 @@ def pair_sums(kept: DataFrame, groups: dict[str, tuple[list[str], np.ndarray, in
             for k, name in enumerate(names.to_pylist()):
                 sources, totals, number = shared.value[name]
                 rows = batch.filter(pa.array(lang == k))
-                step = max(1, (1 << 22) // len(sources))
+                step = max(1, (1 << 20) // len(sources))
                 for at in range(0, rows.num_rows, step):
                     piece = rows.slice(at, step)
                     held = piece.column("sources")
