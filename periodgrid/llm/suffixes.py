@@ -49,11 +49,14 @@ GRAM = 24
 SPAN = LENGTH - GRAM + 1
 LAST_ID = (1 << 63) - 1
 #: Bytes hashed at once (a longer text is cut with an overlap), rows a task holds, rows of a part.
-CUT = 1 << 20
-HELD = 1 << 22
-PART_ROWS = 1 << 20
-_MASK = np.uint64((1 << 40) - 1)
+CUT = 1 << 18
+HELD = 1 << 19
+PART_ROWS = 1 << 19
+#: Bytes of a print that go along within a part. Two anchors that share them by chance keep a stretch
+#: in; names are told apart by their second names (8 bytes) as well.
+ANCHOR_BYTES, NAME_BYTES = 4, 5
 _BOXES = "part int, settled boolean, n int, names binary, seconds binary, places binary, ids binary"
+_ANSWERS = ("settled_from", "settled_to", "asked_from", "asked_to")
 _BOX_NAMES = ["part", "settled", "n", "names", "seconds", "places", "ids"]
 
 
@@ -194,6 +197,28 @@ def _from_low_bytes(data: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _varints(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers below 2^35 in bytes of seven bits, and how many bytes each takes."""
+    width = 1 + sum((numbers >= 1 << (7 * k)).astype(np.int64) for k in range(1, 5))
+    at = np.cumsum(width) - width
+    out = np.zeros(int(width.sum()), np.uint8)
+    for k in range(5):
+        some = width > k
+        out[at[some] + k] = ((numbers[some] >> (7 * k)) & 127) | np.where(width[some] > k + 1, 128, 0)
+    return out, width
+
+
+def _from_varints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers, and the place of the byte that ends each."""
+    ends = np.flatnonzero(data < 128)
+    starts = np.append(0, ends[:-1] + 1)[:len(ends)]
+    numbers = np.zeros(len(ends), np.int64)
+    for k in range(5):
+        some = starts + k <= ends
+        numbers[some] |= (data[starts[some] + k].astype(np.int64) & 127) << (7 * k)
+    return numbers, ends
+
+
 def _box(part: int, settled: bool, n: int, *columns: bytes | None) -> pa.RecordBatch:
     arrays = [pa.array([part], pa.int32()), pa.array([settled]), pa.array([n], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)]
     return pa.record_batch(arrays, _BOX_NAMES)
@@ -208,26 +233,27 @@ def _settled_box(text: np.ndarray, at: np.ndarray, parts: int) -> Iterator[pa.Re
 
 def _open_boxes(name, second, text, at, ids, parts: int) -> Iterator[pa.RecordBatch]:
     """Rows dealt to the parts of their names; without second names and ids for the anchors."""
-    part = ((name >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+    part = ((name >> np.uint64(8 * NAME_BYTES)) % np.uint64(parts)).astype(np.int64)
     order = np.lexsort((at, text, part))
     bounds = np.searchsorted(part[order], np.arange(parts + 1))
     for k in np.flatnonzero(np.diff(bounds)).tolist():
         own = order[bounds[k]:bounds[k + 1]]
         yield _box(
-            k, False, len(own), _low_bytes(name[own], 5), None if second is None else _low_bytes(second[own], 8),
+            k, False, len(own), _low_bytes(name[own], ANCHOR_BYTES if second is None else NAME_BYTES), None if second is None else _low_bytes(second[own], 8),
             _places(text[own], at[own]), None if ids is None else _squeezed(np.diff(ids[own], prepend=0)))
 
 
-def _sent(batches: Iterator[pa.RecordBatch], rows_of: Callable, reduce: Callable, parts: int) -> Iterator[pa.RecordBatch]:
+def _sent(batches: Iterator[pa.RecordBatch], rows_of: Callable, reduce: Callable, parts: int, *prints: "Prints") -> Iterator[pa.RecordBatch]:
     """Rows of all batches, reduced and dealt whenever ``HELD`` have come together."""
     kept, held = [], 0
     for batch in batches:
-        for rows in rows_of(batch):
+        for rows in rows_of(batch, *prints):
             kept.append(rows)
             held += len(rows[0])
             if held >= HELD:
                 yield from reduce(*(np.concatenate(c) for c in zip(*kept)), parts)
                 kept, held = [], 0
+                pa.default_memory_pool().release_unused()
     if held:
         yield from reduce(*(np.concatenate(c) for c in zip(*kept)), parts)
 
@@ -242,7 +268,7 @@ def _opened(batches: Iterator[pa.RecordBatch], full: bool) -> tuple[list[np.ndar
                 settled.append(places)
             else:
                 more = [_from_low_bytes(row["seconds"], 8), np.cumsum(_spread(row["ids"], row["n"], 1)[0])] if full else []
-                columns.append([_from_low_bytes(row["names"], 5), *places, *more])
+                columns.append([_from_low_bytes(row["names"], NAME_BYTES if full else ANCHOR_BYTES), *places, *more])
     return [np.concatenate(c) for c in zip(*columns)], settled
 
 
@@ -285,8 +311,8 @@ def shared_anchors(texts: DataFrame) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = _parts(2 * size / (SPAN + 1), texts.sparkSession)
 
-    def rows_of(batch: pa.RecordBatch):
-        prints, number = Prints(1), batch.column("t").to_numpy()
+    def rows_of(batch: pa.RecordBatch, prints: Prints):
+        number = batch.column("t").to_numpy()
         for data, starts, ends, owner, begin in groups(batch.column("text")):
             prints.read(data)
             piece, room = _pieces(len(data), starts, ends)
@@ -320,9 +346,37 @@ def shared_anchors(texts: DataFrame) -> DataFrame:
             order = np.lexsort((at, text))
             yield _per_text(text[order], at[order], names=["t", "places"])
 
-    boxes = texts.select("t", "text").mapInArrow(lambda batches: _sent(batches, rows_of, reduce, parts), _BOXES)
+    boxes = texts.select("t", "text").mapInArrow(lambda batches: _sent(batches, rows_of, reduce, parts, Prints(1)), _BOXES)
     found = boxes.groupBy("part").applyInArrow(settle, "t long, places array<int>")
-    return found.groupBy("t").agg(F.flatten(F.collect_list("places")).alias("places"))
+    gathered = found.groupBy("t").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, places = _listed(batch.column("places"))
+            steps, width = _varints(np.where(np.diff(owner, prepend=-1) != 0, places, np.diff(places, prepend=0)))
+            sizes = np.bincount(owner, width, batch.num_rows).astype(np.int64)
+            ends = pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int32))
+            packed = pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, ends, pa.py_buffer(steps)])
+            yield pa.record_batch([batch.column("t"), packed], ["t", "places"])
+
+    return gathered.mapInArrow(pack, "t long, places binary")
+
+
+def _listed(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of a list column, each with its row."""
+    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), sizes), column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _unpacked_places(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all rows, and where each row's begin."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    steps, ends = _from_varints(data)
+    bounds = np.searchsorted(ends, offsets - offsets[0])
+    places = np.cumsum(steps)
+    before = np.append(0, places)[bounds[:-1]]
+    return places - np.repeat(before, np.diff(bounds)), bounds
 
 
 def stretches(texts: DataFrame) -> DataFrame:
@@ -333,8 +387,8 @@ def stretches(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Prints(1)
         for batch in batches:
-            number, ids, lists = batch.column("t").to_numpy(), batch.column("id").to_numpy(), batch.column("places")
-            bounds, places = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy().astype(np.int64)
+            number, ids = batch.column("t").to_numpy(), batch.column("id").to_numpy()
+            places, bounds = _unpacked_places(batch.column("places"))
             for data, starts, ends, owner, begin in groups(batch.column("text")):
                 prints.read(data)
                 _, room = _pieces(len(data), starts, ends)
@@ -413,10 +467,10 @@ def _answers(text: np.ndarray, at: np.ndarray, kind: str) -> Iterator[pa.RecordB
 
 
 def name_triples(cut: DataFrame, parts: int) -> DataFrame:
-    """Steps 1 and 2: per stretch the sampled places that are ``settled`` and those ``asked``."""
+    """Steps 1 and 2: per stretch the runs of windows that are ``settled`` and of those ``asked``,
+    as their first and last places; a run may reach beyond its stretch. Stored."""
 
-    def rows_of(batch: pa.RecordBatch):
-        prints, other = Prints(2), Prints(3)
+    def rows_of(batch: pa.RecordBatch, prints: Prints, other: Prints):
         number, ids = batch.column("c").to_numpy(), batch.column("id").to_numpy()
         for data, starts, ends, owner, _ in groups(batch.column("data")):
             prints.read(data)
@@ -429,54 +483,72 @@ def name_triples(cut: DataFrame, parts: int) -> DataFrame:
             second = _mixed(other.of(left, right) ^ (edge * np.uint64(0x9E3779B97F4A7C15)))
             yield prints.of(place, place + TRIPLE), second, number[owner[piece]], at, ids[owner[piece]]
 
-    boxes = cut.select("c", "id", "data").mapInArrow(lambda batches: _sent(batches, rows_of, _reduce_ids, parts), _BOXES)
+    boxes = cut.select("c", "id", "data").mapInArrow(
+        lambda batches: _sent(batches, rows_of, _reduce_ids, parts, Prints(2), Prints(3)), _BOXES)
     found = boxes.groupBy("part").applyInArrow(_compared, "c long, settled array<int>, asked array<int>")
-    return stored(found.groupBy("c").agg(*[F.flatten(F.collect_list(n)).alias(n) for n in ("settled", "asked")]))
-
+    places = found.groupBy("c").agg(*[F.array_sort(F.flatten(F.collect_list(n))).alias(n) for n in ("settled", "asked")])
 
-def _window_flags(size: int, places: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Per byte: does a window start there that holds one of these triples (and fits its piece)?
-    ``starts`` and ``ends`` are those of each place's piece."""
-    first, last = np.maximum(places - REACH, starts), np.minimum(places, ends - LENGTH)
+    def join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column("c")]
+            for kind in ("settled", "asked"):
+                owner, at = _listed(batch.column(kind))
+                new = np.r_[True, (np.diff(owner) != 0) | (np.diff(at) > REACH + 1)] if len(at) else np.zeros(0, bool)
+                first = np.flatnonzero(new)
+                last = np.append(first[1:], len(at)) - 1 if len(at) else first
+                ends = pa.array(np.append(0, np.cumsum(np.bincount(owner[first], minlength=batch.num_rows))), pa.int32())
+                columns += [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (at[first] - REACH, at[last])]
+            yield pa.record_batch(columns, ["c", *_ANSWERS])
+
+    return stored(places.mapInArrow(join_runs, "c long, " + ", ".join(f"{name} array<int>" for name in _ANSWERS)))
+
+
+def _window_flags(size: int, first: np.ndarray, last: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Per byte: does a window of these runs start there? ``starts`` and ``ends`` are those of each
+    run's piece; windows that do not fit it are none."""
+    first, last = np.maximum(first, starts), np.minimum(last, ends - LENGTH)
     fits = last >= first
     edges = np.bincount(first[fits], minlength=size + 1) - np.bincount(last[fits] + 1, minlength=size + 1)
     return np.cumsum(edges)[:size] > 0
 
 
 def merge_windows(cut: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
-    """Step 3: ``c, settled`` windows (by their first byte) that a smaller id has."""
+    """Step 3: ``c, firsts, lasts``: runs of windows (by their first bytes) that a smaller id has."""
 
-    def rows_of(batch: pa.RecordBatch, settled_only: bool):
-        prints, other = Prints(2), Prints(3)
-        number, ids = batch.column("c").to_numpy(), batch.column("id").to_numpy()
-        found = {}
+    def flagged(batch: pa.RecordBatch):
+        """Groups of stretches, with the places of their settled and of their other asked windows."""
+        runs_of = {}
         for kind in ("settled", "asked"):
-            lists = batch.column(kind)
-            found[kind] = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy().astype(np.int64)
+            lists = [batch.column(f"{kind}_{end}") for end in ("from", "to")]
+            runs_of[kind] = (lists[0].offsets.to_numpy().astype(np.int64), *(x.values.to_numpy().astype(np.int64) for x in lists))
         for data, starts, ends, owner, _ in groups(batch.column("data")):
             flags = {}
-            for kind, (bounds, values) in found.items():
+            for kind, (bounds, first, last) in runs_of.items():
                 sizes = bounds[owner + 1] - bounds[owner]
                 piece = np.repeat(np.arange(len(owner)), sizes)
                 pick = np.repeat(bounds[owner] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-                flags[kind] = _window_flags(len(data), values[pick] + starts[piece], starts[piece], ends[piece])
-            chosen = flags["settled"] if settled_only else flags["asked"] & ~flags["settled"]
-            at = np.flatnonzero(chosen)
+                flags[kind] = _window_flags(len(data), first[pick] + starts[piece], last[pick] + starts[piece], starts[piece], ends[piece])
+            yield data, starts, owner, flags["settled"], flags["asked"] & ~flags["settled"]
+
+    def rows_of(batch: pa.RecordBatch, prints: Prints, other: Prints):
+        number, ids = batch.column("c").to_numpy(), batch.column("id").to_numpy()
+        for data, starts, owner, _, asked in flagged(batch):
+            at = np.flatnonzero(asked)
             which = np.searchsorted(starts, at, "right") - 1
-            if settled_only:
-                yield number[owner[which]], at - starts[which]
-            else:
-                prints.read(data)
-                other.read(data)
-                yield prints.of(at, at + LENGTH), other.of(at, at + LENGTH), number[owner[which]], at - starts[which], ids[owner[which]]
+            prints.read(data)
+            other.read(data)
+            yield prints.of(at, at + LENGTH), other.of(at, at + LENGTH), number[owner[which]], at - starts[which], ids[owner[which]]
 
     def known(batches):
         for batch in batches:
-            for c, at in rows_of(batch, True):
-                yield _runs_per_text(c, at)
+            number = batch.column("c").to_numpy()
+            for _, starts, owner, settled, _ in flagged(batch):
+                at = np.flatnonzero(settled)
+                which = np.searchsorted(starts, at, "right") - 1
+                yield _runs_per_text(number[owner[which]], at - starts[which])
 
     def open_rows(batches):
-        return _sent(batches, lambda batch: rows_of(batch, False), _reduce_ids, parts)
+        return _sent(batches, rows_of, _reduce_ids, parts, Prints(2), Prints(3))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _compared(batches):
@@ -487,8 +559,8 @@ def merge_windows(cut: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
     side = F.broadcast(answers) if fits_broadcast(answers, BROADCAST_BYTES) else answers
     joined = cut.select("c", "id", "data").join(side, "c")
     found = "c long, firsts array<int>, lasts array<int>"
-    boxes = joined.where(F.size("asked") > 0).mapInArrow(open_rows, _BOXES)
-    return joined.where(F.size("settled") > 0).mapInArrow(known, found).unionByName(boxes.groupBy("part").applyInArrow(settle, found))
+    boxes = joined.where(F.size("asked_from") > 0).mapInArrow(open_rows, _BOXES)
+    return joined.where(F.size("settled_from") > 0).mapInArrow(known, found).unionByName(boxes.groupBy("part").applyInArrow(settle, found))
 
 
 def _runs_per_text(text: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
@@ -507,8 +579,9 @@ def repeated_spans(docs: DataFrame, copies: DataFrame) -> DataFrame:
     size = cut.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     parts = _parts(size * len(COVER) / PERIOD, docs.sparkSession)
     answers = name_triples(cut, parts)
-    asked = answers.agg(F.sum(F.size("asked"))).first()[0] or 0
-    windows = merge_windows(cut, answers, _parts(asked * PERIOD / len(COVER), docs.sparkSession))
+    spread = F.aggregate(F.zip_with("asked_from", "asked_to", lambda a, b: b - a + 1), F.lit(0).cast("long"), lambda n, x: n + x)
+    asked = answers.agg(F.sum(spread)).first()[0] or 0
+    windows = merge_windows(cut, answers, _parts(asked, docs.sparkSession))
     moved = windows.join(cut.select("c", "t", "begin"), "c").select(
         "t", *[F.transform(n, lambda x: x + F.col("begin")).alias(n) for n in ("firsts", "lasts")])
     keys = texts.select("t", "key")

@@ -94,6 +94,12 @@ def test_no_rows_and_rest(spark):
     assert {r.doc_id: bytes(r.rest) for r in S.without_repeats(df, with_rest=True).collect()} == {1: twice.encode(), 2: b"abcd"}
 
 
+def test_varints_come_back():
+    numbers = np.array([0, 127, 128, 16383, 16384, 1 << 34, 5])
+    data, width = S._varints(numbers)
+    assert width.tolist() == [1, 1, 2, 2, 3, 5, 1] and S._from_varints(data)[0].tolist() == numbers.tolist()
+
+
 def test_places_come_back():
     text = np.repeat(np.array([5, 7, 1 << 40]), [3, 1, 4])
     at = np.array([0, 2, 9, 1, 3, 3, 8, 1 << 30])
