@@ -6,17 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import local_rows
 from .joins import join_hot_keys
 
 
-def inventory(tables: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
-    """``capa, tabla, num_filas`` per table. A count of parquet reads footers only."""
+def inventory(tables: Sequence[tuple]) -> DataFrame:
+    """``capa, tabla, num_filas`` per table: ``(layer, name, rows)``, or with a count that is known
+    already ``(layer, name, rows, count)``. Other counts read footers only."""
+    known = [(t[0], t[1], t[3]) for t in tables if len(t) > 3 and t[3] is not None]
     frames = [
         df.agg(F.count(F.lit(1)).alias("num_filas")).select(
             F.lit(layer).alias("capa"), F.lit(name).alias("tabla"), "num_filas"
         )
-        for layer, name, df in tables
+        for layer, name, df, *count in tables if not count or count[0] is None
     ]
+    if known:
+        told = local_rows(tables[0][2].sparkSession, ("capa", "tabla", "num_filas"), known)
+        frames.append(told.withColumn("num_filas", F.col("num_filas").cast("bigint")))
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame)

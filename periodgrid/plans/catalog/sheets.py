@@ -10,15 +10,17 @@ from ...functions.numeric import fixed_sum
 from ...functions.periods import MONTHS_ES
 from ...operators.reshape import column_accounting, explode_cells
 from ...operators.rules import Thresholds
-from ...session import fresh_path
+from ...session import delete_path, fresh_path
 from ...sources.csv_sheets import (
     headed_from_text, read_csv_sheets, sheet_catalog as list_sheets, split_fields, split_records,
 )
-from ...sources.manifest import SheetRead, SheetSpec, manifest_frame
+from ...sources.manifest import SheetRead, SheetSpec, manifest_frame, no_sheets
+from ...sources.slices import SliceStore
+from ...sources.snapshots import load_changes
 from ...sources.tables import TableStore, ingest, load_report
 from ...sources.xlsx_sheets import read_xlsx_sheets, sheet_catalog as list_workbook_sheets
 from ...sources.xlsx_write import write_workbooks
-from ...streaming.incremental import ingest_new_sheets, no_sheets, stored_bronze
+from ...streaming.incremental import ingest_new_sheets, stored_bronze
 from ..layers import (
     CITY_AGGREGATE,
     LAYERS,
@@ -206,6 +208,50 @@ def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_bronze(spark, target).drop("_fecha_carga")
 
 
+def second_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Sheet F of the orders loses a concept, O keeps its header only, A of the lines is taken away."""
+    sheets = derived_sheets(spark, sf_dir).where(F.col("hoja").isin("F", "O"))
+    kept = F.array_join(F.filter(F.split("value", "\n"), lambda line: ~line.startswith("1-URGENT")), "\n")
+    header = F.array_join(F.slice(F.split("value", "\n"), 1, 13), "\n")
+    changed = sheets.withColumn("value", F.when(F.col("hoja") == "F", kept).otherwise(header))
+    changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archivo", "hoja").text(root)
+    delete_path(spark, f"{root}/archivo={LINES_BOOK}/hoja=A")
+
+
+def snapshot_waves(spark: SparkSession, sf_dir: str) -> tuple[list[DataFrame], SliceStore]:
+    """Three loads of one folder: everything, the second delivery, and the same folder once more."""
+    root, target = fresh_path(spark, "inbox"), fresh_path(spark, "slices")
+    write_sheets(derived_sheets(spark, sf_dir), root)
+    reports = []
+    for wave in range(3):
+        if wave == 1:
+            second_delivery(spark, sf_dir, root)
+        reports.append(load_changes(spark, root, MANIFEST, target, GRAMMAR, partitioned=True))
+    return reports, SliceStore(spark, target)
+
+
+@query(f"""
+SELECT * FROM ({ORDER_CELLS}) o WHERE _hoja_origen = 'P' OR (_hoja_origen = 'F' AND concepto <> '1-URGENT')
+UNION ALL SELECT * FROM ({LINE_CELLS}) l WHERE _hoja_origen <> 'A'""")
+def snapshot_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after a second delivery that changes, empties and takes away sheets."""
+    return snapshot_waves(spark, sf_dir)[1].rows().drop("_fecha_carga")
+
+
+@query("""
+SELECT CAST(1 AS INTEGER) AS carga, 'pedidos' AS archivo, o_orderstatus AS hoja, 'nueva' AS cambio FROM orders GROUP BY ALL
+UNION ALL SELECT 1, 'envios', l_returnflag, 'nueva' FROM lineitem GROUP BY ALL
+UNION ALL SELECT 2, 'pedidos', o_orderstatus, CASE WHEN o_orderstatus IN ('F', 'O') THEN 'cambiada' ELSE 'igual' END FROM orders GROUP BY ALL
+UNION ALL SELECT 2, 'envios', l_returnflag, CASE WHEN l_returnflag = 'A' THEN 'retirada' ELSE 'igual' END FROM lineitem GROUP BY ALL
+UNION ALL SELECT 3, 'pedidos', o_orderstatus, 'igual' FROM orders GROUP BY ALL
+UNION ALL SELECT 3, 'envios', l_returnflag, 'igual' FROM lineitem WHERE l_returnflag <> 'A' GROUP BY ALL""")
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of the three loads found."""
+    reports, _ = snapshot_waves(spark, sf_dir)
+    numbered = [r.where("error IS NULL").select(F.lit(k).alias("carga"), "archivo", "hoja", "cambio") for k, r in enumerate(reports, 1)]
+    return numbered[0].unionByName(numbered[1]).unionByName(numbered[2])
+
+
 BOOK_MANIFEST = tuple(replace(spec, workbook=f"{spec.workbook}.xlsx") for spec in MANIFEST)
 
 
@@ -287,7 +333,7 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "sheets")
     write_sheets(derived_sheets(spark, sf_dir), root)
     read = read_csv_sheets(spark, root, MANIFEST, GRAMMAR, partitioned=True)
-    return load_report(ingest(read, store=True), MANIFEST).drop("error")
+    return load_report(ingest(read, store=True, specs=MANIFEST), MANIFEST).drop("error")
 
 
 @query("""

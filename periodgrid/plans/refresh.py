@@ -28,8 +28,8 @@ def load_bronze(store: TableStore, read: SheetRead, survey: Survey) -> DataFrame
     A table keeps its last good state if one of its sheets is missing or cannot be read. Only a
     table that was never loaded is made from what there is, so that later layers find it.
     """
-    done = ingest(read, store=True)
     specs = survey.sheets()
+    done = ingest(read, store=True, specs=specs)
     # At most one row per manifest line.
     failed = {row.tabla for row in done.quarantine.select("tabla").distinct().collect()}
     fresh = [spec for spec in specs if spec.table not in failed or not store.exists(f"bronze_{spec.table}")]
@@ -91,7 +91,7 @@ def inventory(store: TableStore, survey: Survey) -> DataFrame:
         (LAYERS[3], ["gold_perfil_ciudades_ml", "gold_recomendaciones_focalizacion"]),
     ]
     return quality.inventory(
-        [(layer, name, store.read(name)) for layer, names in layered for name in names]
+        [(layer, name, store.read(name), store.rows_written(name)) for layer, names in layered for name in names]
     )
 
 

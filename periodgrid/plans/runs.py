@@ -1,4 +1,7 @@
-"""Run records: parameters and metrics of each run, appended to two tables."""
+"""Run records: parameters and metrics of each run, in two tables with a partition per run.
+
+A run that is repeated under its id replaces its record; other runs are not touched.
+"""
 
 from __future__ import annotations
 
@@ -55,7 +58,7 @@ def recommendation_metrics(
 
 
 def log_params(store: TableStore, run_id: str, params: dict[str, object]) -> None:
-    """Append parameters as text, with the time of the run."""
+    """Record parameters as text, with the time of the run."""
     rows = local_rows(store.spark, ("clave", "valor"), [(k, str(v)) for k, v in params.items()])
     stamped = rows.unionByName(
         store.spark.range(1).select(
@@ -63,12 +66,16 @@ def log_params(store: TableStore, run_id: str, params: dict[str, object]) -> Non
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("valor"),
         )
     )
-    store.write(_record(stamped, run_id), "run_params", mode="append")
+    _keep(store, _record(stamped, run_id), "run_params")
 
 
 def log_metrics(store: TableStore, run_id: str, metrics: DataFrame) -> None:
     rows = metrics.select(F.col("metrica").alias("clave"), "valor")
-    store.write(_record(rows, run_id), "run_metrics", mode="append")
+    _keep(store, _record(rows, run_id), "run_metrics")
+
+
+def _keep(store: TableStore, record: DataFrame, name: str) -> None:
+    store.write(record, name, partition_by=("run_id",), mode="partitions")
 
 
 def _record(rows: DataFrame, run_id: str) -> DataFrame:

@@ -75,3 +75,25 @@ def cut_lineage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     path = fresh_path(spark, "stage")
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system of a path, and the path as it takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if there is no such folder."""
+    files, place = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)

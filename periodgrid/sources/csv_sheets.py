@@ -97,9 +97,12 @@ def sheet_texts(
     return files.load(root).withColumns({"archivo": workbook_of(path), "hoja": sheet_of(path)})
 
 
-def _text(spark: SparkSession, root: str, whole: bool, partitioned: bool) -> DataFrame:
+def _text(
+    spark: SparkSession, root: str, whole: bool, partitioned: bool, only: Sequence[str] | None = None
+) -> DataFrame:
     reader = spark.read.format("text").option("wholetext", str(whole).lower())
-    return sheet_texts(reader, root, partitioned)
+    texts = sheet_texts(reader, root, partitioned)
+    return texts if only is None else texts.where(F.col("_metadata.file_path").isin(*only))
 
 
 def headed_from_text(
@@ -238,18 +241,20 @@ def read_csv_sheets(
     grammar: PeriodGrammar = DEFAULT_GRAMMAR,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
     partitioned: bool = False,
+    only: Sequence[str] | None = None,
 ) -> SheetRead:
-    """All listed sheets below ``root`` as headed rows, in one job."""
+    """All listed sheets below ``root`` as headed rows, in one job; ``only`` restricts the files
+    by their paths, as ``file_listing`` spells them."""
     manifest = manifest_frame(spark, specs)
     size = F.col("_metadata.file_size")
 
     # The size filter prunes whole files, so each branch opens only its own.
-    whole = _text(spark, root, True, partitioned).where(size <= whole_file_bytes)
+    whole = _text(spark, root, True, partitioned, only).where(size <= whole_file_bytes)
     rows = headed_from_text(whole.select("archivo", "hoja", "value"), manifest, grammar)
 
-    listed = _listing(spark, root, partitioned)
-    if not listed.where(F.col("length") > whole_file_bytes).isEmpty():
-        lines = _text(spark, root, False, partitioned).where(size > whole_file_bytes).select(
+    listed = file_listing(spark, root, partitioned, only=only)
+    if not listed.where(F.col("longitud") > whole_file_bytes).isEmpty():
+        lines = _text(spark, root, False, partitioned, only).where(size > whole_file_bytes).select(
             "archivo", "hoja", "value",
             size.alias("_size"),
             F.col("_metadata.file_path").alias("_ruta"),
@@ -261,8 +266,11 @@ def read_csv_sheets(
     return SheetRead(rows, missing_sheets(manifest, listed, ("archivo", "hoja")))
 
 
-def _listing(spark: SparkSession, root: str, partitioned: bool) -> DataFrame:
-    """``archivo, hoja, length`` of every file; contents are not read."""
+def file_listing(
+    spark: SparkSession, root: str, partitioned: bool, more: Sequence[str] = (), only: Sequence[str] | None = None
+) -> DataFrame:
+    """``archivo, hoja, ruta, longitud, modificado`` of every file; contents are not read unless
+    ``more`` asks for ``content``."""
     reader = spark.read.format("binaryFile")
     if partitioned:
         files = reader.load(root)
@@ -274,11 +282,16 @@ def _listing(spark: SparkSession, root: str, partitioned: bool) -> DataFrame:
             .load(root)
             .withColumns({"archivo": workbook_of(path), "hoja": sheet_of(path)})
         )
-    return files.select(*[F.col(name).cast("string") for name in ("archivo", "hoja")], "length")
+    ruta = F.col("_metadata.file_path")
+    if only is not None:
+        files = files.where(ruta.isin(*only))
+    names = [F.col(name).cast("string") for name in ("archivo", "hoja")]
+    return files.select(
+        *names, ruta.alias("ruta"), F.col("length").alias("longitud"), F.col("modificationTime").alias("modificado"), *more)
 
 
 def sheet_catalog(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
     """``archivo, numero, hoja`` of every sheet, numbered from 1 within its workbook."""
     within = Window.partitionBy("archivo").orderBy("hoja")
-    names = _listing(spark, root, partitioned)
+    names = file_listing(spark, root, partitioned)
     return names.select("archivo", F.row_number().over(within).alias("numero"), "hoja")

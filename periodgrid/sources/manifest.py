@@ -70,3 +70,10 @@ def missing_sheets(manifest: DataFrame, seen: DataFrame, on: Sequence[str]) -> D
     return manifest.join(found, list(on), "left_anti").select(
         "tabla", "archivo", "hoja", F.lit("sheet not found").alias("error")
     )
+
+
+def no_sheets(spark: SparkSession) -> DataFrame:
+    """``tabla, archivo, hoja, error`` of nothing: a load of some sheets misses none of the others."""
+    return spark.range(0).selectExpr(*[
+        f"CAST(NULL AS STRING) AS {name}" for name in ("tabla", "archivo", "hoja", "error")
+    ])

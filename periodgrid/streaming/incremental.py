@@ -9,11 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.periods import DEFAULT_GRAMMAR, PeriodGrammar
 from ..sources.csv_sheets import headed_from_text, sheet_texts
-from ..sources.manifest import SheetRead, SheetSpec, manifest_frame
+from ..sources.manifest import SheetRead, SheetSpec, manifest_frame, no_sheets
+from ..sources.slices import SLICE, SliceStore
 from ..sources.tables import ingest
 
-SLICE = ("tabla", "_archivo", "_hoja")
-
 
 def ingest_new_sheets(
     spark: SparkSession,
@@ -28,25 +27,33 @@ def ingest_new_sheets(
 
     A file is read once, so a new version of a sheet comes as a new file: in another delivery
     folder above its workbook, or as another file of its partition folder. Each batch replaces
-    the slices (table, workbook, sheet) it touches, so a repeated batch
-    leaves the same rows; what it could not read goes to ``<target>_errores``, one slice per
-    batch. Sheets are read whole; those above the split size belong to the batch reader.
+    the slices (workbook, sheet) it brings, also by nothing, so a repeated batch leaves the same
+    rows; a sheet it could not read stays as it was and goes to ``<target>_errores``, one slice per
+    batch. Sheets are read whole; those above the split size belong to ``snapshots.load_changes``,
+    which also sees files that are rewritten in place or gone.
     """
     stream = spark.readStream.format("text").option("wholetext", "true")
     files = sheet_texts(stream, root, partitioned).select(
         "archivo", "hoja", "value",
         F.col("_metadata.file_modification_time").alias("_llegada"),
         F.col("_metadata.file_path").alias("_ruta"),
+        F.col("_metadata.file_size").alias("_longitud"),
     )
 
     def replace_slices(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        rows = headed_from_text(newest_versions(batch), manifest_frame(session, specs), grammar)
+        newest = newest_versions(batch)
+        rows = headed_from_text(newest.select(*SLICE, "value"), manifest_frame(session, specs), grammar)
         done = ingest(SheetRead(rows, no_sheets(session)), store=True)
         errors = done.quarantine.withColumn("lote", F.lit(batch_id))
-        _replace(errors, f"{target}_errores", "lote")
-        sliced = {"_archivo": F.col("_archivo_origen"), "_hoja": F.col("_hoja_origen")}
-        _replace(done.bronze.withColumns(sliced), target, *SLICE)
+        errors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("lote").parquet(f"{target}_errores")
+        bad = done.quarantine.select(*SLICE).distinct()
+        brought = newest.join(F.broadcast(manifest_frame(session, specs)), list(SLICE), "left_semi").select(
+            *SLICE, F.col("_ruta").alias("ruta"), F.col("_longitud").alias("longitud"),
+            F.col("_llegada").alias("modificado"), F.lit(None).cast("string").alias("huella"))
+        unread = bad.withColumnsRenamed({"archivo": "_archivo_origen", "hoja": "_hoja_origen"})
+        good = done.bronze.join(unread, ["_archivo_origen", "_hoja_origen"], "left_anti").select(*done.bronze.columns)
+        SliceStore(session, target).publish(good, brought.join(bad, list(SLICE), "left_anti"), bad.where(F.lit(False)))
 
     return (
         files.writeStream.option("checkpointLocation", checkpoint)
@@ -56,26 +63,14 @@ def ingest_new_sheets(
     )
 
 
-def no_sheets(spark: SparkSession) -> DataFrame:
-    """No missing sheets: a batch need not hold all of them."""
-    return spark.range(0).selectExpr(*[
-        f"CAST(NULL AS STRING) AS {name}" for name in ("tabla", "archivo", "hoja", "error")
-    ])
-
-
 def newest_versions(files: DataFrame) -> DataFrame:
     """Of several files with the same sheet in one batch, the one that came last."""
     version = F.struct("_llegada", "_ruta")
     last = files.groupBy("archivo", "hoja").agg(F.max(version).alias("_version"))
     wanted = last.select("archivo", "hoja", "_version._llegada", "_version._ruta")
     kept = files.join(wanted, ["archivo", "hoja", "_llegada", "_ruta"], "left_semi")
-    return kept.select("archivo", "hoja", "value")
-
-
-def _replace(rows: DataFrame, target: str, *slices: str) -> None:
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*slices).parquet(target)
+    return kept
 
 
 def stored_bronze(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop("_archivo", "_hoja")
+    return SliceStore(spark, target).rows()

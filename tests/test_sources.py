@@ -306,6 +306,48 @@ def test_table_store(spark, tmp_path, rows_of):
     assert rows_of(store.names()) == [("t",)]
 
 
+def test_a_failed_write_leaves_the_last_version(spark, tmp_path, rows_of):
+    """A write that dies half-way, alone or among others, moves no table."""
+    store = TableStore(spark, "punteros", str(tmp_path / "db"))
+    store.write(spark.createDataFrame([("a", 1)], "k string, n int"), "t")
+    store.write(spark.createDataFrame([("u", 1)], "k string, n int"), "u")
+    early = store.read("t")
+    half = spark.range(100, numPartitions=4).select(
+        F.lit("b").alias("k"), F.when(F.col("id") < 60, F.lit(2)).otherwise(F.raise_error(F.lit("lost")).cast("int")).alias("n"))
+    with pytest.raises(Exception, match="lost"):
+        store.write(half, "t")
+    with pytest.raises(Exception, match="lost"):
+        store.write_all({"u": spark.createDataFrame([("v", 9)], "k string, n int"), "t": half})
+    assert rows_of(store.read("t")) == [("a", 1)] and rows_of(store.read("u")) == [("u", 1)]
+    store.write(store.read("t").withColumn("n", F.col("n") + 1), "t")  # from its own rows
+    assert rows_of(store.read("t")) == [("a", 2)] and rows_of(early) == [("a", 1)]
+    assert store.rows_written("t") == 1
+    folders = os.listdir(tmp_path / "db" / "t.versiones")
+    assert len(folders) == 2  # the version before stays for its readers, what failed is gone
+
+
+def test_partitions_are_replaced_by_key(spark, tmp_path, rows_of):
+    store = TableStore(spark, "claves", str(tmp_path / "db"))
+    for run, value in (("2026-04", 1), ("2026-05", 2), ("2026-04", 3)):
+        store.write(spark.createDataFrame([(run, value)], "run_id string, valor int"), "r", ("run_id",), "partitions")
+    assert rows_of(store.read("r"), "run_id", "valor") == [("2026-04", 3), ("2026-05", 2)]
+    assert store.rows_written("r") is None
+
+
+def test_report_and_inventory_from_the_write(spark, tmp_path, rows_of):
+    """Counts are those the write saw: the report reads no stored row, the inventory no table."""
+    write_csv(tmp_path, BOOK, "Educación ", EDU)
+    (tmp_path / BOOK / "Sexo.csv").write_text('t\nt\nt\nk,Ene\n"x,1\n')
+    specs = (*SPECS, SheetSpec("otro", "Nada", "nada", "k"))
+    read = csv_sheets.read_csv_sheets(spark, str(tmp_path), specs)
+    columns = ("tabla", "filas", "columnas", "cargada", "error")
+    told, counted = ingest(read, store=True, specs=specs), ingest(read, store=True)
+    assert rows_of(load_report(told, specs), *columns) == rows_of(load_report(counted, specs), *columns)
+    whole = load_report(ingest(csv_sheets.read_csv_sheets(spark, str(tmp_path), SPECS[:1]), store=True, specs=SPECS[:1]), SPECS[:1])
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Exchange" not in plan and whole.first().filas == 6
+
+
 def test_stream_replaces_changed_sheets(spark, tmp_path, rows_of):
     root, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     (tmp_path / "in").mkdir()
@@ -401,6 +443,9 @@ def test_full_refresh(spark, tmp_path, rows_of):
     refresh(store, read, SURVEY, "r2")  # a second run replaces the tables and appends its record
     assert store.read("gold_perfil_ciudades_ml").count() == 3
     assert store.read("run_params").select("run_id").distinct().count() == 2
+    refresh(store, read, SURVEY, "r2")  # repeated under its id it replaces its record
+    assert store.read("run_params").count() == 12 and store.read("run_metrics").count() == 14
+    assert "FileScan" not in inventory(store, SURVEY)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_table_rows_take_the_concept_name(spark):
