@@ -13,8 +13,8 @@ smaller id. Suffixes need to be told apart up to that depth only:
 3. *Merge the remaining suffixes.* Where one name has several second names, the windows that hold
    the triple are sorted by their 50 bytes, and equal neighbours are compared by id.
 
-Names are 104-bit prints of the bytes, dealt to parts by their bits: parts are the buckets of the
-sort. Before all that, text that cannot repeat is left out: of each window the least of its
+Names are prints of the bytes (88 bits, and those that choose the part): parts are the buckets of
+the sort. Before all that, text that cannot repeat is left out: of each window the least of its
 24-byte grams is an anchor, and a window whose anchor stands in one text only is unique.
 
 Equal whole texts are one string with their smallest id; the others go whole. A name that many
@@ -36,7 +36,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.joins import BROADCAST_BYTES, fits_broadcast
+from ..operators.joins import fits_broadcast
+from ..session import delete_path
 from .common import counted_side, parts_of, stored, table, whole_text
 
 LENGTH = 50
@@ -52,9 +53,11 @@ LAST_ID = (1 << 63) - 1
 CUT = 1 << 18
 HELD = 1 << 19
 PART_ROWS = 1 << 19
+#: Stored bytes of the removed runs up to which they go to the texts, rather than texts to them.
+SPAN_BYTES = 8 << 20
 #: Bytes of a print that go along within a part. Two anchors that share them by chance keep a stretch
-#: in; names are told apart by their second names (8 bytes) as well.
-ANCHOR_BYTES, NAME_BYTES = 4, 5
+#: in; strings are told apart by name and second name together.
+ANCHOR_BYTES, NAME_BYTES, SECOND_BYTES = 4, 5, 6
 _BOXES = "part int, settled boolean, n int, names binary, seconds binary, places binary, ids binary"
 _ANSWERS = ("settled_from", "settled_to", "asked_from", "asked_to")
 _BOX_NAMES = ["part", "settled", "n", "names", "seconds", "places", "ids"]
@@ -231,6 +234,30 @@ def _settled_box(text: np.ndarray, at: np.ndarray, parts: int) -> Iterator[pa.Re
         yield _box(int(text[order[0]] % parts), True, len(text), None, None, _places(text[order], at[order]), None)
 
 
+def _reply_boxes(text: np.ndarray, at: np.ndarray, parts: int, settled: bool = True) -> Iterator[pa.RecordBatch]:
+    """Places on their way back to the part of their text; neighbouring texts share a part."""
+    part = ((text >> 33) * 31 + ((text & ((1 << 33) - 1)) >> 8)) % parts
+    order = np.lexsort((at, text, part))
+    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+    for k in np.flatnonzero(np.diff(bounds)).tolist():
+        own = order[bounds[k]:bounds[k + 1]]
+        yield _box(k, settled, len(own), None, None, _places(text[own], at[own]), None)
+
+
+def _replies(batches: Iterator[pa.RecordBatch]) -> dict[bool, tuple[np.ndarray, np.ndarray]]:
+    """All places of a part by text and place: those of settled boxes and the others."""
+    found: dict[bool, list] = {True: [], False: []}
+    for batch in batches:
+        for row in batch.to_pylist():
+            found[row["settled"]].append(_unplaces(row["places"], row["n"]))
+    sorted_places = {}
+    for kind, boxes in found.items():
+        text, at = (np.concatenate(c) for c in zip(*boxes)) if boxes else (np.zeros(0, np.int64),) * 2
+        order = np.lexsort((at, text))
+        sorted_places[kind] = text[order], at[order]
+    return sorted_places
+
+
 def _open_boxes(name, second, text, at, ids, parts: int) -> Iterator[pa.RecordBatch]:
     """Rows dealt to the parts of their names; without second names and ids for the anchors."""
     part = ((name >> np.uint64(8 * NAME_BYTES)) % np.uint64(parts)).astype(np.int64)
@@ -239,7 +266,7 @@ def _open_boxes(name, second, text, at, ids, parts: int) -> Iterator[pa.RecordBa
     for k in np.flatnonzero(np.diff(bounds)).tolist():
         own = order[bounds[k]:bounds[k + 1]]
         yield _box(
-            k, False, len(own), _low_bytes(name[own], ANCHOR_BYTES if second is None else NAME_BYTES), None if second is None else _low_bytes(second[own], 8),
+            k, False, len(own), _low_bytes(name[own], ANCHOR_BYTES if second is None else NAME_BYTES), None if second is None else _low_bytes(second[own], SECOND_BYTES),
             _places(text[own], at[own]), None if ids is None else _squeezed(np.diff(ids[own], prepend=0)))
 
 
@@ -267,7 +294,7 @@ def _opened(batches: Iterator[pa.RecordBatch], full: bool) -> tuple[list[np.ndar
             if row["settled"]:
                 settled.append(places)
             else:
-                more = [_from_low_bytes(row["seconds"], 8), np.cumsum(_spread(row["ids"], row["n"], 1)[0])] if full else []
+                more = [_from_low_bytes(row["seconds"], SECOND_BYTES), np.cumsum(_spread(row["ids"], row["n"], 1)[0])] if full else []
                 columns.append([_from_low_bytes(row["names"], NAME_BYTES if full else ANCHOR_BYTES), *places, *more])
     return [np.concatenate(c) for c in zip(*columns)], settled
 
@@ -302,6 +329,12 @@ def _texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("t"), "key", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text"))
 
 
+def discard(step: DataFrame) -> None:
+    """Delete a stored step that nothing reads any more, to make room for the next ones."""
+    for folder in {name.rsplit("/", 1)[0] for name in step.inputFiles()[:1]}:
+        delete_path(step.sparkSession, folder)
+
+
 def _parts(rows: float, spark: SparkSession) -> int:
     return max(parts_of(spark), math.ceil(rows / PART_ROWS))
 
@@ -343,29 +376,22 @@ def shared_anchors(texts: DataFrame) -> DataFrame:
             often = np.repeat(shared, last - new + 1)
             settled.append((text[often], at[often]))
         for text, at in settled:
-            order = np.lexsort((at, text))
-            yield _per_text(text[order], at[order], names=["t", "places"])
-
-    boxes = texts.select("t", "text").mapInArrow(lambda batches: _sent(batches, rows_of, reduce, parts, Prints(1)), _BOXES)
-    found = boxes.groupBy("part").applyInArrow(settle, "t long, places array<int>")
-    gathered = found.groupBy("t").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"))
+            yield from _reply_boxes(text, at, parts)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owner, places = _listed(batch.column("places"))
-            steps, width = _varints(np.where(np.diff(owner, prepend=-1) != 0, places, np.diff(places, prepend=0)))
-            sizes = np.bincount(owner, width, batch.num_rows).astype(np.int64)
-            ends = pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int32))
-            packed = pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, ends, pa.py_buffer(steps)])
-            yield pa.record_batch([batch.column("t"), packed], ["t", "places"])
+        text, at = _replies(batches)[True]
+        new = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+        steps, width = _varints(np.where(np.r_[True, text[1:] != text[:-1]], at, np.diff(at, prepend=0)))
+        yield pa.record_batch([pa.array(text[new], pa.int64()), _cut_bytes(steps, np.add.reduceat(width, new))], ["t", "places"])
 
-    return gathered.mapInArrow(pack, "t long, places binary")
+    boxes = texts.select("t", "text").mapInArrow(lambda batches: _sent(batches, rows_of, reduce, parts, Prints(1)), _BOXES)
+    back = boxes.groupBy("part").applyInArrow(settle, _BOXES)
+    return back.groupBy("part").applyInArrow(pack, "t long, places binary")
 
 
-def _listed(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """The entries of a list column, each with its row."""
-    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
-    return np.repeat(np.arange(len(column)), sizes), column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+def _cut_bytes(data: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    ends = pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int32))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, ends, pa.py_buffer(data)])
 
 
 def _unpacked_places(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
@@ -381,8 +407,8 @@ def _unpacked_places(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
 
 def stretches(texts: DataFrame) -> DataFrame:
     """``c, t, id, begin, data``: the runs of windows with shared anchors, a row each; stored."""
-    shared = stored(shared_anchors(texts))
-    side = F.broadcast(shared) if fits_broadcast(shared, BROADCAST_BYTES) else shared
+    # Both sides are dealt by text: the lists of places grow with the corpus.
+    shared = shared_anchors(texts).hint("merge")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Prints(1)
@@ -405,7 +431,7 @@ def stretches(texts: DataFrame) -> DataFrame:
                      pa.array(first - starts[which] + begin[which], pa.int32()), pa.array(cells, pa.binary())],
                     ["t", "id", "begin", "data"])
 
-    cut = texts.select("t", "id", "text").join(side, "t").mapInArrow(run, "t long, id long, begin int, data binary")
+    cut = texts.select("t", "id", "text").join(shared, "t").mapInArrow(run, "t long, id long, begin int, data binary")
     return stored(cut.select(F.monotonically_increasing_id().alias("c"), "t", "id", "begin", "data"))
 
 
@@ -438,8 +464,8 @@ def _reduce_ids(name, second, text, at, ids, parts):
     yield from _open_boxes(name[rest], second[rest], text[rest], at[rest], ids[rest], parts)
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``c, settled, asked``: places whose string a smaller id has, and places whose name stands
+def _compared(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Boxes of settled places, whose string a smaller id has, and of asked ones: their name stands
     with several second names of several ids, so that parts of their strings may be equal."""
     columns, settled = _opened(batches, True)
     if columns:
@@ -452,18 +478,17 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask = np.minimum.reduceat(ids, new) != np.maximum.reduceat(ids, new)
         ask &= second[new] != second[new + size - 1]
         ask = np.repeat(ask, size)
-        yield from _answers(text[ask], at[ask], "asked")
+        yield from _reply_boxes(text[ask], at[ask], parts, False)
     for text, at in settled:
-        yield from _answers(text, at, "settled")
+        yield from _reply_boxes(text, at, parts)
 
 
-def _answers(text: np.ndarray, at: np.ndarray, kind: str) -> Iterator[pa.RecordBatch]:
-    if len(text):
-        order = np.lexsort((at, text))
-        found = _per_text(text[order], at[order], names=["c", kind])
-        none = pa.ListArray.from_arrays(pa.array(np.zeros(found.num_rows + 1), pa.int32()), pa.array([], pa.int32()))
-        other = {"settled": found.column(1) if kind == "settled" else none, "asked": found.column(1) if kind == "asked" else none}
-        yield pa.record_batch([found.column(0), other["settled"], other["asked"]], ["c", "settled", "asked"])
+def _joined_runs(text: np.ndarray, at: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted places as runs whose neighbours are at most ``gap`` apart: text, first, last."""
+    if not len(text):
+        return text, at, at
+    first = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (at[1:] - at[:-1] > gap)])
+    return text[first], at[first], at[np.append(first[1:], len(at)) - 1]
 
 
 def name_triples(cut: DataFrame, parts: int) -> DataFrame:
@@ -485,22 +510,21 @@ def name_triples(cut: DataFrame, parts: int) -> DataFrame:
 
     boxes = cut.select("c", "id", "data").mapInArrow(
         lambda batches: _sent(batches, rows_of, _reduce_ids, parts, Prints(2), Prints(3)), _BOXES)
-    found = boxes.groupBy("part").applyInArrow(_compared, "c long, settled array<int>, asked array<int>")
-    places = found.groupBy("c").agg(*[F.array_sort(F.flatten(F.collect_list(n))).alias(n) for n in ("settled", "asked")])
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _compared(batches, parts)
 
     def join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column("c")]
-            for kind in ("settled", "asked"):
-                owner, at = _listed(batch.column(kind))
-                new = np.r_[True, (np.diff(owner) != 0) | (np.diff(at) > REACH + 1)] if len(at) else np.zeros(0, bool)
-                first = np.flatnonzero(new)
-                last = np.append(first[1:], len(at)) - 1 if len(at) else first
-                ends = pa.array(np.append(0, np.cumsum(np.bincount(owner[first], minlength=batch.num_rows))), pa.int32())
-                columns += [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (at[first] - REACH, at[last])]
-            yield pa.record_batch(columns, ["c", *_ANSWERS])
+        found = _replies(batches)
+        runs_of = [_joined_runs(*found[kind], REACH + 1) for kind in (True, False)]
+        texts = np.unique(np.concatenate([r[0] for r in runs_of]))
+        columns = [pa.array(texts, pa.int64())]
+        for text, first, last in runs_of:
+            ends = pa.array(np.searchsorted(text, texts).tolist() + [len(text)], pa.int32())
+            columns += [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (first - REACH, last)]
+        yield pa.record_batch(columns, ["c", *_ANSWERS])
 
-    return stored(places.mapInArrow(join_runs, "c long, " + ", ".join(f"{name} array<int>" for name in _ANSWERS)))
+    back = boxes.groupBy("part").applyInArrow(compare, _BOXES)
+    return stored(back.groupBy("part").applyInArrow(join_runs, "c long, " + ", ".join(f"{name} array<int>" for name in _ANSWERS)))
 
 
 def _window_flags(size: int, first: np.ndarray, last: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -550,55 +574,71 @@ def merge_windows(cut: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
     def open_rows(batches):
         return _sent(batches, rows_of, _reduce_ids, parts, Prints(2), Prints(3))
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _compared(batches):
-            n = pc.list_value_length(batch.column("settled")).to_numpy(zero_copy_only=False)
-            if n.sum():
-                yield _runs_per_text(np.repeat(batch.column("c").to_numpy(), n), batch.column("settled").flatten().to_numpy())
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _compared(batches, parts)
+
+    def join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield _runs_per_text(*_replies(batches)[True])
 
-    side = F.broadcast(answers) if fits_broadcast(answers, BROADCAST_BYTES) else answers
-    joined = cut.select("c", "id", "data").join(side, "c")
+    joined = cut.select("c", "id", "data").join(answers.hint("merge"), "c")
     found = "c long, firsts array<int>, lasts array<int>"
     boxes = joined.where(F.size("asked_from") > 0).mapInArrow(open_rows, _BOXES)
-    return joined.where(F.size("settled_from") > 0).mapInArrow(known, found).unionByName(boxes.groupBy("part").applyInArrow(settle, found))
+    back = boxes.groupBy("part").applyInArrow(compare, _BOXES)
+    merged = back.groupBy("part").applyInArrow(join_runs, found)
+    return joined.where(F.size("settled_from") > 0).mapInArrow(known, found).unionByName(merged)
 
 
 def _runs_per_text(text: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-    """Sorted window starts as runs, a row per text."""
-    new = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (at[1:] != at[:-1] + 1)]) if len(text) else np.zeros(0, np.int64)
-    last = at[np.append(new[1:], len(text)) - 1] if len(text) else at
-    return _per_text(text[new], at[new], last, names=["c", "firsts", "lasts"])
+    """Window starts, in order within a text, as runs, a row per text."""
+    return _per_text(*_joined_runs(text, at, 1), names=["c", "firsts", "lasts"])
 
 
 # -- results ----------------------------------------------------------------------------------
 
 def repeated_spans(docs: DataFrame, copies: DataFrame) -> DataFrame:
-    """``key, firsts, lasts``: per text the runs of starts of strings that a smaller id has; stored."""
+    """``key, gone``: per text the runs of bytes that go, as gaps and lengths in varints; stored."""
     texts = _texts(docs, copies)
+    keys = stored(texts.select("t", "key"))
     cut = stretches(texts)
+    discard(texts)
     size = cut.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     parts = _parts(size * len(COVER) / PERIOD, docs.sparkSession)
     answers = name_triples(cut, parts)
     spread = F.aggregate(F.zip_with("asked_from", "asked_to", lambda a, b: b - a + 1), F.lit(0).cast("long"), lambda n, x: n + x)
     asked = answers.agg(F.sum(spread)).first()[0] or 0
     windows = merge_windows(cut, answers, _parts(asked, docs.sparkSession))
-    moved = windows.join(cut.select("c", "t", "begin"), "c").select(
+    moved = windows.join(cut.select("c", "t", "begin").hint("merge"), "c").select(
         "t", *[F.transform(n, lambda x: x + F.col("begin")).alias(n) for n in ("firsts", "lasts")])
-    keys = texts.select("t", "key")
-    return stored(moved.join(keys, "t").groupBy("key").agg(*[F.flatten(F.collect_list(n)).alias(n) for n in ("firsts", "lasts")]))
+    found = moved.join(keys.hint("merge"), "t").groupBy("key").agg(*[F.flatten(F.collect_list(n)).alias(n) for n in ("firsts", "lasts")])
 
-
-def _kept(text: bytes, copy: bool, firsts, lasts) -> tuple[int, int, int, str, bytes]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs_of = []
+            for firsts, lasts in zip(batch.column("firsts"), batch.column("lasts")):
+                first, last = (x.values.to_numpy().astype(np.int64) for x in (firsts, lasts))
+                order = np.argsort(first, kind="stable")
+                first, reach = first[order], np.maximum.accumulate(last[order]) + LENGTH
+                new = np.flatnonzero(np.r_[True, first[1:] > reach[:-1]])
+                starts, ends = first[new], reach[np.append(new[1:], len(first)) - 1]
+                runs_of.append(np.stack([starts - np.append(0, ends[:-1]), ends - starts], 1).ravel())
+            steps, width = _varints(np.concatenate(runs_of))
+            sizes = np.add.reduceat(width, np.cumsum([0, *map(len, runs_of)])[:-1])
+            yield pa.record_batch([batch.column("key"), _cut_bytes(steps, sizes)], ["key", "gone"])
+
+    return stored(found.mapInArrow(pack, "key binary, gone binary"))
+
+
+def _kept(text: bytes, copy: bool, gone: bytes | None) -> tuple[int, int, int, str, bytes]:
     n = len(text)
     if copy and n >= LENGTH:
         removed, spans, rest = n, 1, b""
-    elif firsts is None or not len(firsts):
+    elif gone is None:
         removed, spans, rest = 0, 0, text
     else:
-        edges = np.bincount(firsts, minlength=n + 1) - np.bincount(np.asarray(lasts) + LENGTH, minlength=n + 1)
-        gone = np.cumsum(edges)[:n] > 0
-        removed, spans = int(gone.sum()), len(runs(gone)[0])
-        rest = np.frombuffer(text, np.uint8)[~gone].tobytes()
+        bounds = np.cumsum(_from_varints(np.frombuffer(gone, np.uint8))[0]).tolist()
+        edges = [0, *bounds, n]
+        rest = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        removed, spans = n - len(rest), len(bounds) // 2
     return n, removed, spans, hashlib.sha256(rest).hexdigest(), rest
 
 
@@ -607,7 +647,7 @@ def without_repeats(docs: DataFrame, with_rest: bool = False) -> DataFrame:
     remaining bytes as ``rest`` (a removed run may end within a character)."""
     copies = copied_texts(docs)
     spans = repeated_spans(docs, copies)
-    side = F.broadcast(spans) if fits_broadcast(spans, BROADCAST_BYTES) else spans
+    side = F.broadcast(spans) if fits_broadcast(spans, SPAN_BYTES) else spans.hint("merge")
     marked = keyed(docs).join(copies.withColumn("copied", F.lit(True)), "key", "left").join(side, "key", "left")
     copy = F.coalesce(F.col("copied"), F.lit(False)) & ~F.col("doc_id").eqNullSafe(F.col("first"))
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "rest"][:4 + with_rest]
@@ -616,14 +656,13 @@ def without_repeats(docs: DataFrame, with_rest: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary() if batch.column("text").type == pa.string() else pa.large_binary())
-            rows = [_kept(t.as_py(), c, f, e) for t, c, f, e in zip(
-                texts, batch.column("copy").to_pylist(), batch.column("firsts").to_pylist(), batch.column("lasts").to_pylist())]
+            rows = [_kept(t.as_py(), c, g) for t, c, g in zip(texts, batch.column("copy").to_pylist(), batch.column("gone").to_pylist())]
             columns = [pa.array([r[k] for r in rows], types[k]) for k in range(len(names))]
             yield pa.record_batch([batch.column("doc_id"), *columns], ["doc_id", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", rest binary" * with_rest
-    return marked.select("doc_id", "text", copy.alias("copy"), "firsts", "lasts").mapInArrow(run, schema)
+    return marked.select("doc_id", "text", copy.alias("copy"), "gone").mapInArrow(run, schema)
 
 
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
