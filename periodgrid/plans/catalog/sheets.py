@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -21,6 +22,7 @@ from ...sources.tables import TableStore, ingest, load_report
 from ...sources.xlsx_sheets import read_xlsx_sheets, sheet_catalog as list_workbook_sheets
 from ...sources.xlsx_write import write_workbooks
 from ...streaming.incremental import ingest_new_sheets, stored_bronze
+from ..incremental_gold import GoldStates
 from ..layers import (
     CITY_AGGREGATE,
     LAYERS,
@@ -218,7 +220,9 @@ def second_delivery(spark: SparkSession, sf_dir: str, root: str) -> None:
     delete_path(spark, f"{root}/archivo={LINES_BOOK}/hoja=A")
 
 
-def snapshot_waves(spark: SparkSession, sf_dir: str) -> tuple[list[DataFrame], SliceStore]:
+def snapshot_waves(
+    spark: SparkSession, sf_dir: str, after: Callable[[SliceStore], object] | None = None
+) -> tuple[list[DataFrame], SliceStore]:
     """Three loads of one folder: everything, the second delivery, and the same folder once more."""
     root, target = fresh_path(spark, "inbox"), fresh_path(spark, "slices")
     write_sheets(derived_sheets(spark, sf_dir), root)
@@ -227,17 +231,43 @@ def snapshot_waves(spark: SparkSession, sf_dir: str) -> tuple[list[DataFrame], S
         if wave == 1:
             second_delivery(spark, sf_dir, root)
         reports.append(load_changes(spark, root, MANIFEST, target, GRAMMAR, partitioned=True))
+        if after:
+            after(SliceStore(spark, target))
     return reports, SliceStore(spark, target)
 
 
-@query(f"""
+AFTER_SQL = f"""
 SELECT * FROM ({ORDER_CELLS}) o WHERE _hoja_origen = 'P' OR (_hoja_origen = 'F' AND concepto <> '1-URGENT')
-UNION ALL SELECT * FROM ({LINE_CELLS}) l WHERE _hoja_origen <> 'A'""")
+UNION ALL SELECT * FROM ({LINE_CELLS}) l WHERE _hoja_origen <> 'A'"""
+
+
+@query(AFTER_SQL)
 def snapshot_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze after a second delivery that changes, empties and takes away sheets."""
     return snapshot_waves(spark, sf_dir)[1].rows().drop("_fecha_carga")
 
 
+def states_after_waves(spark: SparkSession, sf_dir: str) -> GoldStates:
+    """States brought up to date after each of the three loads."""
+    _, store = snapshot_waves(spark, sf_dir, lambda store: GoldStates(store, exact=2).update())
+    return GoldStates(store, exact=2)
+
+
+@query(f"""
+SELECT tabla, anio, concepto, {mean_sql('valor')} AS promedio_anual, {round_sql('min(valor)')} AS valor_minimo,
+       {round_sql('max(valor)')} AS valor_maximo, {round_sql('stddev_samp(valor)')} AS desviacion_estandar,
+       count(*) AS num_observaciones FROM ({AFTER_SQL}) b GROUP BY ALL""")
+def annual_metrics_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly metrics merged from states per slice, after sheets changed, emptied and went."""
+    return states_after_waves(spark, sf_dir).annual_metrics()
+
+
+@query(f"SELECT tabla, anio, {mean_sql('valor')} AS promedio FROM ({AFTER_SQL}) b GROUP BY ALL")
+def yearly_means_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean over all concepts from the same states."""
+    return states_after_waves(spark, sf_dir).yearly_means()
+
+
 @query("""
 SELECT CAST(1 AS INTEGER) AS carga, 'pedidos' AS archivo, o_orderstatus AS hoja, 'nueva' AS cambio FROM orders GROUP BY ALL
 UNION ALL SELECT 1, 'envios', l_returnflag, 'nueva' FROM lineitem GROUP BY ALL

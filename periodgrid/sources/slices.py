@@ -46,18 +46,26 @@ class SliceStore:
         used = [name.partition("=")[2] for folder in ("punteros", "filas") for name in child_names(self.spark, f"{self.path}/{folder}")]
         return 1 + max((int(v) for v in used if v.isdigit()), default=0)
 
+    def versions(self) -> list[int]:
+        """Versions that something points to: at most one per load."""
+        return sorted(row.version for row in self.pointers().select("version").distinct().collect())
+
+    def no_rows(self) -> DataFrame:
+        return self.spark.createDataFrame([], ROWS_SCHEMA)
+
+    def version_rows(self, *versions: int) -> DataFrame:
+        """All rows that these loads wrote, also those that nothing points to any more. Folders of
+        other loads are not even listed."""
+        folder = f"{self.path}/filas"
+        read = self.spark.read.schema(ROWS_SCHEMA).option("basePath", folder)
+        return read.parquet(*[f"{folder}/version={version}" for version in versions])
+
     def rows(self) -> DataFrame:
         """Current rows: ``tabla``, the long columns and the lineage."""
-        nothing = self.spark.createDataFrame([], ROWS_SCHEMA)
-        columns = [name for name in nothing.columns if name not in ("version", "_archivo", "_hoja")]
+        used = self.versions()
         current = self.pointers().select("version", F.col("archivo").alias("_archivo"), F.col("hoja").alias("_hoja"))
-        # At most one number per load; folders of loads that nothing points to are not even listed.
-        used = sorted(row.version for row in current.select("version").distinct().collect())
-        if not used:
-            return nothing.select(*columns)
-        folder = f"{self.path}/filas"
-        read = self.spark.read.schema(ROWS_SCHEMA).option("basePath", folder)
-        stored = read.parquet(*[f"{folder}/version={version}" for version in used])
+        stored = self.version_rows(*used) if used else self.no_rows()
+        columns = [name for name in stored.columns if name not in ("version", "_archivo", "_hoja")]
         return stored.join(F.broadcast(current), ["version", "_archivo", "_hoja"], "left_semi").select(*columns)
 
     def publish(self, rows: DataFrame, loaded: DataFrame, gone: DataFrame) -> int:
@@ -74,13 +82,14 @@ class SliceStore:
         return version
 
     def vacuum(self) -> None:
-        """Delete rows that the current list does not point to, and all older lists."""
+        """Delete rows and states that the current list does not point to, and all older lists."""
         lists = self._lists()
         if not lists:
             return
         used = {row.version for row in self.pointers().select("version").distinct().collect()}
         for name in child_names(self.spark, f"{self.path}/filas"):
             if name.partition("=")[2].isdigit() and int(name.partition("=")[2]) not in used:
-                delete_path(self.spark, f"{self.path}/filas/{name}")
+                for kind in ("filas", "estados"):
+                    delete_path(self.spark, f"{self.path}/{kind}/{name}")
         for version in lists[:-1]:
             delete_path(self.spark, self._list(version))
