@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ...operators import gold, kpis
 from ...operators.quality import counts_by_condition
+from ...operators.rule_index import first_match_by_intervals
 from ...operators.rules import (
     HIGH,
     LOW,
@@ -158,6 +159,28 @@ def rule_table_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_match_by_table(own_index(spark, sf_dir), rules)
 
 
+RULES_SQL = """
+SELECT s_suppkey AS regla, CASE s_suppkey % 4 WHEN 0 THEN 'ALTA' WHEN 1 THEN 'MEDIA' WHEN 2 THEN 'BAJA' ELSE 'OTRA' END AS severidad,
+       CASE WHEN s_suppkey % 50 = 49 THEN NULL ELSE abs(s_acctbal) / 3000 END AS minimo, s_name AS etiqueta FROM supplier"""
+
+
+@query(f"""
+WITH regla AS ({RULES_SQL}), fila AS (SELECT ciudad, severidad_informalidad, {INDEX} FROM ({OWN_INDEX_SQL}) o),
+primera AS (SELECT ciudad, min(regla) AS regla FROM fila JOIN regla
+            ON severidad = severidad_informalidad AND (minimo IS NULL OR {INDEX} >= minimo) GROUP BY 1)
+SELECT f.*, coalesce(r.etiqueta, '{MONITORING}') AS instrumento_recomendado
+FROM fila f LEFT JOIN primera p ON p.ciudad = f.ciudad LEFT JOIN regla r ON r.regla = p.regla""")
+def rule_index_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule per supplier: the first that each customer meets, by intervals and buckets."""
+    key = F.col("s_suppkey") % 4
+    rules = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("regla"),
+        F.when(key == 0, "ALTA").when(key == 1, "MEDIA").when(key == 2, "BAJA").otherwise("OTRA").alias("severidad"),
+        F.when(F.col("s_suppkey") % 50 != 49, F.abs("s_acctbal") / 3000).alias("minimo"),
+        F.col("s_name").alias("etiqueta"))
+    return first_match_by_intervals(own_index(spark, sf_dir), rules)
+
+
 @query(FEATURES_SQL + "SELECT * FROM rec")
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features, instrument, priority and reason of every customer."""

@@ -19,6 +19,13 @@ from .layers import (
 )
 from .runs import log_metrics, log_params, recommendation_metrics
 
+#: What Gold tables are read by: their files are ranges of it.
+GOLD_ORDER = {
+    "gold_metricas_empleo_anual": ("anio", "indicador"),
+    "gold_empleo_top_ramas": ("anio", "rama_actividad"),
+    "gold_dashboard_informalidad": ("anio", "dimension", "categoria"),
+    "gold_perfil_ciudades_ml": ("ciudad",),
+}
 INFORMALITY = ("informalidad_total_nacional", "informalidad_sexo", "informalidad_educacion")
 
 
@@ -104,11 +111,11 @@ def refresh(store: TableStore, read: SheetRead, survey: Survey, run_id: str) ->
     report = load_bronze(store, read, survey)
     build_silver(store, survey)
     features = {"gold_perfil_ciudades_ml": city_features(store, survey)}
-    store.write_all({**gold_tables(store, survey), **features})
+    store.write_all({**gold_tables(store, survey), **features}, order_by=GOLD_ORDER)
 
     output = "gold_recomendaciones_focalizacion"
     rules = default_rules(survey.thresholds)
-    store.write(recommend(store.read("gold_perfil_ciudades_ml"), rules), output)
+    store.write(recommend(store.read("gold_perfil_ciudades_ml"), rules), output, order_by=("ciudad",))
 
     log_params(store, run_id, {
         "umbral_alta_severidad_miles": survey.thresholds.high,

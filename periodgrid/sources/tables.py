@@ -110,6 +110,12 @@ def load_report(done: Ingest, specs: Sequence[SheetSpec]) -> DataFrame:
     )
 
 
+def clustered(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows dealt to files by ranges of ``columns`` and sorted in them, so that a filter on the first
+    of them opens few files and few row groups. How many files there are is left to Spark."""
+    return rows.repartitionByRange(*columns).sortWithinPartitions(*columns) if columns else rows
+
+
 class TableStore:
     """Tables of one catalog schema, kept below one folder of shared storage.
 
@@ -132,10 +138,13 @@ class TableStore:
         return f"{self.schema}.{name}"
 
     def write(
-        self, rows: DataFrame, name: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+        self, rows: DataFrame, name: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
+        order_by: Sequence[str] = (),
     ) -> None:
         """Replace a table, schema included (``overwrite``), add rows to it (``append``), or replace
-        those partitions that ``rows`` has rows for (``partitions``)."""
+        those partitions that ``rows`` has rows for (``partitions``). ``order_by`` clusters what is
+        written; the order of rows read back is no property of a table."""
+        rows = clustered(rows, order_by)
         if mode == "overwrite" or not self.exists(name):
             path, count = self._stage(rows, name, partition_by)
             self._publish(name, path, count, self._fields(rows, partition_by), partition_by)
@@ -151,13 +160,30 @@ class TableStore:
             ordered.write.mode("append").insertInto(table)
         self.spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{self.ROWS_PROPERTY}')")
 
-    def write_all(self, tables: Mapping[str, DataFrame], at_once: int = 4) -> None:
+    def write_bucketed(self, rows: DataFrame, name: str, columns: Sequence[str], buckets: int) -> None:
+        """Replace a table by one whose rows lie in ``buckets`` files by the hash of ``columns``: tables
+        with the same buckets are joined and grouped by them without moving a row."""
+        path, seen = f"{self._versions(name)}/{uuid.uuid4().hex}", Observation()
+        # The rows are written through an entry of their own, which then goes and leaves its files.
+        entry = f"{self.schema}.{name}_{uuid.uuid4().hex}"
+        dealt = rows.observe(seen, F.count(F.lit(1)).alias("filas")).repartition(buckets, *columns)
+        try:
+            dealt.write.format("parquet").bucketBy(buckets, *columns).sortBy(*columns).option("path", path).saveAsTable(entry)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {entry}")
+        keys = ", ".join(f"`{column}`" for column in columns)
+        layout = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS"
+        self._publish(name, path, seen.get["filas"], self._fields(rows), layout=layout)
+
+    def write_all(
+        self, tables: Mapping[str, DataFrame], at_once: int = 4, order_by: Mapping[str, Sequence[str]] | None = None
+    ) -> None:
         """Replace several tables, a few at a time. No table moves before the rows of all are
         written, so a failure leaves all of them as they were."""
 
         @inheritable_thread_target(self.spark)
         def one(item: tuple[str, DataFrame]) -> tuple[str, str, int]:
-            return item[0], *self._stage(item[1], item[0], ())
+            return item[0], *self._stage(clustered(item[1], (order_by or {}).get(item[0], ())), item[0], ())
 
         with ThreadPoolExecutor(at_once) as pool:
             staged = list(pool.map(one, tables.items()))
@@ -182,18 +208,20 @@ class TableStore:
         return path, seen.get["filas"]
 
     def _publish(
-        self, name: str, path: str, count: int, fields: list[tuple[str, str]], partition_by: Sequence[str] = ()
+        self, name: str, path: str, count: int, fields: list[tuple[str, str]], partition_by: Sequence[str] = (),
+        layout: str = "",
     ) -> None:
         table, before = self.full_name(name), None
         if self.exists(name):
             before = self._pointer(name)
-            alike = not partition_by and not self._partitioned(name) and self.read(name).dtypes == fields
+            plain = not partition_by and not layout and not self._laid_out(name)
+            alike = plain and self.read(name).dtypes == fields
             # Columns belong to the catalog entry: if they change it is made anew; no rows are touched.
             self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'" if alike else f"DROP TABLE {table}")
         if not self.exists(name):
             columns = ", ".join(f"`{column}` {kind}" for column, kind in fields)
             parts = f" PARTITIONED BY ({', '.join(f'`{column}`' for column in partition_by)})" if partition_by else ""
-            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{parts} LOCATION '{path}'")
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{parts}{layout} LOCATION '{path}'")
             if partition_by:
                 self.spark.catalog.recoverPartitions(table)
         self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{self.ROWS_PROPERTY}' = '{count}')")
@@ -210,8 +238,8 @@ class TableStore:
     def _pointer(self, name: str) -> str:
         return self._described(name).get("Location", "").rstrip("/")
 
-    def _partitioned(self, name: str) -> bool:
-        return "# Partition Information" in self._described(name)
+    def _laid_out(self, name: str) -> bool:
+        return not {"# Partition Information", "Num Buckets"}.isdisjoint(self._described(name))
 
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.full_name(name))
