@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from periodgrid.llm.common import counted_side, stored, table
+from periodgrid.llm.common import counted_side, free_name, stored, table
 from periodgrid.llm.decontaminate import decontaminated
 from periodgrid.llm.packing import packed_documents
 from periodgrid.llm.secrets import without_secrets
@@ -21,10 +21,32 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: one document of each near-duplicate group stays, the one with the smallest doc_id."""
-    groups = jaccard_components(docs)
-    extra = counted_side(groups.where("component_id <> doc_id").select("doc_id").distinct())
-    return docs.join(extra, "doc_id", "left_anti").select(*COLUMNS)
+    """Operator 10: one document of each near-duplicate group stays, the one with the smallest doc_id.
+
+    Rows are told by doc_id and text, so a repeated doc_id drops nothing else, rows without one (last
+    in their group) are copies like any other, and of equal rows one stays. Texts without words are
+    no copies of each other.
+    """
+    key, k = F.xxhash64(F.coalesce("text", F.lit(""))), free_name(docs, "_key")
+    groups = stored(jaccard_components(docs.select(key.alias("doc_id"), "text")).where("n_shingles > 0").select(
+        F.col("doc_id").alias(k), "component_id").distinct())
+    rows = stored(docs.select("doc_id", key.alias(k)).groupBy("doc_id", k).count().join(groups, k))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", k)
+    first = rows.groupBy("component_id").agg(F.min(place).alias("first"))
+    placed = stored(rows.join(first, "component_id").select("doc_id", k, "count", (place == F.col("first")).alias("stays")))
+    identity = free_name(docs, "_id")
+    named = placed.withColumnRenamed("doc_id", identity)
+
+    def listed(condition: str) -> tuple[DataFrame, Column]:
+        side = counted_side(named.where(condition).select(identity, F.col(k).alias(f"{k}_of")))
+        return side, F.col("doc_id").eqNullSafe(F.col(identity)) & (key == F.col(f"{k}_of"))
+
+    kept = docs.join(*listed("not stays"), "left_anti")
+    twice = "stays and count > 1"
+    if not placed.where(twice).isEmpty():
+        once = kept.join(*listed(twice), "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(*listed(twice), "left_anti").unionByName(once)
+    return kept.select(*COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
