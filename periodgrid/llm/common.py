@@ -26,6 +26,14 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {name.lower() for name in df.columns}
+    while base in taken:
+        base = f"_{base}"
+    return base
+
+
 #: Keys that are sent to every task rather than shuffled with the texts: 8 to 16 bytes each.
 BROADCAST_KEYS = 1 << 20
 

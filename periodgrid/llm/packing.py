@@ -13,6 +13,7 @@ packing with fewer bins stays. There is no branching over the bins of a group.
 from __future__ import annotations
 
 import base64
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
 from .common import stored
 
@@ -42,9 +44,20 @@ def encoder(path: str) -> tiktoken.Encoding:
 
 
 def token_ids(text: str, coder: tiktoken.Encoding) -> np.ndarray:
-    if any(token in text for token in SPECIAL):
-        return np.array(coder.encode(text, allowed_special="all"), np.uint32)
-    return coder.encode_to_numpy(text, disallowed_special=())
+    try:
+        if any(token in text for token in SPECIAL):
+            return np.array(coder.encode(text, allowed_special="all"), np.uint32)
+        return coder.encode_to_numpy(text, disallowed_special=())
+    except ValueError:  # a run of white space too long for that library's regular expressions
+        return np.array(slow_coder().encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+@functools.cache
+def slow_coder() -> Tokenizer:
+    """The tokenizers file itself: the same ids for any text, several times as slow."""
+    import public_tokenizers
+
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def default_tokenizer() -> str:
