@@ -104,11 +104,16 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     said = keyed.select("conv_id", "turn", F.explode(_passages(F.col("blocks"), False)).alias("p")).select("conv_id", "turn", F.col("p.hash").alias("hash"))
     said = said.groupBy("hash", "conv_id").agg(F.min("turn").alias("first_turn"))
     said = stored(said.join(quotes.select("hash").distinct(), "hash", "left_semi"))
-    anywhere = said.groupBy("hash").agg(F.min(F.struct("conv_id", "first_turn")).alias("far"))
+    # The first conversation that says it, and the first but that one: one of the two is another's.
+    place = F.struct("conv_id", "first_turn")
+    first = stored(said.groupBy("hash").agg(F.min(place).alias("far")))
+    later = said.join(first, "hash").where(F.col("conv_id") != F.col("far.conv_id"))
+    anywhere = first.join(later.groupBy("hash").agg(F.min(place).alias("next")), "hash", "left")
     near = said.select("hash", "conv_id", "first_turn")
     found = quotes.join(near, ["hash", "conv_id"], "left").join(anywhere, "hash", "left")
     here = F.col("first_turn") < F.col("turn")
-    elsewhere = F.col("far.conv_id") != F.col("conv_id")
+    found = found.withColumn("far", F.when(F.col("far.conv_id") != F.col("conv_id"), F.col("far")).otherwise(F.col("next")))
+    elsewhere = F.col("far").isNotNull()
     found = found.select(
         "conv_id", "turn", "level", "weight", "hash",
         F.when(here, F.col("conv_id")).when(elsewhere, F.col("far.conv_id")).alias("of_conv"),
