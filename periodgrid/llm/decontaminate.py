@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import counted_side
+from .common import counted_side, free_name
 
 Q = 8
 #: Edits allowed per character of a window, and the length of windows: the shortest passage that counts.
@@ -273,6 +273,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without those that hold a region of the benchmark; all columns stay."""
-    dirty = counted_side(contaminated_regions(documents, benchmark).select(F.col("doc_id").alias("_dirty")).distinct())
-    return documents.join(dirty, F.col("doc_id").cast("long") == F.col("_dirty"), "left_anti")
+    """The documents without those that hold a region of the benchmark; all columns stay. What a text
+    holds does not depend on its id, so rows are told by their texts: null and repeated ids too."""
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    texts = documents.select(key.alias("doc_id"), "text")
+    name = free_name(documents, "_dirty")
+    dirty = counted_side(contaminated_regions(texts, benchmark).select(F.col("doc_id").alias(name)).distinct())
+    return documents.join(dirty, key == F.col(name), "left_anti")

@@ -165,6 +165,7 @@ def find_secrets(documents: DataFrame) -> DataFrame:
 
 def without_secrets(documents: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """The documents with each secret replaced by ``mask``; all rows and columns stay."""
-    found = _found(documents)
+    # The row travels as one column, so that no name of its own meets those of the search.
+    found = _found(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), "text"))
     text = F.when(F.size("_spans") > 0, masked(F.col("text"), F.col("_spans"), lambda _: F.lit(mask))).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*documents.columns)
+    return found.select(*[text.alias(c) if c.lower() == "text" else F.col("row").getField(c).alias(c) for c in documents.columns])
