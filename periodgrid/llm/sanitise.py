@@ -12,8 +12,6 @@ their shape.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored
@@ -94,8 +92,12 @@ def disclosing_terms(documents: DataFrame, protected: DataFrame | None = None) -
         protected = _protected(_with_entities(documents))
     # Lines that hold an entity; no pattern reaches over a line end.
     lines = protected.select("rows", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.withColumn("names", _names(entities(F.col("line")))).where(F.size("names") > 0)
-    bare = reduce(lambda t, p: F.regexp_replace(t, p, " "), (EMAIL, IP, PHONE, CARD), F.col("line"))
+    lines = lines.withColumn("found", F.struct(*[spans.alias(k) for k, spans in entities(F.col("line")).items()]))
+    found = {k: F.col(f"found.{k}") for k in KINDS}
+    lines = lines.withColumn("names", _names(found)).where(F.size("names") > 0)
+    # Only what is an entity is blanked: other numbers are terms like any word.
+    spans = F.sort_array(F.concat(*[of_kind(found[k], k, i) for i, k in enumerate(KINDS)]))
+    bare = masked(F.col("line"), spans, lambda _: F.lit(" "))
     held = stored(lines.select("rows", F.explode("names").alias("entity"), _terms(bare).alias("terms")))
     by_entity = held.groupBy("entity").agg(F.sum("rows").alias("n_e"))
     joint = stored(held.select("rows", "entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.sum("rows").alias("n_te")))

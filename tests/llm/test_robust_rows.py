@@ -1,14 +1,19 @@
 """Clashing names, null and repeated ids, long runs of blanks, and quotes of several sayers."""
 
 import random
+import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from periodgrid.llm.decontaminate import decontaminated
 from periodgrid.llm.packing import default_tokenizer, encoder, pieces, slow_coder, token_ids
 from periodgrid.llm.quotes import link_quotes
+from periodgrid.llm.sanitise import EMAIL, GENERALISE, disclosing_terms
 from periodgrid.llm.secrets import without_secrets
+from periodgrid.llm.spans import matches
 
 PASSAGE = "the quick brown fox of the benchmark jumps over every lazy dog that sleeps in the warm afternoon sun of june " * 2
 
@@ -82,3 +87,35 @@ def test_parents_against_plain_search(spark, seed):
     df = spark.createDataFrame([r[:4] for r in rows], "conv_id long, turn long, role string, text string")
     got = {(r.conv_id, r.turn): (r.parent_conv_id, r.parent_turn) for r in link_quotes(df).collect()}
     assert got == want
+
+
+def test_numbers_beside_an_entity_are_rated(spark):
+    line = "employee EMP4471 born 19740312 on srv42 mail jo.doe@example.org"
+    rows = [(1, line), (2, line)] + [(10 + i, f"the employee was born in spring and got mail number {i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = {r.term: r.share for r in disclosing_terms(df).collect()}
+    assert {"emp4471", "19740312", "srv42"} <= set(terms) and "born" not in terms and "mail" not in terms
+    assert all(terms[t] >= GENERALISE for t in ("emp4471", "19740312", "srv42"))
+
+
+def test_places_of_many_matches(spark):
+    """Places over several blocks of pieces, with and without a group, equal to Python's."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["a1", "é2b", " ", "x", "33", "\n"]) for _ in range(n)) for n in (0, 1, 63, 64, 65, 700, 5000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pattern, group in ((r"([a-zé])([0-9])", 2), (r"[0-9]+", None)):
+        got = df.select(matches(F.col("t"), pattern, group).alias("m")).collect()
+        for text, row in zip(texts, got):
+            want = [(m.start(), m.end(), m.group(), m.group(group) if group else None) for m in re.finditer(pattern, text)]
+            assert [tuple(s) for s in row.m] == want
+
+
+def test_time_of_many_matches(spark):
+    def seconds(n):
+        df = spark.createDataFrame([("jo.doe@example.org and " * n,)], "t string").select(F.size(matches(F.col("t"), EMAIL)).alias("n"))
+        start = time.perf_counter()
+        assert df.first().n == n
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(32_000) <= 10 * max(seconds(8_000), 0.5)
