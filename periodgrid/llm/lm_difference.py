@@ -39,7 +39,7 @@ START = 0
 #: Weight of the pair's own frequency against the word's, and what is added to each word count.
 OWN, ADDED = 0.7, 0.5
 #: Tokens that a task holds, rows that meet in a part, and parts of a nat.
-HELD, PART_ROWS = 1 << 20, 1 << 21
+HELD, PART_ROWS = 1 << 19, 1 << 20
 NAT = float(1 << 32)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BOXES = "part int, kind int, n int, names binary, seconds binary, places binary, numbers binary"
@@ -144,7 +144,7 @@ class Model:
 def _tokens(batch: pa.RecordBatch):
     """Stretches of a batch: first row, words, sizes, words before, pairs."""
     at = 0
-    for part in slices(batch.column("text")):
+    for part in slices(batch.column("text"), 1 << 20):
         words, sizes = word_hashes(part)
         words = np.where(words == START, np.uint64(1), words)
         before, pair = _pairs(words, sizes)
@@ -409,6 +409,7 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
                 if size >= HELD:
                     yield from flush(held, model)
                     held, size = [], 0
+                    pa.default_memory_pool().release_unused()
         if size:
             yield from flush(held, model)
 
