@@ -35,6 +35,16 @@ def nan_to_null(number: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def plain_text(number: Column) -> Column:
+    """A DOUBLE as people write it: Spark's text of it has an exponent from ten million on.
+
+    Beyond 20 digits before the point the exponent stays.
+    """
+    text = number.cast("string")
+    digits = F.regexp_replace(number.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.abs(number) >= 1e7, F.coalesce(digits, text)).otherwise(text)
+
+
 def metric_key(label: Column) -> Column:
     """A label as part of a metric name: blanks to ``_``, parentheses dropped."""
     return F.translate(label, " ()", "_")

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.text import plain_text
 from ..session import local_rows
 
 # Labels of the severity classes and of the recommended instruments.
@@ -130,11 +131,11 @@ def reason(severity: Column, value: Column, index: Column) -> Column:
         start,
         F.lower(severity),
         after_severity,
-        F.round(value, 0).cast("string"),
+        plain_text(F.round(value, 0)),
         after_value,
-        index.cast("string"),
+        plain_text(index),
         after_index,
-        gap.cast("string"),
+        plain_text(gap),
         end,
     )
 
