@@ -15,7 +15,8 @@ WIDTH = 5
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 _LETTER = np.random.default_rng(5).integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
-_STRETCH = 1 << 19
+#: Words hashed at once: a letter takes some 50 bytes meanwhile.
+_STRETCH = 1 << 16
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -39,6 +39,8 @@ RARE = 64
 FREQUENT = 1 << 20
 #: Rows a task holds before it hands them on.
 CHUNK = 1 << 20
+#: Pairs a task holds before it hands them on; they cost more than n-grams, and Spark adds them up.
+PAIRED = 1 << 18
 #: Parts of a document's set in the counting pass.
 CUTS = 2
 #: Pivots of a frequent n-gram in each round: few for the many that link to any, more for the rest.
@@ -91,11 +93,13 @@ def frequent_ngrams(texts: DataFrame) -> np.ndarray:
     ranges, shift = 4 * parts_of(texts.sparkSession), np.uint64(64 - COUNT_BITS)
 
     def flush(kept: list[np.ndarray]) -> pa.RecordBatch:
-        buckets = np.sort(np.concatenate(kept))
-        start = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1]))
-        buckets, counts = buckets[start].astype(np.int64), np.diff(np.append(start, len(buckets)))
-        cut = np.searchsorted(buckets, [(k << COUNT_BITS) // ranges for k in range(ranges + 1)])
-        rows = [(k, _planes(buckets[a:b]), counts[a:b].astype("<u4")) for k, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+        buckets = np.concatenate(kept)
+        kept.clear()
+        buckets.sort()
+        start = np.append(np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])), len(buckets)).astype(np.uint32)
+        buckets, counts = buckets[start[:-1]], np.diff(start)
+        cut = np.searchsorted(buckets, np.array([(k << COUNT_BITS) // ranges for k in range(ranges + 1)], np.uint32))
+        rows = [(k, _planes(buckets[a:b]), counts[a:b]) for k, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
         packed = [np.ascontiguousarray(c.view(np.uint8).reshape(-1, 4).T).tobytes() for _, _, c in rows]
         return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array(packed, pa.binary())], ["part", "buckets", "counts"])
 
@@ -106,9 +110,9 @@ def frequent_ngrams(texts: DataFrame) -> np.ndarray:
             for grams in shingle_sets(batch.column(0)):
                 kept.append((grams >> shift).astype(np.uint32))
                 held += len(grams)
-            if held >= 4 * CHUNK:
-                yield flush(kept)
-                kept, held = [], 0
+                if held >= 2 * CHUNK:
+                    yield flush(kept)
+                    held = 0
         if held:
             yield flush(kept)
 
@@ -231,30 +235,35 @@ PAIRS = "a binary, b binary, n_a long, n_b long, rest long, shared long, first_a
 
 def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One fragment: how many n-grams each pair of classes shares in it, and the last places."""
-    grams, owners, places, told, base = [], [], [], [], 0
+    grams, owners, places, told = [], [], [], []
     for batch in batches:
-        for g, o, p, t in zip(*(batch.column(c).to_pylist() for c in ("grams", "owners", "places", "told"))):
-            grams.append(np.frombuffer(g, np.uint64))
-            owners.append(np.frombuffer(o, "<u4").astype(np.int64) + base)
-            places.append(np.frombuffer(p, "<u4"))
-            told.append(np.frombuffer(t, OWNER))
-            base += len(told[-1])
+        for row in zip(*(batch.column(c) for c in ("grams", "owners", "places", "told"))):
+            for column, cell, kind in zip((grams, owners, places, told), row, (np.uint64, "<u4", "<u4", OWNER)):
+                column.append(np.frombuffer(cell.as_buffer(), kind))
+    bases = np.cumsum([0, *map(len, told)])
     told = np.concatenate(told)
     # One document as it is told: equal sets are told alike.
     known, first, same = np.unique(told.view(f"V{OWNER.itemsize}"), return_index=True, return_inverse=True)
     told = told[first]
     key, size, rare, cut = told["key"], told["n"].astype(np.int64), told["rare"].astype(np.int64), told["ends"]
-    gram, owner, place = np.concatenate(grams), same.ravel()[np.concatenate(owners)], np.concatenate(places).astype(np.int64)
-    del grams, owners, places
+    same = same.ravel().astype(np.uint32)
+    # Column by column, so that few of them are there twice.
+    gram = np.concatenate(grams)
+    owner = np.concatenate([same[base:][o] for base, o in zip(bases, owners)])
+    place = np.concatenate(places)
+    del grams, owners, places, batch
     order = np.lexsort((owner, gram))
-    gram, owner, place = gram[order], owner[order], place[order]
+    gram = gram[order]
+    owner = owner[order]
+    place = place[order]
+    del order
     once = np.ones(len(gram), bool)  # a class read by several tasks came several times
     once[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
     gram, owner, place = gram[once], owner[once], place[once]
     shared = np.zeros(len(gram), bool)
     shared[1:] = gram[1:] == gram[:-1]
     shared[:-1] |= shared[1:]
-    gram, owner, place = gram[shared], owner[shared], place[shared]
+    gram, owner, place = gram[shared], owner[shared].astype(np.int64), place[shared].astype(np.int64)
     found, held = [], 0
 
     def flush(found: list) -> pa.RecordBatch:
@@ -269,7 +278,7 @@ def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         beyond = size - rare
         rest = np.where(cut[a] == cut[b], np.maximum(beyond[a], beyond[b]), np.where(cut[a] < cut[b], beyond[a], beyond[b]))
         numbers = (size[a], size[b], rest, counts, np.minimum.reduceat(pa_, start), np.minimum.reduceat(pb_, start))
-        cells = [pa.array([k.tobytes() for k in key[x]], pa.binary()) for x in (a, b)]
+        cells = [pa.FixedSizeBinaryArray.from_buffers(pa.binary(8), len(x), [None, pa.py_buffer(key[x].tobytes())]).cast(pa.binary()) for x in (a, b)]
         return pa.record_batch(cells + [pa.array(x.astype(np.int64)) for x in numbers], ["a", "b", "n_a", "n_b", "rest", "shared", "first_a", "first_b"])
 
     # Whole runs of one n-gram in stretches, so that memory stays bounded for any list lengths.
@@ -278,7 +287,7 @@ def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     stretch = np.append(0, np.cumsum((ends - starts) * (ends - starts - 1) // 2))
     at = 0
     while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(stretch, stretch[at] + CHUNK, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(stretch, stretch[at] + PAIRED, "right")) - 1)
         lo, hi = starts[at], ends[to - 1]
         g, o, p = gram[lo:hi], owner[lo:hi], place[lo:hi]
         for k in range(1, int((ends[at:to] - starts[at:to]).max())):
@@ -289,7 +298,7 @@ def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             if len(i):
                 found.append(((a << 32) | b, p[i], p[i + k]))
                 held += len(i)
-        if held >= CHUNK:
+        if held >= PAIRED:
             yield flush(found)
             found, held = [], 0
         at = to
@@ -321,16 +330,24 @@ def _cut_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The sets of ``classes(cls, doc_id)``, cut into ``CUTS`` ranges of the order."""
     cuts = np.array([(k << 64) // CUTS for k in range(1, CUTS)], np.uint64)
 
+    def flush(keys: list[bytes], pieces: list[bytes]) -> pa.RecordBatch:
+        parts = np.tile(np.arange(CUTS, dtype=np.int32), len(keys) // CUTS)
+        return pa.record_batch([pa.array(keys, pa.binary()), pa.array(parts), pa.array(pieces, pa.binary())], ["cls", "part", "grams"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, parts, pieces = [], [], []
+            keys, pieces, held = [], [], 0
             for grams in shingle_sets(batch.column(0)):
                 if not len(grams):
                     continue
                 keys += [set_key(grams)] * CUTS
-                parts += range(CUTS)
                 pieces += [x.tobytes() for x in np.split(grams, np.searchsorted(grams, cuts))]
-            yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(parts, pa.int32()), pa.array(pieces, pa.binary())], ["cls", "part", "grams"])
+                held += len(grams)
+                if held >= CHUNK:
+                    yield flush(keys, pieces)
+                    keys, pieces, held = [], [], 0
+            if held:
+                yield flush(keys, pieces)
 
     chosen = docs.join(counted_side(classes.select("doc_id")), "doc_id", "left_semi").select("text")
     return chosen.mapInArrow(run, "cls binary, part int, grams binary").dropDuplicates(["cls", "part"])
@@ -339,8 +356,8 @@ def _cut_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shared = []
-        for one, two in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist()):
-            x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+        for one, two in zip(batch.column("one"), batch.column("two")):
+            x, y = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
             x, y = (x, y) if len(x) <= len(y) else (y, x)
             place = np.searchsorted(y, x)
             shared.append(int((y[np.minimum(place, len(y) - 1)] == x).sum()) if len(x) else 0)
@@ -430,7 +447,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     each = stored(_sizes_and_hot(docs, frequent))
     linkable = each.where("cls is not null and doc_id is not null")
     classes = stored(linkable.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
-    pairs = stored(_rare_candidates(docs, classes, frequent, max(4, parts_of(spark) // 4)))
+    pairs = stored(_rare_candidates(docs, classes, frequent, max(4, parts_of(spark) // 2)))
     links = _links(docs, classes, pairs)
     prefixes = stored(linkable.where(F.size("hot") > 0).select("cls", "n", "rare", "hot").distinct())
     links = _dense_links(docs, classes, prefixes, links, pairs.select("a", "b"))
