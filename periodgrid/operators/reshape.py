@@ -46,6 +46,26 @@ def read_labels(
     return sorted(frame.select("posicion", *parts).collect(), key=lambda row: row.posicion)
 
 
+def spread(rows: DataFrame, concept: str, label: str, value: str, labels: Sequence[str]) -> DataFrame:
+    """One row per concept, one column per label, from rows that are one per concept and label.
+
+    The cells of a concept travel as a list of those it has, told by their place among the labels.
+    A pivot keeps a whole wide row for each concept it has met, and before the shuffle by concept
+    that is one for nearly each cell; lists are sorted by concept and held for one at a time.
+    Other labels are left out, their concepts are not.
+    """
+    place = F.array_position(F.array(*[F.lit(name) for name in labels]), F.col(label))
+    cell = F.when(place > 0, F.struct(place.cast("int").alias("place"), F.col(value).alias("value")))
+    lists = rows.select(concept, cell.alias("_cell")).repartition(concept)
+    cells = lists.groupBy(concept).agg(F.collect_list("_cell").alias("_cells"))
+    # The places without a cell are added, so that each label is read by its position.
+    free = F.array_except(F.array(*[F.lit(i) for i in range(1, len(labels) + 1)]), F.col("_cells.place"))
+    empty = F.lit(None).cast(rows.schema[value].dataType)
+    blank = F.transform(free, lambda place: F.struct(place.alias("place"), empty.alias("value")))
+    row = cells.select(concept, F.sort_array(F.concat("_cells", blank))["value"].alias("_row"))
+    return row.select(concept, *[F.get("_row", F.lit(i)).alias(name) for i, name in enumerate(labels)])
+
+
 def column_accounting(
     sheets: DataFrame, labels: str, grammar: PeriodGrammar = DEFAULT_GRAMMAR, by: Sequence[str] = ()
 ) -> DataFrame:

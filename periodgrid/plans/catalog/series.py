@@ -81,10 +81,9 @@ def monthly_cells(
 def wide_sheet(rows: DataFrame, concept: str, date: str, value: str) -> DataFrame:
     """One row per concept, one text column per month. The labels are known beforehand."""
     cells = monthly_cells(rows, concept, date, value)
-    # Summed as numbers and turned into text afterwards: Spark pivots numbers in one pass.
-    total = fixed_sum(F.col("importe"), 2)
-    sums = cells.groupBy("concepto").pivot("etiqueta", MONTH_LABELS).agg(total)
-    return sums.selectExpr("concepto", *[f"CAST(`{m}` AS STRING) AS `{m}`" for m in MONTH_LABELS])
+    total = fixed_sum(F.col("importe"), 2).cast("string")
+    sums = cells.groupBy("concepto", "etiqueta").agg(total.alias("total"))
+    return reshape.spread(sums, "concepto", "etiqueta", "total", MONTH_LABELS)
 
 
 def orders_sheet(spark: SparkSession, sf_dir: str, concept: str = "o_orderpriority") -> DataFrame:
