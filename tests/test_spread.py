@@ -26,3 +26,10 @@ def test_sheet_of_customers_keeps_no_wide_row_per_cell(spark, sf_dir):
     sheet = orders_sheet(spark, sf_dir, "o_custkey")
     assert sheet.columns == ["concepto", *MONTH_LABELS]
     assert "pivotfirst" not in sheet._jdf.queryExecution().executedPlan().toString()
+
+
+def test_headed_sheet_of_customers_keeps_no_wide_row_per_cell(spark, sf_dir):
+    from periodgrid.plans.catalog.series import grid_header_suffix
+
+    plan = grid_header_suffix(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "pivotfirst" not in plan
