@@ -78,16 +78,25 @@ def monthly_cells(
     )
 
 
-def wide_sheet(rows: DataFrame, concept: str, date: str, value: str) -> DataFrame:
-    """One row per concept, one text column per month. The labels are known beforehand."""
+def wide_sheet(rows: DataFrame, concept: str, date: str, value: str, many: bool = False) -> DataFrame:
+    """One row per concept, one text column per month. The labels are known beforehand.
+
+    ``many`` says that the concepts grow with the facts, a few facts to a cell. Summing before the
+    shuffle would then keep a cell in memory for nearly each fact of a split, which is as large as
+    a row group of the file; the facts are dealt by cell first. A few concepts are summed before.
+    """
     cells = monthly_cells(rows, concept, date, value)
+    if many:
+        cells = cells.repartition("concepto", "etiqueta")
     total = fixed_sum(F.col("importe"), 2).cast("string")
     sums = cells.groupBy("concepto", "etiqueta").agg(total.alias("total"))
     return reshape.spread(sums, "concepto", "etiqueta", "total", MONTH_LABELS)
 
 
-def orders_sheet(spark: SparkSession, sf_dir: str, concept: str = "o_orderpriority") -> DataFrame:
-    return wide_sheet(table(spark, sf_dir, "orders"), concept, "o_orderdate", "o_totalprice")
+def orders_sheet(
+    spark: SparkSession, sf_dir: str, concept: str = "o_orderpriority", many: bool = False
+) -> DataFrame:
+    return wide_sheet(table(spark, sf_dir, "orders"), concept, "o_orderdate", "o_totalprice", many)
 
 
 def long_sql(concept: str, where: str = "") -> str:
@@ -110,7 +119,7 @@ def long_from_wide_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(long_sql("o_custkey"))
 def long_from_wide_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sheet whose number of rows grows with the data."""
-    return reshape.to_long(orders_sheet(spark, sf_dir, "o_custkey"), "indicador", GRAMMAR)
+    return reshape.to_long(orders_sheet(spark, sf_dir, "o_custkey", many=True), "indicador", GRAMMAR)
 
 
 @query(long_sql("o_orderpriority", "WHERE year(o_orderdate) <= 1999"))
@@ -168,9 +177,9 @@ def long_quarter_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.to_long(sheet, "indicador", replace(GRAMMAR, max_suffix=4))
 
 
-def repeated_header(spark: SparkSession, sf_dir: str, concept: str) -> DataFrame:
+def repeated_header(spark: SparkSession, sf_dir: str, concept: str, many: bool = False) -> DataFrame:
     """Headed rows of a sheet that repeats ``Ene .. Dic`` without any suffix."""
-    sheet = orders_sheet(spark, sf_dir, concept)
+    sheet = orders_sheet(spark, sf_dir, concept, many)
     names = ["", *(month for _ in YEARS for month in MONTHS_ES)]
     cells = F.array(*[F.col(f"`{name}`") for name in sheet.columns])
     # The header is worked out once, as a relation of one row, not once per line.
@@ -182,7 +191,7 @@ def repeated_header(spark: SparkSession, sf_dir: str, concept: str) -> DataFrame
 @query(long_sql("o_custkey"))
 def grid_header_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated labels are told apart by position and give the same series."""
-    long = reshape.headed_rows_to_long(repeated_header(spark, sf_dir, "o_custkey"))
+    long = reshape.headed_rows_to_long(repeated_header(spark, sf_dir, "o_custkey", many=True))
     return long.withColumnRenamed("concepto", "indicador")
 
 

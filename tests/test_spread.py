@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from periodgrid.operators.reshape import spread
-from periodgrid.plans.catalog.series import MONTH_LABELS, orders_sheet
+from periodgrid.plans.catalog.series import MONTH_LABELS, orders_sheet, wide_sheet
 
 LABELS = ["a", "b", "c"]
 
@@ -33,3 +33,21 @@ def test_headed_sheet_of_customers_keeps_no_wide_row_per_cell(spark, sf_dir):
 
     plan = grid_header_suffix(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "pivotfirst" not in plan
+
+
+def test_sheets_of_customers_sum_no_cells_before_the_shuffle(spark, sf_dir):
+    from periodgrid.plans.catalog.series import grid_header_suffix, long_from_wide_entities
+
+    for query in (grid_header_suffix, long_from_wide_entities):
+        plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        deal = plan[plan.rindex("Exchange hashpartitioning("):]
+        assert "FileScan" in deal and "Aggregate" not in deal
+
+
+def test_dealt_sheet_equals_summed_sheet(spark):
+    rows = spark.range(3000).selectExpr(
+        "if(id % 7 = 0, NULL, id % 211) AS k", "id / 100.0 AS v",
+        "if(id % 5 = 0, NULL, date_add(DATE'1995-01-01', CAST(id * 13 % 2500 AS INT))) AS d")
+    sheets = [wide_sheet(rows, "k", "d", "v", many) for many in (False, True)]
+    summed, dealt = (sorted(map(tuple, sheet.collect()), key=repr) for sheet in sheets)
+    assert len(dealt) == 212 and dealt == summed
