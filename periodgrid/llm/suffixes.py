@@ -49,12 +49,16 @@ REACH = LENGTH - TRIPLE
 GRAM = 24
 SPAN = LENGTH - GRAM + 1
 LAST_ID = (1 << 63) - 1
-#: Bytes hashed at once (a longer text is cut with an overlap), rows a task holds, rows of a part.
-CUT = 1 << 18
+#: Bytes hashed at once (a longer text is cut with an overlap; their prints fit a core's cache), rows a
+#: task holds, rows of a part.
+CUT = 1 << 16
 HELD = 1 << 19
 PART_ROWS = 1 << 19
+#: Bytes of shared stretches that leave a task at once.
+CELL_BYTES = 4 << 20
 #: Stored bytes of the removed runs up to which they go to the texts, rather than texts to them.
 SPAN_BYTES = 8 << 20
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of a print that go along within a part. Two anchors that share them by chance keep a stretch
 #: in; strings are told apart by name and second name together.
 ANCHOR_BYTES, NAME_BYTES, SECOND_BYTES = 4, 5, 6
@@ -125,36 +129,38 @@ def groups(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
         at = to
 
 
-def _pieces(size: int, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per byte its piece, and how many bytes of the piece are left (0 outside)."""
-    piece = np.cumsum(np.bincount(starts, minlength=size)) - 1
-    return piece, np.maximum(ends[piece] - np.arange(size), 0)
-
-
-def _least_grams(prints: Prints, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _least_grams(prints: Prints, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prints of all grams, and of each window the least of them (0: no window starts here)."""
     grams = prints.all(GRAM) | np.uint64(1)
     least = _slide(grams, SPAN, np.minimum).copy()
-    least[room[:len(least)] < LENGTH] = 0
+    # Between the last window of a piece and the next piece none starts.
+    last = ends - LENGTH + 1
+    least[_ranges(last, np.minimum(np.append(starts[1:], len(least)), len(least)) - last)] = 0
     return grams, least
 
 
-def anchors(prints: Prints, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def anchors(prints: Prints, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and prints of the grams that are the least of some window."""
-    grams, least = _least_grams(prints, room)
+    grams, least = _least_grams(prints, starts, ends)
     rim = np.zeros(SPAN - 1, np.uint64)
     at = np.flatnonzero(_slide(np.concatenate([rim, least, rim]), SPAN, np.maximum) == grams)
     return at, grams[at]
 
 
-def shared_windows(prints: Prints, room: np.ndarray, shared: np.ndarray) -> np.ndarray:
+def shared_windows(prints: Prints, starts: np.ndarray, ends: np.ndarray, shared: np.ndarray) -> np.ndarray:
     """Per place: does a window start there whose least gram is among the ``shared`` places?"""
-    grams, least = _least_grams(prints, room)
+    grams, least = _least_grams(prints, starts, ends)
     known = np.full(len(grams), np.uint64((1 << 64) - 1))
     known[shared] = grams[shared]
     return (_slide(known, SPAN, np.minimum) == least) & (least > 0)
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The whole numbers of all ranges, in order; a range of no or less than no size has none."""
+    size = np.maximum(size, 0)
+    return np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
+
+
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last places of the runs of true flags."""
     edges = np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))
@@ -163,6 +169,8 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # -- rows on their way to a part --------------------------------------------------------------
 
+# Of a box alone, as operator 3 sends them.
+
 def _squeezed(*numbers: np.ndarray) -> bytes:
     """Whole numbers as compressed byte planes."""
     planes = b"".join(np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for x in numbers)
@@ -190,6 +198,53 @@ def _unplaces(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     return text, total - np.repeat(base, np.diff(np.append(new, n)))
 
 
+# A task deals the rows it holds to all parts at once: a record batch has a row (a box) for each part,
+# and its columns are written and read as a whole. The number of boxes grows with the square of the
+# input, so a box must cost no more than its row.
+
+def _zigzag(x: np.ndarray) -> np.ndarray:
+    return ((x << 1) ^ (x >> 63)).view(np.uint64)
+
+
+def _unzigzag(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(1)).view(np.int64) ^ -(x & np.uint64(1)).view(np.int64)
+
+
+def _steps(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Differences of neighbours; at the ``first`` rows of boxes the number itself."""
+    steps = np.diff(x, prepend=0)
+    steps[first] = x[first]
+    return steps
+
+
+def _summed(steps: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The numbers of such differences."""
+    total = np.cumsum(steps)
+    return total - np.repeat((total - steps)[first], np.diff(np.append(first, len(steps))))
+
+
+def _new_texts(steps: np.ndarray, first: np.ndarray) -> np.ndarray:
+    new = steps != 0
+    new[first] = True
+    return np.flatnonzero(new)
+
+
+def _places_of_boxes(text: np.ndarray, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts and places as differences in varints, the bytes of each box, and the rows that begin a text."""
+    steps = _steps(text, first)
+    new = _new_texts(steps, first)
+    data, width = _varints(_zigzag(np.stack([steps, _steps(at, new)], 1).ravel()))
+    return data, np.add.reduceat(width, 2 * first), new
+
+
+def _unplaces_of_boxes(data: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts and places of boxes of ``n`` rows, the first row of each box, and the rows that begin a text."""
+    numbers = _unzigzag(_from_varints(data)[0].view(np.uint64))
+    first, steps = np.cumsum(n) - n, numbers[::2]
+    new = _new_texts(steps, first)
+    return _summed(steps, first), _summed(numbers[1::2], new), first, new
+
+
 def _low_bytes(x: np.ndarray, width: int) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
@@ -201,13 +256,19 @@ def _from_low_bytes(data: bytes, width: int) -> np.ndarray:
 
 
 def _varints(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whole numbers below 2^35 in bytes of seven bits, and how many bytes each takes."""
-    width = 1 + sum((numbers >= 1 << (7 * k)).astype(np.int64) for k in range(1, 5))
+    """Whole numbers in bytes of seven bits, and how many bytes each takes."""
+    numbers = numbers.view(np.uint64)
+    most = max(-(-int(numbers.max(initial=0)).bit_length() // 7), 1)
+    width = np.ones(len(numbers), np.int64)
+    for k in range(1, most):
+        width += numbers >= np.uint64(1 << (7 * k))
     at = np.cumsum(width) - width
-    out = np.zeros(int(width.sum()), np.uint8)
-    for k in range(5):
-        some = width > k
-        out[at[some] + k] = ((numbers[some] >> (7 * k)) & 127) | np.where(width[some] > k + 1, 128, 0)
+    out, wide = np.zeros(int(width.sum()), np.uint8), width
+    for k in range(most):
+        if k:
+            longer = wide > k
+            numbers, wide, at = numbers[longer], wide[longer], at[longer]
+        out[at + k] = ((numbers >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | ((wide > k + 1).astype(np.uint8) << 7)
     return out, width
 
 
@@ -215,59 +276,79 @@ def _from_varints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers, and the place of the byte that ends each."""
     ends = np.flatnonzero(data < 128)
     starts = np.append(0, ends[:-1] + 1)[:len(ends)]
-    numbers = np.zeros(len(ends), np.int64)
-    for k in range(5):
-        some = starts + k <= ends
-        numbers[some] |= (data[starts[some] + k].astype(np.int64) & 127) << (7 * k)
+    numbers = (data[starts] & 127).astype(np.int64)
+    some, k = np.flatnonzero(ends > starts), 1
+    while len(some):
+        numbers[some] |= (data[starts[some] + k] & 127).astype(np.int64) << (7 * k)
+        k += 1
+        some = some[starts[some] + k <= ends[some]]
     return numbers, ends
 
 
-def _box(part: int, settled: bool, n: int, *columns: bytes | None) -> pa.RecordBatch:
-    arrays = [pa.array([part], pa.int32()), pa.array([settled]), pa.array([n], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)]
-    return pa.record_batch(arrays, _BOX_NAMES)
+def _boxes(part: np.ndarray, parts: int, settled: bool, text: np.ndarray, at: np.ndarray, names=None, width: int = 0, second=None, ids=None) -> Iterator[pa.RecordBatch]:
+    """Rows dealt to their parts, in the order they come in; without second names and ids for the
+    anchors, without names for the way back. An id is told once for a text."""
+    if not len(text):
+        return
+    order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+    part, text, at = part[order], text[order], at[order]
+    first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    n = np.diff(np.append(first, len(part)))
+    places, sizes, new = _places_of_boxes(text, at, first)
+    told = pa.nulls(len(n), pa.binary())
+    if ids is not None:
+        box = np.searchsorted(new, first)
+        steps, widths = _varints(_zigzag(_steps(ids[order[new]], box)))
+        told = _cut_bytes(steps, np.add.reduceat(widths, box))
+    yield pa.record_batch(
+        [pa.array(part[first], pa.int32()), pa.array(np.full(len(n), settled)), pa.array(n, pa.int32()),
+         pa.nulls(len(n), pa.binary()) if names is None else _cut_bytes(_low_bytes(names[order], width), width * n),
+         pa.nulls(len(n), pa.binary()) if second is None else _cut_bytes(_low_bytes(second[order], SECOND_BYTES), SECOND_BYTES * n),
+         _cut_bytes(places, sizes), told], _BOX_NAMES)
 
 
 def _settled_box(text: np.ndarray, at: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     """Places that need no comparison any more; they only pass through a part."""
     if len(text):
-        order = np.lexsort((at, text))
-        yield _box(int(text[order[0]] % parts), True, len(text), None, None, _places(text[order], at[order]), None)
+        yield from _boxes(np.full(len(text), int(text[0] % parts)), parts, True, text, at)
 
 
 def _reply_boxes(text: np.ndarray, at: np.ndarray, parts: int, settled: bool = True) -> Iterator[pa.RecordBatch]:
     """Places on their way back to the part of their text; neighbouring texts share a part."""
-    part = ((text >> 33) * 31 + ((text & ((1 << 33) - 1)) >> 8)) % parts
-    order = np.lexsort((at, text, part))
-    bounds = np.searchsorted(part[order], np.arange(parts + 1))
-    for k in np.flatnonzero(np.diff(bounds)).tolist():
-        own = order[bounds[k]:bounds[k + 1]]
-        yield _box(k, settled, len(own), None, None, _places(text[own], at[own]), None)
+    yield from _boxes(((text >> 33) * 31 + ((text & ((1 << 33) - 1)) >> 8)) % parts, parts, settled, text, at)
+
+
+def _settled_replies(settled: list[tuple[np.ndarray, np.ndarray]], parts: int) -> Iterator[pa.RecordBatch]:
+    """Replies to settled places, of about ``HELD`` together."""
+    kept, held = [], 0
+    for k, places in enumerate(settled, 1):
+        kept.append(places)
+        held += len(places[0])
+        if held >= HELD or k == len(settled):
+            yield from _reply_boxes(*(np.concatenate(c) for c in zip(*kept)), parts)
+            kept, held = [], 0
+
+
+def _by_text(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places by text and place. They are below 2^31, as ``begin`` and the lists of them are."""
+    texts, which = np.unique(text, return_inverse=True)
+    packed = which.astype(np.int64) << 32 | at
+    packed.sort()
+    return texts[packed >> 32], packed & 0xFFFFFFFF
 
 
 def _replies(batches: Iterator[pa.RecordBatch]) -> dict[bool, tuple[np.ndarray, np.ndarray]]:
     """All places of a part by text and place: those of settled boxes and the others."""
     found: dict[bool, list] = {True: [], False: []}
-    for batch in batches:
-        for row in batch.to_pylist():
-            found[row["settled"]].append(_unplaces(row["places"], row["n"]))
-    sorted_places = {}
-    for kind, boxes in found.items():
-        text, at = (np.concatenate(c) for c in zip(*boxes)) if boxes else (np.zeros(0, np.int64),) * 2
-        order = np.lexsort((at, text))
-        sorted_places[kind] = text[order], at[order]
-    return sorted_places
+    for settled, _, places in _read(batches):
+        found[settled].append(places[:2])
+    return {kind: _by_text(*(np.concatenate(c) for c in zip(*boxes))) if boxes else (np.zeros(0, np.int64),) * 2 for kind, boxes in found.items()}
 
 
 def _open_boxes(name, second, text, at, ids, parts: int) -> Iterator[pa.RecordBatch]:
     """Rows dealt to the parts of their names; without second names and ids for the anchors."""
     part = ((name >> np.uint64(8 * NAME_BYTES)) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort((at, text, part))
-    bounds = np.searchsorted(part[order], np.arange(parts + 1))
-    for k in np.flatnonzero(np.diff(bounds)).tolist():
-        own = order[bounds[k]:bounds[k + 1]]
-        yield _box(
-            k, False, len(own), _low_bytes(name[own], ANCHOR_BYTES if second is None else NAME_BYTES), None if second is None else _low_bytes(second[own], SECOND_BYTES),
-            _places(text[own], at[own]), None if ids is None else _squeezed(np.diff(ids[own], prepend=0)))
+    yield from _boxes(part, parts, False, text, at, name, ANCHOR_BYTES if second is None else NAME_BYTES, second, ids)
 
 
 def _sent(batches: Iterator[pa.RecordBatch], rows_of: Callable, reduce: Callable, parts: int, *prints: "Prints") -> Iterator[pa.RecordBatch]:
@@ -285,20 +366,57 @@ def _sent(batches: Iterator[pa.RecordBatch], rows_of: Callable, reduce: Callable
         yield from reduce(*(np.concatenate(c) for c in zip(*kept)), parts)
 
 
+def _bytes_of(column: pa.BinaryArray) -> np.ndarray:
+    """The bytes of all rows, one after the other."""
+    offsets, data = column.buffers()[1:]
+    offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data else np.zeros(0, np.uint8)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch, tuple]]:
+    """Boxes of one kind with their texts and places."""
+    for batch in batches:
+        for settled in (True, False):
+            own = batch.filter(batch.column("settled") if settled else pc.invert(batch.column("settled")))
+            if own.num_rows:
+                yield settled, own, _unplaces_of_boxes(_bytes_of(own.column("places")), own.column("n").to_numpy().astype(np.int64))
+
+
 def _opened(batches: Iterator[pa.RecordBatch], full: bool) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
     """The rows of a part (name, text, at and, if ``full``, second name and id) and settled places."""
     columns, settled = [], []
-    for batch in batches:
-        for row in batch.to_pylist():
-            places = _unplaces(row["places"], row["n"])
-            if row["settled"]:
-                settled.append(places)
-            else:
-                more = [_from_low_bytes(row["seconds"], SECOND_BYTES), np.cumsum(_spread(row["ids"], row["n"], 1)[0])] if full else []
-                columns.append([_from_low_bytes(row["names"], NAME_BYTES if full else ANCHOR_BYTES), *places, *more])
+    for known, boxes, (text, at, first, new) in _read(batches):
+        if known:
+            settled.append((text, at))
+            continue
+        rows = [_from_low_bytes(_bytes_of(boxes.column("names")), NAME_BYTES if full else ANCHOR_BYTES), text, at]
+        if full:
+            ids = _summed(_unzigzag(_from_varints(_bytes_of(boxes.column("ids")))[0].view(np.uint64)), np.searchsorted(new, first))
+            rows += [_from_low_bytes(_bytes_of(boxes.column("seconds")), SECOND_BYTES), np.repeat(ids, np.diff(np.append(new, len(text))))]
+        columns.append(rows)
     return [np.concatenate(c) for c in zip(*columns)], settled
 
 
+def _in_order(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by name, those of one name as they came, and where in that order a name begins."""
+    order = np.argsort(name)  # fast, as it need not be stable
+    ranked = name[order]
+    new = np.r_[True, ranked[1:] != ranked[:-1]][:len(name)]
+    packed = np.cumsum(new) << 32 | order
+    packed.sort()
+    return packed & 0xFFFFFFFF, np.flatnonzero(new)
+
+
+def _in_order_of_both(name: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for pairs of a name and a second name."""
+    order, first = _in_order(_mixed(name ^ second * np.uint64(0x9E3779B97F4A7C15)))
+    new = np.r_[True, (np.diff(name[order]) != 0) | (np.diff(second[order]) != 0)][:len(name)]
+    if np.count_nonzero(new) != len(first):  # two pairs have one print
+        order = np.lexsort((second, name))
+        new = np.r_[True, (np.diff(name[order]) != 0) | (np.diff(second[order]) != 0)]
+    return order, np.flatnonzero(new)
+
+
 def _per_text(text: np.ndarray, *lists: np.ndarray, names: list[str]) -> pa.RecordBatch:
     """Rows sorted by text as one row per text with a list per column."""
     new = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else np.zeros(0, np.int64)
@@ -325,10 +443,24 @@ def _texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
     marked = copies.withColumn("copied", F.lit(True))
     first = F.when(F.col("copied"), F.col("first")).otherwise(F.col("doc_id"))
     found = keyed(docs).where(F.octet_length("text") >= LENGTH).join(marked, "key", "left").where(F.col("doc_id").eqNullSafe(first))
-    return stored(found.select(
+    return _stored(found.select(
         F.monotonically_increasing_id().alias("t"), "key", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text"))
 
 
+def _stored(step: DataFrame) -> DataFrame:
+    """A stored step whose shuffle files go as soon as it is written; else they stay until the driver
+    happens to collect its garbage, and several steps of the size of the texts lie on disk at once."""
+    conf, before = step.sparkSession.conf, step.sparkSession.conf.get(SHUFFLES_GO, None)
+    conf.set(SHUFFLES_GO, "true")
+    try:
+        return stored(step)
+    finally:
+        if before is None:
+            conf.unset(SHUFFLES_GO)
+        else:
+            conf.set(SHUFFLES_GO, before)
+
+
 def discard(step: DataFrame) -> None:
     """Delete a stored step that nothing reads any more, to make room for the next ones."""
     for folder in {name.rsplit("/", 1)[0] for name in step.inputFiles()[:1]}:
@@ -340,7 +472,7 @@ def _parts(rows: float, spark: SparkSession) -> int:
 
 
 def shared_anchors(texts: DataFrame) -> DataFrame:
-    """``t, places``: the anchors of each text that stand in another text as well."""
+    """``t, places``: the anchors of each text that stand in another text as well; stored."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = _parts(2 * size / (SPAN + 1), texts.sparkSession)
 
@@ -348,35 +480,37 @@ def shared_anchors(texts: DataFrame) -> DataFrame:
         number = batch.column("t").to_numpy()
         for data, starts, ends, owner, begin in groups(batch.column("text")):
             prints.read(data)
-            piece, room = _pieces(len(data), starts, ends)
-            at, names = anchors(prints, room)
-            which = piece[at]
+            at, names = anchors(prints, starts, ends)
+            which = np.searchsorted(starts, at, "right") - 1
             yield names, number[owner[which]], at - starts[which] + begin[which]
 
-    def sorted_names(name, text, at):
-        order = np.lexsort((at, text, name))
-        name, text, at = name[order], text[order], at[order]
-        new = np.flatnonzero(np.r_[True, name[1:] != name[:-1]]) if len(name) else np.zeros(0, np.int64)
-        last = np.append(new[1:], len(name)) - 1
-        return name, text, at, new, last, text[new] != text[last]
+    def in_several(name, text):
+        """Rows by name, the first and last row of each name, whether several texts have it, and that per row."""
+        order, new = _in_order(name)
+        text = text[order]
+        shared = np.minimum.reduceat(text, new) != np.maximum.reduceat(text, new)
+        often = np.zeros(len(name), bool)
+        often[order] = np.repeat(shared, np.diff(np.append(new, len(name))))
+        return order, new, np.append(new[1:], len(name)) - 1, shared, often
 
     def reduce(name, text, at, parts):
         # A name that two texts of this task share is known to be shared: two rows tell the others.
-        name, text, at, new, last, shared = sorted_names(name, text, at)
-        often = np.repeat(shared, last - new + 1)
+        # The rows of a text come one after the other, so the first and the last one are of two texts.
+        if not len(name):
+            return
+        order, new, last, shared, often = in_several(name, text)
         yield from _settled_box(text[often], at[often], parts)
         send = ~often
-        send[new[shared]] = send[last[shared]] = True
+        send[order[new[shared]]] = send[order[last[shared]]] = True
         yield from _open_boxes(name[send], None, text[send], at[send], None, parts)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns, settled = _opened(batches, False)
         if columns:
-            _, text, at, new, last, shared = sorted_names(*columns)
-            often = np.repeat(shared, last - new + 1)
+            name, text, at = columns
+            often = in_several(name, text)[-1]
             settled.append((text[often], at[often]))
-        for text, at in settled:
-            yield from _reply_boxes(text, at, parts)
+        yield from _settled_replies(settled, parts)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, at = _replies(batches)[True]
@@ -386,7 +520,7 @@ def shared_anchors(texts: DataFrame) -> DataFrame:
 
     boxes = texts.select("t", "text").mapInArrow(lambda batches: _sent(batches, rows_of, reduce, parts, Prints(1)), _BOXES)
     back = boxes.groupBy("part").applyInArrow(settle, _BOXES)
-    return back.groupBy("part").applyInArrow(pack, "t long, places binary")
+    return _stored(back.groupBy("part").applyInArrow(pack, "t long, places binary"))
 
 
 def _cut_bytes(data: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
@@ -408,31 +542,45 @@ def _unpacked_places(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
 def stretches(texts: DataFrame) -> DataFrame:
     """``c, t, id, begin, data``: the runs of windows with shared anchors, a row each; stored."""
     # Both sides are dealt by text: the lists of places grow with the corpus.
-    shared = shared_anchors(texts).hint("merge")
+    shared = shared_anchors(texts)
+
+    def found(batch: pa.RecordBatch, prints: Prints):
+        number, ids = batch.column("t").to_numpy(), batch.column("id").to_numpy()
+        places, bounds = _unpacked_places(batch.column("places"))
+        for data, starts, ends, owner, begin in groups(batch.column("text")):
+            prints.read(data)
+            sizes = bounds[owner + 1] - bounds[owner]
+            piece = np.repeat(np.arange(len(owner)), sizes)
+            at = places[_ranges(bounds[owner], sizes)] - begin[piece]
+            own = (at >= 0) & (at + GRAM <= (ends - starts)[piece])
+            first, last = runs(shared_windows(prints, starts, ends, (at + starts[piece])[own]))
+            # Runs of neighbouring pieces are told apart by where a window may start.
+            which = np.searchsorted(starts, first, "right") - 1
+            cells = [data[a:b + LENGTH].tobytes() for a, b in zip(first.tolist(), last.tolist())]
+            yield number[owner[which]], ids[owner[which]], first - starts[which] + begin[which], cells
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prints = Prints(1)
+        prints, kept, held = Prints(1), [], 0
+
+        def sent():
+            number, ids, begin = (np.concatenate(c) for c in [*zip(*kept)][:3])
+            cells = pa.array([x for rows in kept for x in rows[3]], pa.binary())
+            return pa.record_batch([pa.array(number, pa.int64()), pa.array(ids, pa.int64()), pa.array(begin, pa.int32()), cells], ["t", "id", "begin", "data"])
+
         for batch in batches:
-            number, ids = batch.column("t").to_numpy(), batch.column("id").to_numpy()
-            places, bounds = _unpacked_places(batch.column("places"))
-            for data, starts, ends, owner, begin in groups(batch.column("text")):
-                prints.read(data)
-                _, room = _pieces(len(data), starts, ends)
-                at = []
-                for k, o in enumerate(owner.tolist()):
-                    own = places[bounds[o]:bounds[o + 1]] - begin[k]
-                    at.append(own[(own >= 0) & (own + GRAM <= ends[k] - starts[k])] + starts[k])
-                first, last = runs(shared_windows(prints, room, np.concatenate(at)))
-                # Runs of neighbouring pieces are told apart by where a window may start.
-                which = np.searchsorted(starts, first, "right") - 1
-                cells = [data[a:b + LENGTH].tobytes() for a, b in zip(first.tolist(), last.tolist())]
-                yield pa.record_batch(
-                    [pa.array(number[owner[which]], pa.int64()), pa.array(ids[owner[which]], pa.int64()),
-                     pa.array(first - starts[which] + begin[which], pa.int32()), pa.array(cells, pa.binary())],
-                    ["t", "id", "begin", "data"])
-
-    cut = texts.select("t", "id", "text").join(shared, "t").mapInArrow(run, "t long, id long, begin int, data binary")
-    return stored(cut.select(F.monotonically_increasing_id().alias("c"), "t", "id", "begin", "data"))
+            for rows in found(batch, prints):
+                kept.append(rows)
+                held += sum(map(len, rows[3]))
+                if held >= CELL_BYTES:
+                    yield sent()
+                    kept, held = [], 0
+        if kept:
+            yield sent()
+
+    cut = texts.select("t", "id", "text").join(shared.hint("merge"), "t").mapInArrow(run, "t long, id long, begin int, data binary")
+    cut = _stored(cut.select(F.monotonically_increasing_id().alias("c"), "t", "id", "begin", "data"))
+    discard(shared)
+    return cut
 
 
 # -- names ------------------------------------------------------------------------------------
@@ -440,25 +588,25 @@ def stretches(texts: DataFrame) -> DataFrame:
 def sampled(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of all sampled triples of the pieces, and their pieces."""
     n = np.maximum(ends - starts - TRIPLE + 1, 0)
-    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    piece = np.repeat(np.arange(len(starts)), n)
-    keep = np.isin(np.arange(PERIOD), COVER)[at % PERIOD]
-    return at[keep], piece[keep]
+    cover = np.array(COVER)
+    size = len(COVER) * (n // PERIOD) + np.searchsorted(cover, n % PERIOD)
+    turn, place = np.divmod(_ranges(np.zeros(len(n), np.int64), size), len(COVER))
+    return turn * PERIOD + cover[place], np.repeat(np.arange(len(starts)), size)
 
 
-def _smallest(name, second, text, at, ids):
-    """Rows by (name, second name, id), and per row: has its second name a smaller id?"""
-    order = np.lexsort((ids, second, name))
-    name, second, text, at, ids = (x[order] for x in (name, second, text, at, ids))
-    new = np.r_[True, (name[1:] != name[:-1]) | (second[1:] != second[:-1])]
-    first = np.flatnonzero(new)
-    least = np.repeat(ids[first], np.diff(np.append(first, len(name))))
-    return name, second, text, at, ids, ids > least
+def _larger(name, second, ids) -> np.ndarray:
+    """Per row: has its name with its second name a smaller id in another row?"""
+    order, first = _in_order_of_both(name, second)
+    ranked = ids[order]
+    larger = np.zeros(len(name), bool)
+    if len(name):
+        larger[order] = ranked > np.repeat(np.minimum.reduceat(ranked, first), np.diff(np.append(first, len(name))))
+    return larger
 
 
 def _reduce_ids(name, second, text, at, ids, parts):
     """Of each second name only the smallest id of a task travels; all others are settled."""
-    name, second, text, at, ids, larger = _smallest(name, second, text, at, ids)
+    larger = _larger(name, second, ids)
     yield from _settled_box(text[larger], at[larger], parts)
     rest = ~larger
     yield from _open_boxes(name[rest], second[rest], text[rest], at[rest], ids[rest], parts)
@@ -470,17 +618,15 @@ def _compared(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
     columns, settled = _opened(batches, True)
     if columns:
         name, text, at, second, ids = columns
-        name, second, text, at, ids, larger = _smallest(name, second, text, at, ids)
+        larger = _larger(name, second, ids)
         settled.append((text[larger], at[larger]))
         name, second, text, at, ids = (x[~larger] for x in (name, second, text, at, ids))
-        new = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
-        size = np.diff(np.append(new, len(name)))
-        ask = np.minimum.reduceat(ids, new) != np.maximum.reduceat(ids, new)
-        ask &= second[new] != second[new + size - 1]
-        ask = np.repeat(ask, size)
+        order, new = _in_order(name)
+        several = [np.minimum.reduceat(x[order], new) != np.maximum.reduceat(x[order], new) for x in (ids, second)]
+        ask = np.zeros(len(name), bool)
+        ask[order] = np.repeat(several[0] & several[1], np.diff(np.append(new, len(name))))
         yield from _reply_boxes(text[ask], at[ask], parts, False)
-    for text, at in settled:
-        yield from _reply_boxes(text, at, parts)
+    yield from _settled_replies(settled, parts)
 
 
 def _joined_runs(text: np.ndarray, at: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -524,7 +670,7 @@ def name_triples(cut: DataFrame, parts: int) -> DataFrame:
         yield pa.record_batch(columns, ["c", *_ANSWERS])
 
     back = boxes.groupBy("part").applyInArrow(compare, _BOXES)
-    return stored(back.groupBy("part").applyInArrow(join_runs, "c long, " + ", ".join(f"{name} array<int>" for name in _ANSWERS)))
+    return _stored(back.groupBy("part").applyInArrow(join_runs, "c long, " + ", ".join(f"{name} array<int>" for name in _ANSWERS)))
 
 
 def _window_flags(size: int, first: np.ndarray, last: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -550,7 +696,7 @@ def merge_windows(cut: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
             for kind, (bounds, first, last) in runs_of.items():
                 sizes = bounds[owner + 1] - bounds[owner]
                 piece = np.repeat(np.arange(len(owner)), sizes)
-                pick = np.repeat(bounds[owner] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+                pick = _ranges(bounds[owner], sizes)
                 flags[kind] = _window_flags(len(data), first[pick] + starts[piece], last[pick] + starts[piece], starts[piece], ends[piece])
             yield data, starts, owner, flags["settled"], flags["asked"] & ~flags["settled"]
 
@@ -625,7 +771,7 @@ def repeated_spans(docs: DataFrame, copies: DataFrame) -> DataFrame:
             sizes = np.add.reduceat(width, np.cumsum([0, *map(len, runs_of)])[:-1])
             yield pa.record_batch([batch.column("key"), _cut_bytes(steps, sizes)], ["key", "gone"])
 
-    return stored(found.mapInArrow(pack, "key binary, gone binary"))
+    return _stored(found.mapInArrow(pack, "key binary, gone binary"))
 
 
 def _kept(text: bytes, copy: bool, gone: bytes | None) -> tuple[int, int, int, str, bytes]:
